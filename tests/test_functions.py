@@ -1,0 +1,104 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from zonekit.functions import nested, scalar
+
+
+def test_date_from_name_match_and_miss(spark):
+    df = spark.createDataFrame(
+        [("2020_01_02_listings.json",), ("2021_03_09_x",), ("notes.json",), ("x2020_01_02.json",)], "n string"
+    )
+    got = [r.d for r in df.select(scalar.date_from_name("n").alias("d")).collect()]
+    assert got == [dt.date(2020, 1, 2), dt.date(2021, 3, 9), None, None]
+
+
+def test_date_from_name_strict_raises(spark):
+    df = spark.createDataFrame([("bad.json",)], "n string")
+    with pytest.raises(Exception):
+        df.select(scalar.date_from_name("n", strict=True)).collect()
+
+
+def test_parent_and_base_name(spark):
+    df = spark.createDataFrame([("file:/a/b/2020_06_01_snap/part-0.parquet",)], "p string")
+    r = df.select(scalar.parent_name("p").alias("d"), scalar.base_name("p").alias("b")).first()
+    assert r.d == "2020_06_01_snap" and r.b == "part-0.parquet"
+
+
+def test_numeric_cast_bad_text_is_null(spark):
+    df = spark.createDataFrame([("415",), ("",), ("abc",), (None,), ("1.5",)], "s string")
+    got = [r.v for r in df.select(scalar.numeric("s").alias("v")).collect()]
+    assert got == [415.0, None, None, None, 1.5]
+
+
+def test_composite_key_and_split(spark):
+    df = spark.createDataFrame([("Sants-Montjuïc", "El Poble Sec", 2016), ("A", None, 2015)], "d string, z string, y int")
+    keys = [r.k for r in df.select(scalar.composite_key("d", "z", "y").alias("k")).collect()]
+    assert keys == ["Sants Montjuïc-El Poble Sec-2016", "A-2015"]  # concat_ws skips null
+    parts = df.filter(F.col("d") != "A").select(scalar.composite_key("d", "z", "y").alias("k")).select(
+        scalar.split_key("k", 1).alias("a"), scalar.split_key("k", 2).alias("b"), scalar.split_key("k", 3).alias("c")
+    ).first()
+    assert (parts.a, parts.b, parts.c) == ("Sants Montjuïc", "El Poble Sec", "2016")
+    short = df.filter(F.col("d") == "A").select(scalar.split_key(scalar.composite_key("d", "z", "y"), 3).alias("c")).first()
+    assert short.c is None
+
+
+def test_safe_ratio_zero_divisor(spark):
+    df = spark.createDataFrame([(1.0, 0.0), (3.0, 2.0)], "a double, b double")
+    got = [r.r for r in df.select(scalar.safe_ratio("a", "b").alias("r")).collect()]
+    assert got == [None, 1.5]
+
+
+def test_strip_quotes_commas(spark):
+    df = spark.createDataFrame([('"Horta, Barcelona"',), ("Fort Pienc",)], "n string")
+    got = [r.n for r in df.select(scalar.strip_quotes_commas("n").alias("n")).collect()]
+    assert got == ["Horta Barcelona", "Fort Pienc"]
+
+
+def test_parse_date_prefix(spark):
+    df = spark.createDataFrame([("2020-01-02T00:00:00.000+01:00",), ("2020-12-07",)], "s string")
+    got = [r.d for r in df.select(scalar.parse_date_prefix("s").alias("d")).collect()]
+    # the calendar date of the text, not shifted by the session time zone
+    assert got == [dt.date(2020, 1, 2), dt.date(2020, 12, 7)]
+
+
+def test_natural_log(spark):
+    df = spark.createDataFrame([(1,), (2136,)], "n long")
+    got = [round(r.l, 6) for r in df.select(scalar.natural_log("n").alias("l")).collect()]
+    assert got == [0.0, 7.666690]
+
+
+def test_latest_from_array_rules(spark):
+    schema = "id int, info array<struct<year:int, RFD:double>>"
+    rows = [
+        (1, [(2015, 70.0), (2017, 80.5), (2016, 75.0)]),  # unsorted
+        (2, [(2017, 60.0), (2017, 65.0)]),  # tie -> larger value
+        (3, []),  # empty -> null
+        (4, None),  # null -> null
+    ]
+    df = spark.createDataFrame(rows, schema)
+    got = {r.id: r.v for r in df.select("id", nested.latest_from_array("info").alias("v")).collect()}
+    assert got == {1: 80.5, 2: 65.0, 3: None, 4: None}
+    got2 = {r.id: r.v for r in df.select("id", nested.sorted_desc_first("info", "year", "RFD").alias("v")).collect()}
+    assert got2 == got
+
+
+def test_json_map_unwind_drops_null_and_empty(spark):
+    df = spark.createDataFrame(
+        [("a", '{"2015": 70.5, "2016": 80.0}'), ("b", "{}"), ("c", None)], "n string, j string"
+    )
+    m = df.select("n", nested.json_map("j").alias("m"))
+    flat = nested.unwind_map(m, "m", ["n"], "year", "v")
+    got = sorted((r.n, r.year, r.v) for r in flat.collect())
+    assert got == [("a", "2015", 70.5), ("a", "2016", 80.0)]
+    entries = m.select("n", nested.object_to_array("m").alias("e"))
+    assert nested.unwind(entries, "e", "x", ["n"]).count() == 2
+
+
+def test_field_and_json_field(spark):
+    df = spark.createDataFrame([('{"k": 3, "a": {"b": "x"}}',)], "j string")
+    r = df.select(nested.json_field("j", "$.a.b").alias("b"), F.from_json("j", "k int").alias("s")).select(
+        "b", nested.field("s", "k").alias("k")
+    ).first()
+    assert (r.b, r.k) == ("x", 3)

@@ -82,4 +82,4 @@ def sorted_desc_first(arr: str | Column, order_field: str, value_field: str) ->
         _col(arr),
         lambda e: F.struct(e.getField(order_field).alias("o"), e.getField(value_field).alias("v")),
     )
-    return F.element_at(F.sort_array(pairs, asc=False), 1).getField("v")
+    return F.try_element_at(F.sort_array(pairs, asc=False), F.lit(1)).getField("v")

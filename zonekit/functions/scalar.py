@@ -92,8 +92,8 @@ def composite_key(*parts: str | Column, sep: str = "-", escape: bool = True) ->
 
 
 def split_key(c: str | Column, index: int, sep: str = "-") -> Column:
-    """P10: 1-based part of a composite key."""
-    return F.element_at(F.split(_col(c), sep), index)
+    """P10: 1-based part of a composite key; null when the key has fewer parts."""
+    return F.try_element_at(F.split(_col(c), F.lit(sep)), F.lit(index))
 
 
 def safe_ratio(numerator: str | Column, denominator: str | Column) -> Column:

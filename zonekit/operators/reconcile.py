@@ -89,20 +89,20 @@ def strict_join(
     on: Sequence[str],
     max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
-    """J3 with ``strict``: inner join that fails the query when a row of
-    ``df`` has no partner (the reference raises ``KeyError``).
-
-    The check runs inside the same plan: a left join marks misses and
-    ``raise_error`` aborts the task that meets one; no separate count job.
+    """J3 with ``strict``: inner join that fails when a row of ``df`` has
+    no partner (the reference raises ``KeyError``).
+
+    The check is a left-anti join stopped at the first miss (``limit(1)``),
+    run before the join is returned.  A check inside the plan itself would
+    not be reliable: filters inferred from later joins may drop the missing
+    rows before the check sees them.  Call it on reduced inputs (e.g. one
+    row per zone), as ``kpi2b`` does.
     """
-    marker = "__zk_hit"
-    right = lookup.withColumn(marker, F.lit(True))
-    joined = df.join(checked_broadcast(right, max_rows), list(on), "left")
-    checked = joined.withColumn(
-        marker,
-        F.when(F.col(marker).isNull(), F.raise_error(F.lit("lookup has no entry for a row"))).otherwise(F.col(marker)),
-    )
-    return checked.filter(F.col(marker)).drop(marker)
+    right = checked_broadcast(lookup, max_rows)
+    miss = df.join(right.select(*on), list(on), "left_anti").limit(1).collect()
+    if miss:
+        raise KeyError(f"lookup has no entry for {miss[0].asDict()}")
+    return df.join(right, list(on), "inner")
 
 
 def join_on_reconciled(left: DataFrame, right: DataFrame, key: str = "neighborhood") -> DataFrame:

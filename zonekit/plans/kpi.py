@@ -16,7 +16,7 @@ from zonekit.functions.nested import latest_from_array
 from zonekit.functions.scalar import dash_free, safe_ratio, strip_quotes_commas
 from zonekit.operators.aggregate import daily_counts, finish_mean, mean_by, mean_of, partial_mean, per_calendar_day
 from zonekit.operators.clean import clean_listings, project
-from zonekit.operators.dedup import latest_by_key
+from zonekit.operators.dedup import latest_by_key, upsert_in_load_order
 from zonekit.operators.reconcile import apply_lookup, checked_broadcast, join_on_reconciled, strict_join
 
 # Occupancy column of the household table.
@@ -128,6 +128,7 @@ def kpi2b(
     states = strict_join(states, link, ["district", "neighborhood"]) if strict else states.join(
         checked_broadcast(link), ["district", "neighborhood"], "inner"
     )
+    income = upsert_in_load_order(income, ["Nom_Districte", "Nom_Barri", "Any"])
     yearly = income.filter(F.col("Any").isin(list(years))).select(
         F.col("Nom_Districte").alias("income_district"),
         F.col("Nom_Barri").alias("income_neighborhood"),

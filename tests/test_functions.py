@@ -102,3 +102,32 @@ def test_field_and_json_field(spark):
         "b", nested.field("s", "k").alias("k")
     ).first()
     assert (r.b, r.k) == ("x", 3)
+
+
+TRICKY = ["1", "+1", " 1 ", "\t2\n", "1.5", "1.", ".5", "1e3", "1E-2", "1d", "1f", "0x1p3", "0X1.8P1", "inf", "Infinity",
+          "-inf", "NaN", "-NaN", "1_000", "12abc", "", " ", "1-URGENT", "99999999999", "١٢", "--1", "+", "e5", "1e", ".", "0x"]
+
+
+def test_numeric_guard_same_as_try_cast(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    def compare(values):
+        df = spark.createDataFrame([(v,) for v in values], "s string")
+        for to in ("int", "bigint", "double", "float"):
+            rows = df.select(
+                scalar.numeric("s", to).alias("g"), scalar.numeric("s", to, guard=False).alias("p")
+            ).collect()
+            for r in rows:
+                same = (r.g == r.p) or (r.g != r.g and r.p != r.p)  # NaN == NaN here
+                assert same, (to, values, r)
+
+    compare(TRICKY)
+    alphabet = st.sampled_from(list("0123456789+-.eEdDfFxXpPaAnNiI \t_"))
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(st.text(alphabet, max_size=8), min_size=1, max_size=40))
+    def prop(values):
+        compare(values)
+
+    prop()

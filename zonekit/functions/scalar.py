@@ -57,10 +57,31 @@ def directory_date(strict: bool = False) -> Column:
     return date_from_name(parent_name(F.col("_metadata.file_path")), strict=strict)
 
 
-def numeric(c: str | Column, to: str = "double") -> Column:
-    """Cast text to a number; bad text becomes null instead of failing
-    (Spark 4 is ANSI, where a plain cast of ``''`` raises)."""
-    return _col(c).try_cast(to)
+# Text shapes Spark's cast can accept (supersets; whitespace = ASCII <= 0x20).
+_INTEGRAL = {"byte", "tinyint", "short", "smallint", "int", "integer", "long", "bigint"}
+_FLOATING = {"float", "real", "double"}
+INTEGRAL_TEXT = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+FLOATING_TEXT = (
+    r"(?i)^[\x00-\x20]*[+-]?(nan|inf|infinity|0x[0-9a-f]*\.?[0-9a-f]*(p[+-]?[0-9]+)?"
+    r"|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)[df]?[\x00-\x20]*$"
+)
+
+
+def numeric(c: str | Column, to: str = "double", guard: bool = True) -> Column:
+    """Cast *text* to a number; bad text becomes null instead of failing
+    (Spark 4 is ANSI, where a plain cast of ``''`` raises).
+
+    ``try_cast`` pays for an exception on every bad value (about 10x the
+    cost of a good one); with ``guard`` a cheap pattern test that accepts a
+    superset of the castable shapes sends only plausible text to the cast,
+    so results are the same and mostly-bad columns stay fast.  Use
+    ``guard=False`` for non-text input."""
+    col = _col(c)
+    t = to.lower()
+    pattern = INTEGRAL_TEXT if t in _INTEGRAL else FLOATING_TEXT if t in _FLOATING else None
+    if not guard or pattern is None:
+        return col.try_cast(to)
+    return F.when(col.rlike(pattern), col.try_cast(to))
 
 
 def as_text(c: str | Column) -> Column:

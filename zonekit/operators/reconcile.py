@@ -19,9 +19,37 @@ from zonekit.operators.dedup import latest_by_key
 BROADCAST_MAX_ROWS = 100_000
 
 
+_CHECKED: dict[tuple, bool] = {}
+_CHECKED_MAX = 4096
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Bounded size check: reads at most ``max_rows + 1`` rows.
+
+    The answer is remembered per application for the same semantic plan
+    over the same input files (Spark writers never reuse a part-file
+    name), so a lookup is counted once, not once per query.
+    ``clear_broadcast_checks()`` forgets the answers.
+    """
+    try:
+        key = (
+            df.sparkSession.sparkContext.applicationId,
+            df.semanticHash(),
+            tuple(sorted(df.inputFiles())),
+            max_rows,
+        )
+    except Exception:  # noqa: BLE001 - plans without a stable hash are simply not memoised
+        key = None
+    if key is not None and key in _CHECKED:
+        return _CHECKED[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None and len(_CHECKED) < _CHECKED_MAX:
+        _CHECKED[key] = ok
+    return ok
+
+
+def clear_broadcast_checks() -> None:
+    _CHECKED.clear()
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

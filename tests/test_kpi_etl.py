@@ -125,3 +125,23 @@ def test_etl2(spark, inputs):
     # append mode adds the rows again (K6)
     counts2 = etl.etl2(spark, inputs["income_docs"], inputs["occupancy"], inputs["lookups"]["dir"], out, mode="append")
     assert {r.table: r.rows for r in counts2.collect()}["inhabitants"] == 6
+
+
+def test_report(spark, inputs):
+    rent = readers.read_json_lines(spark, inputs["lookups"]["rent"], schemas.RENT_NAME_LOOKUP_SCHEMA)
+    inc_lk = readers.read_json_lines(spark, inputs["lookups"]["income"], schemas.INCOME_NAME_LOOKUP_SCHEMA)
+    docs = readers.read_json_lines(spark, inputs["income_docs"], schemas.INCOME_DOC_SCHEMA)
+    occ = readers.read_occupancy_csv(spark, inputs["occupancy"])
+    listings = readers.read_json_snapshots(spark, inputs["snapshots"])
+    out = os.path.join(inputs["root"], "kpis")
+    res = kpi.report(listings, rent, docs, inc_lk, occ, out)
+    summary = {r.metric: r.value for r in res["summary"].collect()}
+    assert summary["avg_per_sampled_day"] == 2.0
+    assert summary["avg_per_calendar_day"] == pytest.approx(4 / 151)
+    assert summary["corr_occupancy_income"] == pytest.approx(1.0)  # two points, both rising
+    back = readers.read_result_csv(spark, os.path.join(out, "kpi2"), schemas.KPI2_SCHEMA)
+    assert back.count() == 3
+    res["latest"].unpersist()
+    # lineage cut into spark.checkpoint.dir instead of a cache
+    res2 = kpi.report(listings, rent, docs, inc_lk, occ, cut_lineage=True)
+    assert res2["kpi1"].count() == 2

@@ -218,3 +218,12 @@ def test_keyed_access(spark):
     assert sorted(r.v for r in keyed.delete_keys(df, "key", keys).collect()) == [1, 4]
     assert keyed.zone_equals(df, "v", 3).count() == 1
     assert keyed.scan(df, ["v"]).columns == ["v"]
+
+
+def test_avg_map_values(spark):
+    df = spark.createDataFrame(
+        [("D", "N", {"2015": 70.0, "2016": 80.0}), ("D", "N", {"2017": 90.0}), ("D", "M", {}), ("E", "X", None)],
+        "district string, neighborhood string, rfd map<string,double>",
+    )
+    got = {(r.district, r.neighborhood): r.rfd for r in aggregate.avg_map_values(df, ["district", "neighborhood"], "rfd", "rfd").collect()}
+    assert got == {("D", "N"): 80.0}  # empty and null maps are dropped by the unwind

@@ -151,3 +151,12 @@ def table_counts(tables: dict[str, DataFrame], name_col: str = "t", count_col: s
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def avg_map_values(df: DataFrame, keys: Sequence[str], map_col: str | Column, name: str = "avg") -> DataFrame:
+    """Object -> array of entries (X1) -> one row per entry (X2) ->
+    mean of the values per group.  Null and empty maps give no entry.
+    Partial aggregation runs right after the explode, in the same task."""
+    m = F.col(map_col) if isinstance(map_col, str) else map_col
+    entries = df.select(*keys, F.explode(F.map_entries(m)).alias("__zk_e"))
+    return entries.groupBy(*keys).agg(F.avg(F.col("__zk_e.value")).alias(name))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from zonekit.functions.nested import latest_from_array
 from zonekit.functions.scalar import dash_free, safe_ratio, strip_quotes_commas
-from zonekit.operators.aggregate import daily_counts, finish_mean, mean_by, mean_of, partial_mean, per_calendar_day
+from zonekit.operators.aggregate import daily_counts, mean_by, mean_of, partial_mean, per_calendar_day
 from zonekit.operators.clean import clean_listings, project
 from zonekit.operators.dedup import latest_by_key, upsert_in_load_order
 from zonekit.operators.reconcile import apply_lookup, checked_broadcast, join_on_reconciled, strict_join
@@ -143,6 +143,47 @@ def kpi2b(
     ).agg(safe_ratio(F.sum("__zk_sum") / F.sum("__zk_n"), F.max("rfd")).alias("ratio"))
 
 
+def report(
+    listings: DataFrame,
+    rent_lookup: DataFrame,
+    income_docs: DataFrame,
+    income_lookup: DataFrame,
+    occupancy: DataFrame,
+    out_dir: str | None = None,
+    cut_lineage: bool = False,
+) -> dict[str, DataFrame]:
+    """The analysis run: KPI1, KPI2, KPI3 and their summary figures.
+
+    The latest listings and the reconciled income are read by several
+    KPIs, so they are kept (S12: persisted, or checkpointed into
+    ``spark.checkpoint.dir`` with ``cut_lineage``).  With ``out_dir`` each
+    KPI table is written as one CSV with a header (K7).  The caller may
+    ``unpersist`` the ``latest`` frame afterwards.
+    """
+    from zonekit.session import reuse
+    from zonekit.sinks.writers import write_single_csv
+
+    latest = reuse(latest_listings(listings), cut_lineage)
+    k1 = kpi1(latest)
+    k2 = kpi2(latest, rent_lookup, income_docs, income_lookup)
+    k3 = kpi3(occupancy, income_docs, income_lookup)
+    parts = [
+        kpi1_average(latest).select(F.lit("avg_per_sampled_day").alias("metric"), F.col("avg_per_sampled_day").alias("value")),
+        kpi1b(latest).select(F.lit("avg_per_calendar_day").alias("metric"), F.col("avg_per_calendar_day").alias("value")),
+        price_income_correlation(k2).select(F.lit("corr_price_income").alias("metric"), F.col("r").alias("value")),
+        price_income_correlation(k3, "inhabitants_family").select(
+            F.lit("corr_occupancy_income").alias("metric"), F.col("r").alias("value")
+        ),
+    ]
+    summary = parts[0]
+    for p in parts[1:]:
+        summary = summary.unionByName(p)
+    if out_dir is not None:
+        for name, df in (("kpi1", k1), ("kpi2", k2), ("kpi3", k3)):
+            write_single_csv(df, f"{out_dir.rstrip('/')}/{name}")
+    return {"latest": latest, "kpi1": k1, "kpi2": k2, "kpi3": k3, "summary": summary}
+
+
 def price_income_correlation(kpi: DataFrame, value: str = "mean_price", income: str = "rfd") -> DataFrame:
     """A16 over a KPI table."""
     return kpi.agg(F.corr(value, income).alias("r"))
@@ -159,5 +200,5 @@ __all__ = [
     "latest_income",
     "income_reconciled",
     "price_income_correlation",
-    "finish_mean",
+    "report",
 ]

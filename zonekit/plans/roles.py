@@ -284,9 +284,8 @@ def corr_matrix(spark: SparkSession, d: str) -> DataFrame:
 def map_unwind_avg(spark: SparkSession, d: str) -> DataFrame:
     """X1 + X2 + A11 + P14: JSON object -> map -> entries -> explode -> avg."""
     ev = table(spark, d, "events").select("event_type", "user_id", nested.json_map("props").alias("m"))
-    entries = ev.select("event_type", "user_id", nested.object_to_array("m").alias("kv"))
-    flat = nested.unwind(entries, "kv", "e", ["event_type", "user_id"])
-    return flat.groupBy("event_type", "user_id").agg(F.round(F.avg(F.col("e.value")), 4).alias("v"))
+    out = aggregate.avg_map_values(ev, ["event_type", "user_id"], "m", "v")
+    return out.select("event_type", "user_id", F.round("v", 4).alias("v"))
 
 
 def avg_nested(spark: SparkSession, d: str) -> DataFrame:

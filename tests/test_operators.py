@@ -227,3 +227,20 @@ def test_avg_map_values(spark):
     )
     got = {(r.district, r.neighborhood): r.rfd for r in aggregate.avg_map_values(df, ["district", "neighborhood"], "rfd", "rfd").collect()}
     assert got == {("D", "N"): 80.0}  # empty and null maps are dropped by the unwind
+
+
+def test_latest_by_key_forms_agree(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = [
+        (rnd.randint(0, 30), rnd.choice([None, D(2020, 1, rnd.randint(1, 5))]), rnd.randint(0, 3), float(i))
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "k int, date date, t int, v double")
+    a = dedup.latest_by_key(df, ["k"], ["date", "t", "v"])
+    b = dedup.latest_by_key_window(df, ["k"], ["date", "t", "v"])
+    assert a.columns == df.columns
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    keys_only = dedup.latest_by_key(df.select("k", "v"), ["k", "v"], ["v"])
+    assert keys_only.count() == df.select("k", "v").distinct().count()

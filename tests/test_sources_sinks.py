@@ -73,8 +73,14 @@ def test_write_read_back(spark, tmp_dir):
     assert sorted((r.date, r.listings_count) for r in back.collect()) == [("2020-01-02", 2), ("2020-06-01", 2)]
     jpath = os.path.join(tmp_dir, "json")
     writers.write(df, jpath, fmt="json")
-    first = json.loads(open(os.path.join(jpath, [p for p in os.listdir(jpath) if p.endswith(".json")][0])).readline())
-    assert set(first) == {"date", "listings_count"}
+    lines = [
+        json.loads(line)
+        for p in os.listdir(jpath)
+        if p.endswith(".json")
+        for line in open(os.path.join(jpath, p))
+        if line.strip()
+    ]
+    assert len(lines) == 2 and set(lines[0]) == {"date", "listings_count"}
     ppath = os.path.join(tmp_dir, "pq")
     writers.write(df, ppath)
     writers.write(df, ppath, mode="append")  # K6

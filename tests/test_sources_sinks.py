@@ -110,3 +110,18 @@ def test_save_and_drop_table(spark):
     assert spark.table("zk_test_table").count() == 1
     writers.drop_table(spark, "zk_test_table")
     assert "zk_test_table" not in {t.name for t in spark.catalog.listTables()}
+
+
+def test_file_and_directory_date_columns(spark, tmp_dir):
+    from zonekit.functions import scalar
+
+    d = fx.write_snapshots(tmp_dir)
+    df = spark.read.schema(schemas.LISTING_SCHEMA).option("multiLine", True).option("pathGlobFilter", "*.json").json(d)
+    dates = sorted({r.d for r in df.select(scalar.file_name_date().alias("d")).collect()})
+    assert dates == [D(2020, 1, 2), D(2020, 6, 1), D(2021, 1, 1)]
+    root = os.path.join(tmp_dir, "pq2")
+    spark.createDataFrame([("k",)], "propertyCode string").write.parquet(os.path.join(root, "2020_03_04_x"))
+    got = spark.read.parquet(os.path.join(root, "*")).select(scalar.directory_date().alias("d")).first().d
+    assert got == D(2020, 3, 4)
+    files = [r.path for r in readers.list_files(spark, d, "*.json").collect()]
+    assert len(files) == 4

@@ -68,3 +68,11 @@ def _same(u, v):
         diff = abs(u - v)
         return any(abs(diff - 10.0**-d) <= 1e-9 * max(1.0, abs(u)) for d in (4, 6))
     return False
+
+
+def test_declared_schemas_match_files(spark):
+    from zonekit.sources.schemas import DRIVER_TABLES
+
+    for name, schema in DRIVER_TABLES.items():
+        inferred = spark.read.parquet(f"{SF}/{name}.parquet").schema
+        assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in schema], name

@@ -22,11 +22,15 @@ from pyspark.sql import functions as F
 
 from zonekit.functions import nested, scalar
 from zonekit.operators import aggregate, clean, dedup, keyed, reconcile, stats
-from zonekit.sources import readers
+from zonekit.sources import readers, schemas
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's tables, read with its declared schema (no footer
+    inference on the driver; unknown tables fall back to inference)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = schemas.DRIVER_TABLES.get(name)
+    return spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
 
 
 def geo(spark: SparkSession, d: str) -> DataFrame:

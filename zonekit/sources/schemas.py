@@ -137,3 +137,50 @@ LISTING_RFD_MAP_SCHEMA = T.StructType(
 KPI1_SCHEMA = T.StructType([_f("date", S), _f("listings_count", L)])
 KPI2_SCHEMA = T.StructType([_f("neighborhood", S), _f("mean_price", D), _f("rfd", D)])
 KPI3_SCHEMA = T.StructType([_f("neighborhood", S), _f("inhabitants_family", D), _f("rfd", D)])
+
+
+# The driver's synthetic tables (types as stored; the
+# timestamps carry no zone, so they are timestamp_ntz).
+DRIVER_TABLES: dict[str, T.StructType] = {
+    "region": T.StructType([_f("r_regionkey", I), _f("r_name", S)]),
+    "nation": T.StructType([_f("n_nationkey", I), _f("n_name", S), _f("n_regionkey", I)]),
+    "customer": T.StructType(
+        [_f("c_custkey", L), _f("c_name", S), _f("c_nationkey", I), _f("c_acctbal", D), _f("c_mktsegment", S)]
+    ),
+    "supplier": T.StructType([_f("s_suppkey", L), _f("s_name", S), _f("s_nationkey", I), _f("s_acctbal", D)]),
+    "orders": T.StructType(
+        [
+            _f("o_orderkey", L),
+            _f("o_custkey", L),
+            _f("o_orderstatus", S),
+            _f("o_totalprice", D),
+            _f("o_orderdate", T.TimestampNTZType()),
+            _f("o_orderpriority", S),
+        ]
+    ),
+    "lineitem": T.StructType(
+        [
+            _f("l_orderkey", L),
+            _f("l_partkey", L),
+            _f("l_suppkey", L),
+            _f("l_linenumber", I),
+            _f("l_quantity", D),
+            _f("l_extendedprice", D),
+            _f("l_discount", D),
+            _f("l_tax", D),
+            _f("l_returnflag", S),
+            _f("l_linestatus", S),
+            _f("l_shipdate", T.TimestampNTZType()),
+        ]
+    ),
+    "events": T.StructType(
+        [
+            _f("event_id", L),
+            _f("ts", T.TimestampNTZType()),
+            _f("user_id", L),
+            _f("event_type", S),
+            _f("value", D),
+            _f("props", S),
+        ]
+    ),
+}

@@ -109,7 +109,8 @@ def latest_by_key(spark: SparkSession, d: str) -> DataFrame:
 
 def upsert_by_key(spark: SparkSession, d: str) -> DataFrame:
     """A3 / S3 / K9 put: last write (greatest order key) per (key, year)."""
-    o = listings(spark, d).select("o_custkey", scalar.year_of("o_orderdate").alias("yr"), "o_orderkey", "o_totalprice")
+    yr = scalar.year_of("o_orderdate").cast("bigint").alias("yr")  # SQL year() is a bigint
+    o = listings(spark, d).select("o_custkey", yr, "o_orderkey", "o_totalprice")
     return dedup.latest_by_key(o, ["o_custkey", "yr"], ["o_orderkey"]).select("o_custkey", "yr", "o_totalprice")
 
 
@@ -240,7 +241,10 @@ def zone_ratio_by_year(spark: SparkSession, d: str, years: tuple[int, ...] = (19
     state_cols = ["s", "n"] + [f"{k}{y}" for y in years for k in ("s", "n")]
     z = zoned.groupBy("zone").agg(*[F.sum(c).alias(c) for c in state_cols])
     per_year = F.array(
-        *[F.struct(F.lit(y).alias("yr"), (F.col(f"s{y}") / F.col(f"n{y}")).alias("b"), F.col(f"n{y}").alias("nb")) for y in years]
+        *[
+            F.struct(F.lit(y).cast("bigint").alias("yr"), (F.col(f"s{y}") / F.col(f"n{y}")).alias("b"), F.col(f"n{y}").alias("nb"))
+            for y in years
+        ]
     )
     rows = z.select("zone", (F.col("s") / F.col("n")).alias("p"), F.inline(per_year)).filter(F.col("nb") > 0)
     return rows.select("zone", "yr", F.round(scalar.safe_ratio("p", "b"), 6).alias("ratio"))

@@ -1,0 +1,76 @@
+"""Operators against brute-force Python on random small inputs."""
+
+import datetime as dt
+from collections import defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from zonekit.operators import aggregate, dedup, reconcile
+
+D = dt.date
+SETTINGS = settings(max_examples=12, deadline=None)
+
+rows_st = st.lists(
+    st.tuples(
+        st.integers(0, 6),  # key
+        st.one_of(st.none(), st.integers(1, 4).map(lambda d: D(2020, 1, d))),  # date, may be null
+        st.integers(0, 3),  # tie-break
+        st.one_of(st.none(), st.floats(0, 1000, allow_nan=False).map(lambda x: round(x, 2))),  # price
+    ),
+    min_size=0,
+    max_size=60,
+)
+
+
+def _desc_nulls_last(v):
+    return (v is not None, v if v is not None else 0)
+
+
+@SETTINGS
+@given(rows_st)
+def test_latest_by_key_brute_force(spark, rows):
+    # make the order total: (date, tie, position) so the winner is unique
+    rows = [(k, d, t, p, i) for i, (k, d, t, p) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "k int, date date, t int, price double, pos int")
+    got = {r.k: r.pos for r in dedup.latest_by_key(df, ["k"], ["date", "t", "pos"]).collect()}
+    want = {}
+    for k, d, t, p, i in rows:
+        key = (_desc_nulls_last(d), t, i)
+        if k not in want or key > want[k][0]:
+            want[k] = (key, i)
+    assert got == {k: v[1] for k, v in want.items()}
+
+
+@SETTINGS
+@given(rows_st, st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["a", "b", "c"])), max_size=8, unique_by=lambda x: x[0]))
+def test_mean_through_brute_force(spark, rows, mapping):
+    facts = spark.createDataFrame([(k, p) for k, _, _, p in rows], "k int, price double")
+    m = spark.createDataFrame(mapping, "mk int, zone string")
+    got = {r.zone: r.mean for r in aggregate.mean_through(facts, "k", "price", m, "mk", ["zone"]).collect()}
+    zone_of = dict(mapping)
+    acc = defaultdict(list)
+    for k, _, _, p in rows:
+        if k in zone_of:
+            acc[zone_of[k]].append(p)
+    want = {}
+    for z, ps in acc.items():
+        vals = [p for p in ps if p is not None]
+        want[z] = sum(vals) / len(vals) if vals else None
+    assert set(got) == set(want)
+    for z in want:
+        assert (got[z] is None and want[z] is None) or got[z] == pytest.approx(want[z], rel=1e-12)
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.sampled_from(["x", "y", "z", None]), st.integers(0, 9)), max_size=20),
+    st.lists(st.tuples(st.sampled_from(["x", "y", "w"]), st.sampled_from(["X", "Y", "W2"])), max_size=5),
+)
+def test_apply_lookup_brute_force(spark, data, lookup):
+    df = spark.createDataFrame(data, "name string, v int")
+    lk = spark.createDataFrame(lookup, "raw string, re string")
+    got = sorted((r.out, r.v) for r in reconcile.apply_lookup(df, lk, "name", "re", "out", lookup_raw="raw").collect())
+    want = sorted((re, v) for name, v in data for raw, re in lookup if name is not None and name == raw)
+    assert got == want

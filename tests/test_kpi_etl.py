@@ -145,3 +145,28 @@ def test_report(spark, inputs):
     # lineage cut into spark.checkpoint.dir instead of a cache
     res2 = kpi.report(listings, rent, docs, inc_lk, occ, cut_lineage=True)
     assert res2["kpi1"].count() == 2
+
+
+def test_command_line(spark, inputs):
+    from zonekit.__main__ import main
+
+    out = os.path.join(inputs["root"], "cli")
+    main([
+        "report",
+        "--listings", inputs["snapshots"],
+        "--rent-lookup", inputs["lookups"]["rent"],
+        "--income-docs", inputs["income_docs"],
+        "--income-lookup", inputs["lookups"]["income"],
+        "--occupancy", inputs["occupancy"],
+        "--out", out,
+    ])
+    assert readers.read_result_csv(spark, os.path.join(out, "kpi1"), schemas.KPI1_SCHEMA).count() == 2
+    main([
+        "etl1",
+        "--listings", inputs["snapshots"],
+        "--income", inputs["income_csv"],
+        "--listing-lookup", inputs["pair_listing"],
+        "--income-lookup", inputs["pair_income"],
+        "--out", os.path.join(inputs["root"], "cli_store"),
+    ])
+    assert spark.read.parquet(os.path.join(inputs["root"], "cli_store", "housing")).count() == 4

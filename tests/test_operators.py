@@ -262,3 +262,18 @@ def test_with_constant_and_date_range(spark):
     assert (r.min_date, r.max_date) == (D(2020, 1, 2), D(2021, 3, 9))
     empty = aggregate.per_calendar_day(spark.createDataFrame([], "date date")).first()
     assert empty.per_day is None
+
+
+def test_first_by_key_matches_window(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(3)
+    rows = [(rnd.randint(0, 20), rnd.choice([None, "a", "b", "c"]), rnd.choice([None, 1, 2]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, name string, n int, pos int")
+    order = ["name", "n", "pos"]
+    a = dedup.first_by_key(df, ["k"], order)
+    b = dedup.latest_by_key_window(df, ["k"], [F.col(o).asc_nulls_last() for o in order])
+    assert a.columns == df.columns
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)

@@ -53,6 +53,18 @@ def latest_by_key(
     return latest_by_key_window(df, keys, order_by)
 
 
+def first_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per ``keys``: the smallest by ``order_by`` (each column
+    ascending, nulls last).  ``min_by`` over ``struct(isnull(c), c)`` pairs:
+    ``false`` sorts before ``true``, so non-null values come first."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.select(*keys).distinct()
+    order = F.struct(*[F.struct(F.col(o).isNull(), F.col(o)) for o in order_by])
+    best = F.min_by(F.struct(*[F.col(c) for c in rest]), order)
+    return df.groupBy(*keys).agg(best.alias(_RN)).select(*keys, f"{_RN}.*").select(*df.columns)
+
+
 def latest_by_key_window(
     df: DataFrame,
     keys: Sequence[str],

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonekit.operators.dedup import latest_by_key
+from zonekit.operators.dedup import first_by_key
 
 # Fixed value: largest lookup broadcast without a runtime decision.
 BROADCAST_MAX_ROWS = 100_000
@@ -88,16 +88,15 @@ def link_lookups(
     left: DataFrame,
     right: DataFrame,
     ids: Sequence[str],
-    right_order: Sequence[str | Column] | None = None,
+    right_order: Sequence[str] | None = None,
     max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Pair each entry of ``left`` with the entry of ``right`` that has
     the same id pair.  If ``right`` holds several entries with one id
-    pair, the first by ``right_order`` (ascending) wins.  Entries without a
-    partner are left out (see ``unlinked``)."""
-    order = right_order or [c for c in right.columns if c not in ids]
-    order_cols = [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
-    first = latest_by_key(right, list(ids), order_cols)
+    pair, the first by ``right_order`` (ascending, nulls last) wins.
+    Entries without a partner are left out (see ``unlinked``)."""
+    order = list(right_order or [c for c in right.columns if c not in ids])
+    first = first_by_key(right, list(ids), order)
     return left.join(checked_broadcast(first, max_rows), list(ids), "inner")
 
 

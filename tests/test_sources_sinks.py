@@ -30,6 +30,8 @@ def test_parquet_snapshots_with_drift(spark, tmp_dir):
     b = spark.createDataFrame([("k2", 20.0, "N", "Barcelona")], "propertyCode string, price double, neighborhood string, municipality string")
     a.write.parquet(os.path.join(root, "2020_01_02_listings"))
     b.write.parquet(os.path.join(root, "2020_02_01_listings"))  # lacks district
+    with open(os.path.join(root, "README.org"), "w") as fp:  # loose file: not a snapshot
+        fp.write("* notes")
     df = readers.read_parquet_snapshots(spark, root)
     got = sorted((r.propertyCode, r.date, r.district) for r in df.collect())
     assert got == [("k1", D(2020, 1, 2), "D"), ("k2", D(2020, 2, 1), None)]

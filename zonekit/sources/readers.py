@@ -45,13 +45,16 @@ def read_parquet_snapshots(
     schema: T.StructType = schemas.LISTING_SCHEMA,
     date_col: str = "date",
     strict_dates: bool = False,
-    pattern: str = "*",
+    pattern: str = "*/*",
 ) -> DataFrame:
-    """S4 + U1 + F3: one Parquet directory per date under ``root``.
+    """S4 + U1 + F3 + F4: one Parquet directory per date under ``root``.
 
     One scan over ``root/<pattern>`` with the full schema: a snapshot
     lacking a column yields nulls there (then F1 drops such rows, which
-    equals skipping the snapshot).  The date comes from the directory name.
+    equals skipping the snapshot).  The default pattern takes only files
+    inside sub-directories, so loose files next to the snapshots (notes,
+    a README) are not read; Spark itself skips ``_``/``.`` files such as
+    ``_SUCCESS``.  The date comes from the directory name.
     """
     df = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{pattern}")
     return df.withColumn(date_col, date_from_name(parent_name(F.col("_metadata.file_path")), strict=strict_dates))

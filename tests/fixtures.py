@@ -131,6 +131,7 @@ INCOME_DOCS = [
     {"neigh_name": "Fort Pienc", "info": [{"year": 2017, "RFD": 106.5}, {"year": 2015, "RFD": 100.0}]},
     {"neigh_name": "Horta", "info": [{"year": 2016, "RFD": 90.0}, {"year": 2016, "RFD": 95.0}]},  # tie
     {"neigh_name": "Vallvidrera", "info": []},
+    {"neigh_name": "Les Corts", "info": None},
 ]
 
 

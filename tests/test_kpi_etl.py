@@ -116,7 +116,7 @@ def test_etl2(spark, inputs):
     counts = etl.etl2(spark, inputs["income_docs"], inputs["occupancy"], inputs["lookups"]["dir"], out)
     got = {r.table: r.rows for r in counts.collect()}
     assert got == {
-        "income": 4,
+        "income": 5,
         "inhabitants": 3,
         "income_lookup_district": 1,
         "income_lookup_neighborhood": 4,
@@ -170,3 +170,41 @@ def test_command_line(spark, inputs):
         "--out", os.path.join(inputs["root"], "cli_store"),
     ])
     assert spark.read.parquet(os.path.join(inputs["root"], "cli_store", "housing")).count() == 4
+
+
+def test_latest_income_null_and_empty(spark, inputs):
+    docs = readers.read_json_lines(spark, inputs["income_docs"], schemas.INCOME_DOC_SCHEMA)
+    got = {r.neigh_name: r.rfd for r in kpi.latest_income(docs).collect()}
+    assert got == {"el Poble-sec": 78.0, "Fort Pienc": 106.5, "Horta": 95.0, "Vallvidrera": None, "Les Corts": None}
+
+
+def test_same_key_twice_on_one_date(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "tie")
+    os.makedirs(d)
+    rows = [
+        fx.listing("t1", "Barcelona", "Eixample", "Fort Pienc", 100.0),
+        fx.listing("t1", "Barcelona", "Eixample", "Fort Pienc", 150.0),
+    ]
+    with open(os.path.join(d, "2020_05_05_listings.json"), "w") as fp:
+        import json
+
+        json.dump(rows, fp)
+    latest = kpi.latest_listings(readers.read_json_snapshots(spark, d))
+    # stated tie rule: equal dates -> the larger price (tie_break) wins
+    assert [(r.propertyCode, r.price) for r in latest.collect()] == [("t1", 150.0)]
+
+
+def test_kpi2_fan_out_of_reconciled_names(spark):
+    latest = spark.createDataFrame(
+        [("Poble Sec", 100.0), ("El Poble Sec", 300.0)], "neighborhood string, price double"
+    )
+    rent = spark.createDataFrame(
+        [("Poble Sec", "el Poble Sec"), ("El Poble Sec", "el Poble Sec")], "ne string, ne_re string"
+    )
+    docs = spark.createDataFrame([("el Poble-sec", [(2017, 78.0)])], "neigh_name string, info array<struct<year:int, RFD:double>>")
+    inc_lk = spark.createDataFrame(
+        [("el Poble-sec", "el Poble Sec")], "neighborhood string, neighborhood_reconciled string"
+    )
+    got = sorted(tuple(r) for r in kpi.kpi2(latest, rent, docs, inc_lk).collect())
+    # two raw names, one reconciled name: one row per raw mean, not re-combined
+    assert got == [("el Poble Sec", 100.0, 78.0), ("el Poble Sec", 300.0, 78.0)]

@@ -120,6 +120,9 @@ def test_strict_join(spark):
 def test_checked_broadcast_bound(spark):
     df = spark.range(10)
     assert reconcile.fits_broadcast(df, 10) and not reconcile.fits_broadcast(df, 9)
+    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) as `odd name`")
+    assert reconcile.fits_broadcast(wide, 10, max_bytes=20_000)
+    assert not reconcile.fits_broadcast(wide, 10, max_bytes=5_000)  # few rows, too many bytes
 
 
 # -------------------------------------------------------------- aggregate

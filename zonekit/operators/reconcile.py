@@ -15,20 +15,23 @@ from pyspark.sql import functions as F
 
 from zonekit.operators.dedup import first_by_key
 
-# Fixed value: largest lookup broadcast without a runtime decision.
+# Largest lookup broadcast without a runtime decision.
 BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 _CHECKED: dict[tuple, bool] = {}
 _CHECKED_MAX = 4096
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Bounded size check: one job over at most ``max_rows + 1`` rows that
+    counts them and measures their size (JSON length plus 8 bytes per
+    field, close to Spark's row size for short values).
 
     The answer is remembered per application for the same semantic plan
     over the same input files (Spark writers never reuse a part-file
-    name), so a lookup is counted once, not once per query.
+    name), so a lookup is measured once, not once per query.
     ``clear_broadcast_checks()`` forgets the answers.
     """
     try:
@@ -37,12 +40,20 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
             df.semanticHash(),
             tuple(sorted(df.inputFiles())),
             max_rows,
+            max_bytes,
         )
     except Exception:  # noqa: BLE001 - plans without a stable hash are simply not memoised
         key = None
     if key is not None and key in _CHECKED:
         return _CHECKED[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    width = 8 * len(df.columns)
+    probe = (
+        df.limit(max_rows + 1)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(row)) + width).alias("b"))
+        .first()
+    )
+    ok = probe.n <= max_rows and (probe.b or 0) <= max_bytes
     if key is not None and len(_CHECKED) < _CHECKED_MAX:
         _CHECKED[key] = ok
     return ok
@@ -53,8 +64,9 @@ def clear_broadcast_checks() -> None:
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for a side whose row count is proven <= ``max_rows``;
-    otherwise the frame is returned unchanged (shuffle join / AQE)."""
+    """Broadcast hint for a side proven to hold at most ``max_rows`` rows
+    and ``BROADCAST_MAX_BYTES`` bytes; otherwise the frame is returned
+    unchanged (shuffle join, which AQE may still convert from runtime sizes)."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 

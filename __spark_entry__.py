@@ -35,6 +35,12 @@ _Z = (
     "join region r on n.n_regionkey=r.r_regionkey"
 )
 
+# KPI1 on the deduplicated listings (latest per key), our addition to §7.4.
+_LATEST = (
+    "select * from (select *, row_number() over (partition by o_custkey "
+    "order by o_orderdate desc, o_orderkey desc) rn from orders) where rn=1"
+)
+
 ORACLE_SQL: dict[str, str] = {
     'snapshot_union': "select event_id, event_type, value from events where event_type='purchase' union all select event_id, event_type, null from events where event_type='view'",
     'required_filter': "select event_id, user_id from events where event_type='purchase' and json_extract_string(props,'$.k') is not null and user_id is not null",
@@ -68,6 +74,12 @@ ORACLE_SQL: dict[str, str] = {
     'table_counts': "select 'orders' t, count(*) n from orders union all select 'customer', count(*) from customer union all select 'events', count(*) from events",
     'head_rows': 'select c_custkey, c_name from customer order by c_custkey limit 5',
     'family_table': "select o_orderkey, o_orderpriority, cast(o_totalprice as varchar) price, strftime(o_orderdate,'%Y-%m-%d') d from orders",
+    "kpi1_daily": f"select cast(o_orderdate as date) date, count(*) listings_count from ({_LATEST}) group by 1 order by 1",
+    "kpi1_summary": (
+        f"with l as ({_LATEST}), c as (select cast(o_orderdate as date) date, count(*) n from l group by 1) "
+        "select round(avg(n),4) avg_per_sampled_day, "
+        "round(sum(n)/nullif(date_diff('day', min(date), max(date)),0),4) avg_per_calendar_day from c"
+    ),
 }
 
 

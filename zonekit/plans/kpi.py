@@ -46,6 +46,17 @@ def kpi1_average(latest: DataFrame, date_col: str = "date") -> DataFrame:
     return mean_of(daily_counts(latest, date_col, sort=False), "listings_count", "avg_per_sampled_day")
 
 
+def kpi1_summary(latest: DataFrame, date_col: str = "date") -> DataFrame:
+    """KPI1 and KPI1b in one pass over the daily counts: mean listings per
+    sampled date and listings per calendar day of the period (null for a
+    single date).  The daily counts are tiny, so this adds one small stage."""
+    counts = daily_counts(latest, date_col, "date", "listings_count", sort=False)
+    return counts.agg(
+        F.avg("listings_count").alias("avg_per_sampled_day"),
+        safe_ratio(F.sum("listings_count"), F.datediff(F.max("date"), F.min("date"))).alias("avg_per_calendar_day"),
+    )
+
+
 def kpi1b(latest: DataFrame, date_col: str = "date") -> DataFrame:
     """KPI1b (A6): listings per calendar day of the period."""
     return per_calendar_day(latest, date_col, "avg_per_calendar_day")
@@ -194,6 +205,7 @@ __all__ = [
     "kpi1",
     "kpi1_average",
     "kpi1b",
+    "kpi1_summary",
     "kpi2",
     "kpi2b",
     "kpi3",

@@ -275,6 +275,28 @@ def zone_income(spark: SparkSession, d: str) -> DataFrame:
     return aggregate.mean_by(j, ["n_name"], "c_acctbal", "inc").withColumnRenamed("n_name", "zone")
 
 
+def latest_listings(spark: SparkSession, d: str) -> DataFrame:
+    """A2 on the role mapping: the latest listing per key, with its date."""
+    o = listings(spark, d).select("o_custkey", "o_orderkey", "o_orderdate")
+    latest = dedup.latest_by_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return latest.select(scalar.calendar_date("o_orderdate").alias("date"))
+
+
+def kpi1_daily(spark: SparkSession, d: str) -> DataFrame:
+    """KPI1: latest listing per key (A2) -> listings per date (A4, O1)."""
+    from zonekit.plans import kpi
+
+    return kpi.kpi1(latest_listings(spark, d))
+
+
+def kpi1_summary(spark: SparkSession, d: str) -> DataFrame:
+    """KPI1 + KPI1b scalars (A5, A6) on the deduplicated listings."""
+    from zonekit.plans import kpi
+
+    s = kpi.kpi1_summary(latest_listings(spark, d))
+    return s.select(*[F.round(c, 4).alias(c) for c in s.columns])
+
+
 def kpi_occupancy_income(spark: SparkSession, d: str) -> DataFrame:
     """KPI3 shape (J7, J8): occupancy and income per zone."""
     s = table(spark, d, "supplier").select("s_nationkey", "s_acctbal")
@@ -387,6 +409,8 @@ QUERIES = {
     "zone_ratio_by_year": zone_ratio_by_year,
     "kpi_price_income": kpi_price_income,
     "kpi_occupancy_income": kpi_occupancy_income,
+    "kpi1_daily": kpi1_daily,
+    "kpi1_summary": kpi1_summary,
     "corr_pair": corr_pair,
     "corr_matrix": corr_matrix,
     "map_unwind_avg": map_unwind_avg,

@@ -74,6 +74,18 @@ ORACLE_SQL: dict[str, str] = {
     'table_counts': "select 'orders' t, count(*) n from orders union all select 'customer', count(*) from customer union all select 'events', count(*) from events",
     'head_rows': 'select c_custkey, c_name from customer order by c_custkey limit 5',
     'family_table': "select o_orderkey, o_orderpriority, cast(o_totalprice as varchar) price, strftime(o_orderdate,'%Y-%m-%d') d from orders",
+    "kpi2_correlation": (
+        "with p as (select zone, avg(o_totalprice) mean_price from (select *, row_number() over (partition by o_custkey "
+        "order by o_orderdate desc, o_orderkey desc) rn from ({Z})) where rn=1 group by zone), "
+        "i as (select n_name zone, avg(c_acctbal) inc from customer join nation on c_nationkey=n_nationkey group by 1), "
+        "l as (select n_name zone, lower(n_name) re from nation where n_nationkey%4<>0) "
+        "select round(corr(mean_price, inc),6) r from p join l using (zone) join i using (zone)"
+    ).format(Z=_Z),
+    "kpi3_correlation": (
+        "with s as (select n_name zone, avg(s_acctbal) occ from supplier join nation on s_nationkey=n_nationkey group by 1), "
+        "i as (select n_name zone, avg(c_acctbal) inc from customer join nation on c_nationkey=n_nationkey group by 1) "
+        "select round(corr(occ, inc),6) r from s join i using (zone)"
+    ),
     "kpi1_daily": f"select cast(o_orderdate as date) date, count(*) listings_count from ({_LATEST}) group by 1 order by 1",
     "kpi1_summary": (
         f"with l as ({_LATEST}), c as (select cast(o_orderdate as date) date, count(*) n from l group by 1) "

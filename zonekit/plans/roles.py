@@ -250,20 +250,25 @@ def zone_ratio_by_year(spark: SparkSession, d: str, years: tuple[int, ...] = (19
     return rows.select("zone", "yr", F.round(scalar.safe_ratio("p", "b"), 6).alias("ratio"))
 
 
-def kpi_price_income(spark: SparkSession, d: str) -> DataFrame:
-    """KPI2 shape: latest listing per key (A2) -> mean price per zone
-    -> name lookup (J4, P6) -> join zone income (J6) -> named columns (P7)."""
+def price_income(spark: SparkSession, d: str) -> DataFrame:
+    """KPI2 shape, unrounded: latest listing per key (A2) -> mean price per
+    zone (A7) -> name lookup (J4, P6) -> join zone income (J6)."""
     o = listings(spark, d).select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     latest = dedup.latest_by_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
     price = aggregate.mean_through(latest, "o_custkey", "o_totalprice", customer_zone(spark, d), "c_custkey", ["zone"], "mean_price")
     income = zone_income(spark, d)
     p = reconcile.apply_lookup(price, zone_lookup(spark, d), "zone", "re", "re", lookup_raw="n_name", keep_raw=True)
-    j = p.join(income, "zone")
-    return j.select(
-        F.col("re").alias("zone"),
-        F.round("mean_price", 4).alias("mean_price"),
-        F.round("inc", 4).alias("income"),
-    )
+    return p.join(income, "zone").select(F.col("re").alias("zone"), "mean_price", F.col("inc").alias("income"))
+
+
+def kpi_price_income(spark: SparkSession, d: str) -> DataFrame:
+    """KPI2 table with named, rounded columns."""
+    return price_income(spark, d).select("zone", F.round("mean_price", 4).alias("mean_price"), F.round("income", 4).alias("income"))
+
+
+def kpi2_correlation(spark: SparkSession, d: str) -> DataFrame:
+    """A16 over the KPI2 table: the price / income correlation."""
+    return stats.corr_pair(price_income(spark, d), "mean_price", "income", "r").select(F.round("r", 6).alias("r"))
 
 
 def zone_income(spark: SparkSession, d: str) -> DataFrame:
@@ -297,15 +302,25 @@ def kpi1_summary(spark: SparkSession, d: str) -> DataFrame:
     return s.select(*[F.round(c, 4).alias(c) for c in s.columns])
 
 
-def kpi_occupancy_income(spark: SparkSession, d: str) -> DataFrame:
-    """KPI3 shape (J7, J8): occupancy and income per zone."""
+def occupancy_income(spark: SparkSession, d: str) -> DataFrame:
+    """KPI3 shape, unrounded (J7, J8): occupancy and income per zone."""
     s = table(spark, d, "supplier").select("s_nationkey", "s_acctbal")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     occ = aggregate.mean_by(
         s.join(reconcile.checked_broadcast(n), s.s_nationkey == n.n_nationkey), ["n_name"], "s_acctbal", "occ"
     ).withColumnRenamed("n_name", "zone")
     j = reconcile.join_on_reconciled(occ, zone_income(spark, d), "zone")
-    return j.select(F.lower("zone").alias("zone"), F.round("occ", 4).alias("occ"), F.round("inc", 4).alias("income"))
+    return j.select(F.lower("zone").alias("zone"), "occ", F.col("inc").alias("income"))
+
+
+def kpi_occupancy_income(spark: SparkSession, d: str) -> DataFrame:
+    """KPI3 table with rounded columns."""
+    return occupancy_income(spark, d).select("zone", F.round("occ", 4).alias("occ"), F.round("income", 4).alias("income"))
+
+
+def kpi3_correlation(spark: SparkSession, d: str) -> DataFrame:
+    """A16 over the KPI3 table: the occupancy / income correlation."""
+    return stats.corr_pair(occupancy_income(spark, d), "occ", "income", "r").select(F.round("r", 6).alias("r"))
 
 
 # ------------------------------------------------------------------ stats
@@ -409,6 +424,8 @@ QUERIES = {
     "zone_ratio_by_year": zone_ratio_by_year,
     "kpi_price_income": kpi_price_income,
     "kpi_occupancy_income": kpi_occupancy_income,
+    "kpi2_correlation": kpi2_correlation,
+    "kpi3_correlation": kpi3_correlation,
     "kpi1_daily": kpi1_daily,
     "kpi1_summary": kpi1_summary,
     "corr_pair": corr_pair,

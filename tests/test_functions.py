@@ -7,11 +7,16 @@ from zonekit.functions import nested, scalar
 
 
 def test_date_from_name_match_and_miss(spark):
-    df = spark.createDataFrame(
-        [("2020_01_02_listings.json",), ("2021_03_09_x",), ("notes.json",), ("x2020_01_02.json",)], "n string"
-    )
+    names = [
+        "2020_01_02_listings.json", "2021_03_09_x", "notes.json", "x2020_01_02.json", "2020_13_45_bad.json",
+        "2020_1_02_x", "2020_01_02", "20200_01_02", "+2020_01_02", "", None,
+    ]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
     got = [r.d for r in df.select(scalar.date_from_name("n").alias("d")).collect()]
-    assert got == [dt.date(2020, 1, 2), dt.date(2021, 3, 9), None, None]
+    assert got == [dt.date(2020, 1, 2), dt.date(2021, 3, 9)] + [None] * 4 + [dt.date(2020, 1, 2)] + [None] * 4
+    # the general (regular-expression) path gives the same answers
+    slow = [r.d for r in df.select(scalar.date_from_name("n", pattern=r"^(\d{4}_\d{2}_\d{2})(?:.*)$").alias("d")).collect()]
+    assert slow == got
 
 
 def test_date_from_name_strict_raises(spark):

@@ -280,3 +280,14 @@ def test_first_by_key_matches_window(spark):
     b = dedup.latest_by_key_window(df, ["k"], [F.col(o).asc_nulls_last() for o in order])
     assert a.columns == df.columns
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_latest_and_first_by_key_odd_column_names(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 10.0), ("a", 2, 20.0), ("b", 5, 1.0)], "`k.ey` string, `Índex RFD = 100` int, `v.x` double"
+    )
+    got = sorted(tuple(r) for r in dedup.latest_by_key(df, ["k.ey"], ["Índex RFD = 100"]).collect())
+    assert got == [("a", 2, 20.0), ("b", 5, 1.0)]
+    first = sorted(tuple(r) for r in dedup.first_by_key(df, ["k.ey"], ["Índex RFD = 100"]).collect())
+    assert first == [("a", 1, 10.0), ("b", 5, 1.0)]
+    assert dedup.latest_by_key(df, ["k.ey"], ["v.x"]).columns == df.columns

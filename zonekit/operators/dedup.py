@@ -20,6 +20,11 @@ from pyspark.sql import functions as F
 _RN = "__zk_rn"
 
 
+def _q(name: str) -> Column:
+    """A top-level column by its exact name (dots, spaces, backticks)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _order_cols(order_by: Sequence[str | Column]) -> list[Column]:
     cols = []
     for o in order_by:
@@ -47,9 +52,9 @@ def latest_by_key(
         # "each column descending, nulls last" for the maximum
         rest = [c for c in df.columns if c not in keys]
         if not rest:
-            return df.select(*keys).distinct()
-        best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(o) for o in order_by]))
-        return df.groupBy(*keys).agg(best.alias(_RN)).select(*keys, f"{_RN}.*").select(*df.columns)
+            return df.select(*[_q(k) for k in keys]).distinct()
+        best = F.max_by(F.struct(*[_q(c) for c in rest]), F.struct(*[_q(o) for o in order_by]))
+        return _unpack(df.groupBy(*[_q(k) for k in keys]).agg(best.alias(_RN)), keys, df.columns)
     return latest_by_key_window(df, keys, order_by)
 
 
@@ -59,10 +64,18 @@ def first_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     ``false`` sorts before ``true``, so non-null values come first."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
-        return df.select(*keys).distinct()
-    order = F.struct(*[F.struct(F.col(o).isNull(), F.col(o)) for o in order_by])
-    best = F.min_by(F.struct(*[F.col(c) for c in rest]), order)
-    return df.groupBy(*keys).agg(best.alias(_RN)).select(*keys, f"{_RN}.*").select(*df.columns)
+        return df.select(*[_q(k) for k in keys]).distinct()
+    order = F.struct(*[F.struct(_q(o).isNull(), _q(o)) for o in order_by])
+    best = F.min_by(F.struct(*[_q(c) for c in rest]), order)
+    return _unpack(df.groupBy(*[_q(k) for k in keys]).agg(best.alias(_RN)), keys, df.columns)
+
+
+def _unpack(grouped: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Keys plus the fields of the winning-row struct, in the input's column order."""
+    rest = [c for c in columns if c not in keys]
+    cols = {k: _q(k) for k in keys}
+    cols.update({c: F.col(_RN).getField(c) for c in rest})
+    return grouped.select(*[cols[c].alias(c) for c in columns])
 
 
 def latest_by_key_window(

@@ -37,9 +37,8 @@ TABLES = ["customer", "nation", "region", "supplier", "events", "lineitem"]
 
 def build(spark, src: str, dst: str, copies: int, hot: bool) -> None:
     o = roles.table(spark, src, "orders")
-    reps = spark.range(copies).withColumnRenamed("id", "rep")
     key = F.when(F.col("o_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("o_custkey")) if hot else F.col("o_custkey")
-    big = o.join(F.broadcast(reps), how="inner", on=F.lit(True)).select(
+    big = o.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)).cast("array<long>"))).select(
         (F.col("o_orderkey") * copies + F.col("rep")).alias("o_orderkey"),
         key.cast("long").alias("o_custkey"),
         "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",

@@ -74,6 +74,22 @@ ORACLE_SQL: dict[str, str] = {
     'table_counts': "select 'orders' t, count(*) n from orders union all select 'customer', count(*) from customer union all select 'events', count(*) from events",
     'head_rows': 'select c_custkey, c_name from customer order by c_custkey limit 5',
     'family_table': "select o_orderkey, o_orderpriority, cast(o_totalprice as varchar) price, strftime(o_orderdate,'%Y-%m-%d') d from orders",
+    "lookup_link_customers": (
+        "with a as (select c_name z, c_nationkey di, c_custkey zi from customer), "
+        "b as (select lower(z) z, di, zi from a where zi%4<>0) select a.z, b.z z2 from a join b using (di, zi)"
+    ),
+    "lookup_missing_customers": (
+        "with a as (select c_name z, c_nationkey di, c_custkey zi from customer), "
+        "b as (select di, zi from a where zi%4<>0) select a.z from a anti join b using (di, zi)"
+    ),
+    "get_rows_by_table": (
+        "select c_custkey, c_name from customer semi join "
+        "(select o_custkey from orders where o_orderpriority='1-URGENT') k on c_custkey = k.o_custkey"
+    ),
+    "delete_keys_by_table": (
+        "select c_custkey, c_name from customer anti join "
+        "(select o_custkey from orders where o_orderpriority='1-URGENT') k on c_custkey = k.o_custkey"
+    ),
     "kpi2_correlation": (
         "with p as (select zone, avg(o_totalprice) mean_price from (select *, row_number() over (partition by o_custkey "
         "order by o_orderdate desc, o_orderkey desc) rn from ({Z})) where rn=1 group by zone), "

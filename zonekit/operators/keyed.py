@@ -34,10 +34,11 @@ def get_rows(
     """Rows for one key or a key list; absent keys give no row.
 
     A literal list becomes ``key IN (...)`` (pushed to Parquet); a key
-    DataFrame becomes a left-semi join, broadcast only if proven small.
+    DataFrame is made distinct (partial aggregation before any shuffle) and
+    becomes a left-semi join, broadcast only if proven small.
     """
     if isinstance(keys, DataFrame):
-        right = keys.select(F.col(keys.columns[0]).alias(key))
+        right = keys.select(F.col(keys.columns[0]).alias(key)).distinct()
         out = df.join(checked_broadcast(right), key, "left_semi")
     else:
         keys = list(keys)
@@ -59,7 +60,7 @@ def delete_keys(df: DataFrame, key: str, keys: Sequence | DataFrame) -> DataFram
     dropped.  Key DataFrame: left-anti join, where a null key is kept.
     """
     if isinstance(keys, DataFrame):
-        right = keys.select(F.col(keys.columns[0]).alias(key))
+        right = keys.select(F.col(keys.columns[0]).alias(key)).distinct()
         return df.join(checked_broadcast(right), key, "left_anti")
     return df.filter(~F.col(key).isin(list(keys)))
 

@@ -134,6 +134,43 @@ def lookup_missing(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.unlinked(n, b, ["di", "zi"]).select("z")
 
 
+def _customer_lookups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Two lookups that grow with the data: customers by (nation, key) with
+    their name, and a reconciled copy (lower-case names) with gaps."""
+    a = table(spark, d, "customer").select(
+        F.col("c_name").alias("z"), F.col("c_nationkey").alias("di"), F.col("c_custkey").alias("zi")
+    )
+    b = a.filter(F.col("zi") % 4 != 0).select(F.lower("z").alias("z2"), "di", "zi")
+    return a, b
+
+
+def lookup_link_customers(spark: SparkSession, d: str) -> DataFrame:
+    """J1 on lookups as large as the customer table (shuffle join at scale)."""
+    a, b = _customer_lookups(spark, d)
+    return reconcile.link_lookups(a, b, ["di", "zi"], ["z2"]).select("z", "z2")
+
+
+def lookup_missing_customers(spark: SparkSession, d: str) -> DataFrame:
+    """J2 on lookups as large as the customer table."""
+    a, b = _customer_lookups(spark, d)
+    return reconcile.unlinked(a, b.select("di", "zi"), ["di", "zi"]).select("z")
+
+
+def _urgent_customers(spark: SparkSession, d: str) -> DataFrame:
+    return listings(spark, d).filter(F.col("o_orderpriority") == "1-URGENT").select("o_custkey")
+
+
+def get_rows_by_table(spark: SparkSession, d: str) -> DataFrame:
+    """F8 with a key table derived from the facts (left-semi join)."""
+    return keyed.get_rows(table(spark, d, "customer"), "c_custkey", _urgent_customers(spark, d), ["c_custkey", "c_name"])
+
+
+def delete_keys_by_table(spark: SparkSession, d: str) -> DataFrame:
+    """F10 with a key table derived from the facts (left-anti join)."""
+    out = keyed.delete_keys(table(spark, d, "customer"), "c_custkey", _urgent_customers(spark, d))
+    return out.select("c_custkey", "c_name")
+
+
 def composite_key(spark: SparkSession, d: str) -> DataFrame:
     """P8 + P9 + P10 + K3: distinct ``district-zone-year`` keys of listings.
 
@@ -412,6 +449,10 @@ QUERIES = {
     "lookup_link": lookup_link,
     "lookup_missing": lookup_missing,
     "composite_key": composite_key,
+    "lookup_link_customers": lookup_link_customers,
+    "lookup_missing_customers": lookup_missing_customers,
+    "get_rows_by_table": get_rows_by_table,
+    "delete_keys_by_table": delete_keys_by_table,
     "count_by": count_by,
     "daily_counts": daily_counts,
     "avg_per_sampled_day": avg_per_sampled_day,

@@ -41,3 +41,21 @@ def test_daily_counts_stream(spark, tmp_dir):
     q.awaitTermination()
     got = {r.date: r.listings_count for r in spark.table("zk_daily").collect()}
     assert got == {D(2020, 1, 2): 3, D(2020, 6, 1): 4, D(2021, 1, 1): 1}
+
+
+def test_finalized_daily_counts_with_watermark(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "incoming")
+    os.makedirs(src)
+    _drop(src, "2020_01_02_listings.json", fx.SNAPSHOTS["2020_01_02_listings.json"])
+    _drop(src, "2020_06_01_listings.json", fx.SNAPSHOTS["2020_06_01_listings.json"])
+    target = os.path.join(tmp_dir, "final")
+    ckpt = os.path.join(tmp_dir, "ck3")
+    q = snapshots.write_finalized_daily_counts(snapshots.snapshot_stream(spark, src), target, ckpt)
+    q.awaitTermination()
+    # a later snapshot moves the watermark past 2020-06-01; then both dates are final
+    _drop(src, "2021_01_01_listings.json", fx.SNAPSHOTS["2021_01_01_listings.json"])
+    q = snapshots.write_finalized_daily_counts(snapshots.snapshot_stream(spark, src), target, ckpt)
+    q.awaitTermination()
+    got = {r.date: r.listings_count for r in spark.read.parquet(target).collect()}
+    assert got.get(D(2020, 1, 2)) == 3 and got.get(D(2020, 6, 1)) == 4
+    assert D(2021, 1, 1) not in got  # still open

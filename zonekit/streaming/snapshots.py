@@ -81,6 +81,48 @@ def daily_counts_stream(stream: DataFrame, date_col: str = "date") -> DataFrame:
     return stream.groupBy(date_col).agg(F.count(F.lit(1)).alias("listings_count"))
 
 
+def finalized_daily_counts(stream: DataFrame, lateness: str = "2 days", date_col: str = "date") -> DataFrame:
+    """Listings per snapshot date, emitted once a date is closed.
+
+    The watermark trails the newest snapshot date by ``lateness``; a date's
+    count is appended when the watermark passes the end of that day, and its
+    state is dropped then, so state stays bounded however long the stream
+    runs.  Snapshots arriving later than the watermark are ignored."""
+    # the instant of the date's UTC midnight, and back: no session time zone
+    # is involved, so days never shift (watermarks need a zoned timestamp)
+    ts = F.timestamp_seconds(F.unix_date(F.col(date_col)).cast("long") * 86400)
+    days = (
+        stream.withColumn("__zk_ts", ts)
+        .withWatermark("__zk_ts", lateness)
+        .groupBy(F.window("__zk_ts", "1 day"))
+        .agg(F.count(F.lit(1)).alias("listings_count"))
+    )
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int"))
+    return days.select(day.alias(date_col), "listings_count")
+
+
+def write_finalized_daily_counts(
+    stream: DataFrame,
+    target: str,
+    checkpoint_location: str | None = None,
+    lateness: str = "2 days",
+    available_now: bool = True,
+    query_name: str = "daily_counts_final",
+) -> StreamingQuery:
+    """Append the closed dates of ``finalized_daily_counts`` to Parquet."""
+    spark = stream.sparkSession
+    writer = (
+        finalized_daily_counts(stream, lateness)
+        .writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", _location(spark, query_name, checkpoint_location))
+        .outputMode("append")
+        .queryName(query_name)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
 def start_daily_counts(
     stream: DataFrame,
     table_name: str = "daily_counts",

@@ -127,3 +127,14 @@ def test_file_and_directory_date_columns(spark, tmp_dir):
     assert got == D(2020, 3, 4)
     files = [r.path for r in readers.list_files(spark, d, "*.json").collect()]
     assert len(files) == 4
+
+
+def test_cluster_by_splits_a_hot_leading_key(spark, tmp_dir):
+    # one district holds most rows; range partitioning on (district, n) still spreads it
+    df = spark.range(4000).selectExpr("case when id % 4 = 0 then 'B' else 'A' end as district", "id as n")
+    path = os.path.join(tmp_dir, "clustered_hot")
+    writers.write(df.repartition(4), path, cluster_by=["district", "n"])
+    back = spark.read.parquet(path)
+    per_file = back.groupBy(F.col("_metadata.file_name")).count().collect()
+    assert back.count() == 4000
+    assert len(per_file) > 1 and max(r["count"] for r in per_file) < 3000

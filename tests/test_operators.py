@@ -291,3 +291,10 @@ def test_latest_and_first_by_key_odd_column_names(spark):
     first = sorted(tuple(r) for r in dedup.first_by_key(df, ["k.ey"], ["Índex RFD = 100"]).collect())
     assert first == [("a", 1, 10.0), ("b", 5, 1.0)]
     assert dedup.latest_by_key(df, ["k.ey"], ["v.x"]).columns == df.columns
+
+
+def test_lookup_with_dotted_names(spark):
+    df = spark.createDataFrame([("x", 1)], "`raw.name` string, v int")
+    lk = spark.createDataFrame([("x", "X")], "`lk.raw` string, `lk.re` string")
+    out = reconcile.apply_lookup(df, lk, "raw.name", "lk.re", "re", lookup_raw="lk.raw")
+    assert [tuple(r) for r in out.collect()] == [("X", 1)]

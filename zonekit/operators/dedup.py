@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 _RN = "__zk_rn"
 
 
-def _q(name: str) -> Column:
+def _q(name: str) -> Column:  # shared with reconcile
     """A top-level column by its exact name (dots, spaces, backticks)."""
     return F.col("`" + name.replace("`", "``") + "`")
 

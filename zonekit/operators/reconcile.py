@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonekit.operators.dedup import first_by_key
+from pyspark.errors import AnalysisException
+
+from zonekit.operators.dedup import _q, first_by_key
 
 # Largest lookup broadcast without a runtime decision.
 BROADCAST_MAX_ROWS = 100_000
@@ -46,14 +48,17 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes:
         key = None
     if key is not None and key in _CHECKED:
         return _CHECKED[key]
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    row = F.struct(*[_q(c) for c in df.columns])
     width = 8 * len(df.columns)
-    probe = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(row)) + width).alias("b"))
-        .first()
-    )
-    ok = probe.n <= max_rows and (probe.b or 0) <= max_bytes
+    try:
+        probe = (
+            df.limit(max_rows + 1)
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(row)) + width).alias("b"))
+            .first()
+        )
+        ok = probe.n <= max_rows and (probe.b or 0) <= max_bytes
+    except AnalysisException:
+        ok = False  # a column type JSON cannot render: size unknown, so no broadcast
     if key is not None and len(_CHECKED) < _CHECKED_MAX:
         _CHECKED[key] = ok
     return ok
@@ -87,12 +92,12 @@ def apply_lookup(
     raw_cols = [raw] if isinstance(raw, str) else list(raw)
     lk_cols = raw_cols if lookup_raw is None else ([lookup_raw] if isinstance(lookup_raw, str) else list(lookup_raw))
     right = lookup.select(
-        *[F.col(lc).alias(f"__zk_lk{i}") for i, lc in enumerate(lk_cols)],
-        F.col(reconciled).alias("__zk_re"),
+        *[_q(lc).alias(f"__zk_lk{i}") for i, lc in enumerate(lk_cols)],
+        _q(reconciled).alias("__zk_re"),
     )
-    cond = [F.col(rc) == F.col(f"__zk_lk{i}") for i, rc in enumerate(raw_cols)]
+    cond = [_q(rc) == F.col(f"__zk_lk{i}") for i, rc in enumerate(raw_cols)]
     joined = df.join(checked_broadcast(right, max_rows), cond, "inner")
-    rest = [c for c in df.columns if (keep_raw or c not in raw_cols) and c != out]
+    rest = [_q(c) for c in df.columns if (keep_raw or c not in raw_cols) and c != out]
     return joined.select(F.col("__zk_re").alias(out), *rest)
 
 

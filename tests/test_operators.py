@@ -298,3 +298,8 @@ def test_lookup_with_dotted_names(spark):
     lk = spark.createDataFrame([("x", "X")], "`lk.raw` string, `lk.re` string")
     out = reconcile.apply_lookup(df, lk, "raw.name", "lk.re", "re", lookup_raw="lk.raw")
     assert [tuple(r) for r in out.collect()] == [("X", 1)]
+
+
+def test_corr_on_text_columns_is_ansi_safe(spark):
+    df = spark.createDataFrame([("1", "2"), ("2", "4"), ("x", "5"), ("3", "6")], "a string, b string")
+    assert stats.corr_pair(df, "a", "b").first().r == pytest.approx(1.0)  # 'x' is skipped, not an error

@@ -19,7 +19,7 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
 
 def corr_pair(df: DataFrame, a: str, b: str, name: str = "r", by: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation of two columns (optionally per group)."""
-    agg = F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(name)
+    agg = F.corr(F.col(a).try_cast("double"), F.col(b).try_cast("double")).alias(name)
     return df.groupBy(*by).agg(agg) if by else df.agg(agg)
 
 
@@ -45,7 +45,7 @@ def corr_matrix(
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
     pairs = list(combinations(cols, 2))
-    aggs = [F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"__zk_c{i}") for i, (x, y) in enumerate(pairs)]
+    aggs = [F.corr(F.col(x).try_cast("double"), F.col(y).try_cast("double")).alias(f"__zk_c{i}") for i, (x, y) in enumerate(pairs)]
     one = df.agg(*aggs) if aggs else df.limit(0).select(F.lit(None).cast("double").alias("__zk_none"))
     entries = []
     for i, (x, y) in enumerate(pairs):

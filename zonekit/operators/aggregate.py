@@ -77,7 +77,7 @@ def partial_mean(df: DataFrame, keys: Sequence[str | Column], value: str) -> Dat
 
 def finish_mean(df: DataFrame, keys: Sequence[str | Column], name: str = "mean") -> DataFrame:
     """Combine ``partial_mean`` states per coarser key."""
-    return df.groupBy(*keys).agg((F.sum("__zk_sum") / F.sum("__zk_n")).alias(name))
+    return df.groupBy(*keys).agg(safe_ratio(F.sum("__zk_sum"), F.sum("__zk_n")).alias(name))
 
 
 def mean_through(

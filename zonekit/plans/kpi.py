@@ -165,11 +165,12 @@ def report(
 ) -> dict[str, DataFrame]:
     """The analysis run: KPI1, KPI2, KPI3 and their summary figures.
 
-    The latest listings and the reconciled income are read by several
-    KPIs, so they are kept (S12: persisted, or checkpointed into
-    ``spark.checkpoint.dir`` with ``cut_lineage``).  With ``out_dir`` each
-    KPI table is written as one CSV with a header (K7).  The caller may
-    ``unpersist`` the ``latest`` frame afterwards.
+    The latest listings feed several KPIs, so they are kept (S12:
+    persisted, or checkpointed into ``spark.checkpoint.dir`` with
+    ``cut_lineage``); the income documents and lookups are small and are
+    simply read again.  With ``out_dir`` each KPI table is written as one
+    CSV with a header (K7).  The caller may ``unpersist`` the ``latest``
+    frame afterwards.
     """
     from zonekit.session import reuse
     from zonekit.sinks.writers import write_single_csv
@@ -178,9 +179,9 @@ def report(
     k1 = kpi1(latest)
     k2 = kpi2(latest, rent_lookup, income_docs, income_lookup)
     k3 = kpi3(occupancy, income_docs, income_lookup)
+    k1s = kpi1_summary(latest)
     parts = [
-        kpi1_average(latest).select(F.lit("avg_per_sampled_day").alias("metric"), F.col("avg_per_sampled_day").alias("value")),
-        kpi1b(latest).select(F.lit("avg_per_calendar_day").alias("metric"), F.col("avg_per_calendar_day").alias("value")),
+        k1s.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in k1s.columns]))),
         price_income_correlation(k2).select(F.lit("corr_price_income").alias("metric"), F.col("r").alias("value")),
         price_income_correlation(k3, "inhabitants_family").select(
             F.lit("corr_occupancy_income").alias("metric"), F.col("r").alias("value")

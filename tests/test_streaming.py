@@ -59,3 +59,26 @@ def test_finalized_daily_counts_with_watermark(spark, tmp_dir):
     got = {r.date: r.listings_count for r in spark.read.parquet(target).collect()}
     assert got.get(D(2020, 1, 2)) == 3 and got.get(D(2020, 6, 1)) == 4
     assert D(2021, 1, 1) not in got  # still open
+
+
+def test_latest_changes_stateful(spark, tmp_dir):
+    from zonekit.operators import dedup
+
+    src = os.path.join(tmp_dir, "incoming")
+    os.makedirs(src)
+    _drop(src, "2020_01_02_listings.json", fx.SNAPSHOTS["2020_01_02_listings.json"])
+    _drop(src, "2020_06_01_listings.json", fx.SNAPSHOTS["2020_06_01_listings.json"])
+    log = os.path.join(tmp_dir, "log")
+    ckpt = os.path.join(tmp_dir, "ck4")
+    snapshots.write_latest_changes(snapshots.snapshot_stream(spark, src), log, ckpt).awaitTermination()
+    first = sorted((r.propertyCode, r.date) for r in spark.read.parquet(log).collect())
+    # p1 is emitted once, for its newest snapshot of that batch
+    assert first == [("p1", D(2020, 6, 1)), ("p2", D(2020, 1, 2)), ("p5", D(2020, 1, 2)), ("p6", D(2020, 6, 1))]
+    # next batch: a newer p2 and an older p6 (ignored: state already holds a newer date)
+    _drop(src, "2020_08_01_listings.json", [fx.listing("p2", "Barcelona", "Eixample", "Fort Pienc", 310000.0)])
+    _drop(src, "2020_03_01_listings.json", [fx.listing("p6", "Barcelona", "Eixample", "Fort Pienc", 1.0)])
+    snapshots.write_latest_changes(snapshots.snapshot_stream(spark, src), log, ckpt).awaitTermination()
+    changes = spark.read.parquet(log)
+    assert changes.count() == 5  # only p2 was added
+    latest = {r.propertyCode: (r.date, r.price) for r in dedup.latest_by_key(changes, ["propertyCode"], ["date", "price"]).collect()}
+    assert latest["p2"] == (D(2020, 8, 1), 310000.0) and latest["p6"] == (D(2020, 6, 1), 100000.0)

@@ -141,3 +141,74 @@ def start_daily_counts(
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def latest_changes(
+    stream: DataFrame,
+    key: str = "propertyCode",
+    order_by: tuple[str, ...] = ("date", "price"),
+    columns: tuple[str, ...] = ("district", "neighborhood", "price"),
+) -> DataFrame:
+    """A1/A2 as a stateful stream: emit a listing's row whenever it becomes
+    the latest for its key (greatest ``order_by``, each descending, nulls
+    last); older or equal snapshots arriving later emit nothing.
+
+    State per key is just its best ordering values, and the output is an
+    append-only change log, so ``dedup.latest_by_key`` over the log (a small
+    table) gives the current latest rows.  The per-group function is a few
+    lines of pandas over one micro-batch's rows of one key.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    cols = list(dict.fromkeys([key, *order_by, *columns]))
+    data = stream.select(*cols)
+    out_schema = data.schema
+    state_schema = T.StructType([T.StructField(o, out_schema[o].dataType, True) for o in order_by])
+    order = list(order_by)
+
+    def missing(v):
+        return v is None or v != v  # None, NaN and NaT (the only values unequal to themselves)
+
+    def rank(values):
+        # tuple that sorts "descending, nulls last" when compared with max()
+        return tuple((False, 0) if missing(v) else (True, v) for v in values)
+
+    def newest(key_values, batches, state):
+        import pandas as pd
+
+        best_row = None
+        best_rank = rank(state.get) if state.exists else None
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                r = rank([getattr(row, o) for o in order])
+                if best_rank is None or r > best_rank:
+                    best_rank, best_row = r, row
+        if best_row is not None:
+            state.update(tuple(None if missing(getattr(best_row, o)) else getattr(best_row, o) for o in order))
+            yield pd.DataFrame([best_row._asdict()], columns=cols)
+
+    return data.groupBy(key).applyInPandasWithState(
+        newest, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout
+    )
+
+
+def write_latest_changes(
+    stream: DataFrame,
+    target: str,
+    checkpoint_location: str | None = None,
+    available_now: bool = True,
+    query_name: str = "latest_changes",
+    **kwargs,
+) -> StreamingQuery:
+    """Clean (F1, F2, P3) and append ``latest_changes`` to a Parquet log."""
+    spark = stream.sparkSession
+    writer = (
+        latest_changes(clean_listings(stream), **kwargs)
+        .writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", _location(spark, query_name, checkpoint_location))
+        .outputMode("append")
+        .queryName(query_name)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

@@ -155,8 +155,11 @@ def latest_changes(
 
     State per key is just its best ordering values, and the output is an
     append-only change log, so ``dedup.latest_by_key`` over the log (a small
-    table) gives the current latest rows.  The per-group function is a few
-    lines of pandas over one micro-batch's rows of one key.
+    table) gives the current latest rows.  The per-group function sorts
+    each Arrow batch of a key's rows with pandas (vectorised) and compares
+    only the winner with the state.  As with any keyed state, all rows of
+    one key in a micro-batch meet in one task; they arrive in bounded
+    batches, so memory stays bounded even for a hot key.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -176,16 +179,18 @@ def latest_changes(
     def newest(key_values, batches, state):
         import pandas as pd
 
-        best_row = None
+        best = None
         best_rank = rank(state.get) if state.exists else None
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                r = rank([getattr(row, o) for o in order])
-                if best_rank is None or r > best_rank:
-                    best_rank, best_row = r, row
-        if best_row is not None:
-            state.update(tuple(None if missing(getattr(best_row, o)) else getattr(best_row, o) for o in order))
-            yield pd.DataFrame([best_row._asdict()], columns=cols)
+        for pdf in batches:  # Arrow batches of bounded size
+            if pdf.empty:
+                continue
+            top = pdf.sort_values(order, ascending=False, na_position="last", kind="mergesort").iloc[:1]
+            r = rank([top[o].iloc[0] for o in order])
+            if best_rank is None or r > best_rank:
+                best_rank, best = r, top
+        if best is not None:
+            state.update(tuple(None if missing(best[o].iloc[0]) else best[o].iloc[0] for o in order))
+            yield best[cols]
 
     return data.groupBy(key).applyInPandasWithState(
         newest, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout

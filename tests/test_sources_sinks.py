@@ -143,3 +143,28 @@ def test_cluster_by_splits_a_hot_leading_key(spark, tmp_dir):
     per_file = back.groupBy(F.col("_metadata.file_name")).count().collect()
     assert back.count() == 4000
     assert len(per_file) > 1 and max(r["count"] for r in per_file) < 3000
+
+
+def test_snapshot_date_filter_prunes_files(spark, tmp_dir):
+    d = fx.write_snapshots(tmp_dir)
+    df = readers.read_json_snapshots(spark, d).filter(F.col("date") >= F.lit("2020-06-01").cast("date"))
+    assert df.count() == 5
+
+    def scanned_files(frame):
+        frame.collect()  # run this frame's own plan so its scan metrics fill in
+        found = []
+
+        def walk(p):
+            m = p.metrics()
+            if m.contains("numFiles"):
+                found.append(m.apply("numFiles").value())
+            it = p.children().iterator()
+            while it.hasNext():
+                walk(it.next())
+
+        plan = frame._jdf.queryExecution().executedPlan()
+        walk(plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan)
+        return sum(found)
+
+    assert scanned_files(readers.read_json_snapshots(spark, d)) == 4
+    assert scanned_files(df) == 3  # the 2020-01-02 file is never opened

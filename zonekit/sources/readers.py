@@ -30,9 +30,10 @@ def read_json_snapshots(
     """S1 + F4 + P1/P2: directory of JSON-array files, one per date.
 
     Each array element is a row; an empty array gives no row.  The date
-    comes from the start of the file name (``YYYY_MM_DD_...``).  One file
-    is one task (a JSON array is not splittable), so many dated files
-    read in parallel.
+    comes from the start of the file name (``YYYY_MM_DD_...``); being an
+    expression over ``_metadata.file_name`` only, a filter on it prunes
+    whole files before they are opened.  One file is one task (a JSON array
+    is not splittable), so many dated files read in parallel.
     """
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", glob).json(paths)

@@ -76,3 +76,12 @@ def test_declared_schemas_match_files(spark):
     for name, schema in DRIVER_TABLES.items():
         inferred = spark.read.parquet(f"{SF}/{name}.parquet").schema
         assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in schema], name
+
+
+def test_table_falls_back_when_declared_schema_differs(spark, tmp_dir):
+    from zonekit.plans import roles
+
+    d = os.path.join(tmp_dir, "other")
+    spark.createDataFrame([(1, "R")], "r_regionkey long, r_name string").write.parquet(f"{d}/region.parquet")
+    df = roles.table(spark, d, "region")  # file has r_regionkey as bigint, declared int
+    assert dict(df.dtypes)["r_regionkey"] == "bigint" and df.count() == 1

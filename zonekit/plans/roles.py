@@ -25,12 +25,26 @@ from zonekit.operators import aggregate, clean, dedup, keyed, reconcile, stats
 from zonekit.sources import readers, schemas
 
 
+_SCHEMA_OK: dict[tuple[str, str], bool] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables, read with its declared schema (no footer
-    inference on the driver; unknown tables fall back to inference)."""
+    """One of the driver's tables, read with its declared schema.
+
+    The declared schema is checked against the file once per application
+    (one footer read); after that, reads skip schema inference.  A table
+    whose file does not match (or an unknown table) is read with the
+    file's own schema, so a changed input never turns into silent nulls.
+    """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = schemas.DRIVER_TABLES.get(name)
-    return spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
+    if schema is None:
+        return spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMA_OK:
+        actual = spark.read.parquet(path).schema
+        _SCHEMA_OK[key] = [(f.name, f.dataType) for f in actual] == [(f.name, f.dataType) for f in schema]
+    return spark.read.schema(schema).parquet(path) if _SCHEMA_OK[key] else spark.read.parquet(path)
 
 
 def geo(spark: SparkSession, d: str) -> DataFrame:

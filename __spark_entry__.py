@@ -9,11 +9,18 @@ specification of SURVEY §7.4).  Column names match on both sides.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonekit.plans import roles
+# importable however this file is loaded (by path, from another directory)
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
+from zonekit.plans import roles  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 

@@ -208,3 +208,27 @@ def test_kpi2_fan_out_of_reconciled_names(spark):
     got = sorted(tuple(r) for r in kpi.kpi2(latest, rent, docs, inc_lk).collect())
     # two raw names, one reconciled name: one row per raw mean, not re-combined
     assert got == [("el Poble Sec", 100.0, 78.0), ("el Poble Sec", 300.0, 78.0)]
+
+
+def test_kpi2_pair_zone_keys(spark):
+    # the same name in two districts: keyed on the pair, the prices stay apart
+    latest = spark.createDataFrame(
+        [("D1", "Centre", 100.0), ("D2", "Centre", 300.0)], "district string, neighborhood string, price double"
+    )
+    rent = spark.createDataFrame(
+        [("D1", "Centre", "Centre One"), ("D2", "Centre", "Centre Two")], "di string, ne string, ne_re string"
+    )
+    docs = spark.createDataFrame(
+        [("c1", [(2017, 50.0)]), ("c2", [(2017, 90.0)])], "neigh_name string, info array<struct<year:int, RFD:double>>"
+    )
+    inc_lk = spark.createDataFrame(
+        [("c1", "Centre One"), ("c2", "Centre Two")], "neighborhood string, neighborhood_reconciled string"
+    )
+    got = sorted(
+        tuple(r)
+        for r in kpi.kpi2(latest, rent, docs, inc_lk, zone_keys=("district", "neighborhood"), rent_raw=("di", "ne")).collect()
+    )
+    assert got == [("Centre One", 100.0, 50.0), ("Centre Two", 300.0, 90.0)]
+    # keyed on the name alone the two districts would merge into one mean
+    merged = kpi.kpi2(latest.drop("district"), rent.drop("di").dropDuplicates(["ne"]).filter("ne_re = 'Centre One'"), docs, inc_lk)
+    assert [tuple(r) for r in merged.collect()] == [("Centre One", 200.0, 50.0)]

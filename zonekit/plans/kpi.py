@@ -73,15 +73,20 @@ def kpi2(
     income_docs: DataFrame,
     income_lookup: DataFrame,
     clean_names: bool = True,
+    zone_keys: Sequence[str] = ("neighborhood",),
+    rent_raw: Sequence[str] = ("ne",),
 ) -> DataFrame:
     """KPI2: ``neighborhood, mean_price, rfd``.
 
-    Mean price per raw listing name (A7, partial + final aggregation) ->
+    Mean price per raw listing zone (A7, partial + final aggregation) ->
     listing-name lookup (J4, P6); latest income per document (A18) ->
     income-name lookup (J5, P6); inner join on the reconciled name (J6).
+    The zone key is the name alone by default; names can repeat across
+    districts, so ``zone_keys=("district", "neighborhood")`` with a lookup
+    keyed on both (``rent_raw``) keys on the pair instead.
     """
-    price = mean_by(latest, ["neighborhood"], "price", "mean_price")
-    price = apply_lookup(price, rent_lookup, "neighborhood", "ne_re", "neighborhood", lookup_raw="ne")
+    price = mean_by(latest, list(zone_keys), "price", "mean_price")
+    price = apply_lookup(price, rent_lookup, list(zone_keys), "ne_re", "neighborhood", lookup_raw=list(rent_raw))
     income = income_reconciled(income_docs, income_lookup)
     out = join_on_reconciled(price, income, "neighborhood").select("neighborhood", "mean_price", "rfd")
     return _clean(out, clean_names)

@@ -303,3 +303,10 @@ def test_lookup_with_dotted_names(spark):
 def test_corr_on_text_columns_is_ansi_safe(spark):
     df = spark.createDataFrame([("1", "2"), ("2", "4"), ("x", "5"), ("3", "6")], "a string, b string")
     assert stats.corr_pair(df, "a", "b").first().r == pytest.approx(1.0)  # 'x' is skipped, not an error
+
+
+def test_upsert_in_load_order_with_explicit_order(spark):
+    df = spark.createDataFrame([("a", 2, 1.0), ("a", 1, 2.0)], "k string, file_no int, v double").coalesce(1)
+    # read order alone: the later row wins; with an explicit order the larger file_no wins
+    assert dedup.upsert_in_load_order(df, ["k"]).first().v == 2.0
+    assert dedup.upsert_in_load_order(df, ["k"], order_by=["file_no"]).first().v == 1.0

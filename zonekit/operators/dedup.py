@@ -104,11 +104,16 @@ def upsert_in_load_order(
     rows: DataFrame,
     keys: Sequence[str],
     order_col: str = "__zk_load_order",
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """A3 for a file read once: later rows of the input win ("last put").
 
-    The order is the read order (file order, then position); intended for
-    small lookup files, where one file is one partition.
+    Without ``order_by`` the order is the read order: row order within a
+    file, and across files the order of Spark's input splits (not the file
+    names), which is as arbitrary as the directory order the reference
+    relies on.  Pass ``order_by`` (e.g. a year or a file-date column) when
+    the winner across files matters; the read position then only breaks
+    ties.
     """
     ordered = rows.withColumn(order_col, F.monotonically_increasing_id())
-    return latest_by_key(ordered, keys, [order_col]).drop(order_col)
+    return latest_by_key(ordered, keys, [*(order_by or []), order_col]).drop(order_col)

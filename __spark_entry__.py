@@ -109,6 +109,30 @@ ORACLE_SQL: dict[str, str] = {
         "i as (select n_name zone, avg(c_acctbal) inc from customer join nation on c_nationkey=n_nationkey group by 1) "
         "select round(corr(occ, inc),6) r from s join i using (zone)"
     ),
+    "kpi2_listing_model": (
+        "with latest as (select o_custkey, o_totalprice from (select *, row_number() over (partition by o_custkey "
+        "order by cast(o_orderdate as date) desc, o_totalprice desc, o_orderkey desc) rn from orders) where rn=1), "
+        "p as (select n_name nb, avg(o_totalprice) mean_price from latest join customer on o_custkey=c_custkey "
+        "join nation on c_nationkey=n_nationkey group by 1), "
+        "rent as (select n_name ne, lower(n_name) ne_re from nation where n_nationkey%4<>0), "
+        "y as (select n_name, year(o_orderdate) yr, max(o_totalprice) v from orders join customer on o_custkey=c_custkey "
+        "join nation on c_nationkey=n_nationkey group by 1, 2), "
+        "inc as (select n_name, arg_max(v, yr) rfd from y group by 1), "
+        "inc_lk as (select n_name, lower(n_name) re from nation where n_nationkey%4<>0) "
+        "select r.ne_re neighborhood, round(p.mean_price, 4) mean_price, round(i.rfd, 4) rfd "
+        "from p join rent r on p.nb = r.ne "
+        "join (select il.re, inc.rfd from inc join inc_lk il using (n_name)) i on i.re = r.ne_re"
+    ),
+    "kpi3_listing_model": (
+        "with occ as (select n_name, avg(s_acctbal) o from supplier join nation on s_nationkey=n_nationkey group by 1), "
+        "y as (select n_name, year(o_orderdate) yr, max(o_totalprice) v from orders join customer on o_custkey=c_custkey "
+        "join nation on c_nationkey=n_nationkey group by 1, 2), "
+        "inc as (select n_name, arg_max(v, yr) rfd from y group by 1), "
+        "inc_lk as (select n_name, lower(n_name) re from nation where n_nationkey%4<>0) "
+        "select il.re neighborhood, round(occ.o, 4) inhabitants_family, round(i.rfd, 4) rfd "
+        "from occ join inc_lk il using (n_name) "
+        "join (select il2.re, inc.rfd from inc join inc_lk il2 using (n_name)) i on i.re = il.re"
+    ),
     "kpi1_daily": f"select cast(o_orderdate as date) date, count(*) listings_count from ({_LATEST}) group by 1 order by 1",
     "kpi1_summary": (
         f"with l as ({_LATEST}), c as (select cast(o_orderdate as date) date, count(*) n from l group by 1) "

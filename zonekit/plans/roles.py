@@ -364,6 +364,62 @@ def occupancy_income(spark: SparkSession, d: str) -> DataFrame:
     return j.select(F.lower("zone").alias("zone"), "occ", F.col("inc").alias("income"))
 
 
+def _name_lookups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Listing-side (ne -> ne_re) and income-side (neighborhood ->
+    neighborhood_reconciled) name lookups, with the same gaps as above."""
+    n = table(spark, d, "nation").filter(F.col("n_nationkey") % 4 != 0)
+    rent = n.select(F.col("n_name").alias("ne"), F.lower("n_name").alias("ne_re"))
+    income = n.select(F.col("n_name").alias("neighborhood"), F.lower("n_name").alias("neighborhood_reconciled"))
+    return rent, income
+
+
+def _income_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Nested income documents derived from the facts: per zone an array of
+    (year, RFD) with RFD = the year's highest price; one element per year,
+    so the array is bounded by the calendar."""
+    o = listings(spark, d).select("o_custkey", scalar.year_of("o_orderdate").alias("year"), "o_totalprice")
+    per_key = o.groupBy("o_custkey", "year").agg(F.max("o_totalprice").alias("m"))
+    cz = customer_zone(spark, d)
+    yearly = per_key.join(cz, per_key.o_custkey == cz.c_custkey).groupBy("zone", "year").agg(F.max("m").alias("RFD"))
+    return yearly.groupBy("zone").agg(F.collect_list(F.struct("year", "RFD")).alias("info")).select(
+        F.col("zone").alias("neigh_name"), "info"
+    )
+
+
+def kpi2_listing_model(spark: SparkSession, d: str) -> DataFrame:
+    """KPI2 through ``plans.kpi.kpi2``: latest listing per key (ties by
+    price, then order key), zone attached after the deduplication, name
+    lookups on both sides, latest yearly income from nested documents."""
+    from zonekit.plans import kpi
+
+    o = listings(spark, d).select(
+        "o_custkey", scalar.calendar_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("price"), "o_orderkey"
+    )
+    latest = dedup.latest_by_key(o, ["o_custkey"], ["date", "price", "o_orderkey"])
+    cz = customer_zone(spark, d)
+    latest = latest.join(cz, latest.o_custkey == cz.c_custkey).select(F.col("zone").alias("neighborhood"), "price")
+    rent, income_lk = _name_lookups(spark, d)
+    out = kpi.kpi2(latest, rent, _income_documents(spark, d), income_lk)
+    return out.select("neighborhood", F.round("mean_price", 4).alias("mean_price"), F.round("rfd", 4).alias("rfd"))
+
+
+def kpi3_listing_model(spark: SparkSession, d: str) -> DataFrame:
+    """KPI3 through ``plans.kpi.kpi3``: an occupancy table per zone (mean
+    supplier balance) reconciled by name and joined to the latest income."""
+    from zonekit.plans import kpi
+
+    s = table(spark, d, "supplier").select("s_nationkey", "s_acctbal")
+    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    occ = aggregate.mean_by(
+        s.join(reconcile.checked_broadcast(n), s.s_nationkey == n.n_nationkey), ["n_name"], "s_acctbal", "o"
+    ).select(F.col("n_name").alias("Nom_Barri"), F.col("o").alias(kpi.OCCUPANCY_COLUMN))
+    _, income_lk = _name_lookups(spark, d)
+    out = kpi.kpi3(occ, _income_documents(spark, d), income_lk)
+    return out.select(
+        "neighborhood", F.round("inhabitants_family", 4).alias("inhabitants_family"), F.round("rfd", 4).alias("rfd")
+    )
+
+
 def kpi_occupancy_income(spark: SparkSession, d: str) -> DataFrame:
     """KPI3 table with rounded columns."""
     return occupancy_income(spark, d).select("zone", F.round("occ", 4).alias("occ"), F.round("income", 4).alias("income"))
@@ -481,6 +537,8 @@ QUERIES = {
     "kpi_occupancy_income": kpi_occupancy_income,
     "kpi2_correlation": kpi2_correlation,
     "kpi3_correlation": kpi3_correlation,
+    "kpi2_listing_model": kpi2_listing_model,
+    "kpi3_listing_model": kpi3_listing_model,
     "kpi1_daily": kpi1_daily,
     "kpi1_summary": kpi1_summary,
     "corr_pair": corr_pair,

@@ -232,3 +232,27 @@ def test_kpi2_pair_zone_keys(spark):
     # keyed on the name alone the two districts would merge into one mean
     merged = kpi.kpi2(latest.drop("district"), rent.drop("di").dropDuplicates(["ne"]).filter("ne_re = 'Centre One'"), docs, inc_lk)
     assert [tuple(r) for r in merged.collect()] == [("Centre One", 200.0, 50.0)]
+
+
+def test_command_line_report_from_parquet_snapshots(spark, inputs):
+    from zonekit.__main__ import main
+
+    # the JSON snapshots rewritten as one Parquet directory per date
+    pq_root = os.path.join(inputs["root"], "pq_snapshots")
+    for name, rows in fx.SNAPSHOTS.items():
+        if not rows:
+            continue
+        stem = name[: -len(".json")]
+        spark.createDataFrame(rows, schemas.LISTING_SCHEMA).write.parquet(os.path.join(pq_root, stem))
+    out = os.path.join(inputs["root"], "cli_pq")
+    main([
+        "report", "--parquet",
+        "--listings", pq_root,
+        "--rent-lookup", inputs["lookups"]["rent"],
+        "--income-docs", inputs["income_docs"],
+        "--income-lookup", inputs["lookups"]["income"],
+        "--occupancy", inputs["occupancy"],
+        "--out", out,
+    ])
+    k1 = readers.read_result_csv(spark, os.path.join(out, "kpi1"), schemas.KPI1_SCHEMA)
+    assert sorted((r.date, r.listings_count) for r in k1.collect()) == [("2020-01-02", 2), ("2020-06-01", 2)]

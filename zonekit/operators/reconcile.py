@@ -27,9 +27,13 @@ _CHECKED_MAX = 4096
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Bounded size check: one job over at most ``max_rows + 1`` rows that
-    counts them and measures their size (JSON length plus 8 bytes per
-    field, close to Spark's row size for short values).
+    """Bounded size check in two steps.  Rows: ``offset(max_rows).take(1)``
+    asks whether a row exists beyond the bound; Spark answers with its
+    incremental collection (one partition first, more only while rows are
+    missing) and returns at most one row, so a large input costs about one
+    task and reads no columns.  Bytes: only for an input already proven to
+    be small, one aggregation sums a per-row size (JSON length plus 8 bytes
+    per field, close to Spark's row size for short values).
 
     The answer is remembered per application for the same semantic plan
     over the same input files (Spark writers never reuse a part-file
@@ -51,12 +55,11 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes:
     row = F.struct(*[_q(c) for c in df.columns])
     width = 8 * len(df.columns)
     try:
-        probe = (
-            df.limit(max_rows + 1)
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(row)) + width).alias("b"))
-            .first()
-        )
-        ok = probe.n <= max_rows and (probe.b or 0) <= max_bytes
+        if df.select(F.lit(1).alias("x")).offset(max_rows).take(1):
+            ok = False
+        else:
+            size = df.agg(F.sum(F.octet_length(F.to_json(row)) + width).alias("b")).first().b
+            ok = (size or 0) <= max_bytes
     except AnalysisException:
         ok = False  # a column type JSON cannot render: size unknown, so no broadcast
     if key is not None and len(_CHECKED) < _CHECKED_MAX:

@@ -74,3 +74,15 @@ def test_apply_lookup_brute_force(spark, data, lookup):
     got = sorted((r.out, r.v) for r in reconcile.apply_lookup(df, lk, "name", "re", "out", lookup_raw="raw").collect())
     want = sorted((re, v) for name, v in data for raw, re in lookup if name is not None and name == raw)
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.floats(0, 100, allow_nan=False))), max_size=50))
+def test_unique_order_fast_path_matches_struct_form(spark, rows):
+    # a unique, non-null ordering column (the position) makes both forms pick the same row
+    data = [(k, i, p) for i, (k, p) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k int, seq long, price double")
+    fast = dedup.latest_by_key(df, ["k"], ["seq"], unique_order=True)
+    slow = dedup.latest_by_key(df, ["k"], ["seq"])
+    assert fast.columns == df.columns
+    assert sorted(map(tuple, fast.collect()), key=str) == sorted(map(tuple, slow.collect()), key=str)

@@ -125,7 +125,9 @@ def upsert_by_key(spark: SparkSession, d: str) -> DataFrame:
     """A3 / S3 / K9 put: last write (greatest order key) per (key, year)."""
     yr = scalar.year_of("o_orderdate").cast("bigint").alias("yr")  # SQL year() is a bigint
     o = listings(spark, d).select("o_custkey", yr, "o_orderkey", "o_totalprice")
-    return dedup.latest_by_key(o, ["o_custkey", "yr"], ["o_orderkey"]).select("o_custkey", "yr", "o_totalprice")
+    # o_orderkey is the order's primary key: unique and non-null within a key
+    latest = dedup.latest_by_key(o, ["o_custkey", "yr"], ["o_orderkey"], unique_order=True)
+    return latest.select("o_custkey", "yr", "o_totalprice")
 
 
 # ------------------------------------------------------------- reconcile

@@ -50,6 +50,9 @@ def summarise(plan: str) -> dict[str, object]:
     }
 
 
+FULL_PLANS = ["latest_by_key", "upsert_by_key", "kpi_price_income", "zone_ratio_by_year", "get_rows_by_table"]
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", shuffle_partitions=16)
@@ -71,6 +74,11 @@ def main() -> None:
         print(f"- **{name}**")
         for table, pushed, schema in scans:
             print(f"  - `{table}`: pushed [{pushed}]; `{schema}`")
+    print("\n## Full physical plans of representative queries\n")
+    for name in FULL_PLANS:
+        plan = E.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        plan = re.sub(r"Location: InMemoryFileIndex\(1 paths\)\[[^\]]*\], ", "", plan)
+        print(f"### {name}\n\n```\n{plan.rstrip()}\n```\n")
     spark.stop()
 
 

@@ -51,7 +51,8 @@ _DIMENSIONS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _dimension(spark: SparkSession, d: str, name: str, build) -> DataFrame:
-    """A dimension frame defined once per application and data folder.
+    """A shared sub-plan (dimension frame, derived lookup, KPI table feeding
+    several queries) defined once per application and data folder.
 
     A DataFrame is a plan, not data: every action still reads the files,
     so reusing the definition only saves rebuilding (and re-analysing) the
@@ -334,6 +335,10 @@ def zone_ratio_by_year(spark: SparkSession, d: str, years: tuple[int, ...] = (19
 def price_income(spark: SparkSession, d: str) -> DataFrame:
     """KPI2 shape, unrounded: latest listing per key (A2) -> mean price per
     zone (A7) -> name lookup (J4, P6) -> join zone income (J6)."""
+    return _dimension(spark, d, "price_income", _build_price_income)
+
+
+def _build_price_income(spark: SparkSession, d: str) -> DataFrame:
     o = listings(spark, d).select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     latest = dedup.latest_by_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
     price = aggregate.mean_through(latest, "o_custkey", "o_totalprice", customer_zone(spark, d), "c_custkey", ["zone"], "mean_price")
@@ -355,6 +360,10 @@ def kpi2_correlation(spark: SparkSession, d: str) -> DataFrame:
 def zone_income(spark: SparkSession, d: str) -> DataFrame:
     """Income per zone: mean c_acctbal per nation (broadcast join with the
     nation table is map-side, so the aggregate is partial before the shuffle)."""
+    return _dimension(spark, d, "zone_income", _build_zone_income)
+
+
+def _build_zone_income(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_nationkey", "c_acctbal")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     j = c.join(reconcile.checked_broadcast(n), c.c_nationkey == n.n_nationkey)
@@ -385,6 +394,10 @@ def kpi1_summary(spark: SparkSession, d: str) -> DataFrame:
 
 def occupancy_income(spark: SparkSession, d: str) -> DataFrame:
     """KPI3 shape, unrounded (J7, J8): occupancy and income per zone."""
+    return _dimension(spark, d, "occupancy_income", _build_occupancy_income)
+
+
+def _build_occupancy_income(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").select("s_nationkey", "s_acctbal")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     occ = aggregate.mean_by(
@@ -407,6 +420,10 @@ def _income_documents(spark: SparkSession, d: str) -> DataFrame:
     """Nested income documents derived from the facts: per zone an array of
     (year, RFD) with RFD = the year's highest price; one element per year,
     so the array is bounded by the calendar."""
+    return _dimension(spark, d, "_income_documents", _build_income_documents)
+
+
+def _build_income_documents(spark: SparkSession, d: str) -> DataFrame:
     o = listings(spark, d).select("o_custkey", scalar.year_of("o_orderdate").alias("year"), "o_totalprice")
     per_key = o.groupBy("o_custkey", "year").agg(F.max("o_totalprice").alias("m"))
     cz = customer_zone(spark, d)

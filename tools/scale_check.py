@@ -1,7 +1,11 @@
 """Hot-key check: do the key-based queries stay balanced when one key holds
 a third of all rows?
 
-Usage: python tools/scale_check.py [src_sf_dir] [copies]
+Usage: python tools/scale_check.py [src_sf_dir] [copies] [--sort-merge]
+
+``--sort-merge`` switches off Spark's automatic broadcast joins (static and
+adaptive), so the customer mapping is joined by sort-merge as it would be at
+scale; size-checked hints on small lookups still apply.
 
 Builds, in a fresh scratch folder, two copies of the source tables with
 ``orders`` repeated ``copies`` times (new order keys): one as is, one where
@@ -74,15 +78,17 @@ def stage_balance(log_dir: str) -> dict[str, list[tuple[int, float]]]:
 
 
 def main() -> None:
-    src = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    copies = int(sys.argv[2]) if len(sys.argv) > 2 else 10
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sort_merge = "--sort-merge" in sys.argv
+    src = args[0] if args else "/root/testdata/sf0.1"
+    copies = int(args[1]) if len(args) > 1 else 10
     scratch = tempfile.mkdtemp(prefix="zonekit-scale-")
     log_dir = os.path.join(scratch, "events")
     os.makedirs(log_dir)
-    spark = get_session(
-        "local[8]", shuffle_partitions=16,
-        conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir},
-    )
+    conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+    if sort_merge:
+        conf.update({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    spark = get_session("local[8]", shuffle_partitions=16, conf=conf)
     dirs = {"uniform": os.path.join(scratch, "uniform"), "hot": os.path.join(scratch, "hot")}
     for name, d in dirs.items():
         build(spark, src, d, copies, hot=(name == "hot"))

@@ -85,3 +85,13 @@ def test_table_falls_back_when_declared_schema_differs(spark, tmp_dir):
     spark.createDataFrame([(1, "R")], "r_regionkey long, r_name string").write.parquet(f"{d}/region.parquet")
     df = roles.table(spark, d, "region")  # file has r_regionkey as bigint, declared int
     assert dict(df.dtypes)["r_regionkey"] == "bigint" and df.count() == 1
+
+
+def test_shared_subplans_stay_in_their_session(spark):
+    from zonekit.plans import roles
+
+    other = spark.newSession()
+    a = roles.customer_zone(spark, SF)
+    b = roles.customer_zone(other, SF)
+    assert a is roles.customer_zone(spark, SF) and b is not a
+    assert b.sparkSession is other and b.count() == a.count()

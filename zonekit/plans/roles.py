@@ -17,6 +17,8 @@ large join moves one row per key instead of one per fact.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if _SCHEMA_OK[key] else spark.read.parquet(path)
 
 
-_DIMENSIONS: dict[tuple[str, str, str], DataFrame] = {}
+_DIMENSIONS: "weakref.WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]]" = weakref.WeakKeyDictionary()
 
 
 def _dimension(spark: SparkSession, d: str, name: str, build) -> DataFrame:
@@ -58,10 +60,11 @@ def _dimension(spark: SparkSession, d: str, name: str, build) -> DataFrame:
     so reusing the definition only saves rebuilding (and re-analysing) the
     same joins for every query.
     """
-    key = (spark.sparkContext.applicationId, d.rstrip("/"), name)
-    if key not in _DIMENSIONS:
-        _DIMENSIONS[key] = build(spark, d)
-    return _DIMENSIONS[key]
+    per_session = _DIMENSIONS.setdefault(spark, {})  # a frame never crosses sessions
+    key = (d.rstrip("/"), name)
+    if key not in per_session:
+        per_session[key] = build(spark, d)
+    return per_session[key]
 
 
 def geo(spark: SparkSession, d: str) -> DataFrame:

@@ -256,3 +256,16 @@ def test_command_line_report_from_parquet_snapshots(spark, inputs):
     ])
     k1 = readers.read_result_csv(spark, os.path.join(out, "kpi1"), schemas.KPI1_SCHEMA)
     assert sorted((r.date, r.listings_count) for r in k1.collect()) == [("2020-01-02", 2), ("2020-06-01", 2)]
+
+
+def test_reuse_cut_lineage_writes_to_checkpoint_dir(spark, tmp_dir):
+    from zonekit.session import checkpoint_dir, reuse
+
+    folder = checkpoint_dir(spark)
+    before = sum(len(files) for _, _, files in os.walk(folder))
+    df = spark.range(100).selectExpr("id", "id * 2 as v").filter("v > 10")
+    cut = reuse(df, cut_lineage=True)
+    after = sum(len(files) for _, _, files in os.walk(folder))
+    assert cut.count() == 94 and after > before  # data written under spark.checkpoint.dir
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan  # the lineage above the checkpoint is gone

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("ZONEKIT_ORACLE_SF", "/root/testdata/sf0.001")  # e.g. .../sf0.1 for a larger check
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 duckdb = pytest.importorskip("duckdb")

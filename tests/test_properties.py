@@ -86,3 +86,40 @@ def test_unique_order_fast_path_matches_struct_form(spark, rows):
     slow = dedup.latest_by_key(df, ["k"], ["seq"])
     assert fast.columns == df.columns
     assert sorted(map(tuple, fast.collect()), key=str) == sorted(map(tuple, slow.collect()), key=str)
+
+
+@SETTINGS
+@given(st.lists(st.integers(0, 40).map(lambda k: D(2020, 1, 1) + dt.timedelta(days=k)), min_size=0, max_size=60))
+def test_kpi1_summary_brute_force(spark, dates):
+    from zonekit.plans import kpi
+
+    df = spark.createDataFrame([(d,) for d in dates], "date date")
+    counts = {r.date: r.listings_count for r in aggregate.daily_counts(df).collect()}
+    want = defaultdict(int)
+    for d in dates:
+        want[d] += 1
+    assert counts == dict(want)
+    s = kpi.kpi1_summary(df).first()
+    if not dates:
+        assert s.avg_per_sampled_day is None and s.avg_per_calendar_day is None
+        return
+    assert s.avg_per_sampled_day == pytest.approx(len(dates) / len(want))
+    span = (max(dates) - min(dates)).days
+    assert (s.avg_per_calendar_day is None) if span == 0 else s.avg_per_calendar_day == pytest.approx(len(dates) / span)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.text("ab-c ", min_size=1, max_size=5), st.text("xy-z", min_size=1, max_size=5), st.integers(2000, 2030)), max_size=20))
+def test_composite_key_round_trip(spark, rows):
+    from pyspark.sql import functions as F
+
+    from zonekit.functions import scalar
+
+    df = spark.createDataFrame(rows, "d string, z string, y int")
+    k = df.select(scalar.composite_key("d", "z", "y").alias("k"))
+    got = [(r.a, r.b, r.c) for r in k.select(
+        scalar.split_key("k", 1).alias("a"), scalar.split_key("k", 2).alias("b"), scalar.split_key("k", 3).alias("c")
+    ).collect()]
+    # dashes inside parts become spaces, so the key splits back into its parts
+    assert sorted(got) == sorted((d.replace("-", " "), z.replace("-", " "), str(y)) for d, z, y in rows)
+    assert k.filter(F.size(F.split("k", "-")) != 3).count() == 0

@@ -123,3 +123,30 @@ def test_composite_key_round_trip(spark, rows):
     # dashes inside parts become spaces, so the key splits back into its parts
     assert sorted(got) == sorted((d.replace("-", " "), z.replace("-", " "), str(y)) for d, z, y in rows)
     assert k.filter(F.size(F.split("k", "-")) != 3).count() == 0
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.lists(st.tuples(st.integers(2010, 2020), st.floats(0, 200, allow_nan=False)), max_size=6)), max_size=15))
+def test_latest_from_array_brute_force(spark, arrays):
+    from zonekit.functions import nested
+
+    df = spark.createDataFrame(list(enumerate(arrays)), "id int, info array<struct<year:int, RFD:double>>")
+    got = {r.id: r.v for r in df.select("id", nested.latest_from_array("info").alias("v")).collect()}
+    for i, arr in enumerate(arrays):
+        # latest year; on a tie the larger value (our stated rule); empty or null -> null
+        want = max(arr)[1] if arr else None
+        assert got[i] == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.one_of(st.none(), st.dictionaries(st.sampled_from(["2015", "2016", "2017"]), st.floats(0, 100, allow_nan=False), max_size=3))), max_size=20))
+def test_avg_map_values_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "g string, m map<string,double>")
+    got = {r.g: r.avg for r in aggregate.avg_map_values(df, ["g"], "m").collect()}
+    acc = defaultdict(list)
+    for g, m in rows:
+        for v in (m or {}).values():
+            acc[g].append(v)
+    assert set(got) == set(acc)  # groups with only null/empty maps give no row (unwind drops them)
+    for g, vs in acc.items():
+        assert got[g] == pytest.approx(sum(vs) / len(vs))

@@ -150,3 +150,24 @@ def test_avg_map_values_brute_force(spark, rows):
     assert set(got) == set(acc)  # groups with only null/empty maps give no row (unwind drops them)
     for g, vs in acc.items():
         assert got[g] == pytest.approx(sum(vs) / len(vs))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(*[st.one_of(st.none(), st.floats(-50, 50, allow_nan=False, width=32)) for _ in range(3)]), min_size=3, max_size=40))
+def test_corr_matrix_matches_pandas_pairwise(spark, rows):
+    import math
+
+    import pandas as pd
+
+    from zonekit.operators import stats
+
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    got = {(r.a, r.b): r.r for r in stats.corr_matrix(df).collect()}
+    want = pd.DataFrame(rows, columns=["x", "y", "z"], dtype="float64").corr()  # pairwise complete observations
+    for (a, b), r in got.items():
+        w = want.loc[a, b]
+        spark_missing = r is None or math.isnan(r)
+        # too few complete pairs or no variance: both sides give no number
+        assert spark_missing == math.isnan(w), (a, b, r, w)
+        if not spark_missing:
+            assert r == pytest.approx(w, abs=1e-6)

@@ -27,9 +27,14 @@ _FIXED_WIDTH = (
 )
 
 
+def _ident(name: str) -> str:
+    """A column name as a quoted SQL identifier (dots, spaces, backticks)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _q(name: str) -> Column:  # shared with reconcile
     """A top-level column by its exact name (dots, spaces, backticks)."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(_ident(name))
 
 
 def _order_cols(order_by: Sequence[str | Column]) -> list[Column]:
@@ -68,16 +73,23 @@ def latest_by_key(
         and isinstance(order_by[0], str)
         and all(isinstance(f.dataType, _FIXED_WIDTH) for f in df.schema.fields if f.name not in keys)
     ):
-        o = order_by[0]
-        aggs = [(F.max(_q(o)) if c == o else F.max_by(_q(c), _q(o))).alias(c) for c in df.columns if c not in keys]
-        return df.groupBy(*[_q(k) for k in keys]).agg(*aggs).select(*[_q(c) for c in df.columns])
+        o = _ident(order_by[0])
+        aggs = [
+            F.expr(f"max({o})" if c == order_by[0] else f"max_by({_ident(c)}, {o})").alias(c)
+            for c in df.columns
+            if c not in keys
+        ]
+        return df.groupBy(*[_q(k) for k in keys]).agg(*aggs).selectExpr(*[_ident(c) for c in df.columns])
     if order_by and all(isinstance(o, str) for o in order_by):
         # struct comparison is field by field with null smallest, which is
         # "each column descending, nulls last" for the maximum
         rest = [c for c in df.columns if c not in keys]
         if not rest:
             return df.select(*[_q(k) for k in keys]).distinct()
-        best = F.max_by(F.struct(*[_q(c) for c in rest]), F.struct(*[_q(o) for o in order_by]))
+        # built from SQL text: one parse on the JVM instead of hundreds of Py4J calls
+        values = ", ".join(_ident(c) for c in rest)
+        order = ", ".join(_ident(o) for o in order_by)
+        best = F.expr(f"max_by(struct({values}), struct({order}))")
         return _unpack(df.groupBy(*[_q(k) for k in keys]).agg(best.alias(_RN)), keys, df.columns)
     return latest_by_key_window(df, keys, order_by)
 
@@ -89,17 +101,17 @@ def first_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*[_q(k) for k in keys]).distinct()
-    order = F.struct(*[F.struct(_q(o).isNull(), _q(o)) for o in order_by])
-    best = F.min_by(F.struct(*[_q(c) for c in rest]), order)
+    values = ", ".join(_ident(c) for c in rest)
+    order = ", ".join(f"struct({_ident(o)} IS NULL, {_ident(o)})" for o in order_by)
+    best = F.expr(f"min_by(struct({values}), struct({order}))")
     return _unpack(df.groupBy(*[_q(k) for k in keys]).agg(best.alias(_RN)), keys, df.columns)
 
 
 def _unpack(grouped: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Keys plus the fields of the winning-row struct, in the input's column order."""
-    rest = [c for c in columns if c not in keys]
-    cols = {k: _q(k) for k in keys}
-    cols.update({c: F.col(_RN).getField(c) for c in rest})
-    return grouped.select(*[cols[c].alias(c) for c in columns])
+    return grouped.selectExpr(
+        *[_ident(c) if c in keys else f"{_RN}.{_ident(c)} AS {_ident(c)}" for c in columns]
+    )
 
 
 def latest_by_key_window(

@@ -310,3 +310,10 @@ def test_upsert_in_load_order_with_explicit_order(spark):
     # read order alone: the later row wins; with an explicit order the larger file_no wins
     assert dedup.upsert_in_load_order(df, ["k"]).first().v == 2.0
     assert dedup.upsert_in_load_order(df, ["k"], order_by=["file_no"]).first().v == 1.0
+
+
+def test_corr_zero_variance_is_null_not_an_error(spark):
+    # Spark's corr raises DIVIDE_BY_ZERO here under ANSI mode; ours gives null
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, None)], "x double, y double")
+    assert stats.corr_pair(df, "x", "y").first().r is None
+    assert [r.r for r in stats.corr_matrix(df).collect()] == [None]

@@ -10,16 +10,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+def pearson(a: str | Column, b: str | Column) -> Column:
+    """Pearson correlation over the rows where both values are present.
+
+    Spark's ``corr`` raises DIVIDE_BY_ZERO under ANSI mode when a column has
+    no variance; here the same quantity, covariance over the square root of
+    the variances (Spark's stable co-moment aggregates), goes through
+    ``try_divide``, so that case gives null, as an undefined correlation.
+    """
+    x = F.col(a).try_cast("double") if isinstance(a, str) else a.try_cast("double")
+    y = F.col(b).try_cast("double") if isinstance(b, str) else b.try_cast("double")
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+
+
 def corr_pair(df: DataFrame, a: str, b: str, name: str = "r", by: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation of two columns (optionally per group)."""
-    agg = F.corr(F.col(a).try_cast("double"), F.col(b).try_cast("double")).alias(name)
+    agg = pearson(a, b).alias(name)
     return df.groupBy(*by).agg(agg) if by else df.agg(agg)
 
 
@@ -45,7 +59,7 @@ def corr_matrix(
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
     pairs = list(combinations(cols, 2))
-    aggs = [F.corr(F.col(x).try_cast("double"), F.col(y).try_cast("double")).alias(f"__zk_c{i}") for i, (x, y) in enumerate(pairs)]
+    aggs = [pearson(x, y).alias(f"__zk_c{i}") for i, (x, y) in enumerate(pairs)]
     one = df.agg(*aggs) if aggs else df.limit(0).select(F.lit(None).cast("double").alias("__zk_none"))
     entries = []
     for i, (x, y) in enumerate(pairs):

@@ -203,7 +203,9 @@ def report(
 
 def price_income_correlation(kpi: DataFrame, value: str = "mean_price", income: str = "rfd") -> DataFrame:
     """A16 over a KPI table."""
-    return kpi.agg(F.corr(value, income).alias("r"))
+    from zonekit.operators.stats import pearson
+
+    return kpi.agg(pearson(value, income).alias("r"))
 
 
 __all__ = [

@@ -156,7 +156,7 @@ def kpi2b(
         "year",
         dash_free("district").alias("district"),
         dash_free("neighborhood").alias("neighborhood"),
-    ).agg(safe_ratio(F.sum("__zk_sum") / F.sum("__zk_n"), F.max("rfd")).alias("ratio"))
+    ).agg(safe_ratio(safe_ratio(F.sum("__zk_sum"), F.sum("__zk_n")), F.max("rfd")).alias("ratio"))
 
 
 def report(

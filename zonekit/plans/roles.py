@@ -327,11 +327,11 @@ def zone_ratio_by_year(spark: SparkSession, d: str, years: tuple[int, ...] = (19
     z = zoned.groupBy("zone").agg(*[F.sum(c).alias(c) for c in state_cols])
     per_year = F.array(
         *[
-            F.struct(F.lit(y).cast("bigint").alias("yr"), (F.col(f"s{y}") / F.col(f"n{y}")).alias("b"), F.col(f"n{y}").alias("nb"))
+            F.struct(F.lit(y).cast("bigint").alias("yr"), scalar.safe_ratio(f"s{y}", f"n{y}").alias("b"), F.col(f"n{y}").alias("nb"))
             for y in years
         ]
     )
-    rows = z.select("zone", (F.col("s") / F.col("n")).alias("p"), F.inline(per_year)).filter(F.col("nb") > 0)
+    rows = z.select("zone", scalar.safe_ratio("s", "n").alias("p"), F.inline(per_year)).filter(F.col("nb") > 0)
     return rows.select("zone", "yr", F.round(scalar.safe_ratio("p", "b"), 6).alias("ratio"))
 
 

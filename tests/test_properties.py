@@ -171,3 +171,48 @@ def test_corr_matrix_matches_pandas_pairwise(spark, rows):
         assert spark_missing == math.isnan(w), (a, b, r, w)
         if not spark_missing:
             assert r == pytest.approx(w, abs=1e-6)
+
+
+names_st = st.sampled_from(["A", "B", "C", None])
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(st.tuples(names_st, st.floats(1, 1000, allow_nan=False)), max_size=25),
+    st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.sampled_from(["r1", "r2", "r3"])), max_size=4),
+    st.lists(
+        st.tuples(
+            st.sampled_from(["a", "b", "c"]),
+            st.one_of(st.none(), st.lists(st.tuples(st.integers(2015, 2018), st.floats(1, 200, allow_nan=False)), max_size=3)),
+        ),
+        max_size=4,
+        unique_by=lambda t: t[0],
+    ),
+    st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["r1", "r2", "r3"])), max_size=4),
+)
+def test_kpi2_brute_force(spark, listings, rent, docs, inc_lk):
+    from zonekit.plans import kpi
+
+    latest = spark.createDataFrame(listings, "neighborhood string, price double")
+    rent_df = spark.createDataFrame(rent, "ne string, ne_re string")
+    docs_df = spark.createDataFrame(docs, "neigh_name string, info array<struct<year:int, RFD:double>>")
+    inc_df = spark.createDataFrame(inc_lk, "neighborhood string, neighborhood_reconciled string")
+    def key(t):
+        return (t[0], t[1], t[2] is None, t[2] or 0.0)
+
+    got = sorted((tuple(r) for r in kpi.kpi2(latest, rent_df, docs_df, inc_df).collect()), key=key)
+
+    # plain Python: mean per raw name -> rent lookup; latest income per doc -> income lookup; join
+    sums = defaultdict(list)
+    for n, p in listings:
+        if n is not None:
+            sums[n].append(p)
+    price = [(re, sum(v) / len(v)) for n, v in sums.items() for ne, re in rent if ne == n]
+    income = []
+    for name, info in docs:
+        rfd = max(info)[1] if info else None
+        income += [(re, rfd) for raw, re in inc_lk if raw == name]
+    want = sorted(((re, p, r) for re, p in price for re2, r in income if re == re2), key=key)
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g[0] == w[0] and g[1] == pytest.approx(w[1]) and (g[2] == w[2])

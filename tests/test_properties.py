@@ -249,3 +249,39 @@ def test_latest_listings_brute_force(spark, rows):
     for k in want:
         # ties on (date, price) may pick either row; date and price are then equal anyway
         assert got[k][:2] == want[k][:2]
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(st.tuples(st.sampled_from(["D1", "D2"]), st.sampled_from(["N1", "N2"]), st.floats(1, 1000, allow_nan=False)), max_size=20),
+    st.lists(st.tuples(st.sampled_from([("D1", "N1"), ("D1", "N2"), ("D2", "N1"), ("D2", "N2")]), st.sampled_from(["I1", "I2", "I3"])),
+             max_size=4, unique_by=lambda t: t[0]),
+    st.lists(st.tuples(st.sampled_from(["I1", "I2", "I3"]), st.sampled_from([2014, 2015, 2016, 2017]), st.floats(1, 150, allow_nan=False)),
+             max_size=10, unique_by=lambda t: (t[0], t[1])),
+)
+def test_kpi2b_brute_force(spark, listings, links, incomes):
+    from zonekit.plans import kpi
+
+    latest = spark.createDataFrame(listings, "district string, neighborhood string, price double")
+    link = spark.createDataFrame(
+        [(d, n, "ID", i) for (d, n), i in links], "district string, neighborhood string, income_district string, income_neighborhood string"
+    )
+    income = spark.createDataFrame(
+        [(y, 1, "ID", 1, i, 100, r) for i, y, r in incomes],
+        "Any int, Codi_Districte int, Nom_Districte string, Codi_Barri int, Nom_Barri string, `Població` int, `Índex RFD Barcelona = 100` double",
+    )
+    got = {(r.year, r.district, r.neighborhood): r.ratio for r in kpi.kpi2b(latest, link, income).collect()}
+    prices = defaultdict(list)
+    for d, n, p in listings:
+        prices[(d, n)].append(p)
+    want = {}
+    for (d, n), i in links:
+        if (d, n) not in prices:
+            continue
+        mean = sum(prices[(d, n)]) / len(prices[(d, n)])
+        for i2, y, r in incomes:
+            if i2 == i and y in (2014, 2015, 2016):
+                want[(y, d, n)] = mean / r
+    assert set(got) == set(want)
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v)

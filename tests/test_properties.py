@@ -285,3 +285,25 @@ def test_kpi2b_brute_force(spark, listings, links, incomes):
     assert set(got) == set(want)
     for k, v in want.items():
         assert got[k] == pytest.approx(v)
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 100)), max_size=25),
+    st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=8),
+)
+def test_keyed_access_with_key_tables(spark, rows, keys):
+    from zonekit.operators import keyed
+
+    df = spark.createDataFrame(rows, "k int, v int")
+    kdf = spark.createDataFrame([(k,) for k in keys], "key int")
+    present = {k for k in keys if k is not None}
+
+    def srt(items):
+        return sorted(items, key=lambda t: (t[0] is None, t[0] or 0, t[1]))
+
+    got = srt(tuple(r) for r in keyed.get_rows(df, "k", kdf).collect())
+    assert got == srt((k, v) for k, v in rows if k is not None and k in present)  # semi join: null never matches
+    kept = srt(tuple(r) for r in keyed.delete_keys(df, "k", kdf).collect())
+    # anti join: a row survives unless its key is in the key table; a null key always survives
+    assert kept == srt((k, v) for k, v in rows if k is None or k not in present)

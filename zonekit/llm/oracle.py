@@ -1,3 +1,8 @@
 """DuckDB SQL for the queries that SQL can express (tables are pre-registered views)."""
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_exact_dedup": r"""
+        select doc_id, min(doc_id) over (partition by t) keep_id, count(*) over (partition by t) group_size,
+               doc_id = min(doc_id) over (partition by t) kept, sha256(t) text_sha256
+        from (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t from documents)""",
+}

@@ -64,6 +64,19 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(quoted(name).cast("string"), F.lit(""))
 
 
+def row_key(key: Column, body: Column) -> Column:
+    """A row's content key: its id and 128 bits of its text; equal for repeated rows only."""
+    shown = F.coalesce(key.cast("string"), F.lit(""))
+    return F.concat_ws(":", shown, F.xxhash64(body, F.lit(0)).cast("string"), F.xxhash64(body, F.lit(1)).cast("string"))
+
+
+def keep_rows(df: DataFrame, keys: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of ``df`` whose ``row_key`` is in ``keys`` (row), one of each, in its columns."""
+    row = free_name(df, "row_key")
+    marked = df.withColumn(row, row_key(quoted(key), text_or_empty(text)))
+    return marked.join(keys.select(F.col("row").alias(row)), row, "left_semi").dropDuplicates([row]).drop(row)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``max_bytes`` of ``column`` (one row at least)."""
     for batch in batches:

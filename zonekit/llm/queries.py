@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from zonekit.llm.exact_dedup import op4_exact_dedup
+from zonekit.llm.jaccard_join import op5_jaccard_join
 from zonekit.llm.quality import op10_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }

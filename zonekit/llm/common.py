@@ -102,7 +102,7 @@ def running_total(df: DataFrame, order: Sequence[Column], value: str, out: str,
     """
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part, inner, base = (free_name(df, x) for x in ("part", "inner", "base"))
+    part, inner, base = (free_name(df, f"{out}_{x}") for x in ("part", "inner", "base"))
     cut = staged(df.repartitionByRange(parts, *order).withColumn(part, F.spark_partition_id()), name)
     sums = cut.groupBy(part).agg(F.sum(value).alias("held"))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)

@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from zonekit.llm.exact_dedup import op4_exact_dedup
 from zonekit.llm.jaccard_join import op5_jaccard_join
+from zonekit.llm.mixing import op7_weighted_mix
+from zonekit.llm.packing import op9_hilbert_packing
 from zonekit.llm.quality import op10_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_jaccard_join": op5_jaccard_join,
+    "op7_weighted_mix": op7_weighted_mix,
+    "op9_hilbert_packing": op9_hilbert_packing,
     "op10_quality_rules": op10_quality_rules,
 }

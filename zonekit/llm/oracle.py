@@ -5,4 +5,11 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, min(doc_id) over (partition by t) keep_id, count(*) over (partition by t) group_size,
                doc_id = min(doc_id) over (partition by t) kept, sha256(t) text_sha256
         from (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t from documents)""",
+    "op6_warc_normaliser": r"""
+        with p as (select page_id, coalesce(html, '') h from pages),
+        g as (select *, max(page_id) over (partition by h) top, strlen(h) n from p)
+        select page_id, n payload_bytes, sha1(h) payload_digest,
+               case when n >= 1000 and page_id < top then 'revisit' else 'response' end record_type,
+               case when n >= 1000 and page_id < top then top end refers_to
+        from g""",
 }

@@ -11,10 +11,12 @@ from zonekit.llm.jaccard_join import op5_jaccard_join
 from zonekit.llm.mixing import op7_weighted_mix
 from zonekit.llm.packing import op9_hilbert_packing
 from zonekit.llm.quality import op10_quality_rules
+from zonekit.llm.warc import op6_warc_normaliser
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_warc_normaliser": op6_warc_normaliser,
     "op7_weighted_mix": op7_weighted_mix,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_quality_rules": op10_quality_rules,

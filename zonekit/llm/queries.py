@@ -10,6 +10,7 @@ from zonekit.llm.exact_dedup import op4_exact_dedup
 from zonekit.llm.jaccard_join import op5_jaccard_join
 from zonekit.llm.mixing import op7_weighted_mix
 from zonekit.llm.packing import op9_hilbert_packing
+from zonekit.llm.pii import op8_pii_sanitisation
 from zonekit.llm.quality import op10_quality_rules
 from zonekit.llm.warc import op6_warc_normaliser
 
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_warc_normaliser": op6_warc_normaliser,
     "op7_weighted_mix": op7_weighted_mix,
+    "op8_pii_sanitisation": op8_pii_sanitisation,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -12,9 +12,11 @@ from zonekit.llm.mixing import op7_weighted_mix
 from zonekit.llm.packing import op9_hilbert_packing
 from zonekit.llm.pii import op8_pii_sanitisation
 from zonekit.llm.quality import op10_quality_rules
+from zonekit.llm.substring_dedup import op1_sentence_span_dedup
 from zonekit.llm.warc import op6_warc_normaliser
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentence_span_dedup": op1_sentence_span_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_warc_normaliser": op6_warc_normaliser,

@@ -1,7 +1,6 @@
 """Exact deduplication against immutable snapshots.
 
-A snapshot holds the distinct normalised texts it has taken in (its exact
-buckets) and one static binary fuse filter for every bucket of digests.  An
+A snapshot holds the normalised texts it has taken in (its exact buckets) and one static binary fuse filter for every bucket of digests.  An
 incoming batch is digested and grouped by itself; its distinct digests are
 screened by the filters; only those that hit fetch their texts and are
 compared, byte by byte, with the snapshot's exact buckets.  Digests that the
@@ -54,16 +53,19 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("digest", F.lit(0)), F.lit(buckets)).cast("int")
 
 
-def build_snapshot(bodies: DataFrame, name: str) -> Snapshot:
-    """A snapshot of ``bodies`` (digest, body), written into the shared folder."""
-    exact = staged(bodies.select("digest", "body").distinct(), f"{name}-exact")
-    buckets = max(1, -(-exact.count() // KEYS_PER_FILTER))
+def build_snapshot(bodies: DataFrame, digests: DataFrame, name: str) -> Snapshot:
+    """A snapshot of ``bodies`` (digest, body), written into the shared folder.
+
+    ``digests`` are its distinct digests, one column.
+    """
+    exact = staged(bodies.select("digest", "body"), f"{name}-exact")
+    buckets = max(1, -(-digests.count() // KEYS_PER_FILTER))
 
     def build(key: tuple, rows: pa.Table) -> pa.Table:
         made = fuse.build(rows.column("key").to_numpy().view(np.uint64))
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([made], pa.binary())})
 
-    keys = exact.select(_bucket(buckets).alias("bucket"), F.xxhash64("digest").alias("key"))
+    keys = digests.select(_bucket(buckets).alias("bucket"), F.xxhash64("digest").alias("key"))
     filters = keys.groupBy("bucket").applyInArrow(build, "bucket int, filter binary")
     return Snapshot(exact, staged(filters, f"{name}-filters"), buckets)
 
@@ -86,11 +88,12 @@ def confirmed(new: DataFrame, bodies: DataFrame, snapshot: Snapshot) -> DataFram
     """Digests of ``new`` (digest, rep) whose text the snapshot holds, byte for byte.
 
     ``bodies`` (rep, digest, body) are the batch's rows; one row of each
-    group that hit is compared.
+    group that hit is compared.  Both sides are sorted and merged at every
+    size: the hits grow with the batch, so they are never broadcast.
     """
     hits = staged(new.join(screen(new.select("digest"), snapshot), "digest"), "screened")
-    reps = bodies.join(hits, ["rep", "digest"]).dropDuplicates(["rep", "digest"])
-    same = reps.alias("n").join(snapshot.exact.alias("s"), F.col("n.digest") == F.col("s.digest"))
+    reps = bodies.join(hits.hint("merge"), ["rep", "digest"]).dropDuplicates(["rep", "digest"])
+    same = snapshot.exact.alias("s").join(reps.alias("n").hint("merge"), F.col("n.digest") == F.col("s.digest"))
     return same.filter(F.col("n.body") == F.col("s.body")).select(F.col("n.digest").alias("digest")).distinct()
 
 
@@ -115,7 +118,7 @@ def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     groups = staged(table.groupBy("old", "digest").agg(first, F.count(F.lit(1)).alias("n")), "groups")
     was, new = groups.filter("old").drop("old"), groups.filter("not old").drop("old")
 
-    snapshot = build_snapshot(rows.filter("old"), "snapshot")
+    snapshot = build_snapshot(rows.filter("old"), was.select("digest"), "snapshot")
     reps = new.select("digest", F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("rep"))
     met = staged(confirmed(reps, rows.filter("not old"), snapshot), "confirmed").withColumn("met", F.lit(True))
 

@@ -191,18 +191,21 @@ def assess(docs: DataFrame, text: str = "text", rules: Rules | None = None, out:
     """``docs`` with a struct column of ``VERDICT``; returns its name too (free of clashes)."""
     rules = rules or Rules()
     out = out or free_name(docs, "quality")
-    columns = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, VERDICT)])
+    # by place, as a name with a dot cannot be handed to mapInArrow
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    body = columns[docs.columns.index(text)]
+    plain = docs.toDF(*columns)
+    schema = T.StructType([*plain.schema.fields, T.StructField("verdict", VERDICT)])
     fields = [(f.name, pa.int64() if f.dataType == T.LongType() else pa.bool_()) for f in VERDICT.fields[:-1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, text, 4 << 20):
-            got = judge(batch.column(text), rules)
+        for batch in text_slices(batches, body, 4 << 20):
+            got = judge(batch.column(body), rules)
             parts = [pa.array(got[name], type=kind) for name, kind in fields] + [pa.array(got["clean_text"], pa.string())]
             verdict = pa.StructArray.from_arrays(parts, names=[f.name for f in VERDICT.fields])
-            yield pa.RecordBatch.from_arrays([*batch.columns, verdict], names=[*columns, out])
+            yield pa.RecordBatch.from_arrays([*batch.columns, verdict], names=[*columns, "verdict"])
 
-    return docs.mapInArrow(run, schema), out
+    return plain.mapInArrow(run, schema).toDF(*docs.columns, out), out
 
 
 def clean_lines_then_reject(docs: DataFrame, text: str = "text", length: str | None = None, rules: Rules | None = None) -> DataFrame:

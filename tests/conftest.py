@@ -6,13 +6,13 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from zonekit.session import ensure_test_checkpoint_dir, get_session  # noqa: E402
+from zonekit.session import checkpoint_dir, get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[4]", app_name="zonekit-tests", shuffle_partitions=8)
-    ensure_test_checkpoint_dir(s)
+    checkpoint_dir(s, tempfile.mkdtemp(prefix="zonekit-ckpt-"))
     yield s
     s.stop()
 

@@ -34,18 +34,18 @@ def listing(code, municipality, district, neighborhood, price, distance="415", *
 
 SNAPSHOTS = {
     "2020_01_02_listings.json": [
-        listing("p1", "Barcelona", "Sants-Montjuïc", "El Poble Sec", 280000.0),
-        listing("p2", "Barcelona", "Eixample", "Fort Pienc", 300000.0),
-        listing("p5", "Barcelona", "Horta-Guinardó", "Horta", 200000.0),
+        listing("p1", "Barcelona", "Alta-Marçà", "El Camp Gran", 280000.0),
+        listing("p2", "Barcelona", "Quadrat", "Pont Gris", 300000.0),
+        listing("p5", "Barcelona", "Vall-Serradó", "Serra", 200000.0),
     ],
     "2020_06_01_listings.json": [
-        listing("p1", "Barcelona", "Sants-Montjuïc", "El Poble Sec", 290000.0),
-        listing("p3", "Barcelona", "Eixample", None, 1.0),  # no neighbourhood
+        listing("p1", "Barcelona", "Alta-Marçà", "El Camp Gran", 290000.0),
+        listing("p3", "Barcelona", "Quadrat", None, 1.0),  # no neighbourhood
         listing("p4", "Badalona", "Centre", "Centre", 2.0),  # other municipality
-        listing("p6", "Barcelona", "Eixample", "Fort Pienc", 100000.0, distance="bad"),
+        listing("p6", "Barcelona", "Quadrat", "Pont Gris", 100000.0, distance="bad"),
     ],
     "2020_11_11_listings.json": [],  # empty snapshot
-    "2021_01_01_listings.json": [listing("p7", "Barcelona", None, "Fort Pienc", 5.0)],  # no district key at all
+    "2021_01_01_listings.json": [listing("p7", "Barcelona", None, "Pont Gris", 5.0)],  # no district key at all
 }
 
 
@@ -68,14 +68,14 @@ def write_income_csv(root: str) -> str:
     os.makedirs(d, exist_ok=True)
     with open(os.path.join(d, "2015_income.csv"), "w", encoding="utf-8") as fp:
         fp.write(INCOME_HEADER)
-        fp.write('2015,3,"Sants-Montjuïc",11,"el Poble-sec",40000,"70.0"\n')
-        fp.write('2015,2,"Eixample",5,"Fort Pienc",30000,"100.0"\n')
+        fp.write('2015,3,"Alta-Marçà",11,"el Camp-gran",40000,"70.0"\n')
+        fp.write('2015,2,"Quadrat",5,"Pont Gris",30000,"100.0"\n')
     with open(os.path.join(d, "2016_income.csv"), "w", encoding="utf-8") as fp:
         fp.write(INCOME_HEADER)
-        fp.write('2016,3,"Sants-Montjuïc",11,"el Poble-sec",40000,"76.1"\n')
-        fp.write('2016,2,"Eixample",5,"Fort Pienc",30000,"106.5"\n')
-        fp.write('2016,1,"Ciutat Vella",4,"Sant Pere, Santa Caterina i la Ribera",20000,"64.7"\n')
-        fp.write('2016,2,"Eixample",5,"Fort Pienc",30001,"107.0"\n')  # repeated key: last wins
+        fp.write('2016,3,"Alta-Marçà",11,"el Camp-gran",40000,"76.1"\n')
+        fp.write('2016,2,"Quadrat",5,"Pont Gris",30000,"106.5"\n')
+        fp.write('2016,1,"Vila Fosca",4,"Santa Font, Santa Pedra i la Llera",20000,"64.7"\n')
+        fp.write('2016,2,"Quadrat",5,"Pont Gris",30001,"107.0"\n')  # repeated key: last wins
     return d
 
 
@@ -84,9 +84,9 @@ def write_occupancy_csv(root: str) -> str:
     os.makedirs(d, exist_ok=True)
     with open(os.path.join(d, "inhabitants.csv"), "w", encoding="utf-8-sig") as fp:  # with BOM
         fp.write('"Any","Codi_Districte","Nom_Districte","Codi_Barri","Nom_Barri","Poblacio","Domicilis","Ocupacio_mitjana_(persones_ per_domicili)"\n')
-        fp.write('2020,3,"Sants-Montjuïc",11,"el Poble-sec",40000,18518,"2.16"\n')
-        fp.write('2020,2,"Eixample",5,"Fort Pienc",30000,11538,"2.60"\n')
-        fp.write('2020,1,"Ciutat Vella",4,"Sant Pere, Santa Caterina i la Ribera",20000,8000,"2.50"\n')
+        fp.write('2020,3,"Alta-Marçà",11,"el Camp-gran",40000,18518,"2.16"\n')
+        fp.write('2020,2,"Quadrat",5,"Pont Gris",30000,11538,"2.60"\n')
+        fp.write('2020,1,"Vila Fosca",4,"Santa Font, Santa Pedra i la Llera",20000,8000,"2.50"\n')
     return os.path.join(d, "inhabitants.csv")
 
 
@@ -100,38 +100,38 @@ def write_pair_lookups(root: str) -> tuple[str, str]:
     b = os.path.join(d, "income_extended.csv")
     with open(a, "w") as fp:
         fp.write(PAIR_HEADER)
-        fp.write("Sants-Montjuïc,El Poble Sec,Sants-Montjuïc,sants montjuic,Q1,el Poble-sec,el poble sec,Q10\n")
-        fp.write("Eixample,Fort Pienc,Eixample,eixample,Q2,Fort Pienc,fort pienc,Q20\n")
-        fp.write("Horta-Guinardó,Horta,Horta-Guinardó,horta guinardo,Q3,Horta,horta,Q30\n")
+        fp.write("Alta-Marçà,El Camp Gran,Alta-Marçà,alta marca,Q1,el Camp-gran,el camp gran,Q10\n")
+        fp.write("Quadrat,Pont Gris,Quadrat,quadrat,Q2,Pont Gris,pont gris,Q20\n")
+        fp.write("Vall-Serradó,Serra,Vall-Serradó,vall serrado,Q3,Serra,serra,Q30\n")
     with open(b, "w") as fp:
         fp.write(PAIR_HEADER)
-        fp.write("Sants-Montjuïc,el Poble-sec,Sants-Montjuïc,sants montjuic,Q1,el Poble-sec,el poble sec,Q10\n")
-        fp.write("Eixample,Fort Pienc,Eixample,eixample,Q2,Fort Pienc,fort pienc,Q20\n")
-        fp.write('Ciutat Vella,"Sant Pere, Santa Caterina i la Ribera",Ciutat Vella,ciutat vella,Q4,Sant Pere,sant pere,Q40\n')
+        fp.write("Alta-Marçà,el Camp-gran,Alta-Marçà,alta marca,Q1,el Camp-gran,el camp gran,Q10\n")
+        fp.write("Quadrat,Pont Gris,Quadrat,quadrat,Q2,Pont Gris,pont gris,Q20\n")
+        fp.write('Vila Fosca,"Santa Font, Santa Pedra i la Llera",Vila Fosca,vila fosca,Q4,Santa Font,santa font,Q40\n')
     return a, b
 
 
 RENT_LOOKUP = [
-    {"_id": "Q10", "ne": "El Poble Sec", "ne_n": "el poble sec", "ne_re": "el Poble Sec"},
-    {"_id": "Q20", "ne": "Fort Pienc", "ne_n": "fort pienc", "ne_re": "Fort Pienc"},
-    {"_id": "Q30", "ne": "Horta", "ne_n": "horta", "ne_re": '"Horta, Barcelona"'},
+    {"_id": "Q10", "ne": "El Camp Gran", "ne_n": "el camp gran", "ne_re": "el Camp Gran"},
+    {"_id": "Q20", "ne": "Pont Gris", "ne_n": "pont gris", "ne_re": "Pont Gris"},
+    {"_id": "Q30", "ne": "Serra", "ne_n": "serra", "ne_re": '"Serra, Barcelona"'},
 ]
 INCOME_LOOKUP = [
-    {"_id": "Q10", "neighborhood": "el Poble-sec", "neighborhood_name": "el poble sec", "neighborhood_reconciled": "el Poble Sec"},
-    {"_id": "Q20", "neighborhood": "Fort Pienc", "neighborhood_name": "fort pienc", "neighborhood_reconciled": "Fort Pienc"},
-    {"_id": "Q30", "neighborhood": "Horta", "neighborhood_name": "horta", "neighborhood_reconciled": '"Horta, Barcelona"'},
+    {"_id": "Q10", "neighborhood": "el Camp-gran", "neighborhood_name": "el camp gran", "neighborhood_reconciled": "el Camp Gran"},
+    {"_id": "Q20", "neighborhood": "Pont Gris", "neighborhood_name": "pont gris", "neighborhood_reconciled": "Pont Gris"},
+    {"_id": "Q30", "neighborhood": "Serra", "neighborhood_name": "serra", "neighborhood_reconciled": '"Serra, Barcelona"'},
     # the raw name itself carries literal quotes, so it never matches the CSV name
-    {"_id": "Q40", "neighborhood": '"Sant Pere, Santa Caterina i la Ribera"', "neighborhood_name": "sant pere", "neighborhood_reconciled": '"Sant Pere, Santa Caterina i la Ribera"'},
+    {"_id": "Q40", "neighborhood": '"Santa Font, Santa Pedra i la Llera"', "neighborhood_name": "santa font", "neighborhood_reconciled": '"Santa Font, Santa Pedra i la Llera"'},
 ]
 INCOME_DISTRICT_LOOKUP = [
-    {"_id": "Q2", "district": "Eixample", "district_name": "eixample", "district_reconciled": "Eixample", "neighborhood_id": ["Q20"]},
+    {"_id": "Q2", "district": "Quadrat", "district_name": "quadrat", "district_reconciled": "Quadrat", "neighborhood_id": ["Q20"]},
 ]
 INCOME_DOCS = [
-    {"neigh_name": "el Poble-sec", "info": [{"year": 2016, "RFD": 76.1}, {"year": 2017, "RFD": 78.0}]},
-    {"neigh_name": "Fort Pienc", "info": [{"year": 2017, "RFD": 106.5}, {"year": 2015, "RFD": 100.0}]},
-    {"neigh_name": "Horta", "info": [{"year": 2016, "RFD": 90.0}, {"year": 2016, "RFD": 95.0}]},  # tie
-    {"neigh_name": "Vallvidrera", "info": []},
-    {"neigh_name": "Les Corts", "info": None},
+    {"neigh_name": "el Camp-gran", "info": [{"year": 2016, "RFD": 76.1}, {"year": 2017, "RFD": 78.0}]},
+    {"neigh_name": "Pont Gris", "info": [{"year": 2017, "RFD": 106.5}, {"year": 2015, "RFD": 100.0}]},
+    {"neigh_name": "Serra", "info": [{"year": 2016, "RFD": 90.0}, {"year": 2016, "RFD": 95.0}]},  # tie
+    {"neigh_name": "Vallombra", "info": []},
+    {"neigh_name": "Les Eres", "info": None},
 ]
 
 

@@ -55,9 +55,9 @@ def test_kpi2(spark, inputs):
     out = kpi.kpi2(latest, rent, docs, inc_lk)
     assert out.columns == ["neighborhood", "mean_price", "rfd"]
     got = sorted(tuple(r) for r in out.collect())
-    assert got == [("Fort Pienc", 200000.0, 106.5), ("Horta Barcelona", 200000.0, 95.0), ("el Poble Sec", 290000.0, 78.0)]
+    assert got == [("Pont Gris", 200000.0, 106.5), ("Serra Barcelona", 200000.0, 95.0), ("el Camp Gran", 290000.0, 78.0)]
     raw = sorted(r.neighborhood for r in kpi.kpi2(latest, rent, docs, inc_lk, clean_names=False).collect())
-    assert raw == ['"Horta, Barcelona"', "Fort Pienc", "el Poble Sec"]
+    assert raw == ['"Serra, Barcelona"', "Pont Gris", "el Camp Gran"]
     r = kpi.price_income_correlation(out).first().r
     assert -1.0 <= r <= 1.0
 
@@ -69,7 +69,7 @@ def test_kpi3(spark, inputs):
     docs = readers.read_json_lines(spark, inputs["income_docs"], schemas.INCOME_DOC_SCHEMA)
     got = sorted(tuple(r) for r in kpi.kpi3(occ, docs, inc_lk).collect())
     # the quoted raw name never matches: 3 occupancy rows -> 2 KPI rows
-    assert got == [("Fort Pienc", 2.6, 106.5), ("el Poble Sec", 2.16, 78.0)]
+    assert got == [("Pont Gris", 2.6, 106.5), ("el Camp Gran", 2.16, 78.0)]
 
 
 def test_kpi2b(spark, inputs):
@@ -80,15 +80,15 @@ def test_kpi2b(spark, inputs):
     income = readers.read_income_csv(spark, inputs["income_csv"])
     got = {(r.year, r.district, r.neighborhood): r.ratio for r in kpi.kpi2b(latest, to_income, income).collect()}
     assert set(got) == {
-        (2015, "Sants Montjuïc", "El Poble Sec"),
-        (2016, "Sants Montjuïc", "El Poble Sec"),
-        (2015, "Eixample", "Fort Pienc"),
-        (2016, "Eixample", "Fort Pienc"),
+        (2015, "Alta Marçà", "El Camp Gran"),
+        (2016, "Alta Marçà", "El Camp Gran"),
+        (2015, "Quadrat", "Pont Gris"),
+        (2016, "Quadrat", "Pont Gris"),
     }
-    assert got[(2016, "Sants Montjuïc", "El Poble Sec")] == pytest.approx(290000.0 / 76.1)
-    assert got[(2015, "Eixample", "Fort Pienc")] == pytest.approx(2000.0)
-    assert got[(2016, "Eixample", "Fort Pienc")] == pytest.approx(200000.0 / 107.0)  # last write wins
-    with pytest.raises(Exception):  # Horta has no lookup entry
+    assert got[(2016, "Alta Marçà", "El Camp Gran")] == pytest.approx(290000.0 / 76.1)
+    assert got[(2015, "Quadrat", "Pont Gris")] == pytest.approx(2000.0)
+    assert got[(2016, "Quadrat", "Pont Gris")] == pytest.approx(200000.0 / 107.0)  # last write wins
+    with pytest.raises(Exception):  # Serra has no lookup entry
         kpi.kpi2b(latest, to_income, income, strict=True).collect()
 
 
@@ -103,12 +103,12 @@ def test_etl1(spark, inputs):
     r = housing.filter("key = 'p1'").select("cf1.price", "cf2.date").first()
     assert (r.price, r.date) == ("290000.0", "2020-06-01")
     inc = spark.read.parquet(os.path.join(out, "income"))
-    fp = inc.filter("key = 'Eixample-Fort Pienc-2016'").first()
+    fp = inc.filter("key = 'Quadrat-Pont Gris-2016'").first()
     assert fp.cf1.rfd == "107.0"
     lk = spark.read.parquet(os.path.join(out, "listing-to-income"))
-    assert lk.filter("key = 'Sants-Montjuïc-El Poble Sec'").first().cf1.neighborhood == "el Poble-sec"
+    assert lk.filter("key = 'Alta-Marçà-El Camp Gran'").first().cf1.neighborhood == "el Camp-gran"
     missing = sorted((r.side, r.neighborhood) for r in spark.read.parquet(os.path.join(out, "unlinked")).collect())
-    assert missing == [("income", "Sant Pere, Santa Caterina i la Ribera"), ("listing", "Horta")]
+    assert missing == [("income", "Santa Font, Santa Pedra i la Llera"), ("listing", "Serra")]
 
 
 def test_etl2(spark, inputs):
@@ -175,15 +175,15 @@ def test_command_line(spark, inputs):
 def test_latest_income_null_and_empty(spark, inputs):
     docs = readers.read_json_lines(spark, inputs["income_docs"], schemas.INCOME_DOC_SCHEMA)
     got = {r.neigh_name: r.rfd for r in kpi.latest_income(docs).collect()}
-    assert got == {"el Poble-sec": 78.0, "Fort Pienc": 106.5, "Horta": 95.0, "Vallvidrera": None, "Les Corts": None}
+    assert got == {"el Camp-gran": 78.0, "Pont Gris": 106.5, "Serra": 95.0, "Vallombra": None, "Les Eres": None}
 
 
 def test_same_key_twice_on_one_date(spark, tmp_dir):
     d = os.path.join(tmp_dir, "tie")
     os.makedirs(d)
     rows = [
-        fx.listing("t1", "Barcelona", "Eixample", "Fort Pienc", 100.0),
-        fx.listing("t1", "Barcelona", "Eixample", "Fort Pienc", 150.0),
+        fx.listing("t1", "Barcelona", "Quadrat", "Pont Gris", 100.0),
+        fx.listing("t1", "Barcelona", "Quadrat", "Pont Gris", 150.0),
     ]
     with open(os.path.join(d, "2020_05_05_listings.json"), "w") as fp:
         import json
@@ -196,18 +196,18 @@ def test_same_key_twice_on_one_date(spark, tmp_dir):
 
 def test_kpi2_fan_out_of_reconciled_names(spark):
     latest = spark.createDataFrame(
-        [("Poble Sec", 100.0), ("El Poble Sec", 300.0)], "neighborhood string, price double"
+        [("Poble Sec", 100.0), ("El Camp Gran", 300.0)], "neighborhood string, price double"
     )
     rent = spark.createDataFrame(
-        [("Poble Sec", "el Poble Sec"), ("El Poble Sec", "el Poble Sec")], "ne string, ne_re string"
+        [("Poble Sec", "el Camp Gran"), ("El Camp Gran", "el Camp Gran")], "ne string, ne_re string"
     )
-    docs = spark.createDataFrame([("el Poble-sec", [(2017, 78.0)])], "neigh_name string, info array<struct<year:int, RFD:double>>")
+    docs = spark.createDataFrame([("el Camp-gran", [(2017, 78.0)])], "neigh_name string, info array<struct<year:int, RFD:double>>")
     inc_lk = spark.createDataFrame(
-        [("el Poble-sec", "el Poble Sec")], "neighborhood string, neighborhood_reconciled string"
+        [("el Camp-gran", "el Camp Gran")], "neighborhood string, neighborhood_reconciled string"
     )
     got = sorted(tuple(r) for r in kpi.kpi2(latest, rent, docs, inc_lk).collect())
     # two raw names, one reconciled name: one row per raw mean, not re-combined
-    assert got == [("el Poble Sec", 100.0, 78.0), ("el Poble Sec", 300.0, 78.0)]
+    assert got == [("el Camp Gran", 100.0, 78.0), ("el Camp Gran", 300.0, 78.0)]
 
 
 def test_kpi2_pair_zone_keys(spark):
@@ -269,3 +269,81 @@ def test_reuse_cut_lineage_writes_to_checkpoint_dir(spark, tmp_dir):
     assert cut.count() == 94 and after > before  # data written under spark.checkpoint.dir
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter" not in plan  # the lineage above the checkpoint is gone
+
+
+def _scan(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def _stored(spark, tmp_dir, name, rows, schema):
+    path = os.path.join(tmp_dir, name)
+    spark.createDataFrame(rows, schema).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+LISTING = "propertyCode string, date date, price double, district string, neighborhood string, municipality string, distance string, url string"
+
+
+def test_plans_read_only_what_they_need(spark, tmp_dir):
+    rows = [("p", dt.date(2020, 1, 2), 1.0, "D", "N", "Barcelona", "1", "u")]
+    listings = _stored(spark, tmp_dir, "listings", rows, LISTING)
+    plan = _scan(kpi.kpi1(kpi.latest_listings(listings, columns=("date",))))
+    assert "url" not in plan and "distance" not in plan
+    assert "IsNotNull(propertyCode)" in plan and "IsNotNull(neighborhood)" in plan and "EqualTo(municipality,Barcelona)" in plan
+    latest = kpi.latest_listings(listings, columns=("neighborhood", "price"))
+    assert latest.columns == ["neighborhood", "price"] and "url" not in _scan(latest)
+    income = _stored(
+        spark, tmp_dir, "income", [("D", "N", 2015, 70.0)],
+        "Nom_Districte string, Nom_Barri string, Any int, `Índex RFD Barcelona = 100` double",
+    )
+    link = spark.createDataFrame([("D", "N", "D", "N")], "district string, neighborhood string, income_district string, income_neighborhood string")
+    out = kpi.kpi2b(kpi.latest_listings(listings, columns=("district", "neighborhood", "price")), link, income)
+    assert "In(Any, [2014,2015,2016])" in _scan(out)
+
+
+def test_ties_never_depend_on_row_order(spark):
+    day = dt.date(2020, 1, 2)
+    rows = [("p", day, 5.0, "D", n, "Barcelona", "1", "u") for n in ("A", "C", "B")]
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        df = spark.createDataFrame(order, LISTING).repartition(3)
+        assert [r.neighborhood for r in kpi.latest_listings(df).collect()] == ["C"]
+
+
+def test_swapped_csv_columns_fail(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "swapped")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.csv"), "w") as fp:
+        fp.write('"Any","Codi_Districte","Nom_Districte","Codi_Barri","Nom_Barri","Índex RFD Barcelona = 100","Població"\n')
+        fp.write('2015,3,"D",11,"N","70.0",40000\n')
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_income_csv(spark, path).collect()
+
+
+def test_undated_snapshot_fails(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "listings.json"), "w") as fp:
+        fp.write('[{"propertyCode": "p"}]')
+    with pytest.raises(Exception, match="no date in name"):
+        readers.read_json_snapshots(spark, tmp_dir).collect()
+    assert readers.read_json_snapshots(spark, tmp_dir, strict_dates=False).first().date is None
+
+
+def test_documents_are_stored_whole(spark, inputs, tmp_dir):
+    docs = os.path.join(tmp_dir, "docs.json")
+    with open(docs, "w") as fp:
+        fp.write('{"_id": "Q1", "neigh_name": "N", "district": "D", "info": [{"year": 2016, "RFD": 70.0, "rest": 1}]}\n')
+    out = os.path.join(tmp_dir, "etl2")
+    etl.etl2(spark, docs, inputs["occupancy"], inputs["lookups"]["dir"], out)
+    row = spark.read.parquet(os.path.join(out, "income")).first()
+    assert (row["_id"], row["district"], row.info[0].rest) == ("Q1", "D", 1)
+
+
+def test_an_entry_is_linked_or_reported(spark, tmp_dir):
+    """A repeated (district, neighborhood) keeps its last ids, in the link and in the report."""
+    schema = "district string, neighborhood string, district_id string, neighborhood_id string"
+    ll = spark.createDataFrame([("D", "N", "1", "10"), ("D", "N", "1", "11")], schema).coalesce(1)
+    il = spark.createDataFrame([("d", "n", "1", "10")], schema)
+    linked, _ = etl.link_pair_lookups(ll, il)
+    kept = etl.upsert_in_load_order(ll, ["district", "neighborhood"])
+    lost = etl.unlinked(kept, il, ["district_id", "neighborhood_id"])
+    assert linked.count() == 0 and [r.neighborhood_id for r in lost.collect()] == ["11"]

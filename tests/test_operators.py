@@ -49,11 +49,11 @@ def test_upsert_in_load_order(spark):
 
 def test_clean_listings(spark):
     rows = [
-        ("1", "Barcelona", "Eixample", "Fort Pienc", "415"),
+        ("1", "Barcelona", "Quadrat", "Pont Gris", "415"),
         ("2", "Badalona", "X", "Y", "10"),  # other municipality
         ("3", "Barcelona", None, "Y", "10"),  # no district
         (None, "Barcelona", "A", "B", "1"),  # no key
-        ("4", "Barcelona", "Gràcia", "Vila de Gràcia", "bad"),  # bad distance -> null
+        ("4", "Barcelona", "Gràcia", "Vila de Marga", "bad"),  # bad distance -> null
     ]
     df = spark.createDataFrame(rows, "propertyCode string, municipality string, district string, neighborhood string, distance string")
     got = {r.propertyCode: r.distance for r in clean.clean_listings(df).collect()}
@@ -61,7 +61,7 @@ def test_clean_listings(spark):
 
 
 def test_project_odd_names(spark):
-    df = spark.createDataFrame([("el Raval", 2.78)], "`Nom_Barri` string, `Ocupacio_mitjana_(persones_ per_domicili)` double")
+    df = spark.createDataFrame([("el Rocar", 2.78)], "`Nom_Barri` string, `Ocupacio_mitjana_(persones_ per_domicili)` double")
     out = clean.project(df, {"n": "Nom_Barri", "o": "Ocupacio_mitjana_(persones_ per_domicili)"})
     assert out.columns == ["n", "o"] and out.first().o == 2.78
 
@@ -75,7 +75,7 @@ def test_family_table_strings(spark):
     )
     r = clean.family_table(df, as_strings=True).first()
     assert r.key == "k1"
-    assert r.cf1.price == "100.0" and r.cf2.date == "2020-01-02" and r.cf4.newDevelopment == "false"
+    assert r.cf1.price == "100.0" and r.cf2.date == "2020-01-02" and r.cf4.newDevelopment == "False"
     typed = clean.family_table(df).first()
     assert typed.cf1.price == 100.0 and typed.cf2.date == D(2020, 1, 2)
 
@@ -84,13 +84,13 @@ def test_family_table_strings(spark):
 
 
 def test_apply_lookup_inner_and_fanout(spark):
-    price = spark.createDataFrame([("Horta", 10.0), ("Sants", 20.0), ("Nowhere", 5.0), (None, 1.0)], "n string, p double")
+    price = spark.createDataFrame([("Serra", 10.0), ("Sants", 20.0), ("Nowhere", 5.0), (None, 1.0)], "n string, p double")
     lk = spark.createDataFrame(
-        [("Horta", '"Horta, Barcelona"'), ("Sants", "Sants"), ("Sants", "Sants Bis")], "ne string, ne_re string"
+        [("Serra", '"Serra, Barcelona"'), ("Sants", "Sants"), ("Sants", "Sants Bis")], "ne string, ne_re string"
     )
     out = reconcile.apply_lookup(price, lk, "n", "ne_re", "neighborhood", lookup_raw="ne")
     got = sorted((r.neighborhood, r.p) for r in out.collect())
-    assert got == [('"Horta, Barcelona"', 10.0), ("Sants", 20.0), ("Sants Bis", 20.0)]
+    assert got == [('"Serra, Barcelona"', 10.0), ("Sants", 20.0), ("Sants Bis", 20.0)]
     assert out.columns == ["neighborhood", "p"]
     keep = reconcile.apply_lookup(price, lk, "n", "ne_re", "re", lookup_raw="ne", keep_raw=True)
     assert set(keep.columns) == {"re", "n", "p"}
@@ -117,14 +117,6 @@ def test_strict_join(spark):
     assert [(r.k, r.name) for r in ok] == [("a", "A")]
 
 
-def test_checked_broadcast_bound(spark):
-    df = spark.range(10)
-    assert reconcile.fits_broadcast(df, 10) and not reconcile.fits_broadcast(df, 9)
-    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) as `odd name`")
-    assert reconcile.fits_broadcast(wide, 10, max_bytes=20_000)
-    assert not reconcile.fits_broadcast(wide, 10, max_bytes=5_000)  # few rows, too many bytes
-
-
 # -------------------------------------------------------------- aggregate
 
 
@@ -215,8 +207,11 @@ def test_keyed_access(spark):
     keys = spark.createDataFrame([("row2",), ("other",)], "k string")
     assert sorted(r.v for r in keyed.get_rows(df, "key", keys, ["v"]).collect()) == [2, 3]
     assert sorted(r.key for r in keyed.prefix_scan(df, "key", "row").collect()) == ["row1", "row2"]
-    # literal list: SQL NOT IN drops the null key; key table: anti join keeps it
-    assert sorted(r.v for r in keyed.delete_keys(df, "key", ["row1"]).collect()) == [2, 3]
+    # only named keys go; a null key stays, and a null among the keys deletes nothing
+    assert sorted(r.v for r in keyed.delete_keys(df, "key", ["row1"]).collect()) == [2, 3, 4]
+    for named in (["row1", None], spark.createDataFrame([("row1",), (None,)], "k string"), ["row1", None, *map(str, range(2000))]):
+        assert sorted(r.v for r in keyed.delete_keys(df, "key", named).collect()) == [2, 3, 4]
+        assert [r.v for r in keyed.get_rows(df, "key", named).collect()] == [1]
     assert sorted(r.v for r in keyed.delete_keys(df, "key", keys).collect()) == [1, 4]
     assert keyed.zone_equals(df, "v", 3).count() == 1
     assert keyed.scan(df, ["v"]).columns == ["v"]
@@ -248,16 +243,6 @@ def test_latest_by_key_forms_agree(spark):
     assert keys_only.count() == df.select("k", "v").distinct().count()
 
 
-def test_scale_conf():
-    from zonekit.session import GIB, scale_conf
-
-    big = scale_conf(100 * 1024 * GIB, 8000)  # 100 TiB on 1000 x 8 cores
-    assert int(big["spark.sql.shuffle.partitions"]) == 50_000
-    small = scale_conf(GIB, 8)
-    assert int(small["spark.sql.shuffle.partitions"]) == 24
-    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
-
-
 def test_with_constant_and_date_range(spark):
     df = spark.createDataFrame([(D(2020, 1, 2),), (D(2021, 3, 9),)], "date date")
     assert [r.src for r in clean.with_constant(df, "src", "x").collect()] == ["x", "x"]
@@ -317,3 +302,11 @@ def test_corr_zero_variance_is_null_not_an_error(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, None)], "x double, y double")
     assert stats.corr_pair(df, "x", "y").first().r is None
     assert [r.r for r in stats.corr_matrix(df).collect()] == [None]
+
+
+def test_correlation_leaves_out_nan_and_constant_columns(spark):
+    rows = [(1.0, 2.0, 5.0), (2.0, 4.0, 5.0), (3.0, float("nan"), 5.0), (4.0, 8.0, 5.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    assert stats.corr_pair(df, "a", "b").first().r == pytest.approx(1.0)
+    full = {(r.a, r.b): r.r for r in stats.corr_matrix(df, full=True).collect()}
+    assert full[("a", "a")] == 1.0 and full[("c", "c")] is None and full[("a", "c")] is None

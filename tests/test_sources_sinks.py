@@ -46,10 +46,10 @@ def test_income_csv_and_pair_lookup(spark, tmp_dir):
     inc = readers.read_income_csv(spark, fx.write_income_csv(tmp_dir))
     assert inc.count() == 6
     r = inc.filter(F.col("Codi_Barri") == 4).first()
-    assert r.Nom_Barri == "Sant Pere, Santa Caterina i la Ribera" and r["Índex RFD Barcelona = 100"] == 64.7
+    assert r.Nom_Barri == "Santa Font, Santa Pedra i la Llera" and r["Índex RFD Barcelona = 100"] == 64.7
     a, _ = fx.write_pair_lookups(tmp_dir)
     lk = readers.read_pair_lookup(spark, a)
-    assert lk.count() == 3 and lk.filter("neighborhood = 'Horta'").first().neighborhood_id == "Q30"
+    assert lk.count() == 3 and lk.filter("neighborhood = 'Serra'").first().neighborhood_id == "Q30"
 
 
 def test_json_lines_views_and_catalog(spark, tmp_dir):
@@ -62,7 +62,7 @@ def test_json_lines_views_and_catalog(spark, tmp_dir):
     dist = readers.read_json_lines(spark, lk["district"], schemas.INCOME_DISTRICT_LOOKUP_SCHEMA).first()
     assert dist.neighborhood_id == ["Q20"]
     generic = readers.read_source(spark, "json", lk["rent"], schemas.RENT_NAME_LOOKUP_SCHEMA)
-    assert generic.filter("ne = 'Horta'").first().ne_re == '"Horta, Barcelona"'
+    assert generic.filter("ne = 'Serra'").first().ne_re == '"Serra, Barcelona"'
 
 
 def test_write_read_back(spark, tmp_dir):
@@ -90,8 +90,8 @@ def test_write_read_back(spark, tmp_dir):
     writers.write(df, ppath)  # K5 full refresh
     assert spark.read.parquet(ppath).count() == 2
     cpath = os.path.join(tmp_dir, "clustered")
-    writers.write(df.withColumn("district", F.lit("Eixample")), cpath, cluster_by=["district", "date"], partition_by=["district"])
-    assert spark.read.parquet(cpath).filter("district = 'Eixample'").count() == 2
+    writers.write(df.withColumn("district", F.lit("Quadrat")), cpath, cluster_by=["district", "date"], partition_by=["district"])
+    assert spark.read.parquet(cpath).filter("district = 'Quadrat'").count() == 2
 
 
 def test_family_table_nested_pruning(spark, tmp_dir):

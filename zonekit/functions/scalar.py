@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Snapshot names start with the date as ``YYYY_MM_DD``
 # (e.g. ``2020_01_02_<source>.json`` or a directory ``2020_01_02_<source>``).
@@ -43,11 +44,6 @@ def date_from_name(
     return parsed
 
 
-def base_name(path: str | Column) -> Column:
-    """Last path element of a URI (file or directory name)."""
-    return F.regexp_extract(_col(path), r"([^/]+)/?$", 1)
-
-
 def parent_name(path: str | Column) -> Column:
     """Name of the directory that holds a file (a Parquet snapshot directory)."""
     return F.regexp_extract(_col(path), r"([^/]+)/[^/]+$", 1)
@@ -63,36 +59,28 @@ def directory_date(strict: bool = False) -> Column:
     return date_from_name(parent_name(F.col("_metadata.file_path")), strict=strict)
 
 
-# Text shapes Spark's cast can accept (supersets; whitespace = ASCII <= 0x20).
-_INTEGRAL = {"byte", "tinyint", "short", "smallint", "int", "integer", "long", "bigint"}
-_FLOATING = {"float", "real", "double"}
-INTEGRAL_TEXT = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
-FLOATING_TEXT = (
-    r"(?i)^[\x00-\x20]*[+-]?(nan|inf|infinity|0x[0-9a-f]*\.?[0-9a-f]*(p[+-]?[0-9]+)?"
-    r"|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)[df]?[\x00-\x20]*$"
-)
-
-
-def numeric(c: str | Column, to: str = "double", guard: bool = True) -> Column:
+def numeric(c: str | Column, to: str = "double") -> Column:
     """Cast *text* to a number; bad text becomes null instead of failing
-    (Spark 4 is ANSI, where a plain cast of ``''`` raises).
+    (Spark 4 is ANSI, where a plain cast of ``''`` raises)."""
+    return _col(c).try_cast(to)
 
-    ``try_cast`` pays for an exception on every bad value (about 10x the
-    cost of a good one); with ``guard`` a cheap pattern test that accepts a
-    superset of the castable shapes sends only plausible text to the cast,
-    so results are the same and mostly-bad columns stay fast.  Use
-    ``guard=False`` for non-text input."""
-    col = _col(c)
-    t = to.lower()
-    pattern = INTEGRAL_TEXT if t in _INTEGRAL else FLOATING_TEXT if t in _FLOATING else None
-    if not guard or pattern is None:
-        return col.try_cast(to)
-    return F.when(col.rlike(pattern), col.try_cast(to))
 
+def as_text(c: str | Column, kind: T.DataType | None = None) -> Column:
+    """P4 option: stringify a value as the wide-row store did.
 
-def as_text(c: str | Column) -> Column:
-    """P4 option: stringify a value as the wide-row store did."""
-    return _col(c).cast("string")
+    With the value's type, floating point numbers from 0.0001 up to 1e16 are
+    written without an exponent and truth values as ``True`` and ``False``.
+    """
+    col = _col(c)
+    text = col.cast("string")
+    if isinstance(kind, T.BooleanType):
+        return F.when(col, F.lit("True")).when(~col, F.lit("False"))
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        size = F.abs(col)
+        plain = F.regexp_replace(text.cast("double").try_cast("decimal(38,21)").cast("string"), "0+$", "")
+        plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+        return F.when((size >= 1e-4) & (size < 1e16) & text.contains("E"), plain).otherwise(text)
+    return text
 
 
 def iso_date_text(c: str | Column) -> Column:

@@ -59,8 +59,9 @@ def date_range(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str = "mean") -> DataFrame:
-    """Mean per group (sum and count, nulls skipped)."""
-    return df.groupBy(*keys).agg(F.avg(value).alias(name))
+    """Mean per group (sum and count, nulls skipped); the sum of a
+    decimal column is exact, so the mean then does not depend on row order."""
+    return df.groupBy(*keys).agg(safe_ratio(F.sum(value).cast("double"), F.count(value)).alias(name))
 
 
 def partial_mean(df: DataFrame, keys: Sequence[str | Column], value: str) -> DataFrame:
@@ -77,7 +78,7 @@ def partial_mean(df: DataFrame, keys: Sequence[str | Column], value: str) -> Dat
 
 def finish_mean(df: DataFrame, keys: Sequence[str | Column], name: str = "mean") -> DataFrame:
     """Combine ``partial_mean`` states per coarser key."""
-    return df.groupBy(*keys).agg(safe_ratio(F.sum("__zk_sum"), F.sum("__zk_n")).alias(name))
+    return df.groupBy(*keys).agg(safe_ratio(F.sum("__zk_sum").cast("double"), F.sum("__zk_n")).alias(name))
 
 
 def mean_through(
@@ -109,7 +110,10 @@ def ratio_by(
     """Mean of one column divided by a per-group constant (the income
     index of the zone and year); zero divisor -> null."""
     return df.groupBy(*keys).agg(
-        safe_ratio(F.avg(numerator_mean_of), F.first(denominator, ignorenulls=True)).alias(name)
+        safe_ratio(
+            safe_ratio(F.sum(numerator_mean_of).cast("double"), F.count(numerator_mean_of)),
+            F.first(denominator, ignorenulls=True),
+        ).alias(name)
     )
 
 

@@ -7,11 +7,12 @@ plain columns are pushed into the Parquet/JSON scan by Catalyst.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonekit.functions.scalar import as_text, numeric
+from zonekit.functions.scalar import as_text, composite_key, numeric
 
 # The listing attributes kept by the store and their column
 # families (row key = propertyCode).
@@ -37,8 +38,9 @@ DEFAULT_MUNICIPALITY = "Barcelona"
 
 
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """F1 (and F3 on a fixed schema): drop rows where any column is null."""
-    return df.dropna(how="any", subset=list(columns))
+    """F1 (and F3 on a fixed schema): drop rows where any column is null
+    (``IsNotNull`` filters, which reach the scan)."""
+    return df.filter(reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in columns]))
 
 
 def where_equals(df: DataFrame, column: str, value) -> DataFrame:
@@ -97,10 +99,32 @@ def family_table(
         elif as_strings and c == "date":
             v = F.date_format(F.col(c), "yyyy-MM-dd")
         else:
-            v = as_text(c) if as_strings else F.col(c)
+            v = as_text(c, df.schema[c].dataType) if as_strings else F.col(c)
         return v.alias(c)
 
     return df.select(
         F.col(key).alias("key"),
         *[F.struct(*[cell(c) for c in cols]).alias(fam) for fam, cols in families.items()],
     )
+
+
+def measure_table(df: DataFrame, parts: Sequence[str], values: Mapping[str, str], as_strings: bool = False) -> DataFrame:
+    """K3: composite key, its parts and a struct ``cf1`` of measures (name -> source column).
+
+    The separate key columns stay next to the display key, so joins never
+    split it."""
+    cells = [as_text(f"`{src}`", df.schema[src].dataType) if as_strings else F.col(f"`{src}`") for src in values.values()]
+    keys = [F.col(f"`{p}`") for p in parts]
+    return df.select(
+        composite_key(*keys, escape=False).alias("key"),
+        *keys,
+        F.struct(*[c.alias(n) for c, n in zip(cells, values)]).alias("cf1"),
+    )
+
+
+def lookup_table(linked: DataFrame, origin: Sequence[str], dest: Sequence[str]) -> DataFrame:
+    """K4: composite key of the origin and a struct ``cf1`` of the destination pair."""
+    return linked.select(
+        composite_key(*origin, escape=False).alias("key"),
+        F.struct(*[F.col(d).alias(n) for d, n in zip(dest, ("district", "neighborhood"))]).alias("cf1"),
+    )

@@ -12,12 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from zonekit.operators.reconcile import checked_broadcast
-
-# Fixed value: literal key lists up to this size become an ``IN`` filter
-# pushed to the scan; larger key sets should be passed as a DataFrame.
-MAX_LITERAL_KEYS = 10_000
+# Literal key lists up to this size become an ``IN`` filter pushed to the
+# scan; longer ones become a join.  The rows are the same.
+PUSHED_KEYS = 1000
 
 
 def scan(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -25,6 +24,20 @@ def scan(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df if columns is None else df.select(*columns)
 
 
+def _key_frame(df: DataFrame, key: str, keys: Sequence | DataFrame) -> DataFrame:
+    """The distinct non-null keys as a one-column frame."""
+    if isinstance(keys, DataFrame):
+        right = keys.select(F.col(keys.columns[0]).alias(key))
+    else:
+        kind = df.schema[key].dataType
+        right = df.sparkSession.createDataFrame([(k,) for k in keys], T.StructType([T.StructField(key, kind)]))
+    return right.filter(F.col(key).isNotNull()).distinct()
+
+
+def _short(keys: Sequence | DataFrame) -> bool:
+    return not isinstance(keys, DataFrame) and len(keys) <= PUSHED_KEYS
+
+
 def get_rows(
     df: DataFrame,
     key: str,
@@ -33,18 +46,14 @@ def get_rows(
 ) -> DataFrame:
     """Rows for one key or a key list; absent keys give no row.
 
-    A literal list becomes ``key IN (...)`` (pushed to Parquet); a key
-    DataFrame is made distinct (partial aggregation before any shuffle) and
-    becomes a left-semi join, broadcast only if proven small.
+    A short literal list becomes ``key IN (...)`` (pushed to Parquet); a
+    longer one, or a key DataFrame, is made distinct (partial aggregation
+    before any shuffle) and becomes a left-semi join, with the same rows.
     """
-    if isinstance(keys, DataFrame):
-        right = keys.select(F.col(keys.columns[0]).alias(key)).distinct()
-        out = df.join(checked_broadcast(right), key, "left_semi")
+    if _short(keys):
+        out = df.filter(F.col(key).isin([k for k in keys if k is not None]))
     else:
-        keys = list(keys)
-        if len(keys) > MAX_LITERAL_KEYS:
-            raise ValueError("pass a large key set as a DataFrame")
-        out = df.filter(F.col(key).isin(keys))
+        out = df.join(_key_frame(df, key, keys), key, "left_semi")
     return scan(out, columns)
 
 
@@ -56,13 +65,13 @@ def prefix_scan(df: DataFrame, key: str, prefix: str, columns: Sequence[str] | N
 def delete_keys(df: DataFrame, key: str, keys: Sequence | DataFrame) -> DataFrame:
     """the table without the given keys; write the result to a new path.
 
-    Literal list: ``NOT key IN (...)`` -- SQL semantics, a null key is also
-    dropped.  Key DataFrame: left-anti join, where a null key is kept.
+    Only named keys go: a row with a null key stays, and a null among the
+    keys deletes nothing, whether the keys are a list or a DataFrame.
     """
-    if isinstance(keys, DataFrame):
-        right = keys.select(F.col(keys.columns[0]).alias(key)).distinct()
-        return df.join(checked_broadcast(right), key, "left_anti")
-    return df.filter(~F.col(key).isin(list(keys)))
+    if _short(keys):
+        named = F.col(key).isin([k for k in keys if k is not None])
+        return df.filter(~F.coalesce(named, F.lit(False)))
+    return df.join(_key_frame(df, key, keys), key, "left_anti")
 
 
 def zone_equals(df: DataFrame, column: str, value, explain: bool = False) -> DataFrame:

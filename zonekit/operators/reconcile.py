@@ -1,9 +1,9 @@
 """Name reconciliation through lookup tables.
 
-Lookups are small reference tables (tens of rows per city).  They are
-broadcast only after a bounded row count proves them small; beyond the
-bound the join stays a shuffle join, which AQE may still turn into a
-broadcast join from the real runtime size.
+No side is broadcast by hint: Spark broadcasts a plain scan whose files are
+below ``spark.sql.autoBroadcastJoinThreshold``, and AQE turns other joins
+into broadcast joins from measured sizes.  Building a plan runs no job
+(``strict_join`` alone does, as it says).
 """
 
 from __future__ import annotations
@@ -13,71 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.errors import AnalysisException
-
 from zonekit.operators.dedup import _q, first_by_key
 
-# Largest lookup broadcast without a runtime decision.
-BROADCAST_MAX_ROWS = 100_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-_CHECKED: dict[tuple, bool] = {}
-_CHECKED_MAX = 4096
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Bounded size check in two steps.  Rows: ``offset(max_rows).take(1)``
-    asks whether a row exists beyond the bound; Spark answers with its
-    incremental collection (one partition first, more only while rows are
-    missing) and returns at most one row, so a large input costs about one
-    task and reads no columns.  Bytes: only for an input already proven to
-    be small, one aggregation sums a per-row size (JSON length plus 8 bytes
-    per field, close to Spark's row size for short values).
-
-    The answer is remembered per application for the same semantic plan
-    over the same input files (Spark writers never reuse a part-file
-    name), so a lookup is measured once, not once per query.
-    ``clear_broadcast_checks()`` forgets the answers.
-    """
-    try:
-        key = (
-            df.sparkSession.sparkContext.applicationId,
-            df.semanticHash(),
-            tuple(sorted(df.inputFiles())),
-            max_rows,
-            max_bytes,
-        )
-    except Exception:  # noqa: BLE001 - plans without a stable hash are simply not memoised
-        key = None
-    if key is not None and key in _CHECKED:
-        return _CHECKED[key]
-    row = F.struct(*[_q(c) for c in df.columns])
-    width = 8 * len(df.columns)
-    try:
-        if df.select(F.lit(1).alias("x")).offset(max_rows).take(1):
-            ok = False
-        else:
-            size = df.agg(F.sum(F.octet_length(F.to_json(row)) + width).alias("b")).first().b
-            ok = (size or 0) <= max_bytes
-    except AnalysisException:
-        ok = False  # a column type JSON cannot render: size unknown, so no broadcast
-    if key is not None and len(_CHECKED) < _CHECKED_MAX:
-        _CHECKED[key] = ok
-    return ok
-
-
-def clear_broadcast_checks() -> None:
-    _CHECKED.clear()
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for a side proven to hold at most ``max_rows`` rows
-    and ``BROADCAST_MAX_BYTES`` bytes; otherwise the frame is returned
-    unchanged (shuffle join, which AQE may still convert from runtime sizes)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def apply_lookup(
     df: DataFrame,
     lookup: DataFrame,
@@ -85,7 +22,6 @@ def apply_lookup(
     reconciled: str,
     out: str,
     lookup_raw: str | Sequence[str] | None = None,
-    max_rows: int = BROADCAST_MAX_ROWS,
     keep_raw: bool = False,
 ) -> DataFrame:
     """J4 / J5 / J7 + P6: inner join on the raw name(s), then re-key on
@@ -99,7 +35,7 @@ def apply_lookup(
         _q(reconciled).alias("__zk_re"),
     )
     cond = [_q(rc) == F.col(f"__zk_lk{i}") for i, rc in enumerate(raw_cols)]
-    joined = df.join(checked_broadcast(right, max_rows), cond, "inner")
+    joined = df.join(right, cond, "inner")
     rest = [_q(c) for c in df.columns if (keep_raw or c not in raw_cols) and c != out]
     return joined.select(F.col("__zk_re").alias(out), *rest)
 
@@ -109,7 +45,6 @@ def link_lookups(
     right: DataFrame,
     ids: Sequence[str],
     right_order: Sequence[str] | None = None,
-    max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Pair each entry of ``left`` with the entry of ``right`` that has
     the same id pair.  If ``right`` holds several entries with one id
@@ -117,24 +52,22 @@ def link_lookups(
     Entries without a partner are left out (see ``unlinked``)."""
     order = list(right_order or [c for c in right.columns if c not in ids])
     first = first_by_key(right, list(ids), order)
-    return left.join(checked_broadcast(first, max_rows), list(ids), "inner")
+    return left.join(first, list(ids), "inner")
 
 
 def unlinked(
     left: DataFrame,
     right: DataFrame,
     ids: Sequence[str],
-    max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Entries of ``left`` with no partner in ``right`` (left anti)."""
-    return left.join(checked_broadcast(right.select(*ids), max_rows), list(ids), "left_anti")
+    return left.join(right.select(*ids), list(ids), "left_anti")
 
 
 def strict_join(
     df: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
-    max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """J3 with ``strict``: inner join that fails when a row of ``df`` has
     no partner (the reference raises ``KeyError``).
@@ -145,7 +78,7 @@ def strict_join(
     rows before the check sees them.  Call it on reduced inputs (e.g. one
     row per zone), as ``kpi2b`` does.
     """
-    right = checked_broadcast(lookup, max_rows)
+    right = lookup
     miss = df.join(right.select(*on), list(on), "left_anti").limit(1).collect()
     if miss:
         raise KeyError(f"lookup has no entry for {miss[0].asDict()}")

@@ -27,6 +27,7 @@ def pearson(a: str | Column, b: str | Column) -> Column:
     """
     x = F.col(a).try_cast("double") if isinstance(a, str) else a.try_cast("double")
     y = F.col(b).try_cast("double") if isinstance(b, str) else b.try_cast("double")
+    x, y = F.when(~F.isnan(x), x), F.when(~F.isnan(y), y)  # not a number counts as missing
     x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
     return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
 
@@ -60,6 +61,8 @@ def corr_matrix(
     cols = list(columns) if columns is not None else numeric_columns(df)
     pairs = list(combinations(cols, 2))
     aggs = [pearson(x, y).alias(f"__zk_c{i}") for i, (x, y) in enumerate(pairs)]
+    if full:  # a column goes with itself, unless it does not vary
+        aggs += [pearson(x, x).alias(f"__zk_d{i}") for i, x in enumerate(cols)]
     one = df.agg(*aggs) if aggs else df.limit(0).select(F.lit(None).cast("double").alias("__zk_none"))
     entries = []
     for i, (x, y) in enumerate(pairs):
@@ -67,8 +70,9 @@ def corr_matrix(
         if full:
             entries.append(F.struct(F.lit(y).alias(a_name), F.lit(x).alias(b_name), F.col(f"__zk_c{i}").alias(r_name)))
     if full:
-        for x in cols:
-            entries.append(F.struct(F.lit(x).alias(a_name), F.lit(x).alias(b_name), F.lit(1.0).alias(r_name)))
+        for i, x in enumerate(cols):
+            itself = F.when(F.col(f"__zk_d{i}").isNotNull(), F.lit(1.0))
+            entries.append(F.struct(F.lit(x).alias(a_name), F.lit(x).alias(b_name), itself.alias(r_name)))
     if not entries:
         schema = f"{a_name} string, {b_name} string, {r_name} double"
         return df.sparkSession.createDataFrame([], schema)

@@ -12,7 +12,7 @@ from zonekit.operators.dedup import upsert_in_load_order
 from zonekit.operators.reconcile import link_lookups, unlinked
 from zonekit.plans.kpi import latest_listings
 from zonekit.sinks.writers import write, write_family_table, write_lookup_table, write_measure_table
-from zonekit.sources import readers, schemas
+from zonekit.sources import readers
 
 
 def _ids(lookup: DataFrame) -> DataFrame:
@@ -60,6 +60,8 @@ def etl1(
     write_lookup_table(to_income, os.path.join(out_dir, "listing-to-income"), ["district", "neighborhood"], ["income_district", "income_neighborhood"])
     write_lookup_table(to_listing, os.path.join(out_dir, "income-to-listing"), ["district", "neighborhood"], ["listing_district", "listing_neighborhood"])
     ids = ["district_id", "neighborhood_id"]
+    # the report is on the entries that are linked: last write wins, as in link_pair_lookups
+    ll, il = (upsert_in_load_order(_ids(x), ["district", "neighborhood"]) for x in (ll, il))
     missing = unlinked(_ids(ll), _ids(il), ids).withColumn("side", F.lit("listing")).unionByName(
         unlinked(_ids(il), _ids(ll), ids).withColumn("side", F.lit("income"))
     )
@@ -79,9 +81,10 @@ def etl2(
 ) -> DataFrame:
     """ETL2: import income documents, the occupancy CSV and every JSON
     lookup file (one table per file stem) into ``out_dir`` (K5 full
-    refresh or K6 append); returns the row count per table (A13)."""
+    refresh or K6 append); returns the row count per table (A13).
+    Documents are stored whole, with every field they have."""
     tables: dict[str, DataFrame] = {
-        "income": readers.read_json_lines(spark, income_docs_path, schemas.INCOME_DOC_SCHEMA),
+        "income": readers.read_json_lines(spark, income_docs_path),
         "inhabitants": readers.read_occupancy_csv(spark, occupancy_csv),
     }
     for row in readers.list_files(spark, lookup_dir, "*.json").collect():

@@ -17,23 +17,37 @@ from zonekit.functions.scalar import dash_free, safe_ratio, strip_quotes_commas
 from zonekit.operators.aggregate import daily_counts, mean_by, mean_of, partial_mean, per_calendar_day
 from zonekit.operators.clean import clean_listings, project
 from zonekit.operators.dedup import latest_by_key, upsert_in_load_order
-from zonekit.operators.reconcile import apply_lookup, checked_broadcast, join_on_reconciled, strict_join
+from zonekit.operators.reconcile import apply_lookup, join_on_reconciled, strict_join
 
 # Occupancy column of the household table.
 OCCUPANCY_COLUMN = "Ocupacio_mitjana_(persones_ per_domicili)"
 
 
+#: Columns that the KPIs read of a listing, besides those of the clean-up.
+KPI_COLUMNS = ("propertyCode", "date", "price", "district", "neighborhood")
+
+
 def latest_listings(
     listings: DataFrame,
     key: str = "propertyCode",
     date_col: str = "date",
     tie_break: Sequence[str] = ("price",),
     municipality: str | None = "Barcelona",
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Clean (F1, F2, P3) and keep the latest snapshot of each listing
-    (A1/A2).  Ties on the date are broken by ``tie_break`` descending."""
+    """Clean (F1, F2, P3) and keep the latest snapshot of each listing (A1/A2).
+
+    Ties on the date are broken by ``tie_break`` and then by all other
+    columns, descending, so the winner never depends on the order of rows.
+    ``columns`` names the columns wanted; the others are neither read nor
+    shuffled (they then break no tie either).
+    """
     clean = clean_listings(listings, municipality=municipality)
-    return latest_by_key(clean, [key], [date_col, *tie_break])
+    if columns is not None:
+        clean = clean.select(*dict.fromkeys([key, date_col, *tie_break, *columns]))
+    order = list(dict.fromkeys([date_col, *tie_break, *[c for c in clean.columns if c != key]]))
+    latest = latest_by_key(clean, [key], order)
+    return latest if columns is None else latest.select(*columns)
 
 
 def kpi1(latest: DataFrame, date_col: str = "date") -> DataFrame:
@@ -142,21 +156,22 @@ def kpi2b(
     states = partial_mean(latest, ["district", "neighborhood"], "price")
     link = listing_to_income.select("district", "neighborhood", "income_district", "income_neighborhood")
     states = strict_join(states, link, ["district", "neighborhood"]) if strict else states.join(
-        checked_broadcast(link), ["district", "neighborhood"], "inner"
+        link, ["district", "neighborhood"], "inner"
     )
-    income = upsert_in_load_order(income, ["Nom_Districte", "Nom_Barri", "Any"])
-    yearly = income.filter(F.col("Any").isin(list(years))).select(
+    # the year is part of the key, so the filter may come first
+    income = upsert_in_load_order(income.filter(F.col("Any").isin(list(years))), ["Nom_Districte", "Nom_Barri", "Any"])
+    yearly = income.select(
         F.col("Nom_Districte").alias("income_district"),
         F.col("Nom_Barri").alias("income_neighborhood"),
         F.col("Any").alias("year"),
         F.col("`Índex RFD Barcelona = 100`").alias("rfd"),
     )
-    joined = states.join(checked_broadcast(yearly), ["income_district", "income_neighborhood"], "inner")
+    joined = states.join(yearly, ["income_district", "income_neighborhood"], "inner")
     return joined.groupBy(
         "year",
         dash_free("district").alias("district"),
         dash_free("neighborhood").alias("neighborhood"),
-    ).agg(safe_ratio(safe_ratio(F.sum("__zk_sum"), F.sum("__zk_n")), F.max("rfd")).alias("ratio"))
+    ).agg(safe_ratio(safe_ratio(F.sum("__zk_sum").cast("double"), F.sum("__zk_n")), F.max("rfd")).alias("ratio"))
 
 
 def report(
@@ -167,20 +182,22 @@ def report(
     occupancy: DataFrame,
     out_dir: str | None = None,
     cut_lineage: bool = False,
+    single_file: bool = False,
 ) -> dict[str, DataFrame]:
     """The analysis run: KPI1, KPI2, KPI3 and their summary figures.
 
     The latest listings feed several KPIs, so they are kept (S12:
     persisted, or checkpointed into ``spark.checkpoint.dir`` with
     ``cut_lineage``); the income documents and lookups are small and are
-    simply read again.  With ``out_dir`` each KPI table is written as one
-    CSV with a header (K7).  The caller may ``unpersist`` the ``latest``
+    simply read again.  With ``out_dir`` each KPI table is written as CSV
+    with a header (K7), as one file if ``single_file`` (one task then writes
+    it, and runs what is not behind a shuffle).  The caller may ``unpersist`` the ``latest``
     frame afterwards.
     """
     from zonekit.session import reuse
-    from zonekit.sinks.writers import write_single_csv
+    from zonekit.sinks.writers import write, write_single_csv
 
-    latest = reuse(latest_listings(listings), cut_lineage)
+    latest = reuse(latest_listings(listings, columns=KPI_COLUMNS), cut_lineage)
     k1 = kpi1(latest)
     k2 = kpi2(latest, rent_lookup, income_docs, income_lookup)
     k3 = kpi3(occupancy, income_docs, income_lookup)
@@ -197,7 +214,11 @@ def report(
         summary = summary.unionByName(p)
     if out_dir is not None:
         for name, df in (("kpi1", k1), ("kpi2", k2), ("kpi3", k3)):
-            write_single_csv(df, f"{out_dir.rstrip('/')}/{name}")
+            path = f"{out_dir.rstrip('/')}/{name}"
+            if single_file:
+                write_single_csv(df, path)
+            else:
+                write(df, path, fmt="csv", header="true")
     return {"latest": latest, "kpi1": k1, "kpi2": k2, "kpi3": k3, "summary": summary}
 
 

@@ -6,9 +6,9 @@ snapshot date ``o_orderdate``, price ``o_totalprice``, tie-break
 ``region.r_name``; income is the mean ``c_acctbal`` (or the yearly mean
 ``o_totalprice``) per nation; occupancy the mean ``s_acctbal`` per nation;
 the year -> value object is ``events.props``.  Lookups reconcile
-``n_name`` to ``lower(n_name)`` and leave out nations with
-``n_nationkey % 4 = 0`` so that inner joins drop zones, as the real
-lookups do.
+``n_name`` to ``lower(n_name)`` and hold only the nations with at least
+the mean number of suppliers, so that inner joins drop zones, as the real
+lookups do; lookups by customer hold the customers that have orders.
 
 Every query reads whole tables.  Where a fact table meets a mapping
 table, facts are first reduced to one partial state per join key, so the
@@ -17,65 +17,24 @@ large join moves one row per key instead of one per fact.
 
 from __future__ import annotations
 
-import weakref
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonekit.functions import nested, scalar
 from zonekit.operators import aggregate, clean, dedup, keyed, reconcile, stats
-from zonekit.sources import readers, schemas
-
-
-_SCHEMA_OK: dict[tuple[str, str], bool] = {}
+from zonekit.sources import readers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables, read with its declared schema.
-
-    The declared schema is checked against the file once per application
-    (one footer read); after that, reads skip schema inference.  A table
-    whose file does not match (or an unknown table) is read with the
-    file's own schema, so a changed input never turns into silent nulls.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = schemas.DRIVER_TABLES.get(name)
-    if schema is None:
-        return spark.read.parquet(path)
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SCHEMA_OK:
-        actual = spark.read.parquet(path).schema
-        _SCHEMA_OK[key] = [(f.name, f.dataType) for f in actual] == [(f.name, f.dataType) for f in schema]
-    return spark.read.schema(schema).parquet(path) if _SCHEMA_OK[key] else spark.read.parquet(path)
-
-
-_DIMENSIONS: "weakref.WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]]" = weakref.WeakKeyDictionary()
-
-
-def _dimension(spark: SparkSession, d: str, name: str, build) -> DataFrame:
-    """A shared sub-plan (dimension frame, derived lookup, KPI table feeding
-    several queries) defined once per application and data folder.
-
-    A DataFrame is a plan, not data: every action still reads the files,
-    so reusing the definition only saves rebuilding (and re-analysing) the
-    same joins for every query.
-    """
-    per_session = _DIMENSIONS.setdefault(spark, {})  # a frame never crosses sessions
-    key = (d.rstrip("/"), name)
-    if key not in per_session:
-        per_session[key] = build(spark, d)
-    return per_session[key]
+    """One of the driver's tables, with the file's own schema (one footer read)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def geo(spark: SparkSession, d: str) -> DataFrame:
     """nation + region: (n_nationkey, zone, district, n_regionkey)."""
-    return _dimension(spark, d, "geo", _build_geo)
-
-
-def _build_geo(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "nation")
     r = table(spark, d, "region")
-    return n.join(reconcile.checked_broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         "n_nationkey", F.col("n_name").alias("zone"), F.col("r_name").alias("district"), "n_regionkey"
     )
 
@@ -83,23 +42,30 @@ def _build_geo(spark: SparkSession, d: str) -> DataFrame:
 def customer_zone(spark: SparkSession, d: str) -> DataFrame:
     """customer -> (c_custkey, zone, district): the mapping a listing's key
     goes through.  Grows with the customer table; it is never broadcast."""
-    return _dimension(spark, d, "customer_zone", _build_customer_zone)
-
-
-def _build_customer_zone(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    g = reconcile.checked_broadcast(geo(spark, d))
+    g = geo(spark, d)
     return c.join(g, c.c_nationkey == g.n_nationkey).select("c_custkey", "zone", "district")
 
 
+def _busy_nations(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of the nations with at least the mean number of suppliers."""
+    counts = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") >= counts.agg(F.avg("n")).scalar()).select("s_nationkey")
+
+
+def _held(lookup: DataFrame, busy: DataFrame, key: str) -> DataFrame:
+    return lookup.join(busy, lookup[key] == busy["s_nationkey"], "left_semi")
+
+
 def zone_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """Name lookup raw -> reconciled, with gaps (n_nationkey % 4 = 0 left out)."""
-    return _dimension(spark, d, "zone_lookup", _build_zone_lookup)
+    """Name lookup raw -> reconciled, with gaps."""
+    n = _held(table(spark, d, "nation"), _busy_nations(spark, d), "n_nationkey")
+    return n.select("n_name", F.lower("n_name").alias("re"))
 
 
-def _build_zone_lookup(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "nation")
-    return n.filter(F.col("n_nationkey") % 4 != 0).select("n_name", F.lower("n_name").alias("re"))
+def cents(name: str) -> Column:
+    """An amount as a decimal: sums of cents are exact, whatever their order."""
+    return F.col(name).cast("decimal(18,2)").alias(name)
 
 
 def listings(spark: SparkSession, d: str) -> DataFrame:
@@ -126,7 +92,7 @@ def required_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def snapshot_date(spark: SparkSession, d: str) -> DataFrame:
-    """P1 + P2 + P11: date parsed back from a ``YYYY_MM_DD_<name>.json`` name."""
+    """Date parsed back from a ``YYYY_MM_DD_<name>.json`` name."""
     o = listings(spark, d)
     name = F.concat(F.date_format("o_orderdate", "yyyy_MM_dd"), F.lit("_orders.json"))
     return o.select("o_orderkey", scalar.date_from_name(name).alias("snap_date"))
@@ -154,7 +120,7 @@ def latest_by_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def upsert_by_key(spark: SparkSession, d: str) -> DataFrame:
-    """A3 / S3 / K9 put: last write (greatest order key) per (key, year)."""
+    """A3: last write (greatest order key) per (key, year)."""
     yr = scalar.year_of("o_orderdate").cast("bigint").alias("yr")  # SQL year() is a bigint
     o = listings(spark, d).select("o_custkey", yr, "o_orderkey", "o_totalprice")
     # o_orderkey is the order's primary key: unique and non-null within a key
@@ -166,29 +132,28 @@ def upsert_by_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lookup_link(spark: SparkSession, d: str) -> DataFrame:
-    """J1 + K4: link two lookups through the shared id pair."""
+    """Link two lookups through the shared id pair."""
     g = geo(spark, d)
     a = g.select(F.col("district").alias("d"), F.col("zone").alias("z"), F.col("n_regionkey").alias("di"), F.col("n_nationkey").alias("zi"))
-    b = a.filter(F.col("zi") % 4 != 0).select(
-        F.lower("d").alias("d2"), F.lower("z").alias("z2"), "di", "zi"
-    )
+    b = _held(a, _busy_nations(spark, d), "zi").select(F.lower("d").alias("d2"), F.lower("z").alias("z2"), "di", "zi")
     return reconcile.link_lookups(a, b, ["di", "zi"], ["d2", "z2"]).select("d", "z", "d2", "z2")
 
 
 def lookup_missing(spark: SparkSession, d: str) -> DataFrame:
     """Entries without a partner."""
     n = table(spark, d, "nation").select(F.col("n_name").alias("z"), F.col("n_regionkey").alias("di"), F.col("n_nationkey").alias("zi"))
-    b = n.filter(F.col("zi") % 4 != 0).select("di", "zi")
+    b = _held(n, _busy_nations(spark, d), "zi").select("di", "zi")
     return reconcile.unlinked(n, b, ["di", "zi"]).select("z")
 
 
 def _customer_lookups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Two lookups that grow with the data: customers by (nation, key) with
-    their name, and a reconciled copy (lower-case names) with gaps."""
+    their name, and a reconciled copy (lower-case names) of those that have orders."""
     a = table(spark, d, "customer").select(
         F.col("c_name").alias("z"), F.col("c_nationkey").alias("di"), F.col("c_custkey").alias("zi")
     )
-    b = a.filter(F.col("zi") % 4 != 0).select(F.lower("z").alias("z2"), "di", "zi")
+    ordered = listings(spark, d).select("o_custkey").distinct()
+    b = a.join(ordered, a["zi"] == ordered["o_custkey"], "left_semi").select(F.lower("z").alias("z2"), "di", "zi")
     return a, b
 
 
@@ -220,7 +185,7 @@ def delete_keys_by_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def composite_key(spark: SparkSession, d: str) -> DataFrame:
-    """P8 + P9 + P10 + K3: distinct ``district-zone-year`` keys of listings.
+    """P8 + P9: distinct ``district-zone-year`` keys of listings.
 
     (key, year) pairs are made distinct before the join with customers; the
     partial distinct collapses a hot key in each map task.  Measured on 1.5M
@@ -233,12 +198,14 @@ def composite_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reconcile_names(spark: SparkSession, d: str) -> DataFrame:
-    """J4/J5/J7 + P5 + P6: mean income per reconciled zone name."""
-    c = table(spark, d, "customer").select("c_nationkey", "c_acctbal")
+    """J4/J5/J7 + P6: mean income per reconciled zone name."""
+    c = table(spark, d, "customer").select("c_nationkey", cents("c_acctbal"))
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
-    named = c.join(reconcile.checked_broadcast(n), c.c_nationkey == n.n_nationkey).select("n_name", "c_acctbal")
+    # the mean is taken per raw name, then the names are reconciled
+    income = aggregate.mean_by(c, ["c_nationkey"], "c_acctbal", "m")
+    named = income.join(n, income.c_nationkey == n.n_nationkey).select("n_name", "m")
     re = reconcile.apply_lookup(named, zone_lookup(spark, d), "n_name", "re", "re")
-    return aggregate.mean_by(re, ["re"], "c_acctbal", "m").select("re", F.round("m", 4).alias("m"))
+    return re.select("re", F.round("m", 4).alias("m"))
 
 
 # ------------------------------------------------------------ aggregates
@@ -247,7 +214,7 @@ def reconcile_names(spark: SparkSession, d: str) -> DataFrame:
 def count_by(spark: SparkSession, d: str) -> DataFrame:
     """A10: rows per district."""
     c = table(spark, d, "customer").select("c_nationkey")
-    g = reconcile.checked_broadcast(geo(spark, d))
+    g = geo(spark, d)
     j = c.join(g, c.c_nationkey == g.n_nationkey)
     return aggregate.count_by(j, [F.col("district").alias("r_name")], "n")
 
@@ -288,7 +255,7 @@ def mean_by(spark: SparkSession, d: str) -> DataFrame:
 
 
 def zone_mean_price(spark: SparkSession, d: str, name: str = "m") -> DataFrame:
-    o = listings(spark, d)
+    o = listings(spark, d).select("o_custkey", cents("o_totalprice"))
     return aggregate.mean_through(o, "o_custkey", "o_totalprice", customer_zone(spark, d), "c_custkey", ["zone"], name)
 
 
@@ -296,7 +263,7 @@ def latest_from_array(spark: SparkSession, d: str) -> DataFrame:
     """A18 + O2 + X4: per zone an array of (year, mean price) structs, then
     the value of the latest year.  The array has one element per year, so
     its length is bounded by the calendar, not by the data."""
-    o = listings(spark, d).withColumn("yr", scalar.year_of("o_orderdate"))
+    o = listings(spark, d).select("o_custkey", cents("o_totalprice"), scalar.year_of("o_orderdate").alias("yr"))
     yearly = aggregate.mean_through(
         o, "o_custkey", "o_totalprice", customer_zone(spark, d), "c_custkey", ["zone"], "v", fact_group=["yr"]
     )
@@ -305,7 +272,7 @@ def latest_from_array(spark: SparkSession, d: str) -> DataFrame:
 
 
 def zone_ratio_by_year(spark: SparkSession, d: str, years: tuple[int, ...] = (1996, 1997, 1998)) -> DataFrame:
-    """J3 + F5 + A9 + P13 (KPI2b): mean zone price / yearly zone income for
+    """F5 + P13: mean zone price / yearly zone income for
     the listed years (1996-1998).
 
     One conditional aggregation per customer key yields the all-years state
@@ -316,7 +283,7 @@ def zone_ratio_by_year(spark: SparkSession, d: str, years: tuple[int, ...] = (19
     (inner-join semantics)."""
     o = listings(spark, d)
     yr = scalar.year_of("o_orderdate")
-    price = F.col("o_totalprice")
+    price = cents("o_totalprice")
     aggs = [F.sum(price).alias("s"), F.count(price).alias("n")]
     for y in years:
         aggs += [F.sum(F.when(yr == y, price)).alias(f"s{y}"), F.count(F.when(yr == y, price)).alias(f"n{y}")]
@@ -327,22 +294,18 @@ def zone_ratio_by_year(spark: SparkSession, d: str, years: tuple[int, ...] = (19
     z = zoned.groupBy("zone").agg(*[F.sum(c).alias(c) for c in state_cols])
     per_year = F.array(
         *[
-            F.struct(F.lit(y).cast("bigint").alias("yr"), scalar.safe_ratio(f"s{y}", f"n{y}").alias("b"), F.col(f"n{y}").alias("nb"))
+            F.struct(F.lit(y).cast("bigint").alias("yr"), scalar.safe_ratio(F.col(f"s{y}").cast("double"), f"n{y}").alias("b"), F.col(f"n{y}").alias("nb"))
             for y in years
         ]
     )
-    rows = z.select("zone", scalar.safe_ratio("s", "n").alias("p"), F.inline(per_year)).filter(F.col("nb") > 0)
+    rows = z.select("zone", scalar.safe_ratio(F.col("s").cast("double"), "n").alias("p"), F.inline(per_year)).filter(F.col("nb") > 0)
     return rows.select("zone", "yr", F.round(scalar.safe_ratio("p", "b"), 6).alias("ratio"))
 
 
 def price_income(spark: SparkSession, d: str) -> DataFrame:
     """KPI2 shape, unrounded: latest listing per key (A2) -> mean price per
     zone (A7) -> name lookup (J4, P6) -> join zone income (J6)."""
-    return _dimension(spark, d, "price_income", _build_price_income)
-
-
-def _build_price_income(spark: SparkSession, d: str) -> DataFrame:
-    o = listings(spark, d).select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    o = listings(spark, d).select("o_custkey", "o_orderkey", "o_orderdate", cents("o_totalprice"))
     latest = dedup.latest_by_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
     price = aggregate.mean_through(latest, "o_custkey", "o_totalprice", customer_zone(spark, d), "c_custkey", ["zone"], "mean_price")
     income = zone_income(spark, d)
@@ -355,56 +318,58 @@ def kpi_price_income(spark: SparkSession, d: str) -> DataFrame:
     return price_income(spark, d).select("zone", F.round("mean_price", 4).alias("mean_price"), F.round("income", 4).alias("income"))
 
 
-def kpi2_correlation(spark: SparkSession, d: str) -> DataFrame:
-    """A16 over the KPI2 table: the price / income correlation."""
-    return stats.corr_pair(price_income(spark, d), "mean_price", "income", "r").select(F.round("r", 6).alias("r"))
-
-
 def zone_income(spark: SparkSession, d: str) -> DataFrame:
     """Income per zone: mean c_acctbal per nation (broadcast join with the
     nation table is map-side, so the aggregate is partial before the shuffle)."""
-    return _dimension(spark, d, "zone_income", _build_zone_income)
-
-
-def _build_zone_income(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer").select("c_nationkey", "c_acctbal")
+    c = table(spark, d, "customer").select("c_nationkey", cents("c_acctbal"))
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
-    j = c.join(reconcile.checked_broadcast(n), c.c_nationkey == n.n_nationkey)
+    j = c.join(n, c.c_nationkey == n.n_nationkey)
     return aggregate.mean_by(j, ["n_name"], "c_acctbal", "inc").withColumnRenamed("n_name", "zone")
 
 
-def latest_listings(spark: SparkSession, d: str) -> DataFrame:
-    """A2 on the role mapping: the latest listing per key, with its date."""
-    o = listings(spark, d).select("o_custkey", "o_orderkey", "o_orderdate")
-    latest = dedup.latest_by_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
-    return latest.select(scalar.calendar_date("o_orderdate").alias("date"))
+def listing_model(spark: SparkSession, d: str) -> DataFrame:
+    """Orders in the columns of a listing table (district and zone through the customer)."""
+    o = listings(spark, d)
+    cz = customer_zone(spark, d)
+    return o.join(cz, o.o_custkey == cz.c_custkey).select(
+        F.col("o_custkey").alias("propertyCode"),
+        scalar.calendar_date("o_orderdate").alias("date"),
+        cents("o_totalprice").alias("price"),
+        "o_orderkey",
+        "district",
+        F.col("zone").alias("neighborhood"),
+    )
+
+
+def latest_listings(spark: SparkSession, d: str, columns: tuple[str, ...]) -> DataFrame:
+    """A2 through ``plans.kpi.latest_listings``: ties by price, then order key."""
+    from zonekit.plans import kpi
+
+    rows = listing_model(spark, d)
+    return kpi.latest_listings(rows, tie_break=("price", "o_orderkey"), municipality=None, columns=columns)
 
 
 def kpi1_daily(spark: SparkSession, d: str) -> DataFrame:
     """KPI1: latest listing per key (A2) -> listings per date (A4, O1)."""
     from zonekit.plans import kpi
 
-    return kpi.kpi1(latest_listings(spark, d))
+    return kpi.kpi1(latest_listings(spark, d, ("date",)))
 
 
 def kpi1_summary(spark: SparkSession, d: str) -> DataFrame:
     """KPI1 + KPI1b scalars (A5, A6) on the deduplicated listings."""
     from zonekit.plans import kpi
 
-    s = kpi.kpi1_summary(latest_listings(spark, d))
+    s = kpi.kpi1_summary(latest_listings(spark, d, ("date",)))
     return s.select(*[F.round(c, 4).alias(c) for c in s.columns])
 
 
 def occupancy_income(spark: SparkSession, d: str) -> DataFrame:
     """KPI3 shape, unrounded (J7, J8): occupancy and income per zone."""
-    return _dimension(spark, d, "occupancy_income", _build_occupancy_income)
-
-
-def _build_occupancy_income(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "supplier").select("s_nationkey", "s_acctbal")
+    s = table(spark, d, "supplier").select("s_nationkey", cents("s_acctbal"))
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     occ = aggregate.mean_by(
-        s.join(reconcile.checked_broadcast(n), s.s_nationkey == n.n_nationkey), ["n_name"], "s_acctbal", "occ"
+        s.join(n, s.s_nationkey == n.n_nationkey), ["n_name"], "s_acctbal", "occ"
     ).withColumnRenamed("n_name", "zone")
     j = reconcile.join_on_reconciled(occ, zone_income(spark, d), "zone")
     return j.select(F.lower("zone").alias("zone"), "occ", F.col("inc").alias("income"))
@@ -413,7 +378,7 @@ def _build_occupancy_income(spark: SparkSession, d: str) -> DataFrame:
 def _name_lookups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Listing-side (ne -> ne_re) and income-side (neighborhood ->
     neighborhood_reconciled) name lookups, with the same gaps as above."""
-    n = table(spark, d, "nation").filter(F.col("n_nationkey") % 4 != 0)
+    n = _held(table(spark, d, "nation"), _busy_nations(spark, d), "n_nationkey")
     rent = n.select(F.col("n_name").alias("ne"), F.lower("n_name").alias("ne_re"))
     income = n.select(F.col("n_name").alias("neighborhood"), F.lower("n_name").alias("neighborhood_reconciled"))
     return rent, income
@@ -423,10 +388,6 @@ def _income_documents(spark: SparkSession, d: str) -> DataFrame:
     """Nested income documents derived from the facts: per zone an array of
     (year, RFD) with RFD = the year's highest price; one element per year,
     so the array is bounded by the calendar."""
-    return _dimension(spark, d, "_income_documents", _build_income_documents)
-
-
-def _build_income_documents(spark: SparkSession, d: str) -> DataFrame:
     o = listings(spark, d).select("o_custkey", scalar.year_of("o_orderdate").alias("year"), "o_totalprice")
     per_key = o.groupBy("o_custkey", "year").agg(F.max("o_totalprice").alias("m"))
     cz = customer_zone(spark, d)
@@ -436,36 +397,65 @@ def _build_income_documents(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def kpi2_listing_model(spark: SparkSession, d: str) -> DataFrame:
-    """KPI2 through ``plans.kpi.kpi2``: latest listing per key (ties by
-    price, then order key), zone attached after the deduplication, name
-    lookups on both sides, latest yearly income from nested documents."""
+def _kpi2(spark: SparkSession, d: str) -> DataFrame:
     from zonekit.plans import kpi
 
-    o = listings(spark, d).select(
-        "o_custkey", scalar.calendar_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("price"), "o_orderkey"
-    )
-    latest = dedup.latest_by_key(o, ["o_custkey"], ["date", "price", "o_orderkey"])
-    cz = customer_zone(spark, d)
-    latest = latest.join(cz, latest.o_custkey == cz.c_custkey).select(F.col("zone").alias("neighborhood"), "price")
     rent, income_lk = _name_lookups(spark, d)
-    out = kpi.kpi2(latest, rent, _income_documents(spark, d), income_lk)
+    return kpi.kpi2(latest_listings(spark, d, ("neighborhood", "price")), rent, _income_documents(spark, d), income_lk)
+
+
+def kpi2_listing_model(spark: SparkSession, d: str) -> DataFrame:
+    """KPI2 through ``plans.kpi.kpi2``: latest listing per key, name lookups
+    on both sides, latest yearly income from nested documents."""
+    out = _kpi2(spark, d)
     return out.select("neighborhood", F.round("mean_price", 4).alias("mean_price"), F.round("rfd", 4).alias("rfd"))
 
 
-def kpi3_listing_model(spark: SparkSession, d: str) -> DataFrame:
-    """KPI3 through ``plans.kpi.kpi3``: an occupancy table per zone (mean
-    supplier balance) reconciled by name and joined to the latest income."""
+def kpi2_correlation(spark: SparkSession, d: str) -> DataFrame:
+    """A16 over the reconciled KPI2 table: the price / income correlation."""
+    return stats.corr_pair(_kpi2(spark, d), "mean_price", "rfd", "r").select(F.round("r", 6).alias("r"))
+
+
+def kpi2b_listing_model(spark: SparkSession, d: str) -> DataFrame:
+    """KPI2b through ``plans.kpi.kpi2b``: pair lookups linked by id (J1, J3),
+    yearly income rows, ratio per zone and year (A9, F5)."""
+    from zonekit.plans import etl, kpi
+
+    g = geo(spark, d).select("district", F.col("zone").alias("neighborhood"), F.col("n_regionkey").alias("district_id"), F.col("n_nationkey").alias("neighborhood_id"))
+    other = _held(g, _busy_nations(spark, d), "neighborhood_id")
+    other = other.withColumns({c: F.lower(c) for c in ("district", "neighborhood")})
+    to_income, _ = etl.link_pair_lookups(g, other)
+    o = listings(spark, d).select("o_custkey", scalar.year_of("o_orderdate").alias("year"), "o_totalprice")
+    cz = customer_zone(spark, d)
+    top = o.groupBy("o_custkey", "year").agg(F.max("o_totalprice").alias("m"))
+    income = top.join(cz, top.o_custkey == cz.c_custkey).groupBy("district", "zone", "year").agg(F.max("m").alias("m"))
+    income = income.select(
+        F.lower("district").alias("Nom_Districte"),
+        F.lower("zone").alias("Nom_Barri"),
+        F.col("year").alias("Any"),
+        F.col("m").alias("Índex RFD Barcelona = 100"),
+    )
+    latest = latest_listings(spark, d, ("district", "neighborhood", "price"))
+    out = kpi.kpi2b(latest, to_income, income, years=(1996, 1997, 1998))
+    return out.select(F.col("year").cast("bigint").alias("year"), "district", "neighborhood", F.round("ratio", 6).alias("ratio"))
+
+
+def _kpi3(spark: SparkSession, d: str) -> DataFrame:
     from zonekit.plans import kpi
 
-    s = table(spark, d, "supplier").select("s_nationkey", "s_acctbal")
+    s = table(spark, d, "supplier").select("s_nationkey", cents("s_acctbal"))
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     occ = aggregate.mean_by(
-        s.join(reconcile.checked_broadcast(n), s.s_nationkey == n.n_nationkey), ["n_name"], "s_acctbal", "o"
+        s.join(n, s.s_nationkey == n.n_nationkey), ["n_name"], "s_acctbal", "o"
     ).select(F.col("n_name").alias("Nom_Barri"), F.col("o").alias(kpi.OCCUPANCY_COLUMN))
     _, income_lk = _name_lookups(spark, d)
-    out = kpi.kpi3(occ, _income_documents(spark, d), income_lk)
-    return out.select(
+    return kpi.kpi3(occ, _income_documents(spark, d), income_lk)
+
+
+def kpi3_listing_model(spark: SparkSession, d: str) -> DataFrame:
+    """KPI3 through ``plans.kpi.kpi3``: an occupancy table per zone (mean
+    supplier balance) reconciled by name and joined to the latest income."""
+    return _kpi3(spark, d).select(
         "neighborhood", F.round("inhabitants_family", 4).alias("inhabitants_family"), F.round("rfd", 4).alias("rfd")
     )
 
@@ -476,8 +466,8 @@ def kpi_occupancy_income(spark: SparkSession, d: str) -> DataFrame:
 
 
 def kpi3_correlation(spark: SparkSession, d: str) -> DataFrame:
-    """A16 over the KPI3 table: the occupancy / income correlation."""
-    return stats.corr_pair(occupancy_income(spark, d), "occ", "income", "r").select(F.round("r", 6).alias("r"))
+    """A16 over the reconciled KPI3 table: the occupancy / income correlation."""
+    return stats.corr_pair(_kpi3(spark, d), "inhabitants_family", "rfd", "r").select(F.round("r", 6).alias("r"))
 
 
 # ------------------------------------------------------------------ stats
@@ -537,7 +527,7 @@ def zone_equals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, d: str) -> DataFrame:
-    """A13 + S10."""
+    """A13."""
     return aggregate.table_counts(
         {n: table(spark, d, n) for n in ("orders", "customer", "events")}, "t", "n"
     )
@@ -549,14 +539,69 @@ def head_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def family_table(spark: SparkSession, d: str) -> DataFrame:
-    """K2 + P4: values rendered as stored text."""
+    """K2 + P4: one struct per column family, values as stored text (prices
+    in whole cents, well above 1e7, have no exponent)."""
+    rows = listings(spark, d).select(
+        "o_orderkey", "o_orderpriority", (F.floor("o_totalprice") * 100).cast("double").alias("price"),
+        scalar.calendar_date("o_orderdate").alias("date"),
+    )
+    out = clean.family_table(rows, "o_orderkey", {"cf1": ["o_orderpriority", "price"], "cf2": ["date"]}, as_strings=True)
+    return out.select("key", "cf1.o_orderpriority", "cf1.price", F.col("cf2.date").alias("d"))
+
+
+def measure_table(spark: SparkSession, d: str) -> DataFrame:
+    """K3: the composite key with its parts and measures, one row per nation."""
+    g = geo(spark, d).withColumn("measure", F.col("n_nationkey") * 2)
+    out = clean.measure_table(g, ["district", "zone", "n_nationkey"], {"measure": "measure"}, as_strings=True)
+    return out.select("key", "district", "zone", "n_nationkey", "cf1.measure")
+
+
+def lookup_table(spark: SparkSession, d: str) -> DataFrame:
+    """K4: the composite key of the origin and the names of the destination."""
+    out = clean.lookup_table(lookup_link(spark, d), ["d", "z"], ["d2", "z2"])
+    return out.select("key", "cf1.district", "cf1.neighborhood")
+
+
+def split_key(spark: SparkSession, d: str) -> DataFrame:
+    """P10: the parts of a composite key (P8, P9); a fourth part gives null."""
+    keys = geo(spark, d).select("n_nationkey", scalar.composite_key("district", "zone", "n_nationkey").alias("k"))
+    parts = [scalar.split_key("k", i + 1).alias(f"p{i + 1}") for i in range(4)]
+    return keys.select("n_nationkey", *parts)
+
+
+def parse_date(spark: SparkSession, d: str) -> DataFrame:
+    """Calendar date from the text of a timestamp."""
     o = listings(spark, d)
-    return o.select(
-        "o_orderkey",
-        "o_orderpriority",
-        scalar.as_text("o_totalprice").alias("price"),
-        scalar.iso_date_text("o_orderdate").alias("d"),
-    )
+    text = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    return o.select("o_orderkey", scalar.parse_date_prefix(text).alias("day"))
+
+
+def constant_column(spark: SparkSession, d: str) -> DataFrame:
+    """A snapshot's date on every row of it."""
+    c = table(spark, d, "customer").select("c_custkey")
+    return clean.with_constant(c, "snapshot", F.to_date(F.lit("2020-01-02")))
+
+
+def snapshot_drift(spark: SparkSession, d: str) -> DataFrame:
+    """a snapshot without the key column gives no row after the union."""
+    ev = table(spark, d, "events")
+    a = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id")
+    b = ev.filter(F.col("event_type") == "view").select("event_id")
+    return clean.require(readers.union_snapshots([a, b]), ["event_id", "user_id"])
+
+
+def ratio_by(spark: SparkSession, d: str) -> DataFrame:
+    """Mean balance per nation over a per-nation constant."""
+    c = table(spark, d, "customer").select("c_nationkey", cents("c_acctbal"))
+    n = table(spark, d, "nation").select("n_nationkey", "n_name", (F.col("n_regionkey") + 1).alias("base"))
+    rows = c.join(n, c.c_nationkey == n.n_nationkey)
+    return aggregate.ratio_by(rows, ["n_name"], "c_acctbal", "base").select("n_name", F.round(F.col("ratio").cast("double"), 4).alias("ratio"))
+
+
+def delete_keys_with_null(spark: SparkSession, d: str) -> DataFrame:
+    """F10 where keys and rows have nulls: only the named, non-null keys go."""
+    c = table(spark, d, "customer").select("c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("seg"))
+    return keyed.delete_keys(c, "seg", ["MACHINERY", None])
 
 
 QUERIES = {
@@ -602,4 +647,13 @@ QUERIES = {
     "table_counts": table_counts,
     "head_rows": head_rows,
     "family_table": family_table,
+    "measure_table": measure_table,
+    "lookup_table": lookup_table,
+    "split_key": split_key,
+    "parse_date": parse_date,
+    "constant_column": constant_column,
+    "snapshot_drift": snapshot_drift,
+    "ratio_by": ratio_by,
+    "delete_keys_with_null": delete_keys_with_null,
+    "kpi2b_listing_model": kpi2b_listing_model,
 }

@@ -8,7 +8,6 @@ scripts and tests.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -55,39 +54,6 @@ def get_session(
     return spark
 
 
-MIB = 1024 * 1024
-GIB = 1024 * MIB
-
-
-def scale_conf(
-    input_bytes: int,
-    total_cores: int,
-    split_bytes: int = 256 * MIB,
-    shuffle_bytes_per_partition: int = GIB,
-    max_shuffle_partitions: int = 50_000,
-) -> dict[str, str]:
-    """Starting settings for a cluster run over ``input_bytes`` of input.
-
-    Scan splits of ``split_bytes``; an initial shuffle width sized for the
-    input (our shuffles carry projected columns or partial aggregates, so
-    well under the input size), at least three waves of tasks and capped so
-    the map-output status table stays small on the driver.  AQE then
-    coalesces small shuffle partitions towards the advisory size and splits
-    skewed ones in joins.
-    """
-    width = -(-input_bytes // shuffle_bytes_per_partition)
-    width = max(3 * total_cores, min(max_shuffle_partitions, width))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(split_bytes),
-        "spark.sql.shuffle.partitions": str(width),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * split_bytes),
-    }
-
-
 def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str | None:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -102,14 +68,6 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str | Non
     return default
 
 
-def ensure_test_checkpoint_dir(spark: SparkSession) -> str:
-    """For tests and local runs: use a fresh scratch folder if none is set."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current
-    return checkpoint_dir(spark, tempfile.mkdtemp(prefix="zonekit-ckpt-"))
-
-
 def reuse(df: DataFrame, cut_lineage: bool = False) -> DataFrame:
     """Keep a frame that several KPIs read.
 

@@ -11,8 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonekit.functions.scalar import composite_key
-from zonekit.operators.clean import family_table
+from zonekit.operators.clean import family_table, lookup_table, measure_table
 
 
 def write(
@@ -61,33 +60,14 @@ def write_measure_table(
     values: dict[str, str] | None = None,
     as_strings: bool = True,
 ) -> None:
-    """K3: composite-key measure table ``district-neighborhood-year``.
-
-    The separate key columns are kept next to the display key, so joins
-    never split it."""
-    from pyspark.sql import functions as F
-
+    """K3: composite-key measure table ``district-neighborhood-year``."""
     values = values or {"rfd": "Índex RFD Barcelona = 100", "population": "Població"}
-    cols = [F.col(f"`{src}`") for src in values.values()]
-    if as_strings:
-        cols = [c.cast("string") for c in cols]
-    out = df.select(
-        composite_key(*[F.col(f"`{p}`") for p in parts], escape=False).alias("key"),
-        *[F.col(f"`{p}`") for p in parts],
-        F.struct(*[c.alias(n) for c, n in zip(cols, values)]).alias("cf1"),
-    )
-    write(out, path)
+    write(measure_table(df, parts, values, as_strings), path)
 
 
 def write_lookup_table(linked: DataFrame, path: str, origin: Sequence[str], dest: Sequence[str]) -> None:
     """K4: origin ``district-neighborhood`` -> destination pair."""
-    from pyspark.sql import functions as F
-
-    out = linked.select(
-        composite_key(*origin, escape=False).alias("key"),
-        F.struct(*[F.col(d).alias(n) for d, n in zip(dest, ("district", "neighborhood"))]).alias("cf1"),
-    )
-    write(out, path)
+    write(lookup_table(linked, origin, dest), path)
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> None:

@@ -25,7 +25,7 @@ def read_json_snapshots(
     schema: T.StructType = schemas.LISTING_SCHEMA,
     glob: str = "*.json",
     date_col: str = "date",
-    strict_dates: bool = False,
+    strict_dates: bool = True,
 ) -> DataFrame:
     """S1 + F4 + P1/P2: directory of JSON-array files, one per date.
 
@@ -45,19 +45,20 @@ def read_parquet_snapshots(
     root: str,
     schema: T.StructType = schemas.LISTING_SCHEMA,
     date_col: str = "date",
-    strict_dates: bool = False,
-    pattern: str = "*/*",
+    strict_dates: bool = True,
+    pattern: str = "*",
 ) -> DataFrame:
     """S4 + U1 + F3 + F4: one Parquet directory per date under ``root``.
 
-    One scan over ``root/<pattern>`` with the full schema: a snapshot
-    lacking a column yields nulls there (then F1 drops such rows, which
-    equals skipping the snapshot).  The default pattern takes only files
-    inside sub-directories, so loose files next to the snapshots (notes,
-    a README) are not read; Spark itself skips ``_``/``.`` files such as
-    ``_SUCCESS``.  The date comes from the directory name.
+    One scan over the directories ``root/<pattern>`` with the full schema: a
+    snapshot lacking a column yields nulls there (then F1 drops such rows,
+    which equals skipping the snapshot).  Only Parquet files are read, so
+    loose files next to the snapshots (notes, a README) are not, and Spark
+    itself skips ``_``/``.`` files such as ``_SUCCESS``.  The date comes from
+    the directory name; a name without one fails unless ``strict_dates`` is
+    off, and then gives a null date.
     """
-    df = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{pattern}")
+    df = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{root.rstrip('/')}/{pattern}")
     return df.withColumn(date_col, date_from_name(parent_name(F.col("_metadata.file_path")), strict=strict_dates))
 
 
@@ -77,13 +78,15 @@ def read_csv_dir(
     header: bool = True,
     encoding: str = "UTF-8",
 ) -> DataFrame:
-    """CSV files with a header; the schema applies by position
-    (quoted header names with spaces are fine).  A UTF-8 byte-order mark
-    at the start of a file is dropped by the reader."""
+    """CSV files with a header that names the schema's columns in
+    their order (quoted names with spaces are fine); a file whose header
+    differs fails the read, so swapped columns never pass for each other.
+    A UTF-8 byte-order mark at the start of a file is dropped by the reader."""
     paths = [path] if isinstance(path, str) else list(path)
     return (
         spark.read.schema(schema)
         .option("header", header)
+        .option("enforceSchema", not header)
         .option("sep", sep)
         .option("encoding", encoding)
         .option("pathGlobFilter", glob)

@@ -47,6 +47,12 @@ def test_clean_documents_are_kept_and_junk_is_not(spark, corpus):
     assert sum(good) >= 0.99 * len(good) and sum(junk) <= 0.1 * len(junk)
 
 
+def test_a_phrase_across_two_texts_is_no_boilerplate(spark):
+    rows = [(1, "This is how our privacy "), (2, "policy was made in the end, by all of us who were there.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert [r.n_bad_lines for r in judged(docs)] == [0, 0]
+
+
 def test_quality_keeps_extra_columns(edge):
     out = quality.clean_lines_then_reject(edge, length="n_chars")
     assert out.columns == edge.columns and out.schema == edge.schema

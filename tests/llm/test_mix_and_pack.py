@@ -59,12 +59,13 @@ def test_mixed_texts_have_the_words_taken(corpus):
     assert dict(words) == {d: n for d, n in taken.items() if n}
 
 
-ODD = ["", "It's  DON'T", "á   İx ΑΣ ΑΣ. 12345 6", "<|endoftext|> <|ENDOFTEXT|> x", "tab\tnew\nline...end", "漢字🙂 wörd\x1cx"]
+ODD = ["", "élan, straße. ÷x naïve; Ça ÿ! a.b ,. x.. don't’s ſ ﬁ",  "one two, three. four! éa\u0301",  "It's  DON'T", "á   İx ΑΣ ΑΣ. 12345 6", "<|endoftext|> <|ENDOFTEXT|> x", "tab\tnew\nline...end", "漢字🙂 wörd\x1cx"]
 
 
 def test_word_tokenizer_equals_the_whole_text():
     plain = Tokenizer.from_file(path("word_bpe_49k.json"))
     coder = WordTokenizer("word_bpe_49k.json", 1)
+    assert coder.encode([])[0].size == 0
     ids, sizes = coder.encode([t.encode() for t in ODD])
     want = [plain.encode(t, add_special_tokens=False).ids + [1] for t in ODD]
     assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])

@@ -99,7 +99,7 @@ def schedule(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", text:
         "sized",
     )
     goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), mix)
-    queues = sized.withColumn("rank", F.xxhash64("doc_id", F.lit(mix.seed)))
+    queues = sized.withColumn("rank", F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("doc_id").cast("string")).cast("binary")))
     order = [F.col("source").asc_nulls_last(), "rank", "doc_id", "size", "row"]
     queues = running_total(queues, order, "size", "ahead", "queues")
 

@@ -1,5 +1,12 @@
 """DuckDB SQL for the queries that SQL can express (tables are pre-registered views)."""
 
+from __future__ import annotations
+
+from zonekit.llm.quality import BOILERPLATE
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_BOILER = " or ".join(f"contains(lower(line), '{phrase}')" for phrase in BOILERPLATE)
+
 ORACLE_SQL: dict[str, str] = {
     "op4_exact_dedup": r"""
         select doc_id, min(doc_id) over (partition by t) keep_id, count(*) over (partition by t) group_size,
@@ -12,4 +19,55 @@ ORACLE_SQL: dict[str, str] = {
                case when n >= 1000 and page_id < top then 'revisit' else 'response' end record_type,
                case when n >= 1000 and page_id < top then top end refers_to
         from g""",
+    "op5_jaccard_join": f"""
+        with recursive w as (select doc_id, {_WORDS} w from documents),
+        s as (select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4])
+                                                  when len(w) > 0 then [w] else [] end) g from w),
+        n as (select doc_id, count(*) n from s group by all),
+        p as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b using (g) where a.doc_id <> b.doc_id group by all),
+        l as (select a, b from p join n x on a = x.doc_id join n y on b = y.doc_id where c >= 0.8 * (x.n + y.n - c) - 1e-9),
+        r as (select a, b from l union select r.a, l.b from r join l on r.b = l.a)
+        select w.doc_id, least(w.doc_id, coalesce((select min(b) from r where r.a = w.doc_id), w.doc_id)) class_id,
+               (select count(*) from l where l.a = w.doc_id) n_links,
+               (select count(distinct o.w) from l join w o on o.doc_id = l.b where l.a = w.doc_id and o.w <> w.w) n_text_links
+        from w""",
+    "op7_weighted_mix": f"""
+        with d as (select doc_id, source, cast(len({_WORDS}) as bigint) size from documents),
+        s as (select source, cast(sum(size) as bigint) source_size, row_number() over (order by source nulls last) - 1 rank from d group by source),
+        t as (select *, [5.0, 2.0, 1.0][1 + rank % 3]::double w, (2 * source_size)::double cap from s),
+        o as (select *, coalesce(sum(cap) over before, 0) caps, coalesce(sum(w) over before, 0) ws,
+                     1.5::double * sum(source_size) over () total, sum(w) over () all_w
+              from t window before as (order by cap / w, rank rows between unbounded preceding and 1 preceding)),
+        f as (select *, (total - caps) / (all_w - ws) lam from o),
+        rate as (select coalesce(first(lam order by cap / w, rank) filter (w * lam < cap), max(lam)) lam from f),
+        g as (select source, source_size, least(w * rate.lam, cap) target from t, rate),
+        q as (select d.*, source_size, target, coalesce(sum(size) over (partition by d.source order by md5('17:' || doc_id), doc_id, size
+                     rows between unbounded preceding and 1 preceding), 0) ahead
+              from d join g on d.source is not distinct from g.source)
+        select doc_id, size, source_size, target,
+               cast(greatest(least(floor(target) - ahead, size), 0) + greatest(least(floor(target) - ahead - source_size, size), 0) as bigint) taken
+        from q""",
+    "op10_quality_rules": rf"""
+        with d as (select doc_id, coalesce(text, '') t, {_WORDS} w, string_split(coalesce(text, ''), chr(10)) ls from documents),
+        li as (select doc_id, unnest(ls) line, unnest(range(len(ls))) i from d),
+        lw as (select *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) n,
+                      length(regexp_replace(line, '[^|»›•·]', '', 'g')) marks,
+                      length(regexp_replace(line, '[^!-/:-@\[-`{{-~]', '', 'g')) punct from li),
+        lb as (select *, n > 0 and ((punct > 0.25 * length(line) or not regexp_matches(line, '[A-Za-z0-9]|[^\x00-\x7F]'))
+                                    or (marks >= 3 and 2 * marks >= n - marks) or (n <= 40 and ({_BOILER}))) bad,
+                      n > 0 and row_number() over (partition by doc_id, line order by i) > 1 dup from lw),
+        la as (select doc_id, count(*) n_lines, count(*) filter (bad) n_bad_lines, count(*) filter (dup) n_dup_lines,
+                      coalesce(sum(n) filter (bad), 0) lost from lb group by doc_id),
+        g as (select doc_id, unnest(range(1, len(w) - 6)) i, w from d where len(w) >= 8),
+        r as (select doc_id, i, count(*) over (partition by doc_id, w[i:i + 7]) c from g),
+        c as (select doc_id, count(distinct k) n from (select doc_id, unnest(range(i, i + 8)) k from r where c > 1) group by doc_id),
+        a as (select doc_id, cast(len(w) as bigint) n_words, cast(length(array_to_string(w, '')) as bigint) word_chars,
+                     cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) n_symbols, n_dup_lines,
+                     cast(coalesce(c.n, 0) as bigint) n_repeat_words, n_lines, n_bad_lines, lost
+              from d join la using (doc_id) left join c using (doc_id))
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               n_words < 20 or 100 * n_repeat_words > 30 * n_words base_failed,
+               not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and lost <= 0.5 * n_words kept,
+               n_lines, n_bad_lines, cast(n_words - lost as bigint) words_left
+        from a""",
 }

@@ -155,10 +155,10 @@ def bad_lines(data: np.ndarray, spans: tuple, chars: np.ndarray, rules: Rules) -
     marks = data == ord("|")
     found = np.zeros(len(data), dtype=bool)
     for mark in _NAV:
-        _flag(raw, mark.encode(), marks)
+        _flag(raw, mark.encode(), marks, end)
     low = raw.lower()
     for phrase in BOILERPLATE:
-        _flag(low, phrase.encode(), found)
+        _flag(low, phrase.encode(), found, end)
     n_marks = within(marks)
     punctuation = (within(_PUNCT[data]) > rules.max_punct * size) | (within(_ALNUM[data]) == 0)
     navigation = (n_marks >= rules.nav_marks) & (2 * n_marks >= n_words - n_marks)
@@ -166,10 +166,12 @@ def bad_lines(data: np.ndarray, spans: tuple, chars: np.ndarray, rules: Rules) -
     return (n_words > 0) & (punctuation | navigation | boiler)
 
 
-def _flag(raw: bytes, what: bytes, flags: np.ndarray) -> None:
+def _flag(raw: bytes, what: bytes, flags: np.ndarray, line_ends: np.ndarray) -> None:
+    """Mark where ``what`` begins, if it ends within the same line (texts follow each other without a break)."""
     at = raw.find(what)
     while at >= 0:
-        flags[at] = True
+        if at + len(what) <= line_ends[np.searchsorted(line_ends, at, side="right")]:
+            flags[at] = True
         at = raw.find(what, at + len(what))
 
 

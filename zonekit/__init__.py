@@ -3,8 +3,8 @@
 Subpackages: ``sources`` (scans with explicit schemas), ``functions``
 (column expressions), ``operators`` (clean-up, latest-per-key, lookups,
 aggregates, statistics, keyed access), ``sinks`` (writers), ``plans``
-(KPI and ETL compositions, the registered queries) and ``streaming``
-(incremental snapshot ingestion).
+(KPI and ETL compositions, the registered queries) and ``llm``
+(operators for training data, which nothing else imports).
 """
 
 __version__ = "0.1.0"

@@ -25,8 +25,8 @@ INVENTORY: dict[str, list[str]] = {
     # 2.2 sinks
     "K1": ["zonekit.sinks.writers:write"],
     "K2": ["zonekit.operators.clean:family_table", "zonekit.sinks.writers:write_family_table"],
-    "K3": ["zonekit.sinks.writers:write_measure_table"],
-    "K4": ["zonekit.plans.etl:link_pair_lookups", "zonekit.sinks.writers:write_lookup_table"],
+    "K3": ["zonekit.operators.clean:measure_table", "zonekit.sinks.writers:write_measure_table"],
+    "K4": ["zonekit.plans.etl:link_pair_lookups", "zonekit.operators.clean:lookup_table", "zonekit.sinks.writers:write_lookup_table"],
     "K5": ["zonekit.sinks.writers:write"],
     "K6": ["zonekit.sinks.writers:write"],
     "K7": ["zonekit.sinks.writers:write_single_csv"],

@@ -76,7 +76,7 @@ INCOME_CSV_SCHEMA = T.StructType(
 INCOME_DOC_SCHEMA = T.StructType(
     [
         _f("neigh_name", S),
-        _f("info", T.ArrayType(T.StructType([_f("year", I), _f("RFD", D), _f("pop", I)]))),
+        _f("info", T.ArrayType(T.StructType([_f("year", I), _f("RFD", D)]))),
     ]
 )
 

@@ -5,7 +5,7 @@ Usage: python tools/scale_check.py [src_sf_dir] [copies] [--sort-merge]
 
 ``--sort-merge`` switches off Spark's automatic broadcast joins (static and
 adaptive), so the customer mapping is joined by sort-merge as it would be at
-scale; size-checked hints on small lookups still apply.
+scale.
 
 Builds, in a fresh scratch folder, two copies of the source tables with
 ``orders`` repeated ``copies`` times (new order keys): one as is, one where

@@ -1,8 +1,8 @@
 """Connected components of an edge table, by alternating large and small stars.
 
-Every round is a pair of aggregations and joins over the edges; each round's
-edges are written to the shared folder, so lineage stays short and a lost
-executor costs one round at most.  A hub is aggregated on the map side, and
+Every round is a pair of aggregations and joins over the edges; aggregates
+and edges are written to the shared folder, so lineage stays short and a
+lost executor costs one round at most.  A hub is aggregated on the map side, and
 the joins have one row per node on one side, which Spark splits if hot.
 """
 
@@ -16,7 +16,8 @@ from zonekit.llm.common import staged
 
 def _towards_least(edges: DataFrame) -> DataFrame:
     """(u, v, least): every edge with the least neighbour of ``u``, itself included."""
-    least = edges.groupBy("u").agg(F.min("v").alias("low"))
+    # a table of its own, so that the edges are dealt for the join alone and a hub can be split
+    least = staged(edges.groupBy("u").agg(F.min("v").alias("low")), "least")
     return edges.join(least, "u").withColumn("low", F.least("u", "low"))
 
 

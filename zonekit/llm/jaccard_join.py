@@ -139,20 +139,25 @@ def candidate_groups(nodes: DataFrame) -> DataFrame:
     return components(ties, "node", "head")
 
 
+def placed(wanted: DataFrame, forest: Forest) -> DataFrame:
+    """``wanted`` (node, root, n_shingles, ...) with (block, blocks): its place in its group's blocks."""
+    sizes = wanted.groupBy("root").agg(F.count(F.lit(1)).alias("texts"), F.sum("n_shingles").alias("total"))
+    blocks = F.ceil(F.greatest(F.col("texts") / forest.block_texts, F.col("total") / forest.block_words)).cast("int")
+    sized = wanted.join(sizes.select("root", F.greatest(blocks, F.lit(1)).alias("blocks")), "root")
+    return sized.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+
 def verified(members: DataFrame, forest: Forest) -> DataFrame:
     """(node, links, text_links, head) of every member, from exact comparison within its group.
 
-    ``members``: (node, root, weight, n_shingles, body).  ``links`` counts rows,
-    ``text_links`` different texts; ``head`` is the least node that the task
-    found connected with the node.
+    ``members``: (node, root, weight, block, blocks, body).  ``links`` counts
+    rows, ``text_links`` different texts; ``head`` is the least node that the
+    task found connected with the node.
     """
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("texts"), F.sum("n_shingles").alias("total"))
-    blocks = F.ceil(F.greatest(F.col("texts") / forest.block_texts, F.col("total") / forest.block_words)).cast("int")
-    placed = members.join(sizes.select("root", F.greatest(blocks, F.lit(1)).alias("blocks")), "root")
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    units = placed.withColumn("other", other).select(
-        "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+    units = members.withColumn("other", other).select(
+        # one key, so that rows dealt by group do not pass for dealt by unit
+        F.struct("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).alias("unit"),
         "block", "node", "weight", "body",
     )
 
@@ -160,7 +165,8 @@ def verified(members: DataFrame, forest: Forest) -> DataFrame:
         node = unit.column("node").to_numpy()
         linked = links_within(unit.column("body"), forest)
         block = unit.column("block").to_numpy()
-        if key[1].as_py() != key[2].as_py():
+        unit_key = key[0].as_py()
+        if unit_key["low"] != unit_key["high"]:
             linked &= block[:, None] != block[None, :]
         weight = unit.column("weight").to_numpy()
         return pa.table(
@@ -172,7 +178,7 @@ def verified(members: DataFrame, forest: Forest) -> DataFrame:
             }
         )
 
-    return units.groupBy("root", "low", "high").applyInArrow(compare, "node long, links long, text_links long, head long")
+    return units.groupBy("unit").applyInArrow(compare, "node long, links long, text_links long, head long")
 
 
 def links_within(texts: pa.Array, forest: Forest) -> np.ndarray:
@@ -235,9 +241,10 @@ def similar(docs: DataFrame, forest: Forest | None = None, key: str = "doc_id",
 
     groups = candidate_groups(nodes)
     wanted = nodes.join(groups, "node").select("node", "root", "weight", "n_shingles", F.col("first.row").alias("row"))
+    wanted = staged(placed(wanted, forest), "placed")
     body = text_or_empty(text)
     bodies = docs.select(row_key(quoted(key), body).alias("row"), body.alias("body"))
-    members = staged(bodies.join(wanted, "row").dropDuplicates(["row"]).drop("row"), "members")
+    members = staged(bodies.join(wanted.hint("merge"), "row").dropDuplicates(["row"]).drop("row"), "members")
     found = staged(verified(members, forest), "verified")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))

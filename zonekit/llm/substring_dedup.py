@@ -150,12 +150,14 @@ def span_table(rows: DataFrame, how: Spans, hashes_only: bool = False) -> DataFr
 def later_spans(rows: DataFrame, how: Spans) -> DataFrame:
     """(doc_id, content, first, last) of every span that occurs earlier, by id and place."""
     counts = span_table(rows, how, hashes_only=True).groupBy("h1").agg(F.count(F.lit(1)).alias("n"))
-    often = counts.filter("n > 1").select("h1")
+    # a table of its own, so that the spans are dealt only for the join and a hot hash can be split
+    often = staged(counts.filter("n > 1").select("h1"), "repeated-hashes")
     # sorted and merged at every size: what repeats grows with the input
     twice = staged(span_table(rows, how).join(often.hint("merge"), "h1"), "repeated-spans")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content", "first")
     earliest = twice.groupBy("h1", "h2").agg(F.min(place).alias("earliest"), F.count(F.lit(1)).alias("n"))
-    again = twice.join(earliest.filter("n > 1").drop("n"), ["h1", "h2"]).filter(place != F.col("earliest"))
+    earliest = staged(earliest.filter("n > 1").drop("n"), "earliest-spans")
+    again = twice.join(earliest.hint("merge"), ["h1", "h2"]).filter(place != F.col("earliest"))
     return again.select("doc_id", "content", "first", "last")
 
 

@@ -137,12 +137,12 @@ def _terms(body: Column, how: Disclosure) -> Column:
 
 def disclosing(rows: DataFrame, spans: DataFrame, how: Disclosure) -> DataFrame:
     """(row, term, posterior): terms to sanitise in each row, from co-occurrence over all ``rows``."""
-    n_docs = F.broadcast(rows.agg(F.count(F.lit(1)).alias("n_docs")))  # one row
+    n_docs = rows.agg(F.count(F.lit(1))).scalar()
     values = spans.select("row", F.concat_ws(":", "kind", F.lower("match")).alias("value")).distinct()
     # different texts, not rows: copies are no further evidence
     content = F.regexp_extract("row", r":(-?\d+:-?\d+)$", 1)
     texts = values.groupBy("value").agg(F.count_distinct(content).alias("n_value"))
-    texts = texts.filter(F.col("n_value") >= how.min_support).crossJoin(n_docs)
+    texts = texts.filter(F.col("n_value") >= how.min_support).withColumn("n_docs", n_docs)
     texts = texts.filter(F.log2(F.col("n_docs") / F.col("n_value")) >= how.min_bits)
     held = staged(values.join(texts, "value").withColumn("content", content), "values")
 

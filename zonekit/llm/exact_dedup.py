@@ -29,7 +29,7 @@ from zonekit.llm import fuse
 from zonekit.llm.common import SPACE, documents, free_name, quoted, staged, text_or_empty
 
 #: Keys of one filter: bounds what a task holds of it; the number of filters grows with the data.
-KEYS_PER_FILTER = 4096
+KEYS_PER_FILTER = 1024
 
 
 @dataclass(frozen=True)

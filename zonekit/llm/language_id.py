@@ -40,7 +40,7 @@ from zonekit.llm.wordhash import text_block
 
 @dataclass(frozen=True)
 class Fusion:
-    #: labelled rows that the text model is trained on, taken by hashed id
+    #: about so many labelled rows train the text model, taken by hashed id
     train_rows: int = 4000
     buckets: int = 1 << 14
     text_weight: float = 0.15
@@ -97,7 +97,10 @@ def trigrams(texts: pa.Array, markup: pa.Array, buckets: int) -> tuple[np.ndarra
 
 def train(labelled: DataFrame, how: Fusion) -> tuple[list[str], np.ndarray]:
     """(languages, log-probabilities by language and bucket) from ``labelled`` (id, text, markup, lang)."""
-    sample = labelled.filter("lang is not null").orderBy(F.xxhash64("id", F.lit(3)), "id").limit(how.train_rows)
+    known = labelled.filter("lang is not null")
+    share = min(1.0, how.train_rows / max(1, known.count()))
+    # by hashed id and in place: no sort, and the same rows every time
+    sample = known.filter(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text", 4 << 20):
@@ -183,7 +186,9 @@ def fuse(scored: DataFrame, languages: list[str], how: Fusion) -> DataFrame:
         declared = F.when(F.col("declared") == word, declared_log(word)).otherwise(declared)
 
     for level in ("suffix", "domain", "host"):
-        group = _sums(rows, [level], n).withColumnRenamed("s", f"{level}_sum")
+        # a table of its own: small ones are broadcast by their files' size, larger ones
+        # are dealt for the join alone, so that a hot group can be split
+        group = staged(_sums(rows, [level], n).withColumnRenamed("s", f"{level}_sum"), f"{level}-sums")
         rows = rows.join(group, level)
 
     def smoothed(sums: str, above: Column, weight: float) -> Column:

@@ -1,3 +1,6 @@
+import itertools
+import random
+
 import pytest
 
 from tests.llm import brute
@@ -82,6 +85,35 @@ def test_long_shared_passage_stays_once(spark):
         assert got[i].clean_text == f"Text number {i} begins so. It ends like {i * 7}."
 
 
+def test_passages_at_any_word_offset_stay_once(spark):
+    # windows of 51 words, whatever the cut: what is left of a text holds none that is there earlier
+    rng = random.Random(5)
+    fresh = (f"w{i}" for i in itertools.count())
+    take = lambda n: list(itertools.islice(fresh, n))
+    passages = [take(51) for _ in range(4)]
+    texts = []
+    for i in range(48):
+        said = take(rng.randint(0, 60)) + passages[i % 4] + take(rng.randint(0, 60))
+        stops = rng.random() < 0.5
+        texts.append(" ".join(w + ("." if stops and int(w[1:]) % 29 == 0 else "") if w not in passages[i % 4] else w for w in said))
+    rows = list(enumerate(texts)) + [(100, " ".join(take(300))), (101, "same " * 120), (None, " ".join(passages[0])), (0, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.content): r for r in substring_dedup.removals(docs).collect()}
+    got = {d: r for (d, _), r in found.items()}
+    seen = set()
+    for d, text in sorted(set(rows), key=lambda r: (r[0] is None, r[0])):
+        spans = list(brute.WORD.finditer(text))
+        gone = [any(x.start <= m.start() < x.end for x in got[d].removed) for m in spans]
+        windows = [tuple(m.group() for m in spans[k : k + 51]) for k in range(len(spans) - 50)]
+        for k, window in enumerate(windows):
+            assert window not in seen or any(gone[k : k + 51]), d
+            seen.add(window)
+    for d in (0, 1, 2, 3, 100):
+        assert not got[d].removed
+    clean = {r.doc_id: r.text for r in substring_dedup.without_repeats(docs).collect()}
+    assert clean == {d: r.clean_text for d, r in got.items()}
+
+
 def test_span_dedup_edges(edge):
     rows = substring_dedup.removals(edge).collect()
     assert len(rows) == edge.count()

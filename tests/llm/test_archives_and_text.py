@@ -108,6 +108,22 @@ def test_terms_that_give_a_person_away(spark):
     assert pii.find(docs.limit(0)).count() == 0
 
 
+def test_copies_change_no_disclosing_term(spark):
+    rows = [(i, f"common words number{i} zanzibar said ann@example.org was here") for i in range(8)]
+    rows += [(i, f"common words only number{i}") for i in range(8, 400)]
+    rows += [(500, None), (501, "mail to bob@example.org once, with zanzibar")]
+
+    def spans(table):
+        docs = spark.createDataFrame(table, "doc_id long, text string")
+        return {(r.doc_id % 1000, r.spans) for r in pii.find(docs).collect()}
+
+    alone = spans(rows)
+    assert sum("term" in s for _, s in alone) == 8
+    # every text three times, and one of them in a third of all rows
+    copied = rows + [(i + 1000 * k, t) for i, t in rows for k in (1, 2)] + [(3000 + 1000 * k, rows[0][1]) for k in range(600)]
+    assert spans(copied) == alone
+
+
 def test_quotes_link_to_their_originals(spark):
     rows = [
         (1, 0, "a", "Hello there my friend. This is the first message of mine.\nSecond line is here too."),

@@ -7,13 +7,14 @@ word discloses the value.  So for every protected value e that occurs in
 several texts, and every term t of those texts, the corpus gives
 
 * support: different texts that hold both t and e,
-* posterior: support / documents that hold t, a lower bound of P(e | t),
-* information: log2(documents * support / (documents with t * texts with e)),
+* posterior: support / texts that hold t, a lower bound of P(e | t),
+* information: log2(texts * support / (texts with t * texts with e)),
   the pointwise mutual information in bits.
 
 A term that reaches all three thresholds is sanitised in the documents that
 hold e: removed where its posterior is ``remove_at`` or more, generalised
-otherwise.  Document frequencies are taken over all documents; a value so
+otherwise.  All counts are over different texts, so copies change none of
+them, and every copy is sanitised like its original.  A value so
 frequent that no term can reach the information threshold is left out before
 its texts are opened, which changes no result.
 
@@ -137,10 +138,10 @@ def _terms(body: Column, how: Disclosure) -> Column:
 
 def disclosing(rows: DataFrame, spans: DataFrame, how: Disclosure) -> DataFrame:
     """(row, term, posterior): terms to sanitise in each row, from co-occurrence over all ``rows``."""
-    n_docs = rows.agg(F.count(F.lit(1))).scalar()
-    values = spans.select("row", F.concat_ws(":", "kind", F.lower("match")).alias("value")).distinct()
-    # different texts, not rows: copies are no further evidence
+    # different texts, not rows: copies are no further evidence, for a term or against it
     content = F.regexp_extract("row", r":(-?\d+:-?\d+)$", 1)
+    n_docs = rows.agg(F.count_distinct(content)).scalar()
+    values = spans.select("row", F.concat_ws(":", "kind", F.lower("match")).alias("value")).distinct()
     texts = values.groupBy("value").agg(F.count_distinct(content).alias("n_value"))
     texts = texts.filter(F.col("n_value") >= how.min_support).withColumn("n_docs", n_docs)
     texts = texts.filter(F.log2(F.col("n_docs") / F.col("n_value")) >= how.min_bits)
@@ -152,7 +153,9 @@ def disclosing(rows: DataFrame, spans: DataFrame, how: Disclosure) -> DataFrame:
     pairs = pairs.groupBy("value", "term", "n_value", "n_docs").agg(F.count(F.lit(1)).alias("support"))
     pairs = pairs.filter(F.col("support") >= how.min_support)
 
-    frequency = rows.select(F.explode(_terms(_without_values(F.col("body")), how)).alias("term"))
+    # copies meet on the map side first, so a large group of them is one row per task
+    each = rows.select(content.alias("content"), "body").dropDuplicates(["content"])
+    frequency = each.select(F.explode(_terms(_without_values(F.col("body")), how)).alias("term"))
     frequency = frequency.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     posterior = F.col("support") / F.col("n_term")
     bits = F.log2(F.col("n_docs") * F.col("support") / (F.col("n_term") * F.col("n_value")))

@@ -160,6 +160,18 @@ def test_language_held_out(spark):
     assert sum(got[d] == truth[d] for d in truth) >= 0.98 * len(truth)
 
 
+def test_a_rare_language_is_possible_at_any_size(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    train = docs.filter("lang = 'en'").selectExpr("doc_id id", "text", "false markup", "lang")
+    rare = [(k, "saluton mondo kaj bonan tagon al vi chiuj karaj amikoj " * 5, False, "eo") for k in (100_001, 100_002)]
+    train = train.unionByName(spark.createDataFrame(rare, train.schema))
+    how = language_id.Fusion(train_rows=2)
+    languages, logs = language_id.train(train, how)
+    assert languages == ["en", "eo"] and logs.shape[0] == 2
+    rows = spark.createDataFrame([(1, rare[0][1], False, "eo", "")], "k long, text string, markup boolean, declared string, host string")
+    assert [(r.lang, r.declared) for r in language_id.identify(rows, train, how).collect()] == [("eo", "eo")]
+
+
 def test_priors_decide_where_the_text_is_silent(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     train = docs.selectExpr("doc_id id", "text", "false markup", "lang")

@@ -3,7 +3,8 @@
 Four kinds of evidence meet in one posterior per text:
 
 * text: a naive Bayes model over hashed byte trigrams, trained here on a
-  bounded sample of labelled rows (``train_rows``); its log-likelihood is
+  bounded sample of the labelled rows of each language (``train_rows``), so a
+  language with any label is possible, however rare; its log-likelihood is
   tempered by ``text_weight``, as trigrams of one text are not independent;
 * markup: the declared language; how often a declaration goes with a
   language is estimated by grouped sums of text posteriors over all rows;
@@ -40,7 +41,7 @@ from zonekit.llm.wordhash import text_block
 
 @dataclass(frozen=True)
 class Fusion:
-    #: about so many labelled rows train the text model, taken by hashed id
+    #: about so many labelled rows of each language train the text model, taken by hashed id
     train_rows: int = 4000
     buckets: int = 1 << 14
     text_weight: float = 0.15
@@ -98,9 +99,14 @@ def trigrams(texts: pa.Array, markup: pa.Array, buckets: int) -> tuple[np.ndarra
 def train(labelled: DataFrame, how: Fusion) -> tuple[list[str], np.ndarray]:
     """(languages, log-probabilities by language and bucket) from ``labelled`` (id, text, markup, lang)."""
     known = labelled.filter("lang is not null")
-    share = min(1.0, how.train_rows / max(1, known.count()))
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per language
+    languages = sorted(sizes)
     # by hashed id and in place: no sort, and the same rows every time
-    sample = known.filter(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    bound = F.lit(1 << 30)
+    for lang, n in sizes.items():
+        if n > how.train_rows:
+            bound = F.when(F.col("lang") == lang, F.lit(how.train_rows * (1 << 30) // n)).otherwise(bound)
+    sample = known.filter(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < bound)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text", 4 << 20):
@@ -115,7 +121,6 @@ def train(labelled: DataFrame, how: Fusion) -> tuple[list[str], np.ndarray]:
 
     sums = sample.select("text", "markup", "lang").mapInArrow(run, "lang string, bucket long, n long")
     rows = sums.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()  # at most languages x buckets
-    languages = sorted({r["lang"] for r in rows})
     counts = np.full((len(languages), how.buckets), 0.5)
     for r in rows:
         counts[languages.index(r["lang"]), r["bucket"]] += r["n"]

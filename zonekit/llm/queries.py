@@ -11,6 +11,7 @@ from zonekit.llm.jaccard_join import op5_jaccard_join
 from zonekit.llm.language_id import op3_language_fusion
 from zonekit.llm.mixing import op7_weighted_mix
 from zonekit.llm.packing import op9_hilbert_packing
+from zonekit.llm.periodic_runs import op13_periodic_runs
 from zonekit.llm.pii import op8_pii_sanitisation
 from zonekit.llm.quality import op10_quality_rules
 from zonekit.llm.quote_links import op2_quote_linking
@@ -28,4 +29,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_sanitisation": op8_pii_sanitisation,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op13_periodic_runs": op13_periodic_runs,
 }

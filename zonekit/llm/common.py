@@ -115,3 +115,19 @@ def running_total(df: DataFrame, order: Sequence[Column], value: str, out: str,
         .withColumn(out, F.col(inner) + F.col(base))
         .drop(part, inner, base)
     )
+
+
+def running_totals(df: DataFrame, order: Sequence[Column], values: dict[str, str], name: str) -> DataFrame:
+    """``running_total`` of several columns in one pass: ``values`` maps each new column to the one it sums."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = free_name(df, "part")
+    cut = staged(df.repartitionByRange(parts, *order).withColumn(part, F.spark_partition_id()), name)
+    sums = cut.groupBy(part).agg(*[F.sum(value).alias(out) for out, value in values.items()])
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: at most `parts` rows, whatever the input
+    offsets = sums.select(part, *[F.coalesce(F.sum(out).over(before), F.lit(0)).alias(f"{out}_base") for out in values])
+    totals = cut.withColumns({out: F.coalesce(F.sum(value).over(within), F.lit(0)) for out, value in values.items()})
+    joined = totals.join(F.broadcast(offsets), part).withColumns({out: F.col(out) + F.col(f"{out}_base") for out in values})
+    return joined.drop(part, *[f"{out}_base" for out in values])

@@ -70,4 +70,23 @@ ORACLE_SQL: dict[str, str] = {
                not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and lost <= 0.5 * n_words kept,
                n_lines, n_bad_lines, cast(n_words - lost as bigint) words_left
         from a""",
+    "op12_prefix_trie": r"""
+        with o as (select conv_id c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+                          order by turn nulls first, coalesce(role, ''), coalesce(text, '')) w
+                   from conversations where conv_id is not null group by 1),
+        s as (select *, flatten(list_transform(range(len(c::varchar)), lambda i: [ascii(cast(c as varchar)[i + 1]), -1, -1, -1, -1, -1, -1, -1, -1])) b from o),
+        h as (select *, xor(4294967295::bigint, list_reduce(list_concat([4294967295::bigint], b),
+                     lambda a, x: case when x >= 0 then xor(a, x::bigint) else xor(a >> 1, (a & 1) * 3988292384) end)) % 6 h from s),
+        f as (select h.c, list_concat(coalesce(p.w[1:h.h], []), h.w[h.h + 1:]) w from h left join o p on p.c = h.c - h.c % 100),
+        x as (select c, w, unnest(range(len(w) + 1)) d from f),
+        n as (select w[1:d] p, d, min(c) conv_id, count(*) n_convs,
+                     sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (d = len(w)), '')) ends_sha256
+              from x group by all),
+        k as (select p[1:d - 1] p, count(*) n from n where d > 0 group by all),
+        m as (select n.*, coalesce(k.n, 0) n_children, case when d = 0 then 0 else (n_convs - 1) * length(p[d].t) end saved
+              from n left join k using (p)),
+        u as (select p, n_children, saved, unnest(range(d + 1)) i from m),
+        a as (select p[1:i] p, count(*) filter (n_children = 0) n_leaves, cast(sum(saved) as bigint) saved_tokens from u group by all)
+        select m.conv_id, m.d depth, q.conv_id parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens, m.ends_sha256
+        from m join a using (p) left join n q on m.d > 0 and q.p = m.p[1:m.d - 1]""",
 }

@@ -117,8 +117,11 @@ _KPI2B = (
     "from s join i using (zone) join nation on n_name=zone where n_nationkey in BUSY_NATIONS"
 )
 
+# The numeric columns of lineitem.
+_LINEITEM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
 ORACLE_SQL: dict[str, str] = {
-    'snapshot_union': "select event_id, event_type, value from events where event_type='purchase' union all select event_id, event_type, null from events where event_type='view'",
+    'snapshot_union': "select event_id, event_type, value from events where event_type='purchase' union all select event_id, event_type, null from events where event_type is distinct from 'purchase'",
     'required_filter': "select event_id, user_id from events where event_type='purchase' and json_extract_string(props,'$.k') is not null and user_id is not null",
     'snapshot_date': "select o_orderkey, cast(strptime(regexp_extract(strftime(o_orderdate,'%Y_%m_%d')||'_orders.json','^(\\d{4}_\\d{2}_\\d{2})',1),'%Y_%m_%d') as date) snap_date from orders",
     'numeric_cast': 'select o_orderkey, try_cast(cast(o_totalprice as varchar) as double) price, try_cast(o_orderpriority as int) bad from orders',
@@ -141,6 +144,9 @@ ORACLE_SQL: dict[str, str] = {
     'kpi_occupancy_income': 'with s as (select n_name zone, (sum(cast(s_acctbal as decimal(18,2)))::double / count(s_acctbal)) occ from supplier join nation on s_nationkey=n_nationkey group by 1), i as (select n_name zone, (sum(cast(c_acctbal as decimal(18,2)))::double / count(c_acctbal)) inc from customer join nation on c_nationkey=n_nationkey group by 1) select lower(zone) zone, round(occ,4) occ, round(inc,4) income from s join i using (zone)',
     'corr_pair': 'select round(corr(l_quantity, l_extendedprice),6) r from lineitem',
     'corr_matrix': "select 'l_quantity' a, 'l_extendedprice' b, round(corr(l_quantity,l_extendedprice),6) r from lineitem union all select 'l_quantity','l_discount', round(corr(l_quantity,l_discount),6) from lineitem union all select 'l_extendedprice','l_discount', round(corr(l_extendedprice,l_discount),6) from lineitem",
+    "corr_matrix_lineitem": " union all ".join(
+        f"select '{a}' a, '{b}' b, round(corr({a}, {b}), 6) r from lineitem" for i, a in enumerate(_LINEITEM) for b in _LINEITEM[i + 1 :]
+    ),
     'map_unwind_avg': "select event_type, user_id, round(avg(cast(json_extract_string(props,'$.'||k) as double)),4) v from (select *, unnest(json_keys(props)) k from events) group by all",
     'avg_nested': "select event_type, round(avg(cast(json_extract_string(props,'$.k') as double)),4) v from events group by all",
     'get_rows': 'select c_custkey, c_name from customer where c_custkey in (1, 7, 999999)',

@@ -119,3 +119,14 @@ def test_as_text(spark):
     assert [r.t for r in flags.select(scalar.as_text("v", T.BooleanType()).alias("t")).collect()] == ["True", "False", None]
     words = spark.createDataFrame([("1E5",)], "v string")
     assert words.select(scalar.as_text("v", T.StringType()).alias("t")).first().t == "1E5"
+
+
+def test_guarded_numbers_equal_the_bare_cast(spark):
+    """The pattern in front of ``try_cast`` turns away nothing that casts."""
+    texts = ["1", " 1 ", "\t-7\n", "+3", "1.5", ".5", "5.", "1e3", "1E-3", "nan", "NaN", "inf", "-Infinity", "+INF", "0x1p3", "1d", "2F", "1.0D",
+             "", " ", "x", "1-URGENT", "1,5", "１", "12345678901234567890", "2147483648", "--1", "1 2", "\x001\x1f", "1\x7f", "e5", "Infinity1", " 1",
+             "99999999999999999999e300", "0.1e-400", "abc", "1L", "0b1", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in ("double", "float", "int", "bigint", "smallint", "decimal(20,3)"):
+        rows = df.select("t", scalar.numeric("t", kind).cast("string").alias("got"), F.col("t").try_cast(kind).cast("string").alias("want")).collect()
+        assert [(r.t, r.got) for r in rows] == [(r.t, r.want) for r in rows], kind

@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from zonekit.operators import aggregate, clean, dedup, keyed, reconcile, stats
 
@@ -310,3 +311,42 @@ def test_correlation_leaves_out_nan_and_constant_columns(spark):
     assert stats.corr_pair(df, "a", "b").first().r == pytest.approx(1.0)
     full = {(r.a, r.b): r.r for r in stats.corr_matrix(df, full=True).collect()}
     assert full[("a", "a")] == 1.0 and full[("c", "c")] is None and full[("a", "c")] is None
+
+
+def test_many_columns_in_one_vector_aggregate(spark):
+    """More columns than expressions are made for: equal to the pairwise results, nulls and NaN included."""
+    rng = np.random.default_rng(7)
+    k, rows = 14, 600
+    x = rng.normal(size=(rows, k)) * 10.0 ** rng.integers(-2, 7, k) + 10.0 ** rng.integers(0, 4, k)
+    x[:, 1] = 0.1  # constant
+    x[rng.random((rows, k)) < 0.2] = np.nan
+    x[:, 2] = np.where(np.isnan(x[:, 3]), 5.0 + x[:, 3], 0.3)  # constant wherever column 3 is there
+    x[:, 4] = np.nan  # never there
+    x[:300, 5] = np.nan
+    x[300:, 6] = np.nan  # never together with column 5
+    names = [f"c.{i}" for i in range(k)]
+    cells = [[None if np.isnan(v) and i % 2 else float(v) for v in row] for i, row in enumerate(x)]
+    df = spark.createDataFrame(cells, ", ".join(f"`{n}` double" for n in names)).repartition(7)
+    got = {(r.a, r.b): r.r for r in stats.corr_matrix(df, names).collect()}
+    assert len(got) == k * (k - 1) // 2
+    for i, a in enumerate(names):
+        for j in range(i + 1, k):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            u, v = x[both, i], x[both, j]
+            if len(u) < 2 or u.min() == u.max() or v.min() == v.max():
+                assert got[a, names[j]] is None
+            else:
+                assert got[a, names[j]] == pytest.approx(np.corrcoef(u, v)[0, 1], abs=1e-7), (a, names[j], len(u))
+    full = {(r.a, r.b): r.r for r in stats.corr_matrix(df, names, full=True).collect()}
+    assert len(full) == k * k and full["c.0", "c.0"] == 1.0 and full["c.1", "c.1"] is None
+    assert full["c.7", "c.0"] == pytest.approx(got["c.0", "c.7"])
+    assert [r.r for r in stats.corr_matrix(df.limit(0), names).collect()] == [None] * len(got)
+
+
+def test_two_hundred_columns(spark):
+    import time
+
+    df = spark.range(5000, numPartitions=4).select(*[F.sin(F.col("id") * (i + 1)).alias(f"c{i}") for i in range(200)])
+    began = time.time()
+    rows = stats.corr_matrix(df).count()
+    assert rows == 200 * 199 // 2 and time.time() - began < 60

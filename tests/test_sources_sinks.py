@@ -2,7 +2,9 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests import fixtures as fx
 from zonekit.operators.clean import clean_listings
@@ -168,3 +170,52 @@ def test_snapshot_date_filter_prunes_files(spark, tmp_dir):
 
     assert scanned_files(readers.read_json_snapshots(spark, d)) == 4
     assert scanned_files(df) == 3  # the 2020-01-02 file is never opened
+
+
+def _write(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    with open(path, "w", encoding="utf-8") as fp:
+        fp.write(text)
+    return path
+
+
+SMALL = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+
+
+def _bad_inputs(tmp_dir):
+    """A cut and a partly bad JSON array, a bad CSV number, bad JSON lines."""
+    snaps = os.path.join(tmp_dir, "snaps")
+    _write(snaps, "2020_01_02_x.json", '[{"a":1,"b":"x"},{"a":2,"b":"y"}]')
+    _write(snaps, "2020_01_03_x.json", '[{"a":5,"b":"x"},{"a":6,')
+    _write(snaps, "2020_01_04_x.json", '[{"a":7},{"a":"no number","b":"y"}]')
+    csv = _write(os.path.join(tmp_dir, "csv"), "t.csv", "a,b\n1,x\nzz,y\n3,z\n4,w,too many\n")
+    lines = _write(os.path.join(tmp_dir, "lines"), "t.json", '{"a":1,"b":"x"}\n{"a":"q","b":"y"}\n{"a":3,\n{"a":4,"b":"w"}\n')
+    return {
+        "snapshots": (lambda s, **k: readers.read_json_snapshots(s, snaps, SMALL, **k), [1, 2], ["2020_01_03_x.json", "2020_01_04_x.json"]),
+        "csv": (lambda s, **k: readers.read_csv_dir(s, csv, SMALL, **k), [1, 3], ["zz,y", "4,w,too many"]),
+        "lines": (lambda s, **k: readers.read_json_lines(s, lines, SMALL, **k), [1, 4], ['{"a":"q","b":"y"}', '{"a":3,']),
+    }
+
+
+@pytest.mark.parametrize("kind", ["snapshots", "csv", "lines"])
+def test_unreadable_input_fails_or_is_reported(spark, tmp_dir, kind):
+    read, good_values, bad_records = _bad_inputs(tmp_dir)[kind]
+    with pytest.raises(Exception, match="(?i)malformed|FAILED_READ_FILE"):
+        read(spark).collect()
+    good, bad = readers.split_bad(read(spark, on_bad="keep"))
+    assert sorted(r.a for r in good.collect()) == good_values and good.count() == len(good_values)
+    found = {(r.file.rsplit("/", 1)[-1], r.record, r.block_start) for r in bad.collect()}
+    assert sorted(f if kind == "snapshots" else r for f, r, _ in found) == sorted(bad_records)
+    assert all(start == 0 for *_, start in found) and readers.BAD not in good.columns
+    # a pruned read finds the same records bad
+    assert sorted(r.b for r in good.select("b").collect() if r.b) == sorted(r.b for r in good.collect() if r.b)
+    assert read(spark, on_bad="null").count() >= len(good_values)
+
+
+def test_kept_lines_without_a_schema(spark, tmp_dir):
+    path = _write(tmp_dir, "open.json", '{"a":1,"b":"x"}\nnothing\n{"c":[1]}\n')
+    good, bad = readers.split_bad(readers.read_json_lines(spark, path, on_bad="keep"))
+    assert good.columns == ["a", "b", "c"] and good.count() == 2 and [r.record for r in bad.collect()] == ["nothing"]
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST|PARSE"):
+        readers.read_json_lines(spark, path).collect()

@@ -35,7 +35,8 @@ from zonekit.plans import roles  # noqa: E402
 from zonekit.session import get_session  # noqa: E402
 
 QUERIES = ["latest_by_key", "upsert_by_key", "mean_by", "composite_key", "latest_from_array",
-           "zone_ratio_by_year", "kpi_price_income", "kpi1_daily"]
+           "zone_ratio_by_year", "kpi_price_income", "kpi1_daily", "kpi1_summary", "kpi2_listing_model", "kpi2_correlation",
+           "kpi2b_listing_model"]
 TABLES = ["customer", "nation", "region", "supplier", "events", "lineitem"]
 
 

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonekit.functions.scalar import as_text, composite_key, numeric
 
@@ -55,7 +56,7 @@ def with_constant(df: DataFrame, name: str, value) -> DataFrame:
 
 def cast_numeric(df: DataFrame, columns: Sequence[str], to: str = "double") -> DataFrame:
     """P3 on whole columns: bad text becomes null."""
-    return df.withColumns({c: numeric(c, to) for c in columns})
+    return df.withColumns({c: numeric(c, to, isinstance(df.schema[c].dataType, T.StringType)) for c in columns})
 
 
 def project(df: DataFrame, mapping: Mapping[str, str | Column]) -> DataFrame:

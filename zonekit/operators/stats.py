@@ -2,7 +2,8 @@
 
 Pearson correlation is an algebraic aggregate in Spark (``corr`` keeps
 n, means and co-moments), so one pass over the data computes every pair
-with partial aggregation per task; nothing is collected per group.
+with partial aggregation per task; nothing is collected per group.  Many
+columns go through one vector-valued aggregate (``comoments``).
 """
 
 from __future__ import annotations
@@ -14,8 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonekit.operators.comoments import pair_correlations
+
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
+#: columns up to which one expression per pair is the cheaper plan
+FEW_COLUMNS = 6
+
 
 def pearson(a: str | Column, b: str | Column) -> Column:
     """Pearson correlation over the rows where both values are present.
@@ -53,12 +59,23 @@ def corr_matrix(
 ) -> DataFrame:
     """Pairwise correlations in long form ``(a, b, r)``.
 
-    All pairs are computed in one aggregation; the single result row is
-    turned into one row per pair with ``inline`` (no driver round-trip).
+    All pairs are computed in one aggregation.  Up to ``FEW_COLUMNS`` columns it
+    holds one expression per pair, and the single result row is turned
+    into one row per pair with ``inline`` (no driver round-trip); for
+    more columns it is one vector-valued aggregate (``comoments``), whose plan
+    does not grow with the number of pairs.  The results are the same.
     With ``full`` the diagonal and both orders are emitted, like a square
     matrix; otherwise each unordered pair once, in column order.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
+    if len(cols) > FEW_COLUMNS:
+        name = F.array(*[F.lit(c) for c in cols])
+        # every pair has its row, in an empty table too
+        each = F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1)))
+        pairs = df.sparkSession.range(1).select(each.alias("a")).select("a", each.alias("b")).filter("true" if full else "a < b")
+        found = pairs.join(pair_correlations(df, cols), ["a", "b"], "left")
+        r = F.when(F.col("a") == F.col("b"), F.when(F.col("r").isNotNull(), F.lit(1.0))).otherwise(F.col("r"))
+        return found.select(F.get(name, F.col("a")).alias(a_name), F.get(name, F.col("b")).alias(b_name), r.alias(r_name))
     pairs = list(combinations(cols, 2))
     aggs = [pearson(x, y).alias(f"__zk_c{i}") for i, (x, y) in enumerate(pairs)]
     if full:  # a column goes with itself, unless it does not vary

@@ -19,6 +19,16 @@ def _ids(lookup: DataFrame) -> DataFrame:
     return lookup.select("district", "neighborhood", "district_id", "neighborhood_id")
 
 
+def _readable(inputs: dict[str, DataFrame], out_dir: str, on_bad: str) -> dict[str, DataFrame]:
+    """The inputs without records that cannot be read; these are written to ``out_dir``/rejected."""
+    if on_bad != "keep":
+        return inputs
+    split = {name: readers.split_bad(df) for name, df in inputs.items()}
+    reports = [bad.select(F.lit(name).alias("input"), "*") for name, (_, bad) in split.items()]
+    write(readers.union_snapshots(reports), os.path.join(out_dir, "rejected"))
+    return {name: good for name, (good, _) in split.items()}
+
+
 def link_pair_lookups(listing_lookup: DataFrame, income_lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
     """J1 both directions on (district_id, neighborhood_id).
 
@@ -42,20 +52,33 @@ def etl1(
     income_lookup_csv: str,
     out_dir: str,
     as_strings: bool = True,
+    on_bad: str = "fail",
 ) -> DataFrame:
     """ETL1: snapshots -> clean -> latest per key -> family table (K2);
     income CSVs -> last write wins per (district, neighborhood, year) ->
     measure table (K3); both lookups linked both ways (J1) -> two lookup
     tables (K4).  Returns the row count report (A13) of the stored tables
-    and writes the unlinked-entry report (J2)."""
-    listings = latest_listings(readers.read_json_snapshots(spark, listings_dir))
+    and writes the unlinked-entry report (J2).
+
+    Input that cannot be read fails the run, or with ``on_bad="keep"`` is left
+    out and listed in the table ``rejected`` (input, file, block_start, record)."""
+    inputs = _readable(
+        {
+            "listings": readers.read_json_snapshots(spark, listings_dir, on_bad=on_bad),
+            "income": readers.read_income_csv(spark, income_dir, on_bad=on_bad),
+            "listing lookup": readers.read_pair_lookup(spark, listing_lookup_csv, on_bad=on_bad),
+            "income lookup": readers.read_pair_lookup(spark, income_lookup_csv, on_bad=on_bad),
+        },
+        out_dir,
+        on_bad,
+    )
+    listings = latest_listings(inputs["listings"])
     write_family_table(listings, os.path.join(out_dir, "housing"), as_strings=as_strings)
 
-    income = upsert_in_load_order(readers.read_income_csv(spark, income_dir), ["Nom_Districte", "Nom_Barri", "Any"])
+    income = upsert_in_load_order(inputs["income"], ["Nom_Districte", "Nom_Barri", "Any"])
     write_measure_table(income, os.path.join(out_dir, "income"), as_strings=as_strings)
 
-    ll = readers.read_pair_lookup(spark, listing_lookup_csv)
-    il = readers.read_pair_lookup(spark, income_lookup_csv)
+    ll, il = inputs["listing lookup"], inputs["income lookup"]
     to_income, to_listing = link_pair_lookups(ll, il)
     write_lookup_table(to_income, os.path.join(out_dir, "listing-to-income"), ["district", "neighborhood"], ["income_district", "income_neighborhood"])
     write_lookup_table(to_listing, os.path.join(out_dir, "income-to-listing"), ["district", "neighborhood"], ["listing_district", "listing_neighborhood"])
@@ -78,18 +101,20 @@ def etl2(
     lookup_dir: str,
     out_dir: str,
     mode: str = "overwrite",
+    on_bad: str = "fail",
 ) -> DataFrame:
     """ETL2: import income documents, the occupancy CSV and every JSON
     lookup file (one table per file stem) into ``out_dir`` (K5 full
     refresh or K6 append); returns the row count per table (A13).
-    Documents are stored whole, with every field they have."""
+    Documents are stored whole, with every field they have.  ``on_bad`` as in ``etl1``."""
     tables: dict[str, DataFrame] = {
-        "income": readers.read_json_lines(spark, income_docs_path),
-        "inhabitants": readers.read_occupancy_csv(spark, occupancy_csv),
+        "income": readers.read_json_lines(spark, income_docs_path, on_bad=on_bad),
+        "inhabitants": readers.read_occupancy_csv(spark, occupancy_csv, on_bad=on_bad),
     }
     for row in readers.list_files(spark, lookup_dir, "*.json").collect():
         stem = row.path.rstrip("/").rsplit("/", 1)[-1][: -len(".json")]
-        tables[stem] = readers.read_json_lines(spark, row.path)
+        tables[stem] = readers.read_json_lines(spark, row.path, on_bad=on_bad)
+    tables = _readable(tables, out_dir, on_bad)
     for name, df in tables.items():
         write(df, os.path.join(out_dir, name), mode=mode)
     stored = {n: spark.read.parquet(os.path.join(out_dir, n)) for n in sorted(tables)}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from zonekit.functions.nested import latest_from_array
 from zonekit.functions.scalar import dash_free, safe_ratio, strip_quotes_commas
 from zonekit.operators.aggregate import daily_counts, mean_by, mean_of, partial_mean, per_calendar_day
-from zonekit.operators.clean import clean_listings, project
+from zonekit.operators.clean import REQUIRED_LISTING_COLUMNS, clean_listings, project, require
 from zonekit.operators.dedup import latest_by_key, upsert_in_load_order
 from zonekit.operators.reconcile import apply_lookup, join_on_reconciled, strict_join
 
@@ -34,6 +34,7 @@ def latest_listings(
     tie_break: Sequence[str] = ("price",),
     municipality: str | None = "Barcelona",
     columns: Sequence[str] | None = None,
+    attributes: DataFrame | None = None,
 ) -> DataFrame:
     """Clean (F1, F2, P3) and keep the latest snapshot of each listing (A1/A2).
 
@@ -41,7 +42,21 @@ def latest_listings(
     columns, descending, so the winner never depends on the order of rows.
     ``columns`` names the columns wanted; the others are neither read nor
     shuffled (they then break no tie either).
+
+    ``attributes`` (``key`` and further columns, one row per key) holds what
+    depends on the listing alone, such as its zone.  Listings are then reduced
+    before they are joined: a key with a third of all rows reaches the join
+    as one row, after a partial aggregation in every task that read it.
     """
+    if attributes is not None:
+        later = [c for c in attributes.columns if c != key]
+        own = [c for c in REQUIRED_LISTING_COLUMNS if c not in later]
+        clean = clean_listings(listings, municipality=municipality, required=own)
+        wanted = [c for c in columns or clean.columns if c not in later]
+        clean = clean.select(*dict.fromkeys([key, date_col, *tie_break, *wanted]))
+        order = list(dict.fromkeys([date_col, *tie_break, *[c for c in clean.columns if c != key]]))
+        joined = latest_by_key(clean, [key], order).join(attributes, key)
+        return require(joined, [c for c in REQUIRED_LISTING_COLUMNS if c in later]).select(*(columns or joined.columns))
     clean = clean_listings(listings, municipality=municipality)
     if columns is not None:
         clean = clean.select(*dict.fromkeys([key, date_col, *tie_break, *columns]))

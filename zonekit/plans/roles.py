@@ -76,11 +76,12 @@ def listings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def snapshot_union(spark: SparkSession, d: str) -> DataFrame:
-    """U1 + F3 + S4: two "snapshots" with different columns, union by name
+    """All events as two "snapshots" with different columns, union by name
     (the second lacks ``value``, which reads as null)."""
     ev = table(spark, d, "events")
-    a = ev.filter(F.col("event_type") == "purchase").select("event_id", "event_type", "value")
-    b = ev.filter(F.col("event_type") == "view").select("event_id", "event_type")
+    bought = F.col("event_type").eqNullSafe("purchase")
+    a = ev.filter(bought).select("event_id", "event_type", "value")
+    b = ev.filter(~bought).select("event_id", "event_type")
     return readers.union_snapshots([a, b])
 
 
@@ -328,25 +329,21 @@ def zone_income(spark: SparkSession, d: str) -> DataFrame:
 
 
 def listing_model(spark: SparkSession, d: str) -> DataFrame:
-    """Orders in the columns of a listing table (district and zone through the customer)."""
-    o = listings(spark, d)
-    cz = customer_zone(spark, d)
-    return o.join(cz, o.o_custkey == cz.c_custkey).select(
-        F.col("o_custkey").alias("propertyCode"),
-        scalar.calendar_date("o_orderdate").alias("date"),
-        cents("o_totalprice").alias("price"),
-        "o_orderkey",
-        "district",
-        F.col("zone").alias("neighborhood"),
+    """Orders in the columns of a listing table, without what depends on the customer."""
+    return listings(spark, d).select(
+        F.col("o_custkey").alias("propertyCode"), scalar.calendar_date("o_orderdate").alias("date"), cents("o_totalprice").alias("price"), "o_orderkey"
     )
 
 
 def latest_listings(spark: SparkSession, d: str, columns: tuple[str, ...]) -> DataFrame:
-    """A2 through ``plans.kpi.latest_listings``: ties by price, then order key."""
+    """A2 through ``plans.kpi.latest_listings``: ties by price, then order key;
+    district and zone come through the customer, after the reduction."""
     from zonekit.plans import kpi
 
-    rows = listing_model(spark, d)
-    return kpi.latest_listings(rows, tie_break=("price", "o_orderkey"), municipality=None, columns=columns)
+    zones = customer_zone(spark, d).select(F.col("c_custkey").alias("propertyCode"), "district", F.col("zone").alias("neighborhood"))
+    return kpi.latest_listings(
+        listing_model(spark, d), tie_break=("price", "o_orderkey"), municipality=None, columns=columns, attributes=zones
+    )
 
 
 def kpi1_daily(spark: SparkSession, d: str) -> DataFrame:
@@ -486,6 +483,11 @@ def corr_matrix(spark: SparkSession, d: str) -> DataFrame:
     return m.select("a", "b", F.round("r", 6).alias("r"))
 
 
+def corr_matrix_lineitem(spark: SparkSession, d: str) -> DataFrame:
+    """A17 over every numeric column of a table, as one vector-valued aggregate."""
+    return stats.corr_matrix(table(spark, d, "lineitem")).select("a", "b", F.round("r", 6).alias("r"))
+
+
 # ----------------------------------------------------------------- nested
 
 
@@ -585,8 +587,9 @@ def constant_column(spark: SparkSession, d: str) -> DataFrame:
 def snapshot_drift(spark: SparkSession, d: str) -> DataFrame:
     """a snapshot without the key column gives no row after the union."""
     ev = table(spark, d, "events")
-    a = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id")
-    b = ev.filter(F.col("event_type") == "view").select("event_id")
+    bought = F.col("event_type").eqNullSafe("purchase")
+    a = ev.filter(bought).select("event_id", "user_id")
+    b = ev.filter(~bought).select("event_id")
     return clean.require(readers.union_snapshots([a, b]), ["event_id", "user_id"])
 
 
@@ -638,6 +641,7 @@ QUERIES = {
     "kpi1_summary": kpi1_summary,
     "corr_pair": corr_pair,
     "corr_matrix": corr_matrix,
+    "corr_matrix_lineitem": corr_matrix_lineitem,
     "map_unwind_avg": map_unwind_avg,
     "avg_nested": avg_nested,
     "get_rows": get_rows,

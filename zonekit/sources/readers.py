@@ -4,6 +4,14 @@ Every reader takes an explicit schema, so there is no inference pass over
 the data and snapshots with drifting columns line up by name.  Many
 snapshots are read by one multi-path scan (one file listing, one plan)
 rather than a union of thousands of per-snapshot plans.
+
+What cannot be read never disappears: by default a cut file, a bad line or
+a value that does not fit its column fails the query that reads it
+(``on_bad="fail"``).  ``on_bad="keep"`` adds the text of such records as the
+column ``BAD``, and ``split_bad`` turns the frame into good rows and a report
+of the bad ones with file and place; ``on_bad="null"`` is Spark's own lenient
+reading.  JSON arrays are one record a file, so a file with a bad element is bad
+as a whole.
 """
 
 from __future__ import annotations
@@ -11,13 +19,49 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonekit.functions.scalar import date_from_name, parent_name
 from zonekit.sources import schemas
 
+#: column of ``on_bad="keep"``: the text of a record that could not be read, else null
+BAD = "__zk_bad_record"
+
+_MODES = {"fail": "FAILFAST", "null": "PERMISSIVE", "keep": "PERMISSIVE"}
+
+
+def _lenient(reader: DataFrameReader, schema: T.StructType | None, on_bad: str) -> DataFrameReader:
+    """``reader`` with ``schema`` and what is to happen to unreadable records."""
+    reader = reader.option("mode", _MODES[on_bad])
+    if on_bad == "keep":
+        reader = reader.option("columnNameOfCorruptRecord", BAD)
+        schema = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
+    return reader if schema is None else reader.schema(schema)
+
+
+def _read_whole(df: DataFrame, on_bad: str) -> DataFrame:
+    """Keep every column in the scan of ``on_bad="keep"``: a column that is not read is not found bad either."""
+    if on_bad != "keep":
+        return df
+    always = F.hash(*[F.col(f"`{c}`") for c in df.columns]) <= F.lit(2**31 - 1)
+    return df.filter(always)
+
+
+def split_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad records) of a frame read with ``on_bad="keep"``.
+
+    The report has one row per unreadable record: the file, the first byte of the block of
+    the file it was found in, and its text (of a JSON array, the whole file).
+    Every record is in one of the two frames.
+    """
+    good = df.filter(F.col(BAD).isNull()).drop(BAD)
+    found = df.filter(F.col(BAD).isNotNull())
+    where = F.col("_metadata")
+    bad = found.select(where["file_path"].alias("file"), where["file_block_start"].alias("block_start"), F.col(BAD).alias("record"))
+    return good, bad
+
 
 def read_json_snapshots(
     spark: SparkSession,
@@ -26,6 +70,7 @@ def read_json_snapshots(
     glob: str = "*.json",
     date_col: str = "date",
     strict_dates: bool = True,
+    on_bad: str = "fail",
 ) -> DataFrame:
     """S1 + F4 + P1/P2: directory of JSON-array files, one per date.
 
@@ -36,7 +81,8 @@ def read_json_snapshots(
     is not splittable), so many dated files read in parallel.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", glob).json(paths)
+    df = _lenient(spark.read, schema, on_bad).option("multiLine", True).option("pathGlobFilter", glob).json(paths)
+    df = _read_whole(df, on_bad)
     return df.withColumn(date_col, date_from_name(F.col("_metadata.file_name"), strict=strict_dates))
 
 
@@ -77,14 +123,15 @@ def read_csv_dir(
     sep: str = ",",
     header: bool = True,
     encoding: str = "UTF-8",
+    on_bad: str = "fail",
 ) -> DataFrame:
     """CSV files with a header that names the schema's columns in
     their order (quoted names with spaces are fine); a file whose header
     differs fails the read, so swapped columns never pass for each other.
     A UTF-8 byte-order mark at the start of a file is dropped by the reader."""
     paths = [path] if isinstance(path, str) else list(path)
-    return (
-        spark.read.schema(schema)
+    df = (
+        _lenient(spark.read, schema, on_bad)
         .option("header", header)
         .option("enforceSchema", not header)
         .option("sep", sep)
@@ -92,28 +139,38 @@ def read_csv_dir(
         .option("pathGlobFilter", glob)
         .csv(paths)
     )
+    return _read_whole(df, on_bad)
 
 
-def read_income_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_income_csv(spark: SparkSession, path: str, on_bad: str = "fail") -> DataFrame:
     """Yearly family-income tables."""
-    return read_csv_dir(spark, path, schemas.INCOME_CSV_SCHEMA)
+    return read_csv_dir(spark, path, schemas.INCOME_CSV_SCHEMA, on_bad=on_bad)
 
 
-def read_occupancy_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_occupancy_csv(spark: SparkSession, path: str, on_bad: str = "fail") -> DataFrame:
     """Household occupancy table (UTF-8 with BOM)."""
-    return read_csv_dir(spark, path, schemas.OCCUPANCY_CSV_SCHEMA)
+    return read_csv_dir(spark, path, schemas.OCCUPANCY_CSV_SCHEMA, on_bad=on_bad)
 
 
-def read_pair_lookup(spark: SparkSession, path: str) -> DataFrame:
+def read_pair_lookup(spark: SparkSession, path: str, on_bad: str = "fail") -> DataFrame:
     """S3 (scan part): (district, neighborhood) -> (district_id, neighborhood_id)."""
-    return read_csv_dir(spark, path, schemas.PAIR_LOOKUP_SCHEMA, glob="*")
+    return read_csv_dir(spark, path, schemas.PAIR_LOOKUP_SCHEMA, glob="*", on_bad=on_bad)
+
 
+def read_json_lines(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType | None = None,
+    on_bad: str = "fail",
+) -> DataFrame:
+    """JSON-lines file(s); splittable, so large files read in parallel.
 
-def read_json_lines(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:
-    """JSON-lines file(s); splittable, so large files read in parallel."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    Without a schema it is inferred, from the readable lines where bad ones
+    are kept or null."""
     paths = [path] if isinstance(path, str) else list(path)
-    return reader.json(paths)
+    if schema is None and on_bad == "keep":
+        schema = spark.read.option("mode", "DROPMALFORMED").json(paths).schema
+    return _read_whole(_lenient(spark.read, schema, on_bad).json(paths), on_bad)
 
 
 def read_source(
@@ -150,7 +207,7 @@ def register_json_tables(spark: SparkSession, path: str, ext: str = ".json") ->
     views = []
     for p in sorted(names):
         stem = p.rstrip("/").rsplit("/", 1)[-1][: -len(ext)]
-        spark.read.json(p).createOrReplaceTempView(stem)
+        read_json_lines(spark, p).createOrReplaceTempView(stem)
         views.append(stem)
     return views
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from zonekit.llm.common import documents, quoted, text_or_empty, text_slices
-from zonekit.llm.wordhash import mix, text_block, words
+from zonekit.llm.wordhash import mix, span_numbers, text_block, words
 
 #: words appended at once
 PIECE = 1 << 16
@@ -192,15 +192,6 @@ class SquareCatchers:
         return sorted((Run(i, j - i, p) for (i, j), p in self._found.items()), key=lambda r: (r.start, r.period))
 
 
-def word_numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The same number for equal words of a block, by their bytes."""
-    sizes = end - start
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, sizes)
-    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[place])])
-    return whole.dictionary_encode().indices.to_numpy().astype(np.int64)
-
-
 def planted(n: int, doc_id: int | None) -> np.ndarray | None:
     """Which original word each word of a document becomes; None if all stay (a fixed rule of the contract)."""
     if doc_id is None or not n:
@@ -277,7 +268,7 @@ def collapse(texts: pa.Array, ids: list | None = None, least: int = 12) -> list[
     """``FIELDS`` of every text; ``ids`` plants repetitions by ``planted``."""
     data, off = text_block(texts)
     start, end, doc = words(data, off)
-    numbers = word_numbers(data, start, end)
+    numbers = span_numbers(data, start, end)
     cuts = np.searchsorted(doc, np.arange(len(off)))
     places = []
     for i in range(len(off) - 1):

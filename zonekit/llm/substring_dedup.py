@@ -39,7 +39,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,17 +64,17 @@ _CLOSERS = np.zeros(256, dtype=bool)
 _CLOSERS[[ord(c) for c in "\"')]}"]] = True
 
 
-def sentences(data: np.ndarray, off: np.ndarray, how: Spans) -> dict[str, np.ndarray]:
-    """Per sentence: its document, first byte, first word, number of words and a 64-bit hash of its words.
+def sentences(data: np.ndarray, off: np.ndarray, how: Spans, hashes: int = 1) -> dict[str, np.ndarray]:
+    """Per sentence: its document, first byte, first word, number of words and 64-bit hashes of its words.
 
-    Per word: ``word_doc``, ``word_start`` (its first byte) and ``word_hash``.
+    Per word: ``word_doc``, ``word_start`` (its first byte) and ``word_hash``.  Each of the
+    ``hashes`` (rows of ``hash`` and ``word_hash``) is independent of the others.
     """
     start, end, doc = words(data, off)
     n = len(start)
     if not n:
-        none = np.zeros(0, dtype=np.int64)
-        names = ("doc", "start", "head", "words", "word_doc", "word_start")
-        return {k: none for k in names} | {"hash": none.astype(np.uint64), "word_hash": none.astype(np.uint64)}
+        none, no_hash = np.zeros(0, dtype=np.int64), np.zeros((hashes, 0), dtype=np.uint64)
+        return {k: none for k in ("doc", "start", "head", "words", "word_doc", "word_start")} | {"hash": no_hash, "word_hash": no_hash}
     last = data[end - 1]
     before = data[np.maximum(end - 2, start)]
     stops = _MARKS[last] | (_CLOSERS[last] & _MARKS[before])
@@ -84,8 +85,8 @@ def sentences(data: np.ndarray, off: np.ndarray, how: Spans) -> dict[str, np.nda
     first |= place % how.max_words == 0
     heads = np.flatnonzero(first)
     place = (np.arange(n) - np.maximum.accumulate(np.where(first, np.arange(n), 0))).astype(np.uint64)
-    said = span_hashes(data, start, end)
-    spread = mix(said ^ mix(place + np.uint64(3)))
+    said = np.array([span_hashes(data, start, end, salt) for salt in range(hashes)], dtype=np.uint64).reshape(hashes, n)
+    at = mix(place + np.uint64(3))
     sizes = np.diff(np.append(heads, n))
     return {
         "doc": doc[heads],
@@ -95,7 +96,7 @@ def sentences(data: np.ndarray, off: np.ndarray, how: Spans) -> dict[str, np.nda
         "word_doc": doc,
         "word_start": start,
         "word_hash": said,
-        "hash": mix(np.add.reduceat(spread, heads) + sizes.astype(np.uint64)),
+        "hash": mix(np.add.reduceat(mix(said ^ at), heads, axis=1) + sizes.astype(np.uint64)) if hashes else said[:, :0],
     }
 
 
@@ -146,7 +147,7 @@ def anchors(found: dict[str, np.ndarray], how: Spans) -> np.ndarray:
     if n < how.passage_words:
         return np.zeros(0, dtype=np.int64)
     at = np.arange(n - how.anchor_words + 1)
-    hashes = run_hashes(found["word_hash"], at, at + how.anchor_words - 1, 3)
+    hashes = run_hashes(found["word_hash"][0], at, at + how.anchor_words - 1, 3)
     fit = how.passage_words - how.anchor_words + 1
     least = _over(hashes, fit, np.minimum)
     least[doc[: len(least)] != doc[how.passage_words - 1 :]] = 0
@@ -170,13 +171,13 @@ def span_table(rows: DataFrame, how: Spans, hashes_only: bool = False) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "body", 2 << 20):
-            found = sentences(*text_block(batch.column("body")), how)
+            found = sentences(*text_block(batch.column("body")), how, 1 if hashes_only else 2)
             first, last = runs(found, how)
             at = anchors(found, how)
             to = at + how.anchor_words - 1
 
             def hashes(salt: int, found=found, runs=(first, last), windows=(at, to)) -> pa.Array:
-                both = [run_hashes(found["hash"], *runs, salt), run_hashes(found["word_hash"], *windows, salt + 4)]
+                both = [run_hashes(found["hash"][salt - 1], *runs, salt), run_hashes(found["word_hash"][salt - 1], *windows, salt + 4)]
                 return pa.array(np.concatenate(both).view(np.int64))
 
             if hashes_only:
@@ -238,10 +239,12 @@ def later_windows(rows: DataFrame, twice: DataFrame, gone: DataFrame, how: Spans
     there; others may be.
     """
     held = twice.filter("word >= 0")
-    sentence = F.explode(F.sequence("first", "last")).alias("sentence")
-    covered = gone.select(F.col("doc_id").alias("id"), F.col("content").alias("of"), sentence).distinct()
-    again = _later(held, "word", "earliest-anchors")
-    still = again.join(covered, _same_document(again, covered) & (again["first"] == covered["sentence"]), "left_anti")
+    again = _later(held, "word", "earliest-anchors").select("doc_id", "content", "first", F.lit(None).cast("int").alias("last"), "h1", "h2")
+    spans = gone.select("doc_id", "content", "first", "last", F.lit(None).cast("long").alias("h1"), F.lit(None).cast("long").alias("h2"))
+    # how far the spans reach that begin at an anchor's sentence or before, spans first
+    order = Window.partitionBy("doc_id", "content").orderBy("first", F.col("h1").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    met = again.unionByName(spans).withColumn("reach", F.max("last").over(order))
+    still = met.filter(F.col("h1").isNotNull() & (F.coalesce("reach", F.lit(-1)) < F.col("first")))
     asked = staged(still.select("h1", "h2").distinct(), "open-anchors")
     places = held.join(asked.hint("merge"), ["h1", "h2"], "left_semi")
     places = places.groupBy(F.col("doc_id").alias("id"), F.col("content").alias("of")).agg(F.collect_set("word").alias("at"))
@@ -251,7 +254,7 @@ def later_windows(rows: DataFrame, twice: DataFrame, gone: DataFrame, how: Spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "body", 2 << 20):
-            found = sentences(*text_block(batch.column("body")), how)
+            found = sentences(*text_block(batch.column("body")), how, 2)
             begins = np.searchsorted(found["word_doc"], np.arange(batch.num_rows + 1))
             n = len(found["word_doc"])
             # windows that hold an anchor begin up to this many words before it
@@ -269,7 +272,7 @@ def later_windows(rows: DataFrame, twice: DataFrame, gone: DataFrame, how: Spans
             doc = found["word_doc"][first]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[pa.array(run_hashes(found["word_hash"], first, last, salt).view(np.int64)) for salt in (1, 2)],
+                    *[pa.array(run_hashes(found["word_hash"][salt - 1], first, last, salt).view(np.int64)) for salt in (1, 2)],
                     batch.column("doc_id").take(pa.array(doc)),
                     batch.column("content").take(pa.array(doc)),
                     pa.array((first - begins[doc]).astype(np.int32)),
@@ -291,42 +294,51 @@ REMOVAL = T.StructType(
 )
 
 
-def cut(texts: pa.Array, spans: list[list[tuple[int, int, bool]] | None], how: Spans) -> list[dict]:
-    """``REMOVAL`` of each text without what its spans (first, last, whether these are words) cover.
+_REMOVED = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def cut(texts: pa.Array, spans: list[list[tuple[int, int, bool]] | None], how: Spans) -> list[pa.Array]:
+    """The fields of ``REMOVAL`` of each text, without what its spans (first, last, whether these are words) cover.
 
     Sentences go first; a span of words goes if none of its words is gone with them.
     """
     data, off = text_block(texts)
-    found = sentences(data, off, how)
+    found = sentences(data, off, how, 0)
     begins = np.searchsorted(found["doc"], np.arange(len(off)))
     word_begins = np.searchsorted(found["word_doc"], np.arange(len(off)))
-    out = []
+    n_removed = np.zeros(len(texts), dtype=np.int64)
+    touched, removed, clean = np.zeros(len(texts), dtype=bool), [], []
     for i, listed in enumerate(spans):
+        if not listed:
+            removed.append([])
+            continue
         lo, n = int(begins[i]), int(begins[i + 1] - begins[i])
         word_lo, n_words = int(word_begins[i]), int(word_begins[i + 1] - word_begins[i])
         raw = data[off[i] : off[i + 1]]
         sizes = found["words"][lo : lo + n]
-        gone = np.repeat(_covered([(a, b) for a, b, by_word in listed or () if not by_word], n), sizes)
+        gone = np.repeat(_covered([(a, b) for a, b, by_word in listed if not by_word], n), sizes)
         before = np.concatenate([[0], np.cumsum(gone)])
-        whole = [(a, b) for a, b, by_word in listed or () if by_word and before[a] == before[b + 1]]
+        whole = [(a, b) for a, b, by_word in listed if by_word and before[a] == before[b + 1]]
         gone |= _covered(whole, n_words)
         starts = np.append(found["word_start"][word_lo : word_lo + n_words] - off[i], len(raw))
         edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
         ranges = [(int(starts[a]), int(starts[b])) for a, b in zip(edges[::2], edges[1::2], strict=True)]
-        lead = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)]) if ranges else None
+        lead = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
         keep = np.ones(len(raw), dtype=bool)
         for a, b in ranges:
             keep[a:b] = False
         heads = found["head"][lo : lo + n] - word_lo
-        out.append(
-            {
-                "n_sentences": n,
-                "n_removed": int(np.logical_and.reduceat(gone, heads).sum()) if ranges else 0,
-                "removed": [{"start": int(lead[a]), "end": int(lead[b])} for a, b in ranges],
-                "clean_text": raw[keep].tobytes().decode(),
-            }
-        )
-    return out
+        n_removed[i] = np.logical_and.reduceat(gone, heads).sum() if ranges else 0
+        touched[i] = True
+        removed.append([{"start": int(lead[a]), "end": int(lead[b])} for a, b in ranges])
+        clean.append(raw[keep].tobytes())
+    cleaned = pa.array(clean, type=pa.binary()).cast(texts.type)
+    return [
+        pa.array(np.diff(begins)),
+        pa.array(n_removed),
+        pa.array(removed, type=_REMOVED),
+        pc.replace_with_mask(texts, pa.array(touched), cleaned),
+    ]
 
 
 def _covered(spans: list[tuple[int, int]], n: int) -> np.ndarray:
@@ -350,17 +362,11 @@ def removals(docs: DataFrame, how: Spans | None = None, key: str = "doc_id", tex
     lists = every.groupBy("doc_id", "content").agg(F.collect_set(F.struct("first", "last", "by_word")).alias("spans"))
     lists = lists.select(F.col("doc_id").alias("id"), F.col("content").alias("of"), "spans")
     joined = rows.join(lists.hint("merge"), F.col("content").eqNullSafe(F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
-    whole = pa.struct(
-        [("n_sentences", pa.int64()), ("n_removed", pa.int64())]
-        + [("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("clean_text", pa.string())]
-    )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "body", 4 << 20):
             spans = [x and [(s["first"], s["last"], s["by_word"]) for s in x] for x in batch.column("spans").to_pylist()]
-            made = pa.array(cut(batch.column("body"), spans, how), type=whole)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("content"), *made.flatten()],
+                [batch.column("doc_id"), batch.column("content"), *cut(batch.column("body"), spans, how)],
                 names=["doc_id", "content", *[f.name for f in REMOVAL.fields]],
             )
 

@@ -1,9 +1,11 @@
 """Vectorised words, lines and their 64-bit hashes over a block of UTF-8 texts (numpy).
 
-A hash of a byte span is a polynomial over its bytes modulo 2**64, read off
-a running sum, so a block costs a handful of array passes whatever its
-number of words.  Spans are hashed in chunks that end at white space, so
-memory stays near the block's own size even for one very long text.
+A span is read in lanes of eight bytes; each lane is mixed, then mixed again
+with its place, and the sum of all lanes and the length is mixed once more, so
+a block costs a handful of array passes whatever its number of words, and
+no structure of the text (such as a pattern and its complement) meets in the sum.
+Spans are hashed in chunks, so memory stays near the block's own size
+even for one very long text.
 """
 
 from __future__ import annotations
@@ -11,38 +13,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _CHUNK = 1 << 20
+_PLACE = np.uint64(0x9E3779B97F4A7C15)
+# keeps the first n bytes of a lane of eight
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.empty(n, dtype=np.uint64)
-    out[0] = 1
-    have = 1
-    while have < n:
-        step = np.uint64(pow(base, have, 1 << 64))
-        take = min(have, n - have)
-        out[have : have + take] = out[:take] * step
-        have += take
-    return out
-
-
-class _Powers:
-    """Powers of the base and of its inverse, grown when a longer chunk comes."""
-
-    up = down = np.ones(1, dtype=np.uint64)
-
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            base = int(_BASE)
-            cls.up, cls.down = _powers(base, n), _powers(pow(base, -1, 1 << 64), n)
-        return cls.up, cls.down
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A finaliser that spreads all bits (wrapping uint64 arithmetic)."""
     x = x ^ (x >> np.uint64(30))
@@ -65,18 +44,27 @@ def text_block(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[off[0] : off[-1]], off - off[0]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, target: int = _CHUNK) -> np.ndarray:
-    """Hash of each byte span; spans are ascending and do not overlap."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0, target: int = _CHUNK) -> np.ndarray:
+    """Hash of each byte span; spans are ascending and do not overlap.
+
+    Hashes of one span under different salts are independent of each other.
+    """
     out = np.empty(len(starts), dtype=np.uint64)
+    whole = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    # eight bytes from every place on
+    lanes = np.ndarray((len(data) + 1,), dtype="<u8", buffer=whole.data, strides=(1,))
+    seed = mix(np.array([salt + 1], dtype=np.uint64) * _PLACE)[0]
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + target, side="right")))
-        lo, hi = int(starts[i]), int(ends[j - 1])
-        up, down = _Powers.of(hi - lo + 1)
-        sums = np.zeros(hi - lo + 1, dtype=np.uint64)
-        np.cumsum((data[lo:hi].astype(np.uint64) + np.uint64(1)) * up[: hi - lo], out=sums[1:])
-        a, b = starts[i:j] - lo, ends[i:j] - lo
-        out[i:j] = (sums[b] - sums[a]) * down[a]
+        a, size = starts[i:j], ends[i:j] - starts[i:j]
+        count = np.maximum(1, (size + 7) >> 3)
+        head = np.concatenate([[0], np.cumsum(count)[:-1]])
+        place = np.arange(int(count.sum())) - np.repeat(head, count)
+        at = np.repeat(a, count) + 8 * place
+        held = lanes[at] & _FIRST[np.minimum(8, np.repeat(size, count) - 8 * place)]
+        spread = mix(mix(held ^ seed) + (place.astype(np.uint64) + np.uint64(1)) * _PLACE)
+        out[i:j] = np.add.reduceat(spread, head) + size.astype(np.uint64) * seed
         i = j
     return mix(out)
 
@@ -136,3 +124,31 @@ def repeated(keys: np.ndarray) -> np.ndarray:
 def per_document(doc: np.ndarray, n: int, weights: np.ndarray | None = None) -> np.ndarray:
     """Sum of ``weights`` (or the count) by document, as int64."""
     return np.bincount(doc, weights, minlength=n).astype(np.int64)[:n]
+
+
+def span_numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The same number for equal spans of a block, by their bytes; other numbers for others."""
+    sizes = end - start
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, sizes)
+    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[place])])
+    return whole.dictionary_encode().indices.to_numpy().astype(np.int64)
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The same number for equal pairs of numbers."""
+    return np.unique(a * (int(b.max(initial=0)) + 1) + b, return_inverse=True)[1].astype(np.int64)
+
+
+def window_numbers(numbers: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the first word, number) of every run of ``size`` words inside one document; equal runs only have one number."""
+    n = len(numbers) - size + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    held, m = numbers, 1
+    while 2 * m <= size:
+        held, m = _pairs(held[:-m], held[m:]), 2 * m
+    if m < size:  # two windows that overlap
+        held = _pairs(held[: len(held) - (size - m)], held[size - m :])
+    at = np.flatnonzero(doc[:n] == doc[size - 1 :])
+    return at, held[at]

@@ -1,10 +1,12 @@
+import random
+
 import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm import brute
-from zonekit.llm import exact_dedup, fuse, jaccard_join, wordhash
+from zonekit.llm import exact_dedup, fuse, jaccard_join, quality, wordhash
 from zonekit.llm.components import components
 
 
@@ -92,6 +94,58 @@ def test_matched_prefix_reaches_the_recall():
     assert 1 - (1 - 0.8 ** (length + 1)) ** forest.trees < forest.recall
 
 
+def test_recall_grows_as_prefixes_are_shortened(spark):
+    """Pairs around the threshold, against brute force: each round ties more, the last ones all but the target allows."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(160):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        rows.append((2 * i, " ".join(w)))
+        for at in rng.sample(range(len(w)), rng.choice([0, 1, 1, 2, 2])):
+            w[at] = "changed"
+        rows.append((2 * i + 1, " ".join(w)))
+    sets = [brute.shingle_set(t) for _, t in rows]
+    near = [2 * i for i in range(160) if len(sets[2 * i] & sets[2 * i + 1]) >= 0.8 * len(sets[2 * i] | sets[2 * i + 1])]
+    forest = jaccard_join.Forest()
+    signed = jaccard_join.sign(spark.createDataFrame(rows, "doc_id long, text string"), forest).withColumnRenamed("doc_id", "node")
+    recall = []
+    for shortest in (8, 6, forest.matched()):
+        root = {r.node: r.root for r in jaccard_join.candidate_groups(signed, forest, shortest).collect()}
+        recall.append(sum(root.get(a, a) == root.get(a + 1, a + 1) for a in near) / len(near))
+    assert len(near) > 100 and recall == sorted(recall) and recall[0] > 0.9 and recall[-1] >= 1 - 1 / len(near)
+
+
+def test_neighbours_share_what_their_labels_share(spark):
+    forest = jaccard_join.Forest(trees=2, depth=3)
+    values = {1: (5, 6, 7), 2: (5, 6, 8), 3: (5, 9, 9), 4: (5, 6, 7), 5: (1, 1, 1)}
+    rows = [(n, 1, [bytes([0, t]) + b"".join(x.to_bytes(4, "big") for x in (v if t else (n, n, n))) for t in (0, 1)]) for n, v in values.items()]
+    nodes = spark.createDataFrame(rows, "node long, n_shingles long, labels array<binary>")
+    got = {(r.a, r.b): r.matched for r in jaccard_join.neighbours(nodes, forest).collect()}
+    assert got == {(4, 1): 3, (2, 4): 2, (3, 2): 1}
+
+
+def test_hashes_tell_patterns_and_their_complements_apart(spark):
+    """A Thue-Morse word and its complement: equal for any polynomial of their bytes modulo a power of two."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    b = a.translate(str.maketrans("ab", "ba"))
+    data, off = wordhash.text_block(pa.array([a, b]))
+    assert len(set(wordhash.span_hashes(data, off[:-1], off[1:]))) == len(set(wordhash.span_hashes(data, off[:-1], off[1:], 1))) == 2
+    rows = [(1, f"{a} x y z w v"), (2, f"{b} x y z w v"), (3, a), (4, b)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.similar(rows)
+    judged = quality.judge(pa.array([f"{a}\n{b}\n{a}"]), quality.Rules())
+    assert judged["n_dup_lines"].tolist() == [1]
+
+
+def test_exact_window_numbers():
+    rng = np.random.default_rng(2)
+    numbers, doc = rng.integers(0, 3, 400), np.sort(rng.integers(0, 9, 400))
+    for size in (1, 2, 3, 5, 8, 11):
+        at, got = wordhash.window_numbers(numbers, doc, size)
+        runs = [(tuple(numbers[i : i + size])) for i in range(401 - size) if doc[i] == doc[i + size - 1]]
+        assert len(at) == len(runs) and len(set(zip(got.tolist(), runs))) == len(set(runs)) == len(set(got.tolist()))
+
+
 def test_similar_edges(edge):
     rows = jaccard_join.similar(edge).collect()
     assert len(rows) == edge.count()

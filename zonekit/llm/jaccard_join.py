@@ -2,17 +2,24 @@
 
 A text is the set of its runs of five words (its whole word sequence where
 it has fewer).  Each of ``trees`` prefix tries orders the texts by a label of
-``depth`` MinHash values.  A pair is a candidate where the labels agree over
-a prefix; the prefix is shortened from the full label, one value at a time,
-until a pair exactly at the threshold meets in some tree with probability
-``recall``.
-
-All leaves below a trie node are tied to its first leaf, which is linear in
+``depth`` MinHash values: the labels are sorted over range partitions, and how
+many values a label shares with the one before it is where its path leaves the trie.
+
+Texts that meet below a trie node are candidates.  The matched prefix starts
+at the full label and is shortened by one value at a time.  Each round joins
+the groups that meet at the shorter prefix; a text whose nodes hold
+only its own group is settled and takes no part.  It ends when no group is
+left to join, or when a pair exactly at the threshold meets in some tree with
+probability ``recall``: the target is a guarantee for every pair, so no link
+is given up for a good average.
+
+Neighbours in the sorted order tie all leaves below a node, which is linear in
 the texts, and connected components of these ties are the candidate groups.
-A group is compared exactly, as a product of its shingle incidence matrix:
-large groups are cut into blocks by node hash, and every pair of blocks is a
-task of bounded size that returns link counts and a spanning forest, never
-the pairs.  Texts of equal word sequences are one node with a weight.
+A group is compared exactly, on its words by their bytes, as a product of its
+shingle incidence matrix: large groups are cut into blocks by node hash, and
+every pair of blocks is a task of bounded size that returns link counts and a
+spanning forest, never the pairs.  Texts of equal word sequences are one node
+with a weight (by two independent hashes, 128 bits).
 
 Edge cases: a text without words (or null) has no shingle, is linked to
 nothing and is a class of its own; a null id sorts after every other; rows
@@ -27,12 +34,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonekit.llm.common import documents, keep_rows, quoted, row_key, staged, text_or_empty, text_slices
 from zonekit.llm.components import components
-from zonekit.llm.wordhash import mix, span_hashes, text_block, window_hashes, words
+from zonekit.llm.wordhash import mix, span_hashes, span_numbers, text_block, window_hashes, window_numbers, words
 
 
 @dataclass(frozen=True)
@@ -60,7 +67,7 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.nda
     start, end, doc = words(data, off)
     hashes = span_hashes(data, start, end)
     n = len(off) - 1
-    keys = np.stack([_sequence(hashes, doc, n), _sequence(mix(hashes + np.uint64(1)), doc, n)], axis=1)
+    keys = np.stack([_sequence(hashes, doc, n), _sequence(span_hashes(data, start, end, 1), doc, n)], axis=1)
     at, runs = window_hashes(hashes, doc, size)
     owner = doc[at]
     n_words = np.bincount(doc, minlength=n)[:n]
@@ -70,6 +77,22 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return owner[order], runs[order], keys
 
 
+def exact_shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, number) of every shingle of a block; equal shingles, word by word and byte by byte, only have one number."""
+    data, off = text_block(texts)
+    start, end, doc = words(data, off)
+    numbers = span_numbers(data, start, end)
+    n_words = np.bincount(doc, minlength=len(off) - 1)
+    owners, found = [], []
+    for length in range(1, size + 1):
+        at, runs = window_numbers(numbers, doc, length)
+        owner = doc[at]
+        wanted = n_words[owner] >= size if length == size else n_words[owner] == length
+        owners.append(owner[wanted])
+        found.append(runs[wanted] * size + length % size)
+    return np.concatenate(owners), np.concatenate(found)
+
+
 def _sequence(hashes: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     """One hash per document over its words in order: words are spread by place, then added."""
     first = np.searchsorted(doc, np.arange(n + 1))
@@ -78,12 +101,11 @@ def _sequence(hashes: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return mix(sums[first[1:]] - sums[first[:-1]] + (first[1:] - first[:-1]).astype(np.uint64))
 
 
-def trie_prefixes(owner: np.ndarray, hashes: np.ndarray, n: int, forest: Forest) -> np.ndarray:
-    """A hash of the matched prefix of each text in each tree, shape (n, trees)."""
-    length = forest.matched()
+def labels(owner: np.ndarray, hashes: np.ndarray, n: int, forest: Forest) -> np.ndarray:
+    """MinHash values of each text, shape (n, trees, depth), 32 bits each."""
     rng = np.random.default_rng(20240517)
     factors = rng.integers(0, 1 << 63, size=(forest.trees, forest.depth), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    out = np.zeros((n, forest.trees), dtype=np.uint64)
+    out = np.zeros((n, forest.trees, forest.depth), dtype=np.uint32)
     if not len(owner):
         return out
     heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
@@ -96,23 +118,25 @@ def trie_prefixes(owner: np.ndarray, hashes: np.ndarray, n: int, forest: Forest)
         block, at = hashes[lo:hi], heads[cut:stop] - lo
         room = np.empty_like(block)
         for tree in range(forest.trees):
-            label = np.full(len(at), tree, dtype=np.uint64)
-            for level in range(length):
+            for level in range(forest.depth):
                 np.multiply(block, factors[tree, level], out=room)
-                label = mix(label ^ np.minimum.reduceat(room, at)) + np.uint64(level)
-            out[who[cut:stop], tree] = label
+                out[who[cut:stop], tree, level] = mix(np.minimum.reduceat(room, at)) >> np.uint64(32)
         cut = stop
     return out
 
 
 def sign(docs: DataFrame, forest: Forest, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, row, sequence, n_shingles, n_words, prefixes) of every row."""
+    """(doc_id, row, sequence, n_shingles, labels) of every row; a label is a tree's number and its values, in bytes that sort alike."""
+    width = 2 + 4 * forest.depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "body", 2 << 20):
             owner, hashes, keys = shingles(batch.column("body"), forest.shingle)
             n = batch.num_rows
-            prefixes = trie_prefixes(owner, hashes, n, forest).view(np.int64)
+            values = labels(owner, hashes, n, forest).astype(">u4").view(np.uint8).reshape(n, forest.trees, width - 2)
+            trees = np.broadcast_to(np.arange(forest.trees, dtype=">u2").view(np.uint8).reshape(1, forest.trees, 2), (n, forest.trees, 2))
+            raw = np.ascontiguousarray(np.concatenate([trees, values], axis=2))
+            flat = pa.Array.from_buffers(pa.binary(width), n * forest.trees, [None, pa.py_buffer(raw)]).cast(pa.binary())
             offsets = pa.array(np.arange(n + 1, dtype=np.int32) * forest.trees)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -120,23 +144,64 @@ def sign(docs: DataFrame, forest: Forest, key: str = "doc_id", text: str = "text
                     batch.column("row"),
                     pa.array([k.tobytes() for k in keys], pa.binary()),
                     pa.array(np.bincount(owner, minlength=n)[:n].astype(np.int64)),
-                    pa.ListArray.from_arrays(offsets, pa.array(prefixes.ravel())),
+                    pa.ListArray.from_arrays(offsets, flat),
                 ],
-                names=["doc_id", "row", "sequence", "n_shingles", "prefixes"],
+                names=["doc_id", "row", "sequence", "n_shingles", "labels"],
             )
 
     body = text_or_empty(text)
     rows = docs.select(quoted(key).alias("doc_id"), row_key(quoted(key), body).alias("row"), body.alias("body"))
     kind = docs.schema[key].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, row string, sequence binary, n_shingles long, prefixes array<long>")
-
-
-def candidate_groups(nodes: DataFrame) -> DataFrame:
-    """(node, root) of the texts that share a trie node with another."""
-    leaves = nodes.filter("n_shingles > 0").select("node", F.explode("prefixes").alias("at"))
-    first = leaves.groupBy("at").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    ties = leaves.join(first.select("at", "head"), "at").filter("node <> head").select("node", "head").distinct()
-    return components(ties, "node", "head")
+    return rows.mapInArrow(run, f"doc_id {kind}, row string, sequence binary, n_shingles long, labels array<binary>")
+
+
+def neighbours(nodes: DataFrame, forest: Forest) -> DataFrame:
+    """(a, b, matched): nodes next to each other in some tree's sorted labels, and how many values they share at most."""
+    leaves = nodes.filter("n_shingles > 0").select(F.explode("labels").alias("label"), "node")
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the node is part of the order, so that equal labels, however many, can be dealt
+    cut = staged(leaves.repartitionByRange(parts, "label", "node").withColumn("part", F.spark_partition_id()), "leaves")
+    order = Window.partitionBy("part").orderBy("label", "node")
+    # a partition's first leaf follows the last one of the partition before: one row per partition
+    last = cut.groupBy("part").agg(F.max(F.struct("label", "node")).alias("end"))
+    last = last.select("part", F.lag("end").over(Window.orderBy("part")).alias("before"))
+    pairs = cut.withColumn("ahead", F.lag(F.struct("label", "node")).over(order)).join(F.broadcast(last), "part")
+    ahead = F.coalesce("ahead", "before")
+    matched = F.lit(0)
+    for k in range(1, forest.depth + 1):
+        same = F.substring("label", 1, 2 + 4 * k) == F.substring(ahead["label"], 1, 2 + 4 * k)
+        matched = F.when(same, F.lit(k)).otherwise(matched)
+    met = pairs.select(F.col("node").alias("a"), ahead["node"].alias("b"), matched.alias("matched"))
+    return met.filter("matched > 0").groupBy("a", "b").agg(F.max("matched").alias("matched"))
+
+
+def candidate_groups(nodes: DataFrame, forest: Forest, shortest: int | None = None) -> DataFrame:
+    """(node, root) of the texts that meet another below a trie node.
+
+    The prefix is shortened until the recall is met, or down to ``shortest`` values.
+    """
+    shortest = shortest or forest.matched()
+    ties = staged(neighbours(nodes, forest).filter(F.col("matched") >= shortest), "ties")
+    groups = None
+    for length in range(forest.depth, shortest - 1, -1):
+        met = ties.filter(F.col("matched") == length).select("a", "b")
+        if groups is not None:  # by the groups so far; what meets only its own group is settled
+            for end in ("a", "b"):
+                root = groups.select(F.col("node").alias(end), F.col("root").alias("root"))
+                met = met.join(root.hint("merge"), end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+            met = met.filter("a <> b")
+        met = staged(met, "round")
+        if met.isEmpty():
+            continue
+        joined = staged(components(met, "a", "b"), "joined")
+        if groups is None:
+            groups = joined
+            continue
+        higher = joined.select(F.col("node").alias("root"), F.col("root").alias("higher"))
+        moved = groups.join(higher.hint("merge"), "root", "left").select("node", F.coalesce("higher", "root").alias("root"))
+        fresh = joined.join(groups.hint("merge"), "node", "left_anti")
+        groups = staged(moved.unionByName(fresh), "groups")
+    return groups if groups is not None else nodes.select("node", F.col("node").alias("root")).limit(0)
 
 
 def placed(wanted: DataFrame, forest: Forest) -> DataFrame:
@@ -183,7 +248,7 @@ def verified(members: DataFrame, forest: Forest) -> DataFrame:
 
 def links_within(texts: pa.Array, forest: Forest) -> np.ndarray:
     """Which texts of a unit have a Jaccard similarity of the threshold or more (no text with itself)."""
-    owner, hashes, _ = shingles(texts, forest.shingle)
+    owner, hashes = exact_shingles(texts, forest.shingle)
     n = len(texts)
     order = np.lexsort((hashes, owner))
     owner, hashes = owner[order], hashes[order]
@@ -235,11 +300,11 @@ def similar(docs: DataFrame, forest: Forest | None = None, key: str = "doc_id",
         first,
         F.count(F.lit(1)).alias("weight"),
         F.any_value("n_shingles").alias("n_shingles"),
-        F.any_value("prefixes").alias("prefixes"),
+        F.any_value("labels").alias("labels"),
     )
     nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    groups = candidate_groups(nodes)
+    groups = candidate_groups(nodes, forest)
     wanted = nodes.join(groups, "node").select("node", "root", "weight", "n_shingles", F.col("first.row").alias("row"))
     wanted = staged(placed(wanted, forest), "placed")
     body = text_or_empty(text)

@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 from collections import defaultdict
 
@@ -25,15 +26,49 @@ def test_mix_meets_its_targets(corpus):
         target[source[r.doc_id]] = r.target
         assert 0 <= r.taken <= 2 * r["size"]
     want = brute.mix_targets(size)
+    # the mix ends at one virtual time, with the document that reaches the budget
+    order = sorted(mixing.schedule(corpus).collect(), key=lambda r: r.before + r["size"])
+    end = next(r.finish for r in order if r.before + r["size"] >= 1.5 * sum(size.values()))
+    longest = max(r["size"] for r in rows)
+    assert abs(end - 1) * 1.5 * sum(size.values()) <= len(size) * longest
     for s in size:
-        assert target[s] == pytest.approx(want[s], rel=1e-9) and abs(taken[s] - target[s]) <= 1
+        assert target[s] == pytest.approx(want[s], rel=1e-9)
+        assert abs(taken[s] - min(target[s] * end, 2 * size[s])) <= 1
     assert {(r.doc_id, r.taken) for r in offers(corpus.repartition(3))} == {(r.doc_id, r.taken) for r in rows}
 
 
+def test_taken_documents_are_the_prefix_of_the_global_order(corpus):
+    """By the method, in plain Python: sort by finish time, add up, stop at the budget."""
+    rows = mixing.schedule(corpus).collect()
+    queues, sizes = defaultdict(list), defaultdict(int)
+    for r in corpus.select("doc_id", "source", "text").collect():
+        n = len(brute.words(r.text))
+        queues[r.source].append((hashlib.md5(f"17:{r.doc_id}".encode()).hexdigest(), r.doc_id, n))
+        sizes[r.source] += n
+    target = brute.mix_targets(sizes)
+    order = []
+    for sid, s in enumerate(sorted(queues, key=lambda s: (s is None, s))):
+        given = 0
+        for n_pass in (0, 1):
+            for h, d, n in sorted(queues[s]):
+                order.append(((given + n) / target[s], sid, n_pass, h, d, n))
+                given += n
+    order.sort()
+    whole, total = set(), 0
+    while total < 1.5 * sum(sizes.values()):
+        _, _, n_pass, _, d, n = order[len(whole)]
+        whole.add((d, n_pass))
+        total += n
+    assert {(r.doc_id, r["pass"]) for r in rows if r.taken == r["size"] > 0} >= {(d, k) for d, k in whole if (d, k) in {(x[4], x[2]) for x in order if x[5]}}
+    part = [r for r in rows if r.taken and (r.doc_id, r["pass"]) not in whole]
+    assert len(part) <= len(sizes) and len({r.source for r in part}) == len(part)
+    assert [(r.doc_id, r["pass"]) for r in sorted(rows, key=lambda r: (r.before, r.finish)) if r["size"]] == [(x[4], x[2]) for x in order if x[5]]
+
+
 def test_mix_is_interleaved(spark):
     rows = [(i, "w " * 10, "a" if i % 4 else "b") for i in range(400)]
     got = mixing.schedule(spark.createDataFrame(rows, "doc_id long, text string, source string"))
-    ahead = got.filter("taken > 0").orderBy("before").collect()
+    ahead = got.filter("taken = size").orderBy("before").collect()
     half = ahead[: len(ahead) // 2]
     shares = {s: sum(r.taken for r in half if r.source == s) / sum(r.taken for r in ahead if r.source == s) for s in "ab"}
     assert all(0.4 < x < 0.6 for x in shares.values())

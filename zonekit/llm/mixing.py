@@ -3,11 +3,13 @@
 Every source is a queue of its documents in a hashed order, offered
 ``passes`` times over.  A document's virtual finish time is the number of
 words its queue has given out up to and including it, divided by the queue's
-target.  All documents are sorted by finish time and taken up to the total
-budget, so at any point of the mix each source has had its share.  The
-budget ends at one virtual time for all queues: the document that a queue
-is giving out just then is cut, so every source gets its target to the word,
-however long its documents are.
+target.  All documents are sorted by finish time, over all sources, and added
+up; the document with which the total budget is reached ends the mix.  All that
+finish by then are taken whole, a prefix of the global order, and at
+any point of it each source has had its share.  The queues give out words side
+by side, so a document that a queue has begun by that virtual time but not
+finished is taken as far as it has come: a source's words differ from its
+target by the share by which that time differs from 1, not by a document.
 
 Running totals are range-partitioned (``common.running_total``), so neither
 a source with a third of all rows nor the global order meets in one task.
@@ -84,8 +86,9 @@ def targets(sources: DataFrame, mix: Mix) -> DataFrame:
 def schedule(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Every offer of a document: (row_key, row, doc_id, source, size, source_size, target, pass, finish, before, taken).
 
-    ``taken`` is the number of its words within the budget, from its start;
-    ``before`` is the number of words taken ahead of it in the mix.
+    ``before`` is the number of words of all that finish ahead of it; ``taken`` is
+    the number of its words, from its start, that are given out when ``before``
+    reaches the budget.
     """
     mix = mix or Mix()
     body = text_or_empty(text)
@@ -108,10 +111,13 @@ def schedule(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", text:
     offers = offers.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(mix.passes - 1))))
     given = F.col("ahead") - F.col("base") + F.col("pass") * F.col("source_size")
     finish = F.coalesce(F.try_divide((given + F.col("size")).cast("double"), F.col("target")), F.lit(0.0))
-    left = F.floor(F.col("target")) - given
-    offers = offers.withColumn("finish", finish).withColumn("taken", F.greatest(F.least(left, F.col("size")), F.lit(0)))
+    offers = offers.withColumn("given", given).withColumn("finish", finish)
     order = ["finish", "sid", "pass", "rank", "doc_id", "size", "row"]
-    return running_total(offers, order, "taken", "before", "mix").select(
+    offers = running_total(offers, order, "size", "before", "mix")
+    budget = goal.agg(F.sum("source_size") * F.lit(float(min(mix.share, mix.passes)))).scalar()
+    end = offers.filter(F.col("before") + F.col("size") >= budget).agg(F.min("finish")).scalar()
+    begun = F.greatest(F.least(F.floor(F.col("target") * end) - F.col("given"), F.col("size")), F.lit(0))
+    return offers.withColumn("taken", F.when(F.col("finish") <= end, F.col("size")).otherwise(begun)).select(
         "row_key", "row", "doc_id", "source", "size", "source_size", "target", "pass", "finish", "before", "taken"
     )
 

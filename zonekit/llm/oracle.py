@@ -5,7 +5,15 @@ from __future__ import annotations
 from zonekit.llm.quality import BOILERPLATE
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
-_BOILER = " or ".join(f"contains(lower(line), '{phrase}')" for phrase in BOILERPLATE)
+
+
+def _stands(phrase: str) -> str:
+    """The phrase as whole words of a line that has at most four words for each of its own."""
+    left, right = (r"(^|[^a-z0-9\x{80}-\x{10ffff}])" if c.isascii() and c.isalnum() else "" for c in (phrase[0], phrase[-1]))
+    return f"(n <= {4 * len(phrase.split())} and regexp_matches(lower(line), '{left}{phrase}{right.replace('^|', '$|', 1)}'))"
+
+
+_BOILER = " or ".join(_stands(phrase) for phrase in BOILERPLATE)
 
 ORACLE_SQL: dict[str, str] = {
     "op4_exact_dedup": r"""
@@ -41,20 +49,34 @@ ORACLE_SQL: dict[str, str] = {
         f as (select *, (total - caps) / (all_w - ws) lam from o),
         rate as (select coalesce(first(lam order by cap / w, rank) filter (w * lam < cap), max(lam)) lam from f),
         g as (select source, source_size, least(w * rate.lam, cap) target from t, rate),
-        q as (select d.*, source_size, target, coalesce(sum(size) over (partition by d.source order by md5('17:' || doc_id), doc_id, size
-                     rows between unbounded preceding and 1 preceding), 0) ahead
-              from d join g on d.source is not distinct from g.source)
+        q as (select d.*, source_size, target, rank sid, md5('17:' || doc_id) h,
+                     coalesce(sum(size) over (partition by d.source order by md5('17:' || doc_id), doc_id, size
+                                              rows between unbounded preceding and 1 preceding), 0) ahead
+              from d join (select g.*, t.rank from g join t on g.source is not distinct from t.source) g on d.source is not distinct from g.source),
+        o2 as (select *, ahead + pass * source_size given,
+                      case when target = 0 then 0 else (ahead + pass * source_size + size)::double / target end finish
+               from q, (select unnest([0, 1]) pass)),
+        m as (select *, coalesce(sum(size) over (order by finish, sid, pass, h, doc_id, size
+                                                 rows between unbounded preceding and 1 preceding), 0) before from o2),
+        e as (select min(finish) f from m where before + size >= (select 1.5::double * sum(size) from d))
         select doc_id, size, source_size, target,
-               cast(greatest(least(floor(target) - ahead, size), 0) + greatest(least(floor(target) - ahead - source_size, size), 0) as bigint) taken
-        from q""",
+               cast(sum(case when finish <= f then size else greatest(least(floor(target * f) - given, size), 0) end) as bigint) taken
+        from m, e group by all""",
     "op10_quality_rules": rf"""
-        with d as (select doc_id, coalesce(text, '') t, {_WORDS} w, string_split(coalesce(text, ''), chr(10)) ls from documents),
-        li as (select doc_id, unnest(ls) line, unnest(range(len(ls))) i from d),
+        with d as (select doc_id, source, coalesce(text, '') t, {_WORDS} w, string_split(coalesce(text, ''), chr(10)) ls from documents),
+        li as (select doc_id, source, unnest(ls) line, unnest(range(len(ls))) i from d),
+        lc as (select *, lag(line) over o before, lead(line) over o after from li window o as (partition by doc_id order by i)),
+        ld as (select source, line, arg_min(struct_pack(b := before, a := after), i) context from lc
+               where len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) between 1 and 12 group by doc_id, source, line),
+        co as (select k.source, line from (select source, line, count(*) n, count(distinct context) c from ld group by all) k
+               join (select source, count(*) docs from d group by all) s on k.source is not distinct from s.source
+               where c >= 10 and n >= 0.05 * docs),
+        lj as (select li.*, co.line is not null common from li left join co on li.line = co.line and li.source is not distinct from co.source),
         lw as (select *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) n,
                       length(regexp_replace(line, '[^|»›•·]', '', 'g')) marks,
-                      length(regexp_replace(line, '[^!-/:-@\[-`{{-~]', '', 'g')) punct from li),
+                      length(regexp_replace(line, '[^!-/:-@\[-`{{-~]', '', 'g')) punct from lj),
         lb as (select *, n > 0 and ((punct > 0.25 * length(line) or not regexp_matches(line, '[A-Za-z0-9]|[^\x00-\x7F]'))
-                                    or (marks >= 3 and 2 * marks >= n - marks) or (n <= 40 and ({_BOILER}))) bad,
+                                    or (marks >= 3 and 2 * marks >= n - marks) or common or {_BOILER}) bad,
                       n > 0 and row_number() over (partition by doc_id, line order by i) > 1 dup from lw),
         la as (select doc_id, count(*) n_lines, count(*) filter (bad) n_bad_lines, count(*) filter (dup) n_dup_lines,
                       coalesce(sum(n) filter (bad), 0) lost from lb group by doc_id),

@@ -7,8 +7,13 @@ Every line of a text is judged by itself:
   or the line has no letter or digit at all;
 * navigation: at least ``nav_marks`` separators (``|``, ``»``, ``›``, ``•``, ``·``)
   and one for every two words at least;
-* boilerplate: one of ``BOILERPLATE`` in the lower-cased line, which has at
-  most ``boiler_words`` words (longer lines are prose that mentions it).
+* boilerplate phrases: one of ``BOILERPLATE`` stands in the lower-cased line, as
+  whole words, and the line has at most ``boiler_fill`` words for each of its own
+  (longer lines are prose that mentions it);
+* boilerplate of a source: a line of up to ``common_words`` words that stands in
+  at least ``common_share`` of its source's documents, and between at least
+  ``common_contexts`` different pairs of lines.  Copies of a text, however many, put
+  a line between the same two lines, so they make none of their lines common.
 
 A document is rejected when its whole text fails a base rule (too few words,
 or too many words in repeated 8-word windows) or when the lines that failed
@@ -30,15 +35,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonekit.llm.common import documents, free_name, quoted, text_slices
+from zonekit.llm.common import documents, free_name, quoted, staged, text_or_empty, text_slices
 from zonekit.llm.wordhash import (
     lines,
     mix,
     per_document,
     repeated,
     span_hashes,
+    span_numbers,
     text_block,
-    window_hashes,
+    window_numbers,
     words,
 )
 
@@ -58,7 +64,10 @@ class Rules:
     window: int = 8
     max_punct: float = 0.25
     nav_marks: int = 3
-    boiler_words: int = 40
+    boiler_fill: int = 4
+    common_words: int = 12
+    common_share: float = 0.05
+    common_contexts: int = 10
     max_lost: float = 0.5
 
 
@@ -83,15 +92,17 @@ _SYMBOL[np.frombuffer(b"#*$%&|<>", dtype=np.uint8)] = True
 # ASCII characters that are neither letter, digit nor white space.
 _PUNCT = np.array([32 < i < 127 and not chr(i).isalnum() for i in range(256)])
 _ALNUM = np.array([i >= 0xC2 or (i < 128 and chr(i).isalnum()) for i in range(256)])
+# Bytes of words: letters, digits and all beyond ASCII.
+_WORDY = np.array([i >= 128 or chr(i).isalnum() for i in range(256)])
 _NAV = ("»", "›", "•", "·")
 
 
-def judge(texts: pa.Array, rules: Rules) -> dict[str, np.ndarray | list]:
-    """The columns of ``VERDICT`` for a block of texts."""
+def judge(texts: pa.Array, rules: Rules, common: pa.Array | None = None) -> dict[str, np.ndarray | list]:
+    """The columns of ``VERDICT`` for a block of texts; ``common`` lists the hashes of each one's common lines."""
     data, off = text_block(texts)
     n = len(off) - 1
     w_start, w_end, w_doc = words(data, off)
-    hashes = span_hashes(data, w_start, w_end)
+    numbers = span_numbers(data, w_start, w_end)
     n_words = per_document(w_doc, n)
 
     # running counts over the bytes: a span's count is a difference
@@ -104,9 +115,8 @@ def judge(texts: pa.Array, rules: Rules) -> dict[str, np.ndarray | list]:
     symbols = counter(_SYMBOL[data])
     n_symbols = symbols[off[1:]] - symbols[off[:-1]]
 
-    at, runs = window_hashes(hashes, w_doc, rules.window)
-    with np.errstate(over="ignore"):
-        twice = at[repeated(runs ^ mix(w_doc[at].astype(np.uint64) + np.uint64(7)))]
+    at, runs = window_numbers(numbers, w_doc, rules.window)
+    twice = at[repeated(runs * n + w_doc[at])]
     cover = np.zeros(len(w_doc) + 1, dtype=np.int64)
     np.add.at(cover, twice, 1)
     np.add.at(cover, twice + rules.window, -1)
@@ -115,13 +125,15 @@ def judge(texts: pa.Array, rules: Rules) -> dict[str, np.ndarray | list]:
     l_start, l_end, l_doc = lines(data, off)
     l_words = np.searchsorted(w_start, l_end) - np.searchsorted(w_start, l_start)
     held = np.flatnonzero(l_words)
-    keys = span_hashes(data, l_start[held], l_end[held]) ^ mix(l_doc[held].astype(np.uint64) + np.uint64(7))
+    keys = span_numbers(data, l_start[held], l_end[held]) * n + l_doc[held]
     _, earliest = np.unique(keys, return_index=True)
     later = np.ones(len(held), dtype=bool)
     later[earliest] = False
     n_dup = per_document(l_doc[held[later]], n)
 
     bad = bad_lines(data, (l_start, l_end, l_words), chars, rules)
+    if common is not None and common.null_count < len(common):
+        bad |= _listed(data, (l_start, l_end, l_doc, l_words), rules, common)
     lost = per_document(l_doc, n, np.where(bad, l_words, 0))
     base_failed = (n_words < rules.min_words) | (100 * n_repeat > rules.max_repeat_percent * n_words)
     n_bad = per_document(l_doc[bad], n)
@@ -153,26 +165,92 @@ def bad_lines(data: np.ndarray, spans: tuple, chars: np.ndarray, rules: Rules) -
     size = chars[end] - chars[start]
     raw = data.tobytes()
     marks = data == ord("|")
-    found = np.zeros(len(data), dtype=bool)
     for mark in _NAV:
         _flag(raw, mark.encode(), marks, end)
     low = raw.lower()
-    for phrase in BOILERPLATE:
-        _flag(low, phrase.encode(), found, end)
+    boiler = np.zeros(len(start), dtype=bool)
+    for size_of in sorted({len(p.split()) for p in BOILERPLATE}):
+        found = np.zeros(len(data), dtype=bool)
+        for phrase in (p.encode() for p in BOILERPLATE if len(p.split()) == size_of):
+            _flag(low, phrase, found, end, whole=True)
+        boiler |= (within(found) > 0) & (n_words <= rules.boiler_fill * size_of)
     n_marks = within(marks)
     punctuation = (within(_PUNCT[data]) > rules.max_punct * size) | (within(_ALNUM[data]) == 0)
     navigation = (n_marks >= rules.nav_marks) & (2 * n_marks >= n_words - n_marks)
-    boiler = (within(found) > 0) & (n_words <= rules.boiler_words)
     return (n_words > 0) & (punctuation | navigation | boiler)
 
 
-def _flag(raw: bytes, what: bytes, flags: np.ndarray, line_ends: np.ndarray) -> None:
-    """Mark where ``what`` begins, if it ends within the same line (texts follow each other without a break)."""
+def _flag(raw: bytes, what: bytes, flags: np.ndarray, line_ends: np.ndarray, whole: bool = False) -> None:
+    """Mark where ``what`` begins, if it ends within the same line (texts follow each other without a break).
+
+    ``whole``: and if no letter, digit or other part of a word stands next to its own.
+    """
     at = raw.find(what)
     while at >= 0:
-        if at + len(what) <= line_ends[np.searchsorted(line_ends, at, side="right")]:
-            flags[at] = True
-        at = raw.find(what, at + len(what))
+        line = np.searchsorted(line_ends, at, side="right")
+        stop = at + len(what)
+        if stop <= line_ends[line]:
+            left = at > (line_ends[line - 1] if line else 0) and _WORDY[raw[at - 1]] and _WORDY[what[0]]
+            right = stop < line_ends[line] and _WORDY[raw[stop]] and _WORDY[what[-1]] and what[-1] < 128
+            if not whole or not (left or right):
+                flags[at] = True
+        at = raw.find(what, at + 1)
+
+
+def _line_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return span_hashes(data, start, end, 9)
+
+
+def _listed(data: np.ndarray, spans: tuple, rules: Rules, common: pa.Array) -> np.ndarray:
+    """True for each short line whose hash is listed for its document."""
+    start, end, doc, n_words = spans
+    asked = np.flatnonzero((n_words > 0) & (n_words <= rules.common_words) & ~common.is_null().to_numpy(zero_copy_only=False)[doc])
+    out = np.zeros(len(start), dtype=bool)
+    if len(asked):
+        lists = common.take(pa.array(doc[asked]))
+        owner = np.repeat(np.arange(len(asked)), lists.value_lengths().to_numpy())
+        hit = lists.flatten().to_numpy().view(np.uint64) == _line_hashes(data, start[asked], end[asked])[owner]
+        out[asked[owner[hit]]] = True
+    return out
+
+
+def common_lines(docs: DataFrame, rules: Rules, text: str = "text", source: str | None = "source") -> DataFrame:
+    """(source, lines): hashes of the lines that are boilerplate of a source, for the sources that have any.
+
+    A document has a line once.  The lists are short whatever the source's size: a line
+    takes ``common_share`` of its documents.
+    """
+    kind = docs.schema[source].dataType.simpleString() if source else "int"
+    rows = docs.select((quoted(source) if source else F.lit(0)).alias("source"), text_or_empty(text).alias("body"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "body", 4 << 20):
+            data, off = text_block(batch.column("body"))
+            w_start, _, _ = words(data, off)
+            start, end, doc = lines(data, off)
+            n_words = np.searchsorted(w_start, end) - np.searchsorted(w_start, start)
+            hashes = _line_hashes(data, start, end)
+            # the lines before and after, of the same text
+            edge = np.uint64(0)
+            before = np.where(np.append([False], doc[1:] == doc[:-1]), np.append([edge], hashes[:-1]), edge)
+            after = np.where(np.append(doc[1:] == doc[:-1], [False]), np.append(hashes[1:], [edge]), edge)
+            context = mix(before + np.uint64(1)) + after
+            short = np.flatnonzero((n_words > 0) & (n_words <= rules.common_words))
+            _, first = np.unique(hashes[short] ^ mix(doc[short].astype(np.uint64) + np.uint64(7)), return_index=True)
+            short = short[first]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("source").take(pa.array(doc[short])), pa.array(hashes[short].view(np.int64)), pa.array(context[short].view(np.int64))],
+                names=["source", "line", "context"],
+            )
+
+    found = rows.mapInArrow(run, f"source {kind}, line long, context long")
+    sizes = rows.groupBy("source").agg(F.count(F.lit(1)).alias("docs")).select(F.col("source").alias("of"), "docs")
+    # copies in one context are summed on the map side; then a line's contexts are
+    each = found.groupBy("source", "line", "context").agg(F.count(F.lit(1)).alias("n"))
+    counts = each.groupBy("source", "line").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("contexts"))
+    counts = staged(counts.filter(F.col("contexts") >= rules.common_contexts), "line-counts")
+    often = counts.join(sizes, F.col("source").eqNullSafe(F.col("of"))).filter(F.col("n") >= rules.common_share * F.col("docs"))
+    return staged(often.groupBy("source").agg(F.collect_list("line").alias("lines")), "common-lines")
 
 
 def _without(data: np.ndarray, off: np.ndarray, spans: tuple, bad: np.ndarray, n_bad: np.ndarray) -> list[str]:
@@ -189,23 +267,27 @@ def _without(data: np.ndarray, off: np.ndarray, spans: tuple, bad: np.ndarray, n
     return out
 
 
-def assess(docs: DataFrame, text: str = "text", rules: Rules | None = None, out: str | None = None) -> tuple[DataFrame, str]:
+def assess(docs: DataFrame, text: str = "text", rules: Rules | None = None, out: str | None = None, source: str = "source") -> tuple[DataFrame, str]:
     """``docs`` with a struct column of ``VERDICT``; returns its name too (free of clashes)."""
     rules = rules or Rules()
     out = out or free_name(docs, "quality")
+    has_source = source in docs.columns
+    common = common_lines(docs, rules, text, source if has_source else None)
     # by place, as a name with a dot cannot be handed to mapInArrow
     columns = [f"c{i}" for i in range(len(docs.columns))]
     body = columns[docs.columns.index(text)]
     plain = docs.toDF(*columns)
     schema = T.StructType([*plain.schema.fields, T.StructField("verdict", VERDICT)])
     fields = [(f.name, pa.int64() if f.dataType == T.LongType() else pa.bool_()) for f in VERDICT.fields[:-1]]
+    own = F.col(columns[docs.columns.index(source)]) if has_source else F.lit(0)
+    plain = plain.join(common, own.eqNullSafe(F.col("source")), "left").drop("source")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, body, 4 << 20):
-            got = judge(batch.column(body), rules)
+            got = judge(batch.column(body), rules, batch.column("lines"))
             parts = [pa.array(got[name], type=kind) for name, kind in fields] + [pa.array(got["clean_text"], pa.string())]
             verdict = pa.StructArray.from_arrays(parts, names=[f.name for f in VERDICT.fields])
-            yield pa.RecordBatch.from_arrays([*batch.columns, verdict], names=[*columns, "verdict"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], verdict], names=[*columns, "verdict"])
 
     return plain.mapInArrow(run, schema).toDF(*docs.columns, out), out
 
@@ -228,7 +310,7 @@ def clean_lines_then_reject(docs: DataFrame, text: str = "text", length: str | N
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's counts and verdict (contract of operator 10)."""
-    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
     judged, verdict = assess(docs)
     counts = [f.name for f in VERDICT.fields if f.name != "clean_text"]
     return judged.select("doc_id", *[F.col(verdict)[c].alias(c) for c in counts])

@@ -4,7 +4,7 @@ Base spans are e-mail and IP addresses, card and telephone numbers.  Removing
 them is not enough where other words of the text point at the same person:
 if a word occurs (almost) only in texts that hold one protected value, the
 word discloses the value.  So for every protected value e that occurs in
-several texts, and every term t of those texts, the corpus gives
+different texts, and every term t of those texts, of any length, the corpus gives
 
 * support: different texts that hold both t and e,
 * posterior: support / texts that hold t, a lower bound of P(e | t),
@@ -13,7 +13,8 @@ several texts, and every term t of those texts, the corpus gives
 
 A term that reaches all three thresholds is sanitised in the documents that
 hold e: removed where its posterior is ``remove_at`` or more, generalised
-otherwise.  All counts are over different texts, so copies change none of
+otherwise.  The support asked for is two texts: in a single one nothing tells the words
+that belong to the value from those that happen to be nowhere else.  All counts are over different texts, so copies change none of
 them, and every copy is sanitised like its original.  A value so
 frequent that no term can reach the information threshold is left out before
 its texts are opened, which changes no result.
@@ -66,11 +67,10 @@ _TERM = r"[\p{L}\p{N}]++"
 
 @dataclass(frozen=True)
 class Disclosure:
-    min_support: int = 5
+    min_support: int = 2
     min_posterior: float = 0.8
     min_bits: float = 4.0
     remove_at: float = 0.95
-    min_letters: int = 4
 
 
 def _valid(kind: Column, match: Column) -> Column:
@@ -131,9 +131,8 @@ def _without_values(body: Column) -> Column:
     return body
 
 
-def _terms(body: Column, how: Disclosure) -> Column:
-    words = F.array_distinct(F.regexp_extract_all(F.lower(body), F.lit(_TERM), F.lit(0)))
-    return F.filter(words, lambda w: F.length(w) >= how.min_letters)
+def _terms(body: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(body), F.lit(_TERM), F.lit(0)))
 
 
 def disclosing(rows: DataFrame, spans: DataFrame, how: Disclosure) -> DataFrame:
@@ -146,16 +145,18 @@ def disclosing(rows: DataFrame, spans: DataFrame, how: Disclosure) -> DataFrame:
     texts = texts.filter(F.col("n_value") >= how.min_support).withColumn("n_docs", n_docs)
     texts = texts.filter(F.log2(F.col("n_docs") / F.col("n_value")) >= how.min_bits)
     held = staged(values.join(texts, "value").withColumn("content", content), "values")
+    if held.isEmpty():  # no value that a term could disclose
+        return held.select("row", F.col("value").alias("term"), F.lit(1.0).alias("posterior"))
 
     opened = rows.join(held.select("row").distinct().hint("merge"), "row").dropDuplicates(["row"])
-    terms = staged(opened.select("row", F.explode(_terms(_without_values(F.col("body")), how)).alias("term")), "terms")
+    terms = staged(opened.select("row", F.explode(_terms(_without_values(F.col("body")))).alias("term")), "terms")
     pairs = held.dropDuplicates(["value", "content"]).join(terms, "row")
     pairs = pairs.groupBy("value", "term", "n_value", "n_docs").agg(F.count(F.lit(1)).alias("support"))
     pairs = pairs.filter(F.col("support") >= how.min_support)
 
     # copies meet on the map side first, so a large group of them is one row per task
     each = rows.select(content.alias("content"), "body").dropDuplicates(["content"])
-    frequency = each.select(F.explode(_terms(_without_values(F.col("body")), how)).alias("term"))
+    frequency = each.select(F.explode(_terms(_without_values(F.col("body")))).alias("term"))
     frequency = frequency.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     posterior = F.col("support") / F.col("n_term")
     bits = F.log2(F.col("n_docs") * F.col("support") / (F.col("n_term") * F.col("n_value")))

@@ -3,20 +3,22 @@
 Lines that begin with ``>`` are quoted, the number of ``>`` is their level;
 a line that introduces a quotation ("... wrote:") goes with it.  A passage is
 a run of lines of one level.  Passages and the unquoted text of all messages
-are cut into sentences, which are normalised (lower case, letters and digits
-only) and hashed.  Each quoted sentence joins the first message of its own
-conversation that says it unquoted, earlier than the quoting one; failing
-that, the first message of the whole table.  A passage belongs to the
-message that has most of its sentences, half of them at least.
+are normalised (lower case, letters and digits only) and hashed as a whole, line by
+line and sentence by sentence.  A passage joins the messages that say it, or
+pieces of it, unquoted: the first one of its own conversation, earlier than the
+quoting one, and the first one of any other conversation.  It belongs to a
+message that says the whole passage; failing that, to the one that has most of
+its sentences, then lines, half of either at least.  Pieces may be of any
+length and in any script.
 
 A message answers what its outermost quotations belong to, within its
 conversation.  Following answers up gives the message that began the thread;
 a conversation is put in order by thread, then by turn, so that answers
 follow what they answer, and comes out without the quotations.
 
-Both joins have one row per sentence hash on the side of the originals, so a
-sentence that a third of all messages hold stays linear.  All of it is
-DataFrame operations.
+The joins have one row per hash on the side of the originals, so a
+sentence that a third of all messages hold stays linear, and so are the lines
+of a message.  All of it is DataFrame operations.
 
 Edge cases: a null or empty text is a message without sentences; a null
 conversation is one of its own, in which nothing is linked; null turns come
@@ -29,7 +31,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonekit.llm.common import running_total, staged
@@ -37,12 +39,12 @@ from zonekit.llm.common import running_total, staged
 _PREFIX = r"^[ \t]*((?:>[ \t]?)++)"
 # A line that introduces a quotation, in the four languages of the tables.
 _LEAD = r"(?i)^[ \t]*(on|am|le|el)\b.{3,200}\b(wrote|schrieb|a écrit|escribió)[^\n:]{0,80}:[ \t]*$"
-_BETWEEN_SENTENCES = r"(?<=[.!?])[ \t\r\n]+"
+# After a mark that ends a sentence; the full-width ones need no space behind them.
+_BETWEEN_SENTENCES = r"(?<=[.!?])[ \t\r\n]+|(?<=[\u3002\uFF01\uFF1F])"
 
 
 @dataclass(frozen=True)
 class Linking:
-    min_words: int = 3
     min_share: float = 0.5
 
 
@@ -80,13 +82,14 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
 
 
-def _sentences(text: Column, least_words: int) -> Column:
-    """Hashes of the sentences of a text that have enough words, each once."""
-    kept = F.filter(
-        F.transform(F.split(text, _BETWEEN_SENTENCES), normalised),
-        lambda s: F.size(F.split(s, " ")) >= least_words,
-    )
-    return F.array_distinct(F.transform(kept, lambda s: F.struct(F.xxhash64(s, F.lit(0)).alias("h1"), F.xxhash64(s, F.lit(1)).alias("h2"))))
+def _hashes(pieces: Column) -> Column:
+    """128 bits of each different piece of an array that has a letter or digit."""
+    kept = F.array_distinct(F.filter(F.transform(pieces, normalised), lambda p: p != ""))
+    return F.transform(kept, lambda p: F.struct(F.xxhash64(p, F.lit(0)).alias("h1"), F.xxhash64(p, F.lit(1)).alias("h2")))
+
+
+def _tagged(hashes: str, kind: int) -> Column:
+    return F.transform(hashes, lambda h: F.struct(F.lit(kind).alias("kind"), h["h1"].alias("h1"), h["h2"].alias("h2")))
 
 
 def _own(lines: Column) -> Column:
@@ -94,19 +97,16 @@ def _own(lines: Column) -> Column:
 
 
 def passages(rows: DataFrame) -> DataFrame:
-    """(msg, conv_id, turn, passage, level, quoted): runs of quoted lines of one level, as text."""
+    """(msg, conv_id, turn, passage, level, quoted): runs of quoted lines of one level, as lines."""
+    held = rows.filter(F.exists("lines", lambda x: x["level"] > 0)).dropDuplicates(["msg"])
+    lines = held.select("msg", "conv_id", "turn", F.posexplode("lines").alias("i", "x"))
+    lines = lines.select("msg", "conv_id", "turn", "i", "x.level", "x.content")
     # a line that differs in level from the one before begins a passage
-    number = F.transform("lines", lambda x, i: F.when((i > 0) & (F.get("lines", i - 1)["level"] == x["level"]), 0).otherwise(1))
-    held = rows.filter(F.exists("lines", lambda x: x["level"] > 0)).dropDuplicates(["msg"]).withColumn("begins", number)
-    lines = held.select("msg", "conv_id", "turn", F.posexplode(F.arrays_zip("lines", "begins")).alias("i", "x"))
-    starts = F.filter(F.transform("begins", lambda b, i: F.when(b == 1, i)), lambda i: i.isNotNull())
-    runs = held.select("msg", starts.alias("starts"))
-    lines = lines.join(runs, "msg")
-    # the run of a line: how many runs begin at or before it
-    lines = lines.withColumn("passage", F.size(F.filter("starts", lambda s: s <= F.col("i"))))
-    lines = lines.select("msg", "conv_id", "turn", "passage", "i", "x.lines.level", "x.lines.content").filter("level > 0")
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "content"))), lambda x: x["content"]), " ")
-    return lines.groupBy("msg", "conv_id", "turn", "passage", "level").agg(joined.alias("quoted"))
+    order = Window.partitionBy("msg").orderBy("i")
+    begins = F.coalesce((F.lag("level").over(order) != F.col("level")).cast("int"), F.lit(1))
+    lines = lines.withColumn("begins", begins).withColumn("passage", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    quoted = F.transform(F.array_sort(F.collect_list(F.struct("i", "content"))), lambda x: x["content"]).alias("quoted")
+    return lines.filter("level > 0").groupBy("msg", "conv_id", "turn", "passage", "level").agg(quoted)
 
 
 def passage_links(rows: DataFrame, how: Linking) -> DataFrame:
@@ -114,29 +114,41 @@ def passage_links(rows: DataFrame, how: Linking) -> DataFrame:
 
     ``rows`` are parsed messages.
     """
-    said = rows.dropDuplicates(["msg"]).filter("turn is not null")
-    said = said.select("conv_id", "turn", F.explode(_sentences(_own(F.col("lines")), how.min_words)).alias("s"))
-    said = said.select("conv_id", "turn", "s.h1", "s.h2")
-    here = said.groupBy("conv_id", "h1", "h2").agg(F.min("turn").alias("here"))
-    anywhere = here.filter("conv_id is not null").groupBy("h1", "h2").agg(F.min(F.struct("conv_id", F.col("here").alias("turn"))).alias("any"))
-
-    found = passages(rows).withColumn("sentences", _sentences(F.col("quoted"), how.min_words))
-    found = found.withColumn("n_sentences", F.size("sentences"))
-    asked = found.select("msg", "conv_id", "turn", "passage", "level", "n_sentences", F.explode("sentences").alias("s"))
-    asked = staged(asked.select("msg", "conv_id", "turn", "passage", "level", "n_sentences", "s.h1", "s.h2"), "quoted-sentences")
+    said = rows.dropDuplicates(["msg"]).filter("turn is not null").withColumn("own", _own(F.col("lines")))
+    pieces = F.concat(F.array("own"), F.split("own", "\n"), F.split("own", _BETWEEN_SENTENCES))
+    said = said.select("conv_id", "turn", F.explode(_hashes(pieces)).alias("s")).select("conv_id", "turn", "s.h1", "s.h2")
+    here = staged(said.groupBy("conv_id", "h1", "h2").agg(F.min("turn").alias("here")), "said")
+    # of each hash the first conversation, and the first of the others
+    place = F.struct(F.col("conv_id").alias("conv"), F.col("here").alias("turn"))
+    known = here.filter("conv_id is not null")
+    least = staged(known.groupBy("h1", "h2").agg(F.min(place).alias("first")), "first-said")
+    other = known.join(least.hint("merge"), ["h1", "h2"]).filter("conv_id <> first.conv")
+    other = other.groupBy("h1", "h2").agg(F.min(place).alias("second"))
+    anywhere = staged(least.join(other.hint("merge"), ["h1", "h2"], "left"), "first-said")
+
+    whole = F.array_join("quoted", " ")
+    found = passages(rows).withColumns(
+        {"whole": _hashes(F.array(whole)), "by_line": _hashes(F.col("quoted")), "by_sentence": _hashes(F.split(whole, _BETWEEN_SENTENCES))}
+    )
+    kinds = [_tagged(name, k) for k, name in enumerate(("by_line", "by_sentence", "whole"))]
+    keys = ["msg", "conv_id", "turn", "passage", "level", "n_lines", "n_sentences"]
+    asked = found.withColumn("n_lines", F.size("by_line")).withColumn("n_sentences", F.size("by_sentence"))
+    asked = staged(asked.select(*keys, F.explode(F.concat(*kinds)).alias("s")).select(*keys, "s.kind", "s.h1", "s.h2"), "quoted-pieces")
     met = asked.join(here, ["conv_id", "h1", "h2"], "left").join(anywhere, ["h1", "h2"], "left")
-    inside = F.col("here") < F.col("turn")
-    outside = F.col("any.conv_id") != F.col("conv_id")
-    met = met.select(
-        "msg", "passage", "level", "n_sentences",
-        F.when(inside, F.col("conv_id")).when(outside, F.col("any.conv_id")).alias("to_conv"),
-        F.when(inside, F.col("here")).when(outside, F.col("any.turn")).alias("to_turn"),
-    ).filter("to_turn is not null")
-    counts = met.groupBy("msg", "passage", "level", "n_sentences", "to_conv", "to_turn").agg(F.count(F.lit(1)).alias("matched"))
-    best = F.max_by(F.struct("matched", "to_conv", "to_turn"), F.struct("matched", -F.col("to_conv"), -F.col("to_turn")))
-    chosen = counts.groupBy("msg", "passage", "level", "n_sentences").agg(best.alias("best"))
-    enough = F.col("best.matched") >= how.min_share * F.col("n_sentences")
-    return chosen.filter(enough).select("msg", "passage", "level", "n_sentences", "best.matched", "best.to_conv", "best.to_turn")
+    foreign = F.when(F.col("first.conv").eqNullSafe(F.col("conv_id")), F.col("second")).otherwise(F.col("first"))
+    inside = F.when(F.col("here") < F.col("turn"), F.struct(F.col("conv_id").alias("conv"), F.col("here").alias("turn")))
+    outside = F.when(F.col("conv_id").isNotNull(), foreign)
+    met = met.withColumn("to", F.coalesce(inside, outside)).filter("to is not null")
+    counts = met.groupBy("msg", "passage", "level", "n_lines", "n_sentences", F.col("to.conv").alias("to_conv"), F.col("to.turn").alias("to_turn")).agg(
+        *[F.count_if(F.col("kind") == k).alias(name) for k, name in enumerate(("lines", "sentences", "whole"))]
+    )
+    rank = F.struct("whole", "sentences", "lines", -F.col("to_conv"), -F.col("to_turn"))
+    best = F.max_by(F.struct("whole", "sentences", "lines", "to_conv", "to_turn"), rank)
+    chosen = counts.groupBy("msg", "passage", "level", "n_lines", "n_sentences").agg(best.alias("best"))
+    part = (F.col("best.sentences") >= how.min_share * F.col("n_sentences")) | (F.col("best.lines") >= how.min_share * F.col("n_lines"))
+    return chosen.filter((F.col("best.whole") > 0) | part).select(
+        "msg", "passage", "level", "n_sentences", F.greatest("best.sentences", "best.lines", "best.whole").alias("matched"), "best.to_conv", "best.to_turn"
+    )
 
 
 def _threads(answers: DataFrame) -> DataFrame:

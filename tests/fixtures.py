@@ -72,9 +72,9 @@ def write_income_csv(root: str) -> str:
         fp.write('2015,2,"Quadrat",5,"Pont Gris",30000,"100.0"\n')
     with open(os.path.join(d, "2016_income.csv"), "w", encoding="utf-8") as fp:
         fp.write(INCOME_HEADER)
-        fp.write('2016,3,"Alta-Marçà",11,"el Camp-gran",40000,"76.1"\n')
+        fp.write('2016,3,"Alta-Marçà",11,"el Camp-gran",40000,"71.5"\n')
         fp.write('2016,2,"Quadrat",5,"Pont Gris",30000,"106.5"\n')
-        fp.write('2016,1,"Vila Fosca",4,"Santa Font, Santa Pedra i la Llera",20000,"64.7"\n')
+        fp.write('2016,1,"Vila Fosca",4,"Santa Font, Santa Pedra i la Llera",20000,"61.25"\n')
         fp.write('2016,2,"Quadrat",5,"Pont Gris",30001,"107.0"\n')  # repeated key: last wins
     return d
 
@@ -85,7 +85,7 @@ def write_occupancy_csv(root: str) -> str:
     with open(os.path.join(d, "inhabitants.csv"), "w", encoding="utf-8-sig") as fp:  # with BOM
         fp.write('"Any","Codi_Districte","Nom_Districte","Codi_Barri","Nom_Barri","Poblacio","Domicilis","Ocupacio_mitjana_(persones_ per_domicili)"\n')
         fp.write('2020,3,"Alta-Marçà",11,"el Camp-gran",40000,18518,"2.16"\n')
-        fp.write('2020,2,"Quadrat",5,"Pont Gris",30000,11538,"2.60"\n')
+        fp.write('2020,2,"Quadrat",5,"Pont Gris",30000,11538,"2.75"\n')
         fp.write('2020,1,"Vila Fosca",4,"Santa Font, Santa Pedra i la Llera",20000,8000,"2.50"\n')
     return os.path.join(d, "inhabitants.csv")
 
@@ -127,7 +127,7 @@ INCOME_DISTRICT_LOOKUP = [
     {"_id": "Q2", "district": "Quadrat", "district_name": "quadrat", "district_reconciled": "Quadrat", "neighborhood_id": ["Q20"]},
 ]
 INCOME_DOCS = [
-    {"neigh_name": "el Camp-gran", "info": [{"year": 2016, "RFD": 76.1}, {"year": 2017, "RFD": 78.0}]},
+    {"neigh_name": "el Camp-gran", "info": [{"year": 2016, "RFD": 71.5}, {"year": 2017, "RFD": 78.0}]},
     {"neigh_name": "Pont Gris", "info": [{"year": 2017, "RFD": 106.5}, {"year": 2015, "RFD": 100.0}]},
     {"neigh_name": "Serra", "info": [{"year": 2016, "RFD": 90.0}, {"year": 2016, "RFD": 95.0}]},  # tie
     {"neigh_name": "Vallombra", "info": []},

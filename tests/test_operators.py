@@ -54,7 +54,7 @@ def test_clean_listings(spark):
         ("2", "Badalona", "X", "Y", "10"),  # other municipality
         ("3", "Barcelona", None, "Y", "10"),  # no district
         (None, "Barcelona", "A", "B", "1"),  # no key
-        ("4", "Barcelona", "Gràcia", "Vila de Marga", "bad"),  # bad distance -> null
+        ("4", "Barcelona", "Marina", "Vila de Marga", "bad"),  # bad distance -> null
     ]
     df = spark.createDataFrame(rows, "propertyCode string, municipality string, district string, neighborhood string, distance string")
     got = {r.propertyCode: r.distance for r in clean.clean_listings(df).collect()}
@@ -155,13 +155,13 @@ def test_peak_and_head(spark):
 
 
 def test_ratio_and_log(spark):
-    df = spark.createDataFrame([("z", 2016, 280024.0, 76.1), ("z", 2016, 280024.0, 76.1), ("y", 2016, 1.0, 0.0)],
+    df = spark.createDataFrame([("z", 2016, 281000.0, 71.5), ("z", 2016, 281000.0, 71.5), ("y", 2016, 1.0, 0.0)],
                                "zone string, year int, price double, rfd double")
     got = {r.zone: r.ratio for r in aggregate.ratio_by(df, ["zone", "year"], "price", "rfd").collect()}
-    assert got["z"] == pytest.approx(3679.6846, abs=1e-4) and got["y"] is None
-    counts = spark.createDataFrame([(D(2020, 1, 2), 1), (D(2020, 1, 3), 2136)], "date date, listings_count long")
+    assert got["z"] == pytest.approx(281000.0 / 71.5) and got["y"] is None
+    counts = spark.createDataFrame([(D(2020, 1, 2), 1), (D(2020, 1, 3), 2100)], "date date, listings_count long")
     logs = {r.date: r.listings_count_log for r in aggregate.log_series(counts).collect()}
-    assert logs[D(2020, 1, 2)] == 0.0 and logs[D(2020, 1, 3)] == pytest.approx(math.log(2136))
+    assert logs[D(2020, 1, 2)] == 0.0 and logs[D(2020, 1, 3)] == pytest.approx(math.log(2100))
 
 
 def test_avg_nested_ignores_non_numbers(spark):

@@ -48,7 +48,7 @@ def test_income_csv_and_pair_lookup(spark, tmp_dir):
     inc = readers.read_income_csv(spark, fx.write_income_csv(tmp_dir))
     assert inc.count() == 6
     r = inc.filter(F.col("Codi_Barri") == 4).first()
-    assert r.Nom_Barri == "Santa Font, Santa Pedra i la Llera" and r["Índex RFD Barcelona = 100"] == 64.7
+    assert r.Nom_Barri == "Santa Font, Santa Pedra i la Llera" and r["Índex RFD Barcelona = 100"] == 61.25
     a, _ = fx.write_pair_lookups(tmp_dir)
     lk = readers.read_pair_lookup(spark, a)
     assert lk.count() == 3 and lk.filter("neighborhood = 'Serra'").first().neighborhood_id == "Q30"

@@ -13,7 +13,7 @@ INVENTORY: dict[str, list[str]] = {
     "S1": ["zonekit.sources.readers:read_json_snapshots"],
     "S2": ["zonekit.sources.readers:read_csv_dir", "zonekit.sources.readers:read_income_csv"],
     "S3": ["zonekit.sources.readers:read_pair_lookup", "zonekit.operators.dedup:upsert_in_load_order"],
-    "S4": ["zonekit.sources.readers:read_parquet_snapshots"],
+    "S4": ["zonekit.sources.readers:read_parquet_snapshots", "zonekit.sources.readers:read_drifting_snapshots"],
     "S5": ["zonekit.sources.readers:read_json_lines", "zonekit.sources.readers:register_json_tables"],
     "S6": ["zonekit.sources.readers:read_occupancy_csv"],
     "S7": ["zonekit.sources.readers:read_source"],
@@ -21,17 +21,18 @@ INVENTORY: dict[str, list[str]] = {
     "S9": ["zonekit.sources.readers:read_result_csv"],
     "S10": ["zonekit.sources.readers:list_tables"],
     "S11": ["zonekit.session:get_session"],
-    "S12": ["zonekit.session:reuse"],
+    "S12": ["zonekit.session:reuse", "zonekit.plans.etl:take_in_snapshots"],
     # 2.2 sinks
     "K1": ["zonekit.sinks.writers:write"],
     "K2": ["zonekit.operators.clean:family_table", "zonekit.sinks.writers:write_family_table"],
     "K3": ["zonekit.operators.clean:measure_table", "zonekit.sinks.writers:write_measure_table"],
     "K4": ["zonekit.plans.etl:link_pair_lookups", "zonekit.operators.clean:lookup_table", "zonekit.sinks.writers:write_lookup_table"],
-    "K5": ["zonekit.sinks.writers:write"],
-    "K6": ["zonekit.sinks.writers:write"],
+    "K5": ["zonekit.sinks.writers:write", "zonekit.sinks.tables:replace_all"],
+    "K6": ["zonekit.sinks.writers:write", "zonekit.sinks.tables:append_batch"],
     "K7": ["zonekit.sinks.writers:write_single_csv"],
-    "K8": ["zonekit.sinks.writers:write"],
-    "K9": ["zonekit.sinks.writers:save_table", "zonekit.operators.dedup:upsert", "zonekit.sinks.writers:drop_table"],
+    "K8": ["zonekit.sinks.writers:write", "zonekit.sinks.tables:save_bucketed", "zonekit.sinks.tables:get_keyed"],
+    "K9": ["zonekit.sinks.writers:save_table", "zonekit.operators.dedup:upsert", "zonekit.sinks.writers:drop_table",
+           "zonekit.sinks.tables:create_keyed", "zonekit.sinks.tables:put_rows", "zonekit.sinks.tables:delete_rows"],
     # 2.3 projections and scalar functions
     "P1": ["zonekit.functions.scalar:date_from_name", "zonekit.functions.scalar:file_name_date",
            "zonekit.functions.scalar:directory_date"],
@@ -55,14 +56,14 @@ INVENTORY: dict[str, list[str]] = {
     "F4": ["zonekit.sources.readers:read_json_snapshots", "zonekit.sources.readers:read_csv_dir"],
     "F5": ["zonekit.plans.kpi:kpi2b", "zonekit.plans.roles:zone_ratio_by_year"],
     "F6": ["zonekit.operators.keyed:zone_equals"],
-    "F7": ["zonekit.operators.keyed:get_rows"],
-    "F8": ["zonekit.operators.keyed:get_rows"],
+    "F7": ["zonekit.operators.keyed:get_rows", "zonekit.sinks.tables:get_keyed"],
+    "F8": ["zonekit.operators.keyed:get_rows", "zonekit.sinks.tables:get_keyed"],
     "F9": ["zonekit.operators.keyed:prefix_scan"],
-    "F10": ["zonekit.operators.keyed:delete_keys"],
+    "F10": ["zonekit.operators.keyed:delete_keys", "zonekit.sinks.tables:delete_rows"],
     # 2.5 joins
     "J1": ["zonekit.operators.reconcile:link_lookups"],
-    "J2": ["zonekit.operators.reconcile:unlinked"],
-    "J3": ["zonekit.operators.reconcile:strict_join", "zonekit.plans.kpi:kpi2b"],
+    "J2": ["zonekit.operators.reconcile:unlinked", "zonekit.operators.reconcile:audited_join"],
+    "J3": ["zonekit.operators.reconcile:strict_join", "zonekit.operators.reconcile:audited_join", "zonekit.plans.kpi:kpi2b"],
     "J4": ["zonekit.operators.reconcile:apply_lookup"],
     "J5": ["zonekit.operators.reconcile:apply_lookup", "zonekit.plans.kpi:income_reconciled"],
     "J6": ["zonekit.operators.reconcile:join_on_reconciled"],
@@ -85,7 +86,7 @@ INVENTORY: dict[str, list[str]] = {
     "A14": ["zonekit.operators.aggregate:date_range"],
     "A15": ["zonekit.operators.aggregate:log_series"],
     "A16": ["zonekit.operators.stats:corr_pair"],
-    "A17": ["zonekit.operators.stats:corr_matrix"],
+    "A17": ["zonekit.operators.stats:corr_matrix", "zonekit.operators.comoments:pair_correlations"],
     "A18": ["zonekit.functions.nested:latest_from_array"],
     # 2.7 sort / limit / top-k
     "O1": ["zonekit.operators.aggregate:daily_counts"],

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from zonekit.operators.dedup import _q, first_by_key
@@ -85,6 +85,21 @@ def strict_join(
     return df.join(right, list(on), "inner")
 
 
+def audited_join(df: DataFrame, lookup: DataFrame, on: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """J2 + J3 + A13 in one pass: the inner join, and counts of what went into it.
+
+    The observation holds ``rows`` and ``unmatched`` of ``df`` and ``matched``, the rows of the
+    result, once the frame has been run; no job is added.  ``lookup`` has one row per key.
+    Counts are taken before later filters, which do not move below them.
+    """
+    found = Observation()
+    flag = "__zk_found"
+    marked = df.join(lookup.withColumn(flag, F.lit(1)), list(on), "left")
+    missing = F.count_if(F.col(flag).isNull())
+    audited = marked.observe(found, F.count(F.lit(1)).alias("rows"), missing.alias("unmatched"), (F.count(F.lit(1)) - missing).alias("matched"))
+    return audited.filter(F.col(flag).isNotNull()).drop(flag), found
+
+
 def join_on_reconciled(left: DataFrame, right: DataFrame, key: str = "neighborhood") -> DataFrame:
     """Inner join of two per-zone results on the reconciled name.
 

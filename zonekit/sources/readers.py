@@ -16,6 +16,7 @@ as a whole.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -108,6 +109,35 @@ def read_parquet_snapshots(
     return df.withColumn(date_col, date_from_name(parent_name(F.col("_metadata.file_path")), strict=strict_dates))
 
 
+def read_drifting_snapshots(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType = schemas.LISTING_SCHEMA,
+    date_col: str = "date",
+    strict_dates: bool = True,
+) -> DataFrame:
+    """S4 + U1 + F3 where a column's type differs between snapshots too.
+
+    One footer per snapshot tells its columns; snapshots of equal columns are one
+    scan, read as they were written and cast to ``schema`` (a value that does not
+    fit is null, a missing column too), and the scans are united.  Plans grow with
+    the number of different layouts, not of snapshots.
+    """
+    listed = list_files(spark, root.rstrip("/") + "/*", "*.parquet").select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder"))
+    groups: dict[str, list[str]] = {}
+    for folder in sorted(r.folder for r in listed.distinct().collect()):  # names of snapshots, never rows
+        groups.setdefault(spark.read.parquet(folder).schema.json(), []).append(folder)
+    frames = []
+    for layout, folders in groups.items():
+        own = T.StructType.fromJson(json.loads(layout))
+        df = spark.read.schema(own).parquet(*folders)
+        names = set(own.names)
+        cells = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        date = date_from_name(parent_name(F.col("_metadata.file_path")), strict=strict_dates)
+        frames.append(df.select(*cells, date.alias("__zk_date")).withColumn(date_col, F.col("__zk_date")).drop("__zk_date"))
+    return union_snapshots(frames)
+
+
 def union_snapshots(frames: Sequence[DataFrame]) -> DataFrame:
     """Union all by column name; columns missing from a frame are null."""
     if not frames:

@@ -1,7 +1,7 @@
 """Exact deduplication against immutable snapshots.
 
-A snapshot holds the normalised texts it has taken in (its exact buckets) and one static binary fuse filter for every bucket of digests.  An
-incoming batch is digested and grouped by itself; its distinct digests are
+A snapshot holds each normalised text it has taken in once (its exact buckets) and
+one static binary fuse filter for every bucket of digests.  An incoming batch is digested and grouped by itself; its distinct digests are
 screened by the filters; only those that hit fetch their texts and are
 compared, byte by byte, with the snapshot's exact buckets.  Digests that the
 filter lets pass wrongly stay with the new batch.
@@ -54,11 +54,11 @@ def _bucket(buckets: int) -> Column:
 
 
 def build_snapshot(bodies: DataFrame, digests: DataFrame, name: str) -> Snapshot:
-    """A snapshot of ``bodies`` (digest, body), written into the shared folder.
+    """A snapshot of ``bodies`` (digest, body), written into the shared folder, one body for each digest.
 
     ``digests`` are its distinct digests, one column.
     """
-    exact = staged(bodies.select("digest", "body"), f"{name}-exact")
+    exact = staged(bodies.select("digest", "body").dropDuplicates(["digest"]), f"{name}-exact")
     buckets = max(1, -(-digests.count() // KEYS_PER_FILTER))
 
     def build(key: tuple, rows: pa.Table) -> pa.Table:

@@ -6,14 +6,15 @@ it has fewer).  Each of ``trees`` prefix tries orders the texts by a label of
 many values a label shares with the one before it is where its path leaves the trie.
 
 Texts that meet below a trie node are candidates.  The matched prefix starts
-at the full label and is shortened by one value at a time.  Each round joins
-the groups that meet at the shorter prefix; a text whose nodes hold
+at the full label and is shortened until a round has ``share`` of all meetings
+to offer, so values that part few texts cost no round of their own.  Each round
+joins the groups that meet at the shorter prefix; a text whose nodes hold
 only its own group is settled and takes no part.  It ends when no group is
 left to join, or when a pair exactly at the threshold meets in some tree with
 probability ``recall``: the target is a guarantee for every pair, so no link
 is given up for a good average.
 
-Neighbours in the sorted order tie all leaves below a node, which is linear in
+All leaves below a node are tied to its first one, which is linear in
 the texts, and connected components of these ties are the candidate groups.
 A group is compared exactly, on its words by their bytes, as a product of its
 shingle incidence matrix: large groups are cut into blocks by node hash, and
@@ -49,6 +50,7 @@ class Forest:
     trees: int = 16
     depth: int = 8
     recall: float = 0.9995
+    share: float = 0.5
     #: texts and words of one block; two blocks are compared by one task
     block_texts: int = 256
     block_words: int = 1 << 20
@@ -156,7 +158,11 @@ def sign(docs: DataFrame, forest: Forest, key: str = "doc_id", text: str = "text
 
 
 def neighbours(nodes: DataFrame, forest: Forest) -> DataFrame:
-    """(a, b, matched): nodes next to each other in some tree's sorted labels, and how many values they share at most."""
+    """(a, b, matched, across, heads): each leaf ``a``, the one before it in its tree's sorted labels, and how many values they share.
+
+    ``heads`` has, for every prefix length, the first leaf below the same node as ``a``, of
+    those in the same range partition; ``across``: the leaf before is in another one.
+    """
     leaves = nodes.filter("n_shingles > 0").select(F.explode("labels").alias("label"), "node")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the node is part of the order, so that equal labels, however many, can be dealt
@@ -171,8 +177,11 @@ def neighbours(nodes: DataFrame, forest: Forest) -> DataFrame:
     for k in range(1, forest.depth + 1):
         same = F.substring("label", 1, 2 + 4 * k) == F.substring(ahead["label"], 1, 2 + 4 * k)
         matched = F.when(same, F.lit(k)).otherwise(matched)
-    met = pairs.select(F.col("node").alias("a"), ahead["node"].alias("b"), matched.alias("matched"))
-    return met.filter("matched > 0").groupBy("a", "b").agg(F.max("matched").alias("matched"))
+    met = pairs.select("part", "label", "node", ahead["node"].alias("b"), matched.alias("matched"), F.col("ahead").isNull().alias("across"))
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    begins = [F.col("across") | (F.col("matched") < k) for k in range(1, forest.depth + 1)]
+    heads = F.array(*[F.last(F.when(x, F.col("node")), ignorenulls=True).over(so_far) for x in begins])
+    return met.select(F.col("node").alias("a"), "b", "matched", "across", heads.alias("heads")).filter("matched > 0")
 
 
 def candidate_groups(nodes: DataFrame, forest: Forest, shortest: int | None = None) -> DataFrame:
@@ -182,9 +191,15 @@ def candidate_groups(nodes: DataFrame, forest: Forest, shortest: int | None = No
     """
     shortest = shortest or forest.matched()
     ties = staged(neighbours(nodes, forest).filter(F.col("matched") >= shortest), "ties")
-    groups = None
+    at_length = {r.matched: r["count"] for r in ties.groupBy("matched").count().collect()}  # one number for each length
+    groups, waiting = None, 0
     for length in range(forest.depth, shortest - 1, -1):
-        met = ties.filter(F.col("matched") == length).select("a", "b")
+        waiting += at_length.get(length, 0)
+        if waiting < forest.share * sum(at_length.values()) and length > shortest:
+            continue
+        meet = ties.filter(F.col("matched") >= length)
+        met = meet.select("a", F.get("heads", F.lit(length - 1)).alias("b")).unionByName(meet.filter("across").select("a", "b"))
+        met, waiting = met.filter("a <> b").distinct(), 0
         if groups is not None:  # by the groups so far; what meets only its own group is settled
             for end in ("a", "b"):
                 root = groups.select(F.col("node").alias(end), F.col("root").alias("root"))

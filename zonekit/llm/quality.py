@@ -97,8 +97,8 @@ _WORDY = np.array([i >= 128 or chr(i).isalnum() for i in range(256)])
 _NAV = ("»", "›", "•", "·")
 
 
-def judge(texts: pa.Array, rules: Rules, common: pa.Array | None = None) -> dict[str, np.ndarray | list]:
-    """The columns of ``VERDICT`` for a block of texts; ``common`` lists the hashes of each one's common lines."""
+def judge(texts: pa.Array, rules: Rules, common: tuple[pa.Array, pa.Array] | None = None) -> dict[str, np.ndarray | list]:
+    """The columns of ``VERDICT`` for a block of texts; ``common`` has each one's source and the hashes of its common lines."""
     data, off = text_block(texts)
     n = len(off) - 1
     w_start, w_end, w_doc = words(data, off)
@@ -132,7 +132,7 @@ def judge(texts: pa.Array, rules: Rules, common: pa.Array | None = None) -> dict
     n_dup = per_document(l_doc[held[later]], n)
 
     bad = bad_lines(data, (l_start, l_end, l_words), chars, rules)
-    if common is not None and common.null_count < len(common):
+    if common is not None and common[1].null_count < n:
         bad |= _listed(data, (l_start, l_end, l_doc, l_words), rules, common)
     lost = per_document(l_doc, n, np.where(bad, l_words, 0))
     base_failed = (n_words < rules.min_words) | (100 * n_repeat > rules.max_repeat_percent * n_words)
@@ -201,16 +201,17 @@ def _line_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return span_hashes(data, start, end, 9)
 
 
-def _listed(data: np.ndarray, spans: tuple, rules: Rules, common: pa.Array) -> np.ndarray:
-    """True for each short line whose hash is listed for its document."""
+def _listed(data: np.ndarray, spans: tuple, rules: Rules, common: tuple[pa.Array, pa.Array]) -> np.ndarray:
+    """True for each short line whose hash is listed for its document's source."""
     start, end, doc, n_words = spans
-    asked = np.flatnonzero((n_words > 0) & (n_words <= rules.common_words) & ~common.is_null().to_numpy(zero_copy_only=False)[doc])
+    source, listed = common[0].to_numpy(), common[1]
+    asked = np.flatnonzero((n_words > 0) & (n_words <= rules.common_words) & listed.is_valid().to_numpy(zero_copy_only=False)[doc])
+    hashes, owner = _line_hashes(data, start[asked], end[asked]), source[doc[asked]]
     out = np.zeros(len(start), dtype=bool)
-    if len(asked):
-        lists = common.take(pa.array(doc[asked]))
-        owner = np.repeat(np.arange(len(asked)), lists.value_lengths().to_numpy())
-        hit = lists.flatten().to_numpy().view(np.uint64) == _line_hashes(data, start[asked], end[asked])[owner]
-        out[asked[owner[hit]]] = True
+    for of, first in zip(*np.unique(source, return_index=True), strict=True):
+        if listed[int(first)].is_valid:
+            own = np.flatnonzero(owner == of)
+            out[asked[own]] = np.isin(hashes[own], listed[int(first)].values.to_numpy().view(np.uint64))
     return out
 
 
@@ -224,7 +225,7 @@ def common_lines(docs: DataFrame, rules: Rules, text: str = "text", source: str
     rows = docs.select((quoted(source) if source else F.lit(0)).alias("source"), text_or_empty(text).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "body", 4 << 20):
+        for batch in text_slices(batches, "body", 1 << 20):
             data, off = text_block(batch.column("body"))
             w_start, _, _ = words(data, off)
             start, end, doc = lines(data, off)
@@ -280,14 +281,14 @@ def assess(docs: DataFrame, text: str = "text", rules: Rules | None = None, out:
     schema = T.StructType([*plain.schema.fields, T.StructField("verdict", VERDICT)])
     fields = [(f.name, pa.int64() if f.dataType == T.LongType() else pa.bool_()) for f in VERDICT.fields[:-1]]
     own = F.col(columns[docs.columns.index(source)]) if has_source else F.lit(0)
-    plain = plain.join(common, own.eqNullSafe(F.col("source")), "left").drop("source")
+    plain = plain.join(common, own.eqNullSafe(F.col("source")), "left").withColumn("of", F.xxhash64(own)).drop("source")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, body, 4 << 20):
-            got = judge(batch.column(body), rules, batch.column("lines"))
+        for batch in text_slices(batches, body, 1 << 20):
+            got = judge(batch.column(body), rules, (batch.column("of"), batch.column("lines")))
             parts = [pa.array(got[name], type=kind) for name, kind in fields] + [pa.array(got["clean_text"], pa.string())]
             verdict = pa.StructArray.from_arrays(parts, names=[f.name for f in VERDICT.fields])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], verdict], names=[*columns, "verdict"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], verdict], names=[*columns, "verdict"])
 
     return plain.mapInArrow(run, schema).toDF(*docs.columns, out), out
 

@@ -16,7 +16,7 @@ INVENTORY: dict[str, list[str]] = {
     "S4": ["zonekit.sources.readers:read_parquet_snapshots", "zonekit.sources.readers:read_drifting_snapshots"],
     "S5": ["zonekit.sources.readers:read_json_lines", "zonekit.sources.readers:register_json_tables"],
     "S6": ["zonekit.sources.readers:read_occupancy_csv"],
-    "S7": ["zonekit.sources.readers:read_source"],
+    "S7": ["zonekit.sources.readers:read_source", "zonekit.sources.documents:register"],
     "S8": ["zonekit.operators.keyed:scan"],
     "S9": ["zonekit.sources.readers:read_result_csv"],
     "S10": ["zonekit.sources.readers:list_tables"],

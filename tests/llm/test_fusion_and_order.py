@@ -1,0 +1,106 @@
+"""The sums behind language identification and the order of packing, each against plain Python."""
+
+import math
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from public_tokenizers import path
+from tokenizers import Tokenizer
+
+from zonekit.llm import language_id, packing
+
+LANGUAGES = ["de", "en", "fr"]
+
+
+def softmax(logs):
+    powers = [math.exp(x - max(logs)) for x in logs]
+    return [p / sum(powers) for p in powers]
+
+
+def fused(rows, how):
+    """id -> (language, posterior): text, declared language and host priors, summed row by row."""
+    n = len(LANGUAGES)
+    post = {i: softmax(logs) for i, logs, _, _ in rows}
+    names = {i: ("", *[".".join(host.split(".")[-k:]) for k in (1, 2)], host) for i, _, _, host in rows}
+    declared = {i: d if d in LANGUAGES else "" for i, _, d, _ in rows}
+    sums = [defaultdict(lambda: [0.0] * n) for _ in range(4)]
+    told = defaultdict(lambda: [0.0] * n)
+    for i, *_ in rows:
+        for level in range(4):
+            sums[level][names[i][level]] = [a + b for a, b in zip(sums[level][names[i][level]], post[i])]
+        told[declared[i]] = [a + b for a, b in zip(told[declared[i]], post[i])]
+    whole = sums[0][""]
+    base = [(x + 1) / (sum(whole) + n) for x in whole]
+    by_language = [sum(s[k] for s in told.values()) for k in range(n)]
+    out = {}
+    for i, logs, _, _ in rows:
+        prior = base
+        for level, weight in ((1, how.suffix_weight), (2, how.domain_weight), (3, how.host_weight)):
+            others = [max(a - b, 0.0) for a, b in zip(sums[level][names[i][level]], post[i])]
+            prior = [(a + weight * b) / (sum(others) + weight) for a, b in zip(others, prior)]
+        said = [math.log((told[declared[i]][k] + how.declared_weight / (n + 1)) / (by_language[k] + how.declared_weight)) for k in range(n)]
+        joint = softmax([a + b + math.log(c) for a, b, c in zip(logs, said, prior)])
+        out[i] = (LANGUAGES[joint.index(max(joint))], max(joint))
+    return out
+
+
+def test_fusion_equals_plain_python(spark):
+    rng = random.Random(9)
+    hosts = ["a.x.de", "b.x.de", "x.de", "www.y.co.uk", "y.co.uk", "single", "", "z.fr", "deep.er.z.fr"]
+    rows = []
+    for i in range(240):
+        host = rng.choice(hosts[:3] * 6 + hosts)
+        lean = LANGUAGES.index("de") if host.endswith("de") else rng.randrange(3)
+        logs = [-rng.expovariate(0.4) + (1.5 if k == lean else 0.0) for k in range(3)]
+        rows.append((i, [x - max(logs) for x in logs], rng.choice(["", "de", "en", "fr", "xx"]), host))
+    how = language_id.Fusion()
+    table = spark.createDataFrame(rows, "id long, text_log array<double>, declared string, host string")
+    got = {r.id: (r.lang, r.posterior) for r in language_id.fuse(table, LANGUAGES, how).collect()}
+    want = fused(rows, how)
+    assert got.keys() == want.keys()
+    for i, (lang, posterior) in want.items():
+        assert got[i][0] == lang and got[i][1] == pytest.approx(posterior, abs=2e-6)
+    text_only = sum(LANGUAGES[logs.index(max(logs))] != want[i][0] for i, logs, _, _ in rows)
+    assert text_only > 5  # the other evidence decides some
+
+
+def test_language_edges(spark):
+    labelled = [(i, t * 30, False, lang) for i, (t, lang) in enumerate([("the and with of ", "en"), ("der und mit von ", "de"), ("", "en")] * 3)]
+    train = spark.createDataFrame(labelled, "id long, text string, markup boolean, lang string")
+    texts = ["the with of and", "der von mit", "", "mit " * 60_000, "the with of and"]
+    rows = [(i // 2, t, False, "", "h.de", "x") for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, markup boolean, declared string, host string, lang_of string")
+    got = language_id.identify(table, train)
+    assert got.count() == len(rows) and "lang_of" in got.columns
+    assert {r.text_lang for r in got.filter("doc_id = 1").collect()} <= {"en", "de"}
+    assert language_id.identify(table.limit(0), train).count() == 0
+    assert {r.lang for r in language_id.identify(table, train.limit(0)).collect()} == {None}
+
+
+def curve(ids, how):
+    """The curve key of one document, number by number."""
+    counts = [0] * how.buckets
+    for i in ids:
+        x = (i + 5) % 2**64
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+        counts[(x ^ x >> 31) % how.buckets] += 1
+    norm = math.sqrt(sum(c * c for c in counts))
+    plane = np.random.default_rng(20240611).standard_normal((how.buckets, how.dimensions))
+    top = (1 << how.bits) - 1
+    cell = []
+    for d in range(how.dimensions):
+        point = (sum(c / norm * plane[b][d] for b, c in enumerate(counts)) + how.reach) / (2 * how.reach)
+        cell.append(min(max(int(point * (top + 1)), 0), top))
+    return int(packing.hilbert_key(np.array([cell]), how.bits)[0])
+
+
+def test_documents_lie_along_the_curve(corpus):
+    how = packing.Packing()
+    coder = Tokenizer.from_file(path("word_bpe_49k.json"))
+    keys = {r.doc_id: curve([*coder.encode(r.text or "", add_special_tokens=False).ids, 1], how) for r in corpus.select("doc_id", "text").collect()}
+    pieces = sorted(packing.pack(corpus).collect(), key=lambda r: (r.sequence_id, r.offset))
+    order = list(dict.fromkeys(r.doc_id for r in pieces))
+    assert order == sorted(keys, key=lambda d: (keys[d], d)) and len(set(keys.values())) > 0.9 * len(keys)

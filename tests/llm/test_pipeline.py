@@ -1,3 +1,7 @@
+import hashlib
+import math
+from collections import Counter, defaultdict
+
 import corpus_pipeline
 from tests.llm import brute
 from zonekit.llm.common import staged
@@ -34,8 +38,53 @@ def test_pipeline_runs_whole(spark):
     assert out.count() > 0 and {"doc_id", "sequence_id", "ids"} <= set(out.columns)
 
 
+def test_mixing_stage_equals_brute_force(spark, corpus):
+    """Words of every document after the fourth stage: the prefix of the global order, and what each source had begun."""
+    docs = staged(corpus, "mix-input")
+    sizes, queues = defaultdict(int), defaultdict(list)
+    for r in docs.collect():
+        n = len(brute.words(r.text))
+        sizes[r.source] += n
+        queues[r.source].append((hashlib.md5(f"17:{r.doc_id}".encode()).hexdigest(), r.doc_id, n))
+    target = brute.mix_targets(sizes)
+    offers = []
+    for sid, s in enumerate(sorted(queues)):
+        given = 0
+        for n_pass in (0, 1):
+            for h, d, n in sorted(queues[s]):
+                offers.append(((given + n) / target[s], sid, n_pass, h, d, n, s, given))
+                given += n
+    offers.sort(key=lambda x: x[:6])
+    total, end = 0, 0.0
+    for offer in offers:
+        total += offer[5]
+        end = offer[0]
+        if total >= 1.5 * sum(sizes.values()):
+            break
+    want = Counter()
+    for finish, _, _, _, d, n, s, given in offers:
+        want[d] += n if finish <= end else max(0, min(n, math.floor(target[s] * end) - given))
+    got = Counter()
+    for r in dict(corpus_pipeline.STAGES)["mixing sources to target weights"](spark, docs, SF).collect():
+        got[r.doc_id] += len(brute.words(r.text))
+    assert +got == +want
+
+
+def test_stages_on_edges(spark, edge):
+    """Nulls, empty and very long texts, repeated rows and clashing columns through all stages, and an empty table."""
+    for docs in (edge, edge.limit(0)):
+        for _, stage in corpus_pipeline.STAGES:
+            assert set(docs.columns) >= {"doc_id"}
+            docs = staged(stage(spark, docs, SF), "edge")
+    assert docs.count() == 0
+    kept = edge
+    for _, stage in corpus_pipeline.STAGES[1:]:  # without the rules, which reject all of these short texts
+        kept = staged(stage(spark, kept, SF), "edge")
+    assert {r.doc_id for r in kept.collect()} >= {4, 5, 8, 9}
+
+
 def test_every_operator_has_a_query():
-    assert sorted({int(k[2:].split("_")[0]) for k in QUERIES}) == list(range(1, 11))
+    assert sorted({int(k[2:].split("_")[0]) for k in QUERIES}) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 

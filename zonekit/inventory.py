@@ -10,7 +10,7 @@ import importlib
 
 INVENTORY: dict[str, list[str]] = {
     # 2.1 scans / sources / session
-    "S1": ["zonekit.sources.readers:read_json_snapshots"],
+    "S1": ["zonekit.sources.readers:read_json_snapshots", "zonekit.sources.json_arrays:read_large_json_arrays"],
     "S2": ["zonekit.sources.readers:read_csv_dir", "zonekit.sources.readers:read_income_csv"],
     "S3": ["zonekit.sources.readers:read_pair_lookup", "zonekit.operators.dedup:upsert_in_load_order"],
     "S4": ["zonekit.sources.readers:read_parquet_snapshots", "zonekit.sources.readers:read_drifting_snapshots"],

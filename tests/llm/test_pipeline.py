@@ -1,10 +1,13 @@
 import hashlib
 import math
+import os
 from collections import Counter, defaultdict
 
+import pytest
+
 import corpus_pipeline
 from tests.llm import brute
-from zonekit.llm.common import staged
+from zonekit.llm.common import staged, working_folder
 from zonekit.llm.oracle import ORACLE_SQL
 from zonekit.llm.queries import QUERIES
 
@@ -33,9 +36,20 @@ def test_pipeline_stages_equal_brute_force(spark, corpus):
     assert sorted(r.doc_id for r in third.collect()) == sorted(d for d in kept if classes[d][0] == d)
 
 
-def test_pipeline_runs_whole(spark):
+def test_pipeline_runs_whole_and_leaves_its_stages_only(spark):
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(folder))
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "sequence_id", "ids"} <= set(out.columns)
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before}
+    assert left == {name.replace(" ", "-") for name, _ in corpus_pipeline.STAGES}
+
+
+def test_a_working_folder_is_removed_whatever_happens(spark):
+    with pytest.raises(ZeroDivisionError), working_folder(spark) as folder:
+        assert staged(spark.range(3), "some").count() == 3 and os.listdir(folder.removeprefix("file://"))
+        raise ZeroDivisionError
+    assert not os.path.exists(folder.removeprefix("file://"))
 
 
 def test_mixing_stage_equals_brute_force(spark, corpus):

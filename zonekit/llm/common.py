@@ -3,13 +3,16 @@
 ``staged`` cuts lineage by writing a Parquet table into the folder the
 cluster names in ``spark.checkpoint.dir``; a lost executor then costs only
 a re-read.  Nothing here writes to a machine-local folder on a cluster.
+Within ``working_folder`` these tables have an owner, which removes them at the end.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,13 +24,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+_work: ContextVar[str | None] = ContextVar("zonekit_work", default=None)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``.
+    """A fresh path below ``spark.checkpoint.dir``, in the ``working_folder`` if there is one.
 
     Only a ``local`` master (tests) may run without that setting; it then
     gets a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _work.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -43,6 +49,31 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def working_folder(spark: SparkSession) -> Iterator[str]:
+    """Own the tables staged within: they lie in one folder, which is removed at the end.
+
+    What is computed within reads these tables, so write or collect it before the end.
+    """
+    path = shared_folder(spark, "work")
+    before = _work.set(path)
+    try:
+        yield path
+    finally:
+        _work.reset(before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def staged_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``make()`` as a staged table, without the tables that it stages itself."""
+    path = shared_folder(spark, name)
+    with working_folder(spark):
+        df = make()
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -1,7 +1,8 @@
 """From raw documents to training sequences: five stages over the table ``documents``.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run``
-writes it as Parquet into the shared folder and the next stage reads that.
+writes it as Parquet into the shared folder and the next stage reads that; tables
+that a stage makes for itself are removed with it.
 All stages but the last return the columns of ``documents``.
 """
 
@@ -11,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonekit.llm.common import documents, staged
+from zonekit.llm.common import documents, staged_alone
 from zonekit.llm.exact_dedup import drop_copies
 from zonekit.llm.jaccard_join import one_per_class
 from zonekit.llm.mixing import mixed
@@ -60,5 +61,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, starting from ``documents``."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = staged_alone(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -144,6 +144,7 @@ ORACLE_SQL: dict[str, str] = {
     'kpi_occupancy_income': 'with s as (select n_name zone, (sum(cast(s_acctbal as decimal(18,2)))::double / count(s_acctbal)) occ from supplier join nation on s_nationkey=n_nationkey group by 1), i as (select n_name zone, (sum(cast(c_acctbal as decimal(18,2)))::double / count(c_acctbal)) inc from customer join nation on c_nationkey=n_nationkey group by 1) select lower(zone) zone, round(occ,4) occ, round(inc,4) income from s join i using (zone)',
     'corr_pair': 'select round(corr(l_quantity, l_extendedprice),6) r from lineitem',
     'corr_matrix': "select 'l_quantity' a, 'l_extendedprice' b, round(corr(l_quantity,l_extendedprice),6) r from lineitem union all select 'l_quantity','l_discount', round(corr(l_quantity,l_discount),6) from lineitem union all select 'l_extendedprice','l_discount', round(corr(l_extendedprice,l_discount),6) from lineitem",
+    "audited_lookup": "select c_custkey, n_name from customer join nation on c_nationkey = n_nationkey where n_nationkey in BUSY_NATIONS",
     "corr_matrix_lineitem": " union all ".join(
         f"select '{a}' a, '{b}' b, round(corr({a}, {b}), 6) r from lineitem" for i, a in enumerate(_LINEITEM) for b in _LINEITEM[i + 1 :]
     ),

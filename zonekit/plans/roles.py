@@ -593,6 +593,14 @@ def snapshot_drift(spark: SparkSession, d: str) -> DataFrame:
     return clean.require(readers.union_snapshots([a, b]), ["event_id", "user_id"])
 
 
+def audited_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """J3 + J2 + A13 in one pass: customers with the name of their nation, where the lookup has it."""
+    c = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+    lookup = _held(table(spark, d, "nation").select("n_nationkey", "n_name"), _busy_nations(spark, d), "n_nationkey")
+    joined, _ = reconcile.audited_join(c, lookup, ["n_nationkey"])
+    return joined.select("c_custkey", "n_name")
+
+
 def ratio_by(spark: SparkSession, d: str) -> DataFrame:
     """Mean balance per nation over a per-nation constant."""
     c = table(spark, d, "customer").select("c_nationkey", cents("c_acctbal"))
@@ -642,6 +650,7 @@ QUERIES = {
     "corr_pair": corr_pair,
     "corr_matrix": corr_matrix,
     "corr_matrix_lineitem": corr_matrix_lineitem,
+    "audited_lookup": audited_lookup,
     "map_unwind_avg": map_unwind_avg,
     "avg_nested": avg_nested,
     "get_rows": get_rows,

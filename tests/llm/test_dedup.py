@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm import brute
+from zonekit.llm import components as connected
 from zonekit.llm import exact_dedup, fuse, jaccard_join, quality, wordhash
 from zonekit.llm.components import components
 
@@ -164,3 +165,32 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(41)) and all(got[i] == 100 for i in range(100, 140))
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_of_random_edges(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(230)] + [(500, i) for i in range(501, 560)] + [(3, None)]
+    least = list(range(560))
+
+    def root(x):
+        while least[x] != x:
+            x = least[x]
+        return x
+
+    for a, b in edges[:-1]:
+        a, b = sorted((root(a), root(b)))
+        least[b] = a
+    rows = components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()
+    assert len({r.node for r in rows}) == len(rows)
+    assert {r.node: r.root for r in rows} == {x: root(x) for a, b in edges[:-1] if a != b for x in (a, b)}
+
+
+def test_components_write_few_tables(spark, monkeypatch):
+    """Nodes tied to many heads, as by the trees of the join: each written table is a file for every partition."""
+    written = []
+    monkeypatch.setattr(connected, "staged", lambda df, name, f=connected.staged: written.append(name) or f(df, name))
+    rng = random.Random(7)
+    edges = [(i, rng.randrange(i // 50 * 50, i + 1)) for i in range(2000) for _ in range(16)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long").repartition(8)).collect()}
+    assert all(got[i] == i // 50 * 50 for i in got)
+    assert len(written) <= 4

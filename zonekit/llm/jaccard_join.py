@@ -8,9 +8,8 @@ many values a label shares with the one before it is where its path leaves the t
 Texts that meet below a trie node are candidates.  The matched prefix starts
 at the full label and is shortened until a round has ``share`` of all meetings
 to offer, so values that part few texts cost no round of their own.  Each round
-joins the groups that meet at the shorter prefix; a text whose nodes hold
-only its own group is settled and takes no part.  It ends when no group is
-left to join, or when a pair exactly at the threshold meets in some tree with
+joins the groups so far that meet at the shorter prefix.  It ends
+when a pair exactly at the threshold meets in some tree with
 probability ``recall``: the target is a guarantee for every pair, so no link
 is given up for a good average.
 
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonekit.llm.common import documents, keep_rows, quoted, row_key, staged, text_or_empty, text_slices
-from zonekit.llm.components import components
+from zonekit.llm.components import components, members, stars
 from zonekit.llm.wordhash import mix, span_hashes, span_numbers, text_block, window_hashes, window_numbers, words
 
 
@@ -197,26 +196,12 @@ def candidate_groups(nodes: DataFrame, forest: Forest, shortest: int | None = No
         waiting += at_length.get(length, 0)
         if waiting < forest.share * sum(at_length.values()) and length > shortest:
             continue
-        meet = ties.filter(F.col("matched") >= length)
+        meet, waiting = ties.filter(F.col("matched") >= length), 0
         met = meet.select("a", F.get("heads", F.lit(length - 1)).alias("b")).unionByName(meet.filter("across").select("a", "b"))
-        met, waiting = met.filter("a <> b").distinct(), 0
-        if groups is not None:  # by the groups so far; what meets only its own group is settled
-            for end in ("a", "b"):
-                root = groups.select(F.col("node").alias(end), F.col("root").alias("root"))
-                met = met.join(root.hint("merge"), end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
-            met = met.filter("a <> b")
-        met = staged(met, "round")
-        if met.isEmpty():
-            continue
-        joined = staged(components(met, "a", "b"), "joined")
-        if groups is None:
-            groups = joined
-            continue
-        higher = joined.select(F.col("node").alias("root"), F.col("root").alias("higher"))
-        moved = groups.join(higher.hint("merge"), "root", "left").select("node", F.coalesce("higher", "root").alias("root"))
-        fresh = joined.join(groups.hint("merge"), "node", "left_anti")
-        groups = staged(moved.unionByName(fresh), "groups")
-    return groups if groups is not None else nodes.select("node", F.col("node").alias("root")).limit(0)
+        if groups is not None:  # what a group holds stays together
+            met = met.unionByName(groups.select(F.col("u").alias("a"), F.col("v").alias("b")))
+        groups = stars(met, "a", "b")
+    return members(groups) if groups is not None else nodes.select("node", F.col("node").alias("root")).limit(0)
 
 
 def placed(wanted: DataFrame, forest: Forest) -> DataFrame:
@@ -324,8 +309,8 @@ def similar(docs: DataFrame, forest: Forest | None = None, key: str = "doc_id",
     wanted = staged(placed(wanted, forest), "placed")
     body = text_or_empty(text)
     bodies = docs.select(row_key(quoted(key), body).alias("row"), body.alias("body"))
-    members = staged(bodies.join(wanted.hint("merge"), "row").dropDuplicates(["row"]).drop("row"), "members")
-    found = staged(verified(members, forest), "verified")
+    bodies = staged(bodies.join(wanted.hint("merge"), "row").dropDuplicates(["row"]).drop("row"), "members")
+    found = staged(verified(bodies, forest), "verified")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
     classes = components(found.select("node", "head"), "node", "head")
